@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, ngram_lm, substrings
+from . import bpe, decontam, fm, jaccard, ngram_lm, repetition, ring, substrings, tools, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -20,6 +20,11 @@ def fold(key: str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
 
 
+def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repetition.rate_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered_words")
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("train", F.coalesce(fold("doc_id", ngram_lm.FOLDS) != ngram_lm.HELD_OUT, F.lit(False)))
@@ -27,10 +32,42 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", *[F.round(c, 6).alias(c) for c in ("base_score", "score")])
 
 
+def op3_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ring.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tools.conversation_calls(table(spark, sf_dir, "conversations"))
+    out = tools.link_calls(calls, results, tools.CONVERSATION_TOOLS)
+    return out.select(F.col("thread").alias("conv_id"), F.col("id").alias("call_id"), "name", "depth", "n_results", F.array_join("errors", "; ").alias("errors"), "json")
+
+
+def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", fm.FOLDS) != fm.HELD_OUT)
+    out = fm.score_quality(docs, fm.train(docs, labels))
+    return out.select("doc_id", (F.coalesce(fold("doc_id", fm.FOLDS), F.lit(-1)) == fm.HELD_OUT).alias("held_out"), "score", (F.col("score") >= fm.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " "))
@@ -38,8 +75,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repetition": op1_repetition,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_hash_ring": op3_hash_ring,
+    "op4_bpe": op4_bpe,
+    "op5_url_filter": op5_url_filter,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_tool_calls": op7_tool_calls,
+    "op8_quality_fm": op8_quality_fm,
+    "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
@@ -53,6 +97,36 @@ CRC_TABLE = """crc_table AS (
 CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c & 255, b) + 1)::BIGINT])), 4294967295)"
 
 ORACLE_SQL = {
+    "op1_repetition": rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+win AS (SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS g
+        FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM t, (VALUES (5), ({repetition.REPEAT}), ({repetition.LONGEST + 1})) s(k))),
+again AS (SELECT doc_id, k, g FROM win GROUP BY doc_id, k, g HAVING count(*) > 1),
+cov AS (SELECT doc_id, k, count(DISTINCT p + i)::BIGINT AS n FROM win JOIN again USING (doc_id, k, g), range({repetition.LONGEST + 1}) r(i) WHERE i < k GROUP BY doc_id, k),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(x, chr(10))) AS l FROM t) WHERE regexp_matches(l, '{WORD}') GROUP BY doc_id),
+m AS (SELECT t.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(x, '{SPACES}', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(lines.n, 0)::BIGINT AS n_dup_lines,
+             coalesce(a.n, 0) AS n_repeat_words, coalesce(b.n, 0) AS n_covered_words, coalesce(c.n, 0) > 0 AS long_repeat
+      FROM t LEFT JOIN lines ON lines.doc_id = t.doc_id LEFT JOIN cov a ON a.doc_id = t.doc_id AND a.k = 5
+           LEFT JOIN cov b ON b.doc_id = t.doc_id AND b.k = {repetition.REPEAT} LEFT JOIN cov c ON c.doc_id = t.doc_id AND c.k = {repetition.LONGEST + 1})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT long_repeat AND 100 * n_covered_words <= {repetition.COVERED} * n_words AS kept, n_covered_words
+FROM m""",
+    "op7_tool_calls": """
+WITH asks AS (SELECT * FROM conversations WHERE role IN ('user', 'system')),
+calls AS (SELECT a.conv_id, a.turn, CASE a.role WHEN 'user' THEN 'reply' ELSE 'configure' END AS name, a.text,
+                 coalesce((SELECT max(b.turn) FROM asks b WHERE b.conv_id = a.conv_id AND b.turn IN (a.turn - 1, a.turn - 2)), -1) AS up
+          FROM asks a),
+chain AS (SELECT conv_id, turn, sum(CASE WHEN up < 0 THEN 1 ELSE 0 END) OVER w AS run FROM calls WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+d AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, run ORDER BY turn) - 1 AS depth FROM chain),
+r AS (SELECT conv_id, turn - 1 AS turn, text FROM conversations WHERE role = 'assistant'),
+j AS (SELECT c.*, d.depth, r.text AS result, r.turn IS NOT NULL AS has
+      FROM calls c JOIN d ON d.conv_id = c.conv_id AND d.turn = c.turn LEFT JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn),
+e AS (SELECT *, concat_ws('; ', CASE WHEN length(text) < 1 THEN 'text: too small' WHEN length(text) > 4000 THEN 'text: too large' WHEN text IS NULL THEN 'text: missing' END,
+                          CASE WHEN turn > CASE name WHEN 'reply' THEN 1000 ELSE 0 END THEN 'turn: too large' END, CASE WHEN NOT has THEN 'no result' END) AS errors FROM j)
+SELECT conv_id, 'call-' || turn AS call_id, name, depth::BIGINT AS depth, has::BIGINT AS n_results, errors,
+       CASE WHEN errors = '' THEN '{"arguments":{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"id":"call-' || turn || '","name":"' || name || '","result":' || to_json(result)::VARCHAR || '}' END AS json
+FROM e""",
     "op2_lm_scoring": rf"""
 WITH {CRC_TABLE},
 t AS (SELECT doc_id, {CRC.format("doc_id")} % 7 = 2 AS held_out,
