@@ -1,8 +1,9 @@
 """URL filters: rules on hosts and paths, then gradient-boosted trees on lexical features.
 
-URLs that a rule decides are the labelled ones.  The trees learn from a bounded
-sample of them and judge the rest by length, depth, digits, entropy, parameters
-and how often labelled URLs of the same host suffix were blocked.
+The rules label URLs: block, allow, and unlisted, which counts as allowed as long
+as nothing speaks against it.  The trees learn from a bounded sample of each, with
+weights that restore their shares, and judge the unlisted by length, depth,
+digits, entropy, parameters and how often URLs of the same host suffix are blocked.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from .exchange import spread
 from .repetition import per_row
 from .words import raw
 
-#: Labelled URLs of each verdict that the trees are fitted on, at most.
+#: URLs of each label that the trees are fitted on, at most.
 SAMPLE = 5000
 TREES, DEPTH, SEED = 12, 4, 5
 #: Pseudo-counts that draw the block rate of a rare suffix to the overall rate.
@@ -107,29 +108,33 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, key: str = "p
     all subdomains if the path starts with the rule's; the longest wins.
 
     Null URL or none with `://`: empty host and path, judged by the trees.  If the
-    rules label no URL, or all alike, the trees can't be fitted and the rest is
-    allowed.  Keys are carried along, null and repeated ones too.  Empty table: empty result.
+    rules block no URL, or all, the trees can't be fitted and the rest is allowed.  Keys are carried along, null and repeated ones too.  Empty table: empty result.
     """
     rules = RULES if rules is None else rules
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host(url).alias("host"), path(url).alias("path"))
     rows = rows.withColumn("decision", decide(rules, F.col("host"), F.col("path")))
     suffix = F.substring_index("host", ".", -1)
 
-    given = rows.where("decision IS NOT NULL").select("url", "host", "path", F.col("decision.verdict").alias("verdict")).distinct()
+    given = rows.where("url IS NOT NULL").select("url", "host", "path", F.coalesce("decision.verdict", F.lit("unlisted")).alias("verdict"))
+    counts = {r.verdict: r["count"] for r in given.groupBy("verdict").count().collect()}
     picked = None
-    for v in ("allow", "block"):
-        one = given.where(F.col("verdict") == v).orderBy(F.xxhash64("url"), "url").limit(sample)
+    for v in sorted(counts):
+        one = given.where(F.col("verdict") == v).distinct().orderBy(F.xxhash64("url"), "url").limit(sample)
         picked = one if picked is None else picked.unionByName(one)
-    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("suffix", suffix).coalesce(4).persist()
+    picked = picked if picked is not None else given
+    weight = F.lit(1.0)
+    for v, n in counts.items():
+        weight = F.when(F.col("verdict") == v, n / min(n, sample)).otherwise(weight)
+    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("suffix", suffix).withColumn("weight", weight).coalesce(4).persist()
     try:
-        total = labelled.agg(F.avg("label").alias("rate"), F.count(F.lit(1)).alias("n")).first()
-        rates = labelled.groupBy("suffix").agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
-        rate = total.rate or 0.0
+        total = labelled.agg(F.sum(F.col("label") * F.col("weight")).alias("blocked"), F.sum("weight").alias("n")).first()
+        rates = labelled.groupBy("suffix").agg(F.sum(F.col("label") * F.col("weight")).alias("blocked"), F.sum("weight").alias("n")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
+        rate = total.blocked / total.n if total.n else 0.0
         table = {r.suffix: (r.blocked + SMOOTH * rate) / (r.n + SMOOTH) for r in rates.collect()}
         if total.n and 0 < rate < 1:
             known = F.create_map(*[F.lit(x) for pair in sorted(table.items()) for x in pair])
             vector = array_to_vector(F.concat("lexical", F.array(F.coalesce(F.try_element_at(known, F.col("suffix")), F.lit(rate)), F.length("suffix").cast("double"))))
-            trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32).fit(labelled.select("label", vector.alias("features")))
+            trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(labelled.select("label", "weight", vector.alias("features")))
             features = add_features(rows).withColumn("suffix", suffix).withColumn("features", vector)
             judged = trees.transform(features).withColumn("p", F.element_at(_array(F.col("probability")), 2))
         else:
