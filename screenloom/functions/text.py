@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Trimmed by trim_all: ASCII white space and the no-break and other wide spaces.
-BLANK = r"[\s\x0B\u0085   -     　]"
+BLANK = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def either(parts: list[Column]) -> Column:
