@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Trimmed by trim_all: ASCII white space and the no-break and other wide spaces.
 BLANK = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -55,7 +56,7 @@ def fold_spaces(c: Column) -> Column:
     return F.regexp_replace(c, f"{BLANK}+", " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
