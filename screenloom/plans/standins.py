@@ -94,5 +94,5 @@ routing{suffix} AS (SELECT p.work_id, b.rule_id, b.prec AS precedence, CASE WHEN
 
 ROUTED_SQL = f"{POOL_SQL}, {routed_sql()}"
 ROUTED_B_SQL = routed_sql("_b", "syn-contact", {"syn-fr": 980})
-LOG_SQL = "log AS (SELECT event_id AS id, user_id AS work, (props->>'$.k')::BIGINT AS claim, event_type AS verdict, value AS score, ts AS at FROM events)"
+LOG_SQL = "log AS (SELECT event_id AS id, user_id AS work, (props->>'$.k')::BIGINT AS claim, event_type AS verdict, value AS score, ts AS tm FROM events)"
 ALIAS_SQL = "alias AS (SELECT d.doc_id AS old, m.canonical FROM documents d JOIN (SELECT text, min(doc_id) AS canonical FROM documents GROUP BY text HAVING count(*) > 1) m ON m.text = d.text WHERE d.doc_id <> m.canonical)"
