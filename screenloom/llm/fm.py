@@ -107,7 +107,7 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weigh
     rng = np.random.default_rng(7)
     m = Machine(0.0, np.zeros(SIZE), rng.normal(0, 0.05, (SIZE, RANK)))
     if not len(labels):
-        return m
+        return Machine(0.0, m.w, np.zeros_like(m.v))
     prior = np.clip((labels * weights).sum() / weights.sum(), 1e-3, 1 - 1e-3)
     m.w0 = float(np.log(prior / (1 - prior)))
     g0, gw, gv = 1e-8, np.full(SIZE, 1e-8), np.full((SIZE, RANK), 1e-8)
