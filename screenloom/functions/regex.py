@@ -9,8 +9,10 @@ from __future__ import annotations
 import re
 
 WORD = "0-9A-Za-z_"
-BOUNDARY = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
-INSIDE = f"(?:(?<=[{WORD}])(?=[{WORD}])|(?<![{WORD}])(?![{WORD}]))"
+BOUNDARY = f"(?-iu:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+INSIDE = f"(?-iu:(?<=[{WORD}])(?=[{WORD}])|(?<![{WORD}])(?![{WORD}]))"
+#: \w without regard to case: two characters outside ASCII fold to letters in it.
+FOLDED = WORD + r"\u017F\u212A"
 BLANKS = r"\t\n\f\r "
 
 
@@ -26,7 +28,7 @@ def to_java(pattern: str, ignore_case: bool = True) -> str:
         if ch == "\\":
             if len(two) < 2:
                 raise UnsupportedPattern("pattern ends in a backslash")
-            out.append(_escape(two[1], inside))
+            out.append(_escape(two[1], inside, ignore_case))
             if two[1] in "pP":
                 if pattern[at + 2 : at + 3] != "{":
                     raise UnsupportedPattern("one-letter classes need braces")
@@ -63,7 +65,11 @@ def to_java(pattern: str, ignore_case: bool = True) -> str:
     return ("(?iu)" if ignore_case else "") + "".join(out)
 
 
-def _escape(ch: str, inside: bool) -> str:
+def _escape(ch: str, inside: bool, ignore_case: bool) -> str:
+    if ch in "wW" and ignore_case:
+        if ch == "W" and inside:
+            raise UnsupportedPattern(r"\W in a class")
+        return FOLDED if inside else f"[{'^' * (ch == 'W')}{FOLDED}]"
     if ch == "s":
         return BLANKS if inside else f"[{BLANKS}]"
     if ch == "S":

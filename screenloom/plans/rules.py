@@ -207,10 +207,10 @@ def route(pool: DataFrame, rules: list[Rule], columns: Pool | None = None, exemp
     out = match_flags(pool, rules, columns)
     out = out.withColumn("live", F.array_except("matched", F.array(*map(F.lit, shadows)).cast("array<string>")))
     rule = F.get("live", F.lit(0))
-    pick = lambda f: F.coalesce(*[F.when(rule == r.id, F.lit(f(r))) for r in rules])
+    pick = lambda f: F.coalesce(*[F.when(rule == r.id, F.lit(f(r))) for r in rules], F.lit(None))
     won = pick(lambda r: r.pile)
     no_text = won.isin(*SCREENS) & T.is_blank(columns.value("abstract")) & ~(F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False))
-    shown = F.coalesce(*[F.when(rule == r.id, evidence(r.match, columns)) for r in rules])
+    shown = F.coalesce(*[F.when(rule == r.id, evidence(r.match, columns)) for r in rules], F.lit(None).cast("string"))
     return (
         out.withColumn("rule_id", rule).withColumn("precedence", pick(lambda r: r.precedence)).withColumn("evidence", shown)
         .withColumn("pile", F.when(won.isNull() | no_text, "pending").otherwise(won)).withColumn("pending_reason", F.when(F.coalesce(no_text, F.lit(False)), "no_text").otherwise(""))
