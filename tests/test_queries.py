@@ -45,6 +45,29 @@ def test_query(spark, duck, name):
     assert got == sorted(repr([plain(dict(zip(names, r, strict=True))[c]) for c in columns]) for r in result.fetchall())
 
 
+def test_queries_without_sql(spark):
+    """Those that SQL can't express, against their function on every row."""
+    from screenloom.functions import parse
+    from screenloom.operators import citations
+    from screenloom.plans import catalogue, standins
+
+    works = {r.work_id: r for r in standins.pool(spark, SF).collect()}
+    got = sorted((r.work_id, r.heading, r.chars) for r in catalogue.QUERIES["section_lengths"](spark, SF).collect())
+    assert got == sorted((k, h, len(b)) for k, w in works.items() for h, b in parse.sections(f"Abstract\n{w.title}\nMethods\n{w.abstract}"))
+    items = {r.item_id: r.text for r in standins.table(spark, SF, "benchmark").collect()}
+    for r in catalogue.QUERIES["quote_ratio"](spark, SF).collect():
+        assert r.item_id % 40 == r.work_id % 40 and abs(r.ratio - parse.partial_ratio(items[r.item_id][:60], works[r.work_id].title)) < 1e-5
+    parts = sorted((r.p_partkey, r.p_size, f"{r.p_name} {r.p_type}") for r in standins.table(spark, SF, "part").where("p_size <= 5").collect())
+    first = {}
+    for a, size, text in parts:
+        for b, other, words in parts:
+            if a < b and size == other and a not in first and parse.token_set_ratio(text, words) >= 75:
+                first[a] = b
+    assert {r.p_partkey: r.other for r in catalogue.QUERIES["token_set_match"](spark, SF).collect()} == first
+    pages = standins.table(spark, SF, "pages").collect()
+    assert catalogue.QUERIES["citation_spans"](spark, SF).count() == sum(len(citations.spans(r.html)) for r in pages)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
