@@ -31,12 +31,13 @@ from .words import Words, mix, split, stream
 #: Edits allowed, percent of the item's characters.
 PERCENT = 20
 PREFIX = 4
-EMBEDDINGS, TABLES, COORDINATES = 4, 3, 4
+#: Walks, tables of each, steps sampled by a table, and how many different words they must have read.
+EMBEDDINGS, TABLES, COORDINATES, DISTINCT = 6, 3, 4, 3
 #: Percent of an item's distinct words that a region must share before its edit distance is computed.
 SHARED = 30
 #: Items compared in one pass over the documents; more are compared in further passes.
 ITEMS = 20_000
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 FILTER_BITS = 18
 
 
@@ -96,7 +97,7 @@ def extend(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 END = np.uint64(0x5151515151515151)
 
 
-def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, steps: list[np.ndarray], filters: list[list[np.ndarray]] | None):
+def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, steps: list[np.ndarray], filters: list[list[np.ndarray]] | None, distinct: int | None = None):
     """Walk from every start through `window` words; per table (which starts, key of all samples).
 
     With filters, a start leaves a table when no item has its samples so far, and
@@ -107,6 +108,7 @@ def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, ste
     alive = [np.ones(len(start), bool) for _ in steps]
     which, at = np.arange(len(start)), start.astype(np.int64)
     stop = at + window
+    read, seen = [np.full(len(start), -1) for _ in steps], [np.zeros(len(start), np.int8) for _ in steps]
     coins, due = None, {int(j) for s in steps for j in s}
     for j in range(max(due) + 1):
         if j % 64 == 0:
@@ -118,18 +120,22 @@ def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, ste
             for t, s in enumerate(steps):
                 for k in np.flatnonzero(s == j):
                     keys[t] = extend(keys[t], word)
+                    seen[t] = seen[t] + (read[t] != at)
+                    read[t] = at.copy()
                     if filters is not None:
                         alive[t] &= filters[t][k][(keys[t] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
             if filters is not None:
                 stay = np.flatnonzero(np.logical_or.reduce(alive))
                 which, at, stop = which[stay], at[stay], stop[stay]
-                keys, alive = [x[stay] for x in keys], [x[stay] for x in alive]
+                keys, alive, read, seen = ([x[stay] for x in xs] for xs in (keys, alive, read, seen))
                 inside = at < stop if j >= window else None
                 if not len(which):
                     break
         move = ((coins[at if inside is None else np.minimum(at, len(hashes) - 1)] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
         at += move if inside is None else move * inside
-    return [(which[a], k[a]) for a, k in zip(alive, keys, strict=True)]
+    # samples of too few different words say little; equal windows have equal walks, so both sides lose them
+    enough = [n >= min(distinct or DISTINCT, window, len(s)) for n, s in zip(seen, steps, strict=True)]
+    return [(which[a & e], k[a & e]) for a, e, k in zip(alive, enough, keys, strict=True)]
 
 
 def build(items: list[tuple[object, str]]) -> Index:
@@ -150,14 +156,14 @@ def build(items: list[tuple[object, str]]) -> Index:
             steps = samples(window, e)
             own = []
             for t in range(TABLES):
-                filters, key = [], None
+                filters = []
                 for k in range(COORDINATES):
-                    (_, key), = walk(hashes, start, window, e, [steps[t][: k + 1]], None)
+                    ((kept, key),) = walk(hashes, start, window, e, [steps[t][: k + 1]], None, 1 if k + 1 < COORDINATES else DISTINCT)
                     full = np.zeros(1 << FILTER_BITS, bool)
                     full[(key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
                     filters.append(full)
                 order = np.argsort(key, kind="stable")
-                own.append((steps[t], filters, key[order], entry[order]))
+                own.append((steps[t], filters, key[order], entry[kept][order]))
             tables.append(own)
         classes.append(Length(window, stride, tables))
     sets = [frozenset(hashes[a:b].tolist()) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
