@@ -17,19 +17,19 @@ query = Registry()
 
 @query()
 def token_set_match(spark, sf_dir):
-    """Parts and suppliers' parts of the same size whose names have nearly the same words: the first match by key."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("a")).where("p_size <= 5")
-    q = p.select(F.col("p_partkey").alias("other"), "p_size", F.col("a").alias("b"))
-    hits = p.join(q, "p_size").where("p_partkey < other").withColumn("ratio", parse.token_set_ratio_of("a", "b")).where("ratio >= 75")
-    return folds.first_by(hits.select("p_partkey", "other", "ratio"), ["p_partkey"], ["other"])
+    """For each distinct title of parts the first other one, in order, that shares a word and has nearly the same words."""
+    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title")).distinct()
+    words = titles.select("title", F.explode(T.title_words(F.col("title"))).alias("word"))
+    pairs = words.join(words.select(F.col("title").alias("other"), "word"), "word").where("title < other").select("title", "other").distinct()
+    hits = pairs.withColumn("ratio", parse.token_set_ratio_of("title", "other")).where("ratio >= 75")
+    return folds.first_by(hits, ["title"], ["other"])
 
 
 @query()
 def quote_ratio(spark, sf_dir):
-    """How well a benchmark item's opening words are found in documents of its number's class."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("quote"), (F.col("item_id") % 40).alias("k"))
-    d = pool(spark, sf_dir).select("work_id", F.col("title").alias("source_text"), (F.col("work_id") % 40).alias("k"))
-    return b.join(d, "k").select("item_id", "work_id", rounded(parse.partial_ratio_of("quote", "source_text")).alias("ratio"))
+    """How well a work's title is found in the first sentence of its abstract."""
+    first = F.get(T.sentences(F.col("abstract")), F.lit(0))
+    return pool(spark, sf_dir).select("work_id", rounded(parse.partial_ratio_of("title", first)).alias("ratio"))
 
 
 @query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part")
@@ -85,19 +85,19 @@ def title_target(spark, sf_dir):
     return pool(spark, sf_dir).select("work_id", F.nullif(F.regexp_extract(t, to_java(r"\bof ([a-z]+)"), 1), F.lit("")).alias("target"), n.cast("long").alias("studies"), (n > 1).alias("umbrella"))
 
 
-@query("WITH c AS (SELECT c_custkey, c_nationkey, c_mktsegment, 0 AS pri, c_acctbal FROM customer WHERE c_acctbal > 8000 UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment, 1, c_acctbal FROM customer WHERE c_custkey % 9 = 0) SELECT c_custkey, arg_min(pri, pri)::BIGINT AS provider, bool_or(c_nationkey > 20) AS author_differs FROM c WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY c_custkey")
+@query("WITH c AS (SELECT c_custkey, c_nationkey, c_mktsegment, 0 AS pri, c_acctbal FROM customer WHERE c_acctbal > 8000 UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment, 1, c_acctbal FROM customer WHERE c_acctbal < 0) SELECT c_custkey, arg_min(pri, pri)::BIGINT AS provider, bool_or(c_nationkey > 20) AS author_differs FROM c WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY c_custkey")
 def title_search_candidates(spark, sf_dir):
     """Two sources of candidates, one row per key, the first source first; unfit ones left out and odd ones flagged."""
     c = table(spark, sf_dir, "customer")
-    both = c.where("c_acctbal > 8000").withColumn("provider", F.lit(0)).unionByName(c.where("c_custkey % 9 = 0").withColumn("provider", F.lit(1))).where("c_mktsegment <> 'HOUSEHOLD'")
+    both = c.where("c_acctbal > 8000").withColumn("provider", F.lit(0)).unionByName(c.where("c_acctbal < 0").withColumn("provider", F.lit(1))).where("c_mktsegment <> 'HOUSEHOLD'")
     return both.groupBy("c_custkey").agg(F.min("provider").cast("long").alias("provider"), F.bool_or(F.col("c_nationkey") > 20).alias("author_differs"))
 
 
-@query(f"WITH {LOG_SQL} SELECT work, claim, list_aggregate(list(score ORDER BY id), 'min') AS weakest, string_agg(DISTINCT CASE WHEN verdict = 'error' THEN 'failure' WHEN verdict = 'purchase' THEN 'success' END, '' ) IS NOT NULL AS coded, CASE WHEN count(DISTINCT CASE WHEN verdict IN ('error', 'purchase') THEN verdict END) > 1 THEN 'conflict' WHEN bool_or(verdict = 'error') THEN 'failure' WHEN bool_or(verdict = 'purchase') THEN 'success' ELSE 'none' END AS axis FROM log WHERE claim % 5 = 0 GROUP BY ALL")
+@query(f"WITH {LOG_SQL} SELECT work, claim, list_aggregate(list(score ORDER BY id), 'min') AS weakest, string_agg(DISTINCT CASE WHEN verdict = 'error' THEN 'failure' WHEN verdict = 'purchase' THEN 'success' END, '' ) IS NOT NULL AS coded, CASE WHEN count(DISTINCT CASE WHEN verdict IN ('error', 'purchase') THEN verdict END) > 1 THEN 'conflict' WHEN bool_or(verdict = 'error') THEN 'failure' WHEN bool_or(verdict = 'purchase') THEN 'success' ELSE 'none' END AS axis FROM log GROUP BY ALL")
 def axis_fold(spark, sf_dir):
     """One axis of several rows: their value, `conflict` where they differ."""
     value = F.when(F.col("verdict") == "error", "failure").when(F.col("verdict") == "purchase", "success")
-    g = log(spark, sf_dir).where("claim % 5 = 0").groupBy("work", "claim").agg(F.min("score").alias("weakest"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+    g = log(spark, sf_dir).groupBy("work", "claim").agg(F.min("score").alias("weakest"), F.min(value).alias("lo"), F.max(value).alias("hi"))
     return g.select("work", "claim", "weakest", F.col("lo").isNotNull().alias("coded"), F.when(F.col("lo") != F.col("hi"), "conflict").otherwise(F.coalesce("lo", F.lit("none"))).alias("axis"))
 
 

@@ -95,10 +95,10 @@ def drilldown_pivot(spark, sf_dir):
     return log(spark, sf_dir).groupBy("work").pivot("verdict", ["view", "click", "purchase"]).agg(F.max("score"))
 
 
-@query(WITH + "SELECT id, 1::BIGINT AS rank, work || ':' || claim AS pair, md5(work || '|' || claim) AS pair_id FROM log WHERE claim % 10 = 3 UNION ALL SELECT id, 2::BIGINT, work || ':' || (claim + 1), md5(work || '|' || (claim + 1)) FROM log WHERE claim % 10 = 3")
+@query(WITH + "SELECT id, 1::BIGINT AS rank, work || ':' || claim AS pair, md5(work || '|' || claim) AS pair_id FROM log UNION ALL SELECT id, 2::BIGINT, work || ':' || (claim + 1), md5(work || '|' || (claim + 1)) FROM log")
 def payload_render(spark, sf_dir):
     target = lambda add, rank: F.struct((F.col("claim") + add).alias("o"), F.lit(rank).alias("rank"))
-    payloads = log(spark, sf_dir).where("claim % 10 = 3").select("id", F.to_json(F.struct(F.struct(F.col("work").alias("r")).alias("input"), F.array(target(0, 1), target(1, 2)).alias("targets"))).alias("payload"))
+    payloads = log(spark, sf_dir).select("id", F.to_json(F.struct(F.struct(F.col("work").alias("r")).alias("input"), F.array(target(0, 1), target(1, 2)).alias("targets"))).alias("payload"))
     doc = payloads.select("id", F.from_json("payload", "struct<input:struct<r:bigint>,targets:array<struct<o:bigint,rank:bigint>>>").alias("d")).select("id", "d.input.r", F.explode("d.targets").alias("t"))
     r, o = F.col("r").cast("string"), F.col("t.o").cast("string")
     return doc.select("id", F.col("t.rank").alias("rank"), F.concat_ws(":", r, o).alias("pair"), T.pair_id(r, o).alias("pair_id"))
@@ -112,11 +112,11 @@ def outcome_fold(spark, sf_dir):
     return g.select("work", "claim", F.when(F.size(hard) > 1, "mixed").when(F.array_contains(v, "purchase"), "success").when(F.array_contains(v, "error"), "failure").when(F.array_contains(v, "signup"), "descriptive").otherwise("not coded").alias("outcome"))
 
 
-@query(WITH + ", f AS (SELECT work, claim, verdict, min(id) AS pos, min(score) AS score FROM log WHERE claim < 10 GROUP BY ALL), g AS (SELECT work, claim, string_agg(verdict, '; ' ORDER BY pos) AS labels, min(score) AS weakest, min(pos) AS first FROM f GROUP BY ALL) SELECT work, claim, labels, weakest, row_number() OVER (PARTITION BY work ORDER BY first)::BIGINT AS rank FROM g")
+@query(WITH + ", f AS (SELECT work, claim, verdict, min(id) AS pos, min(score) AS score FROM log GROUP BY ALL), g AS (SELECT work, claim, string_agg(verdict, '; ' ORDER BY pos) AS labels, min(score) AS weakest, min(pos) AS first FROM f GROUP BY ALL) SELECT work, claim, labels, weakest, row_number() OVER (PARTITION BY work ORDER BY first)::BIGINT AS rank FROM g")
 def collapse_groups(spark, sf_dir):
     from pyspark.sql.window import Window
 
-    labels = log(spark, sf_dir).where("claim < 10").groupBy("work", "claim", "verdict").agg(F.min("id").alias("pos"), F.min("score").alias("score"))
+    labels = log(spark, sf_dir).groupBy("work", "claim", "verdict").agg(F.min("id").alias("pos"), F.min("score").alias("score"))
     g = labels.groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("pos", "verdict"))).alias("ls"), F.min("score").alias("weakest"), F.min("pos").alias("first"))
     return g.select("work", "claim", F.array_join(F.transform("ls", lambda x: x["verdict"]), "; ").alias("labels"), "weakest", F.row_number().over(Window.partitionBy("work").orderBy("first")).cast("long").alias("rank"))
 
@@ -136,9 +136,9 @@ def ordered_label_union(spark, sf_dir):
     return log(spark, sf_dir).where("score > 150").groupBy("work").agg(F.collect_set("verdict").alias("v")).select("work", F.array_join(F.array_intersect(order, "v"), "|").alias("labels"))
 
 
-@query(WITH + "SELECT h AS response_hash, min(id)::BIGINT AS first_id, bool_or(h IN (SELECT md5(c_custkey::VARCHAR) FROM customer WHERE c_custkey < 50)) AS present FROM (SELECT md5(claim::VARCHAR) AS h, id FROM log) GROUP BY h")
+@query(WITH + "SELECT h AS response_hash, min(id)::BIGINT AS first_id, bool_or(h IN (SELECT md5(c_custkey::VARCHAR) FROM customer WHERE c_acctbal > 2000)) AS present FROM (SELECT md5(claim::VARCHAR) AS h, id FROM log) GROUP BY h")
 def reconcile_blobs(spark, sf_dir):
-    blobs = table(spark, sf_dir, "customer").where("c_custkey < 50").select(F.md5(F.col("c_custkey").cast("string")).alias("response_hash"), F.lit(True).alias("there"))
+    blobs = table(spark, sf_dir, "customer").where("c_acctbal > 2000").select(F.md5(F.col("c_custkey").cast("string")).alias("response_hash"), F.lit(True).alias("there"))
     pending = log(spark, sf_dir).groupBy(F.md5(F.col("claim").cast("string")).alias("response_hash")).agg(F.min("id").alias("first_id"))
     return pending.join(blobs, "response_hash", "left").select("response_hash", "first_id", F.coalesce("there", F.lit(False)).alias("present"))
 
@@ -194,9 +194,9 @@ def version_patch(spark, sf_dir):
     return c.join(new, "c_custkey").select("c_custkey", F.array_join(changed, ";").alias("patch")).where("patch <> ''")
 
 
-@query(WITH + "SELECT work, claim, string_agg(verdict || '=' || printf('%.2f', score), '; ' ORDER BY id) AS evidence, count(*)::BIGINT AS votes FROM log WHERE claim < 5 GROUP BY ALL")
+@query(WITH + "SELECT work, claim, string_agg(verdict || '=' || printf('%.2f', score), '; ' ORDER BY id) AS evidence, count(*)::BIGINT AS votes FROM log GROUP BY ALL")
 def vote_evidence(spark, sf_dir):
-    g = log(spark, sf_dir).where("claim < 5").groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("id", "verdict", "score"))).alias("v"))
+    g = log(spark, sf_dir).groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("id", "verdict", "score"))).alias("v"))
     return g.select("work", "claim", F.array_join(F.transform("v", lambda x: F.concat(x["verdict"], F.lit("="), F.format_string("%.2f", x["score"]))), "; ").alias("evidence"), F.size("v").cast("long").alias("votes"))
 
 

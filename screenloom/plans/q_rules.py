@@ -142,8 +142,9 @@ def arm_attribution(spark, sf_dir):
 @query(WITH + ", m AS (SELECT l.doc_id, l.quality, e.rule_id, count(*) OVER (PARTITION BY l.doc_id) AS k FROM labels l JOIN ev e ON e.work_id = l.doc_id), t AS (SELECT count(*) FILTER (quality = 1) AS pos, count(*) FILTER (quality = 0) AS neg FROM labels) SELECT rule_id, round(count(*) FILTER (quality = 1) / any_value(pos)::DOUBLE, 6) AS recall, round(count(*) FILTER (quality = 1 AND k = 1) / any_value(pos)::DOUBLE, 6) AS unique_recall, round(count(*) FILTER (quality = 0) / any_value(neg)::DOUBLE, 6) AS false_rate FROM m, t GROUP BY rule_id")
 def pattern_unique_recall(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("work_id"), "quality")
-    totals = labels.agg(F.count_if(F.col("quality") == 1).alias("pos"), F.count_if(F.col("quality") == 0).alias("neg"))
+    pos, neg = labels.agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
     hits = routed(spark, sf_dir).select("work_id", F.size("matched").alias("k"), F.explode("matched").alias("rule_id")).join(labels, "work_id")
     good = F.col("quality") == 1
     g = hits.groupBy("rule_id").agg(F.count_if(good).alias("a"), F.count_if(good & (F.col("k") == 1)).alias("b"), F.count_if(F.col("quality") == 0).alias("c"))
-    return g.join(F.broadcast(totals)).select("rule_id", F.round(F.col("a") / F.col("pos"), 6).alias("recall"), F.round(F.col("b") / F.col("pos"), 6).alias("unique_recall"), F.round(F.col("c") / F.col("neg"), 6).alias("false_rate"))
+    share = lambda c, n: F.round(F.try_divide(F.col(c), F.lit(n)), 6)
+    return g.select("rule_id", share("a", pos).alias("recall"), share("b", pos).alias("unique_recall"), share("c", neg).alias("false_rate"))

@@ -24,7 +24,7 @@ def text_fold(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("work_id"), F.md5(T.fold_text(F.col("text"))).alias("folded_md5"))
 
 
-UNESCAPED = "substr(html, 1, 400)"
+UNESCAPED = "html"
 for _ in range(3):
     for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         UNESCAPED = f"replace({UNESCAPED}, '{_e}', '{_c}')"
@@ -32,7 +32,7 @@ for _ in range(3):
 
 @query(f"SELECT page_id, md5(trim(regexp_replace(lower({UNESCAPED}), '[^a-z0-9]+', ' ', 'g'))) AS fingerprint_md5 FROM pages")
 def title_fingerprint(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.title_fingerprint(F.substring("html", 1, 400))).alias("fingerprint_md5"))
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.title_fingerprint(F.col("html"))).alias("fingerprint_md5"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 4 = 0 THEN 'title:' || trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) ELSE concat_ws('|', CASE WHEN s_suppkey % 3 <> 0 THEN 'doi:10.1/' || s_suppkey END, CASE WHEN s_suppkey % 4 <> 0 THEN 'oa:' || s_suppkey END) END AS keys, CASE WHEN s_suppkey % 3 <> 0 THEN 'doi:10.1/' || s_suppkey WHEN s_suppkey % 4 <> 0 THEN 'oa:' || s_suppkey ELSE 'title:' || trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) END AS primary_key FROM supplier")
@@ -71,35 +71,37 @@ def key_suffixing(spark, sf_dir):
     return folds.suffixed(s, "base", ["s_suppkey"]).select("s_suppkey", "key")
 
 
-@query("WITH c AS (SELECT c_custkey, c_nationkey AS name, 1992 + c_custkey % 7 AS y FROM customer WHERE c_acctbal > 9000), r AS (SELECT s_suppkey, s_nationkey AS name, 1992 + s_suppkey % 7 AS y FROM supplier) SELECT c_custkey, s_suppkey, delta FROM (SELECT c_custkey, s_suppkey, d.delta, row_number() OVER (PARTITION BY c_custkey, s_suppkey ORDER BY abs(d.delta), -d.delta) AS n FROM c, (VALUES (0), (1), (-1)) d(delta), r WHERE r.y = c.y + d.delta AND abs(c.name - r.name) <= 1) WHERE n = 1".replace("(VALUES (0), (1), (-1))", "(VALUES (0::BIGINT), (1::BIGINT), (-1::BIGINT))"))
+@query("WITH c AS (SELECT c_custkey, c_nationkey AS name, 1992 + c_custkey % 7 AS y FROM customer), r AS (SELECT s_suppkey, s_nationkey AS name, 1992 + s_suppkey % 7 AS y FROM supplier) SELECT c_custkey, s_suppkey, delta FROM (SELECT c_custkey, s_suppkey, d.delta, row_number() OVER (PARTITION BY c_custkey ORDER BY abs(d.delta), -d.delta, s_suppkey) AS n FROM c, (VALUES (0::BIGINT), (1::BIGINT), (-1::BIGINT)) d(delta), r WHERE r.y = c.y + d.delta AND abs(c.name - r.name) <= 1) WHERE n = 1")
 def candidate_range_join(spark, sf_dir):
-    """Citations with references of the same year or one beside it, by an equal year after listing the three."""
-    c = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey", F.col("c_nationkey").alias("name"), (1992 + F.col("c_custkey") % 7).alias("y"))
-    c = c.select("c_custkey", "name", F.explode(F.array(*[F.struct((F.col("y") + d).alias("year"), F.lit(d).cast("long").alias("delta")) for d in (0, 1, -1)])).alias("t")).select("c_custkey", "name", "t.year", "t.delta")
-    r = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("rname"), (1992 + F.col("s_suppkey") % 7).alias("year"))
-    hits = c.join(r, "year").where(F.abs(F.col("name") - F.col("rname")) <= 1)
-    return folds.first_by(hits.select("c_custkey", "s_suppkey", "delta"), ["c_custkey", "s_suppkey"], [F.abs("delta"), -F.col("delta")])
+    """For each citation the first reference of its year or one beside it with nearly its name.
 
+    Years are listed so that the join is by an equal year; references are folded to the first of each name and year before.
+    """
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("name"), (1992 + F.col("c_custkey") % 7).alias("y"))
+    c = c.select("c_custkey", F.explode(F.array(*[F.struct((F.col("y") + d).alias("year"), F.lit(d).cast("long").alias("delta"), (F.col("name") + n).alias("name")) for d in (0, 1, -1) for n in (0, 1, -1)])).alias("t")).select("c_custkey", "t.*")
+    r = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("name"), (1992 + F.col("s_suppkey") % 7).alias("year")).agg(F.min("s_suppkey").alias("s_suppkey"))
+    hits = c.join(r, ["name", "year"])
+    return folds.first_by(hits.select("c_custkey", "s_suppkey", "delta"), ["c_custkey"], [F.abs("delta"), -F.col("delta"), "s_suppkey"])
 
-PART_WORDS = "w AS (SELECT p_partkey, p_brand AS b, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]{3,}')) AS ws FROM part WHERE p_size <= 10)"
 
-
-def part_words(spark, sf_dir):
-    return table(spark, sf_dir, "part").where("p_size <= 10").select("p_partkey", F.col("p_brand").alias("b"), T.title_words(F.concat_ws(" ", "p_name", "p_type")).alias("ws"))
-
-
-@query(f"WITH {PART_WORDS} SELECT x.p_partkey AS a, y.p_partkey AS b, round(len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE, 6) AS jaccard FROM w x JOIN w y ON x.b = y.b AND x.p_partkey < y.p_partkey WHERE len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE >= 0.5")
+@query("WITH w AS (SELECT DISTINCT p_name || ' ' || p_type AS t, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]{3,}')) AS ws FROM part) SELECT x.t AS a, y.t AS b, round(len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE, 6) AS jaccard FROM w x JOIN w y ON x.t < y.t WHERE len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE >= 0.5")
 def jaccard_pairs(spark, sf_dir):
-    x, y = (part_words(spark, sf_dir).select("b", F.col("p_partkey").alias(k), F.col("ws").alias(f"w{k}")) for k in ("a", "c"))
-    pairs = x.join(y, "b").where("a < c").withColumn("jaccard", T.jaccard(F.col("wa"), F.col("wc"))).where("jaccard >= 0.5")
-    return pairs.select("a", F.col("c").alias("b"), rounded("jaccard").alias("jaccard"))
+    """Pairs of distinct titles that share words, by counts of shared words."""
+    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("a")).distinct().withColumn("wa", T.title_words(F.col("a")))
+    words = titles.select("a", F.size("wa").alias("na"), F.explode("wa").alias("word"))
+    other = words.select(F.col("a").alias("b"), F.col("na").alias("nb"), "word")
+    shared = words.join(other, "word").where("a < b").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
+    j = F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))
+    return shared.where(j >= 0.5).select("a", "b", rounded(j).alias("jaccard"))
 
 
-@query(f"WITH {POOL_SQL}, b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{{3,}}')) AS ws FROM benchmark), t AS (SELECT work_id, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{{3,}}')) AS ws FROM p) SELECT b.item_id, t.work_id, round(len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE, 6) AS coverage FROM b JOIN t ON t.work_id % 50 = b.item_id % 50 WHERE len(b.ws) > 0 AND len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE >= 0.1")
+@query(f"WITH {POOL_SQL}, b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{{3,}}')) AS ws FROM benchmark), t AS (SELECT work_id, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{{3,}}')) AS ws FROM p) SELECT b.item_id, t.work_id, round(len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE, 6) AS coverage FROM b, t WHERE len(b.ws) > 0 AND len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE >= 0.2")
 def token_coverage(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark").select("item_id", T.title_words(F.col("text")).alias("bw"), (F.col("item_id") % 50).alias("k"))
-    t = pool(spark, sf_dir).select("work_id", T.title_words(F.col("title")).alias("tw"), (F.col("work_id") % 50).alias("k"))
-    return b.join(t, "k").select("item_id", "work_id", rounded(T.coverage(F.col("bw"), F.col("tw"))).alias("coverage")).where("coverage >= 0.1")
+    """How much of a benchmark item's words a title has, where it is a fifth or more, by counts of shared words."""
+    b = table(spark, sf_dir, "benchmark").select("item_id", T.title_words(F.col("text")).alias("bw")).select("item_id", F.size("bw").alias("n"), F.explode("bw").alias("word"))
+    t = pool(spark, sf_dir).select("work_id", F.explode(T.title_words(F.col("title"))).alias("word"))
+    shared = t.join(b, "word").groupBy("item_id", "work_id", "n").agg(F.count(F.lit(1)).alias("k"))
+    return shared.where(F.col("k") / F.col("n") >= 0.2).select("item_id", "work_id", rounded(F.col("k") / F.col("n")).alias("coverage"))
 
 
 @query()
@@ -132,10 +134,10 @@ def topic_words(spark, sf_dir):
     return pool(spark, sf_dir).select("work_id", F.array_join(F.slice(words, 1, 6), " ").alias("topic"))
 
 
-@query("WITH u AS (SELECT 'customer' AS frame, c_nationkey AS nation, c_mktsegment AS segment, c_custkey AS k FROM customer WHERE c_custkey % 7 = 0 UNION ALL SELECT 'supplier', s_nationkey, 'BUILDING', s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) SELECT nation, segment, frame, k FROM (SELECT *, row_number() OVER (PARTITION BY nation, segment ORDER BY frame, k) AS n FROM u) WHERE n = 1")
+@query("WITH u AS (SELECT 'customer' AS frame, c_nationkey AS nation, c_mktsegment AS segment, c_custkey AS k FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'supplier', s_nationkey, 'BUILDING', s_suppkey FROM supplier WHERE s_acctbal < 5000) SELECT nation, segment, frame, k FROM (SELECT *, row_number() OVER (PARTITION BY nation, segment ORDER BY frame, k) AS n FROM u) WHERE n = 1")
 def missing_ids(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select(F.lit("customer").alias("frame"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("k"))
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.lit("supplier").alias("frame"), F.col("s_nationkey").alias("nation"), F.lit("BUILDING").alias("segment"), F.col("s_suppkey").alias("k"))
+    c = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.lit("customer").alias("frame"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("k"))
+    s = table(spark, sf_dir, "supplier").where("s_acctbal < 5000").select(F.lit("supplier").alias("frame"), F.col("s_nationkey").alias("nation"), F.lit("BUILDING").alias("segment"), F.col("s_suppkey").alias("k"))
     return folds.first_by(c.unionByName(s), ["nation", "segment"], ["frame", "k"]).select("nation", "segment", "frame", "k")
 
 

@@ -29,11 +29,11 @@ def first_writer_wins(spark, sf_dir):
     return first.join(rows.groupBy("work_id").agg(F.count(F.lit(1)).alias("arrivals")), "work_id").select("work_id", "source", "arrivals")
 
 
-OVERLAY_SQL = "ov AS (SELECT item_id AS work_id, CASE WHEN item_id % 3 = 0 THEN '' ELSE text END AS abstract FROM benchmark)"
+OVERLAY_SQL = "ov AS (SELECT item_id AS work_id, CASE WHEN length(text) < 200 THEN '' ELSE text END AS abstract FROM benchmark)"
 
 
 def overlay_rows(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("work_id"), F.when(F.col("item_id") % 3 == 0, "").otherwise(F.col("text")).alias("abstract"))
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("work_id"), F.when(F.length("text") < 200, "").otherwise(F.col("text")).alias("abstract"))
 
 
 @query(f"WITH {POOL_SQL}, {OVERLAY_SQL} SELECT p.work_id, md5(CASE WHEN length(o.abstract) > 0 THEN o.abstract ELSE p.abstract END) AS abstract_md5 FROM p LEFT JOIN ov o ON o.work_id = p.work_id")
@@ -69,9 +69,9 @@ def source_priority_coalesce(spark, sf_dir):
     return d.join(b, "work_id", "left").join(p, "work_id", "left").select("work_id", F.md5(F.coalesce("b", "url", "source")).alias("value_md5"), F.when(F.col("b").isNotNull(), "benchmark").when(F.col("url").isNotNull(), "pages").otherwise("documents").alias("provider"))
 
 
-@query(f"WITH {POOL_SQL} SELECT work_id AS openalex_id_r, title AS title_r, substr(abstract, 1, 100) AS abstract_r, '' AS doi_r, source AS journal_r, 'pool' AS source FROM p")
+@query(f"WITH {POOL_SQL} SELECT work_id AS openalex_id_r, title AS title_r, abstract AS abstract_r, '' AS doi_r, source AS journal_r, 'pool' AS source FROM p")
 def candidate_projection(spark, sf_dir):
-    return pool(spark, sf_dir).select(F.col("work_id").alias("openalex_id_r"), F.col("title").alias("title_r"), F.substring("abstract", 1, 100).alias("abstract_r"), F.lit("").alias("doi_r"), F.col("source").alias("journal_r"), F.lit("pool").alias("source"))
+    return pool(spark, sf_dir).select(F.col("work_id").alias("openalex_id_r"), F.col("title").alias("title_r"), F.col("abstract").alias("abstract_r"), F.lit("").alias("doi_r"), F.col("source").alias("journal_r"), F.lit("pool").alias("source"))
 
 
 @query(f"WITH {ROUTED_SQL} SELECT r.work_id, r.pile, CASE WHEN l.quality = 1 THEN 'proceed' ELSE 'discard' END AS decision FROM routing r JOIN labels l ON l.doc_id = r.work_id WHERE r.pile LIKE 'screen%' AND r.work_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -129,11 +129,11 @@ def labelled_set_build(spark, sf_dir):
     return labels.join(docs, "work_id").join(bench, "work_id", "left").select("work_id", "quality", (F.coalesce("b", "text") == F.col("b")).alias("from_benchmark"))
 
 
-@query("(SELECT 'missing' AS side, c_nationkey AS nation, c_mktsegment AS segment, n::BIGINT AS n FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0) GROUP BY ALL)) UNION ALL (SELECT 'extra', c_nationkey, c_mktsegment, n::BIGINT FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0) GROUP BY ALL))")
+@query("(SELECT 'missing' AS side, c_nationkey AS nation, c_mktsegment AS segment, n::BIGINT AS n FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 1000) GROUP BY ALL)) UNION ALL (SELECT 'extra', c_nationkey, c_mktsegment, n::BIGINT FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 1000 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0) GROUP BY ALL))")
 def multiset_diff(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     cols = [F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")]
-    a, b = c.where("c_acctbal > 0").select(*cols), c.where("c_custkey % 2 = 0").select(*cols)
+    a, b = c.where("c_acctbal > 0").select(*cols), c.where("c_acctbal > 1000").select(*cols)
     side = lambda name, x, y: x.exceptAll(y).groupBy("nation", "segment").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "nation", "segment", "n")
     return side("missing", a, b).unionByName(side("extra", b, a))
 

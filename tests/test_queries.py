@@ -54,16 +54,20 @@ def test_queries_without_sql(spark):
     works = {r.work_id: r for r in standins.pool(spark, SF).collect()}
     got = sorted((r.work_id, r.heading, r.chars) for r in catalogue.QUERIES["section_lengths"](spark, SF).collect())
     assert got == sorted((k, h, len(b)) for k, w in works.items() for h, b in parse.sections(f"Abstract\n{w.title}\nMethods\n{w.abstract}"))
-    items = {r.item_id: r.text for r in standins.table(spark, SF, "benchmark").collect()}
-    for r in catalogue.QUERIES["quote_ratio"](spark, SF).collect():
-        assert r.item_id % 40 == r.work_id % 40 and abs(r.ratio - parse.partial_ratio(items[r.item_id][:60], works[r.work_id].title)) < 1e-5
-    parts = sorted((r.p_partkey, r.p_size, f"{r.p_name} {r.p_type}") for r in standins.table(spark, SF, "part").where("p_size <= 5").collect())
+    from pyspark.sql import functions as F
+
+    from screenloom.functions import text as T
+
+    firsts = {r.work_id: r.s for r in standins.pool(spark, SF).selectExpr("work_id", "abstract").withColumn("s", T.sentences(F.col("abstract"))).selectExpr("work_id", "get(s, 0) AS s").collect()}
+    got = {r.work_id: r.ratio for r in catalogue.QUERIES["quote_ratio"](spark, SF).collect()}
+    assert got.keys() == works.keys() and all(abs(v - parse.partial_ratio(works[k].title, firsts[k])) < 1e-5 for k, v in got.items())
+    titles = sorted({f"{r.p_name} {r.p_type}" for r in standins.table(spark, SF, "part").collect()})
     first = {}
-    for a, size, text in parts:
-        for b, other, words in parts:
-            if a < b and size == other and a not in first and parse.token_set_ratio(text, words) >= 75:
-                first[a] = b
-    assert {r.p_partkey: r.other for r in catalogue.QUERIES["token_set_match"](spark, SF).collect()} == first
+    for i, x in enumerate(titles):
+        near = [y for y in titles[i + 1 :] if set(x.lower().split()) & set(y.lower().split()) and parse.token_set_ratio(x, y) >= 75]
+        if near:
+            first[x] = near[0]
+    assert {r.title: r.other for r in catalogue.QUERIES["token_set_match"](spark, SF).collect()} == first
     pages = standins.table(spark, SF, "pages").collect()
     assert catalogue.QUERIES["citation_spans"](spark, SF).count() == sum(len(citations.spans(r.html)) for r in pages)
 
