@@ -49,7 +49,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text (little-endian unsigned 32-bit integers), their number, and checksums of them and of the decoded bytes."""
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "text")).drop("text"))
+    out = bpe.round_trip(docs.select("doc_id", "text"))
     return out.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

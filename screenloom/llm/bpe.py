@@ -24,7 +24,7 @@ from .exchange import spread
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a part, and text bytes handled between two results.
-PART_CHARS, STEP_BYTES = 1 << 16, 4 << 20
+PART_CHARS, STEP_BYTES = 1 << 16, 2 << 20
 
 
 @functools.cache
@@ -52,19 +52,23 @@ def token_ids(encode: tiktoken.Encoding, text: str) -> np.ndarray:
     return np.concatenate([np.array(encode.encode_ordinary(p), "<u4") for p in parts(text)])
 
 
-def _add(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> DataFrame:
-    """df with a binary column computed from another, batch by batch."""
+def _add(df: DataFrame, source: str, kind: T.DataType, names: list[str], make) -> DataFrame:
+    """df with binary columns computed from another in one pass; make gives a value for each name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in spread(batch["_in"], STEP_BYTES):
                 part = batch.slice(a, b - a)
-                yield pa.record_batch({"_row": part["_row"], "_out": pa.array([make(x) for x in part["_in"].to_pylist()], pa.binary())})
+                made = zip(*map(make, part["_in"].to_pylist()), strict=True)
+                yield pa.record_batch({"_row": part["_row"]} | {n: pa.array(v, pa.binary()) for n, v in zip(out, made, strict=True)})
 
-    keep = [c for c in df.columns if c != name]
+    keep, out = [c for c in df.columns if c not in names], [f"_out{i}" for i in range(len(names))]
     rows = df.select(F.struct(*keep).alias("_row"), F.col(source).cast(kind).alias("_in"))
-    out = rows.mapInArrow(run, rows.select("_row").schema.add("_out", "binary"))
-    return out.select(*[F.col("_row")[c].alias(c) for c in keep], F.col("_out").alias(name))
+    schema = rows.select("_row").schema
+    for n in out:
+        schema = schema.add(n, "binary")
+    done = rows.mapInArrow(run, schema)
+    return done.select(*[F.col("_row")[c].alias(c) for c in keep], *[F.col(n).alias(name) for n, name in zip(out, names, strict=True)])
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", name: str = "ids") -> DataFrame:
@@ -74,10 +78,29 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", name: s
     Other columns, null and repeated keys are carried along.  Empty table: empty result.
     """
     path = path or public_tokenizers.path(RANKS)
-    return _add(docs, text, name, T.StringType(), lambda x: token_ids(encoding(path), x).tobytes() if x else b"")
+    return _add(docs, text, T.StringType(), [name], lambda x: (_ids(path, x).tobytes(),))
 
 
 def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """docs with `decoded`: the bytes that the ids stand for.  Null ids: no bytes."""
     path = path or public_tokenizers.path(RANKS)
-    return _add(docs, ids, name, T.BinaryType(), lambda x: encoding(path).decode_bytes(np.frombuffer(x, "<u4").tolist()) if x else b"")
+    return _add(docs, ids, T.BinaryType(), [name], lambda x: (_bytes(path, np.frombuffer(x or b"", "<u4")),))
+
+
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
+    """docs with `ids` and `decoded`, as encode and decode give them, in one pass over the texts."""
+    path = path or public_tokenizers.path(RANKS)
+
+    def both(x: str | None) -> tuple[bytes, bytes]:
+        ids = _ids(path, x)
+        return ids.tobytes(), _bytes(path, ids)
+
+    return _add(docs, text, T.StringType(), ["ids", "decoded"], both)
+
+
+def _ids(path: str, text: str | None) -> np.ndarray:
+    return token_ids(encoding(path), text or "")
+
+
+def _bytes(path: str, ids: np.ndarray) -> bytes:
+    return encoding(path).decode_bytes(ids.tolist())

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes of a chunk: at least CHUNK_BYTES, and ROOT times the square root of all bytes.
-CHUNK_BYTES, ROOT = 6 << 20, 50
+CHUNK_BYTES, ROOT = 4 << 20, 50
 
 
 @dataclass(frozen=True)

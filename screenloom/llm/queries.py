@@ -38,7 +38,7 @@ def op3_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    out = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

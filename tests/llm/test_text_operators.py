@@ -172,7 +172,8 @@ def test_bpe(spark, docs, texts, empty):
     for r in bpe.decode(bpe.encode(rows)).collect():
         assert np.frombuffer(r.ids, "<u4").tolist() == encode.encode_ordinary(r.text or "")
         assert bytes(r.decoded).decode() == (r.text or "")
-    assert bpe.encode(empty).count() == 0
+    assert {(r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in bpe.round_trip(rows).collect()} == {(r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in bpe.decode(bpe.encode(rows)).collect()}
+    assert bpe.encode(empty).count() == bpe.round_trip(empty).count() == 0
 
 
 def test_packing():
