@@ -50,9 +50,9 @@ def measure(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES)
     return Size(chunks, max(8, chunks), min(62, max(20, int(total).bit_length() + 5)), n, total)
 
 
-def deal(docs: DataFrame, size: Size, key: str = "doc_id") -> DataFrame:
-    """(chunk, row): every row as a struct, with its chunk."""
-    return docs.select(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(1)), F.lit(size.chunks)).cast("int").alias("chunk"), F.struct("*").alias("row"))
+def deal(docs: DataFrame, size: Size, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(chunk, row): every row as a struct, with its chunk: by key and text, so that rows without a key are dealt too."""
+    return docs.select(F.pmod(F.xxhash64(F.col(key).cast("string"), text), F.lit(size.chunks)).cast("int").alias("chunk"), F.struct("*").alias("row"))
 
 
 def pack(values: np.ndarray) -> bytes:

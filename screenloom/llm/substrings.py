@@ -67,7 +67,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
     """
     docs = docs.drop("n_words", "n_removed")
     size = X.measure(docs, text, chunk_bytes)
-    dealt = X.deal(docs, size, key)
+    dealt = X.deal(docs, size, key, text)
     bits, shards = size.bits, size.shards
 
     def sketch(table: pa.Table) -> pa.Table:
