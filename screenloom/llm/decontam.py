@@ -12,6 +12,11 @@ window has half of 2**c words and starts at every such half of a document; each
 item is entered at all shifts, so that every window inside a passage meets its
 counterpart word for word.  A word counts by its first PREFIX bytes, so that most
 misspellings leave it as it was.
+
+Edits spread over many words leave few words as they were, but runs of bytes between
+them.  So every run of GRAM bytes of a document is looked up too, and an item is a
+candidate where enough of its runs lie in order, no farther moved than the edits
+allow.  Target: RECALL of the items with up to PERCENT of their characters edited.
 """
 
 from __future__ import annotations
@@ -26,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .exchange import spread
-from .words import Words, mix, split, stream
+from .words import SPACE, Words, mix, split, stream
 
-#: Edits allowed, percent of the item's characters.
-PERCENT = 20
+#: Edits allowed, percent of the item's characters, and the share of such items to be found.
+PERCENT, RECALL = 20, 0.95
 PREFIX = 4
 #: Walks, tables of each, steps sampled by a table, and how many different words they must have read.
 EMBEDDINGS, TABLES, COORDINATES, DISTINCT = 6, 3, 4, 3
-#: Percent of an item's distinct words that a region must share before its edit distance is computed.
-SHARED = 30
+#: Bytes of a run, and how many runs an item must have in a region: one in CHARS of its bytes, FEWEST at least.
+GRAM, CHARS, FEWEST = 8, 12, 3
 #: Items compared in one pass over the documents; more are compared in further passes.
 ITEMS = 20_000
 STEP_BYTES = 2 << 20
@@ -54,13 +59,27 @@ class Length:
     tables: list[list[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]]
 
 
+@dataclass
+class Grams:
+    """Runs of GRAM bytes of the items: a filter of their hashes, the distinct runs in order, where each one's entries
+    begin, the entries (item, place in bytes), and for each item how many must be found and how far apart they may have moved."""
+
+    full: np.ndarray
+    keys: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    least: np.ndarray
+    band: np.ndarray
+
+
 @dataclass
 class Index:
     ids: list
     texts: list[str]
     n_words: np.ndarray
-    symbols: list[frozenset]
     classes: list[Length]
+    grams: Grams
 
 
 SEEDS = stream(71, 64)
@@ -138,7 +157,7 @@ def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, ste
     return [(which[a & e], k[a & e]) for a, e, k in zip(alive, enough, keys, strict=True)]
 
 
-def build(items: list[tuple[object, str]]) -> Index:
+def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
     """The LSH tables of these items (identifier, text); items without words are left out."""
     texts = [" ".join(normal(t)) for _, t in items]
     items = [(i, t) for (i, _), t in zip(items, texts, strict=True) if t]
@@ -166,8 +185,37 @@ def build(items: list[tuple[object, str]]) -> Index:
                 own.append((steps[t], filters, key[order], entry[kept][order]))
             tables.append(own)
         classes.append(Length(window, stride, tables))
-    sets = [frozenset(hashes[a:b].tolist()) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-    return Index([i for i, _ in items], texts, n_words, sets, classes)
+    return Index([i for i, _ in items], texts, n_words, classes, enter_runs(texts, percent))
+
+
+def runs(text: np.ndarray) -> np.ndarray:
+    """The GRAM bytes from each place of a text as a number."""
+    n = max(0, len(text) - GRAM + 1)
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    out = np.empty(len(padded), np.uint64)
+    for i in range(8):
+        part = padded[i : i + (len(padded) - i) // 8 * 8].view("<u8")
+        out[i::8][: len(part)] = part
+    return out[:n] & np.uint64((1 << 8 * GRAM) - 1)
+
+
+def cell(keys: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """Where in a filter of a power of two these numbers are."""
+    with np.errstate(over="ignore"):
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - len(full).bit_length())).astype(np.int64)
+
+
+def enter_runs(texts: list[str], percent: int) -> Grams:
+    own = [runs(np.frombuffer(t.encode(), np.uint8)) for t in texts]
+    size = np.array([len(x) for x in own], np.int64)
+    key = np.concatenate([np.empty(0, np.uint64), *own])
+    item, place = np.repeat(np.arange(len(own)), size), np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+    order = np.argsort(key, kind="stable")
+    keys, first = np.unique(key[order], return_index=True)
+    full = np.zeros(1 << min(26, max(FILTER_BITS, len(keys).bit_length() + 4)), bool)
+    full[cell(keys, full)] = True
+    chars = np.array([len(t.encode()) for t in texts], np.int64)
+    return Grams(full, keys, np.append(first, len(key)), item[order], place[order], np.maximum(FEWEST, chars // CHARS), chars * percent // 100)
 
 
 def normal(text: str | bytes) -> list:
@@ -196,9 +244,40 @@ def candidates(words: Words, hashes: np.ndarray, index: Index) -> np.ndarray:
                 w = np.repeat(which, times)
                 got = entry[np.repeat(low, times) + np.arange(len(w)) - np.repeat(np.cumsum(times) - times, times)]
                 found.append(np.column_stack([row[w], got[:, 0], place[w] - got[:, 1]]))
+    found.append(near(words, index.grams))
     return np.unique(np.concatenate(found), axis=0)
 
 
+def near(words: Words, grams: Grams) -> np.ndarray:
+    """Rows of (row, item, place) where enough of the item's runs of bytes lie as far apart as the allowed edits may bring them."""
+    keep = ~SPACE[words.data]
+    keep[words.end[words.end < len(keep)]] = True  # one space between words
+    origin = np.flatnonzero(keep)
+    text = words.data[origin]
+    text[SPACE[text]] = 32
+    keys = runs(text)
+    at = np.flatnonzero(grams.full[cell(keys, grams.full)])
+    low = np.searchsorted(grams.keys, keys[at])
+    same = np.append(grams.keys, np.uint64(0))[low] == keys[at]
+    at, low = at[same & (low < len(grams.keys))], low[same & (low < len(grams.keys))]
+    row = np.searchsorted(words.offsets, origin[at], "right") - 1
+    whole = origin[at + GRAM - 1] < words.offsets[row + 1]
+    at, low, row = at[whole], low[whole], row[whole]
+    times = grams.first[low + 1] - grams.first[low]
+    entry = np.repeat(grams.first[low] - np.cumsum(times) + times, times) + np.arange(times.sum())
+    item, begin, row = grams.item[entry], np.repeat(at, times) - grams.place[entry], np.repeat(row, times)
+    # in order of row, item and place, with gaps that no band reaches across
+    gap = len(text) + 2 * int(grams.band.max(initial=0)) + int(grams.place.max(initial=0)) + 2
+    key = (row * len(grams.least) + item) * gap + begin + int(grams.place.max(initial=0))
+    order = np.argsort(key)
+    key, item, begin, row = key[order], item[order], begin[order], row[order]
+    last = np.searchsorted(key, key + grams.band[item], "right")
+    hit = np.flatnonzero(last - np.arange(len(key)) >= grams.least[item])
+    item, begin, row = item[hit], begin[hit], row[hit]
+    word = np.searchsorted(words.start, origin[np.clip(begin, 0, len(origin) - 1)], "right") - 1
+    return np.column_stack([row, item, np.maximum(word - words.first[row], 0)])
+
+
 def matches(words: Words, hashes: np.ndarray, index: Index, percent: int) -> Iterator[tuple[int, int, int, int]]:
     """(row, item, distance, place) of the candidates that stand the exact test."""
     found = candidates(words, hashes, index)
@@ -255,7 +334,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     out = None
     for part in range(parts):
         some = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
-        index = build([(r.id, r.text) for r in some.orderBy("id", "text").collect()])
+        index = build([(r.id, r.text) for r in some.orderBy("id", "text").collect()], percent)
         one = rows.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(index), percent, rows.schema["key"].dataType, items.schema["id"].dataType), schema)
         out = one if out is None else out.unionByName(one)
     if out is None:
@@ -284,12 +363,9 @@ def _search(shared, percent: int, key_type, item_type):
 
 
 def verify(words: Words, hashes: np.ndarray, row: int, index: Index, item: int, places: list[int], percent: int) -> tuple[int, int] | None:
-    """(distance, place) of the best place within the allowed edits: places near each other are one region of the text.
-
-    A region with fewer than SHARED percent of the item's words is passed over.
-    """
+    """(distance, place) of the best place within the allowed edits: places near each other are one region of the text."""
     first, end = int(words.first[row]), int(words.first[row + 1])
-    text, n, own = index.texts[item], int(index.n_words[item]), index.symbols[item]
+    text, n = index.texts[item], int(index.n_words[item])
     most, slack = percent * len(text) // 100, n // 2 + 2
     best, at = None, 0
     while at < len(places):
@@ -297,8 +373,6 @@ def verify(words: Words, hashes: np.ndarray, row: int, index: Index, item: int,
         while at < len(places) and places[at] <= last + slack:
             last, at = places[at], at + 1
         a, b = max(first, first + begin - slack), min(end, first + last + n + slack)
-        if 100 * len(own.intersection(hashes[a:b].tolist())) < SHARED * len(own):
-            continue
         region = " ".join(words.data[words.start[i] : words.end[i]].tobytes().decode("utf-8", "replace") for i in range(a, b))
         distance, _ = edit_distance(text, region, most)
         if distance <= most and (best is None or distance < best[0]):

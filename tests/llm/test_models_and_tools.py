@@ -104,6 +104,29 @@ def test_recall_of_misspelt_passages():
         assert sum(x in found for x in want) >= least * len(want)
 
 
+@pytest.mark.parametrize("percent", [10, 15, 20])
+def test_recall_up_to_the_allowed_edits(percent):
+    """Items with as many characters edited as the exact test accepts are found."""
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 10))) for _ in range(3000)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(k, " ".join(words(rng.randint(16, 60)))) for k in range(100)]
+    texts, want = [], []
+    for i in range(200):
+        near = list(items[i % 100][1])
+        for _ in range(len(near) * percent // 100):
+            q = rng.randrange(len(near))
+            near[q : q + 1] = rng.choice([[], ["z"], [near[q], "y"]])
+        texts.append(" ".join(words(60) + ["".join(near)] + words(60)))
+        assert decontam.edit_distance(items[i % 100][1], texts[-1], 10**6)[0] <= decontam.PERCENT * len(items[i % 100][1]) // 100
+        want.append((i, i % 100))
+    w = decontam.split(pa.array(texts), lower=True)
+    found = {(r, i) for r, i, _, _ in decontam.matches(w, decontam.symbols(w), decontam.build(items), decontam.PERCENT)}
+    assert sum(x in found for x in want) >= decontam.RECALL * len(want)
+
+
 def test_urls(spark):
     rows = [
         (1, "HTTPS://A.Example.com/en/1?x=1#f", "com/en/", "block"), (2, "http://example.com/en/77", "example.com/en/7", "allow"), (3, "http://www.example.com/en/7", "example.com/en/7", "allow"),
