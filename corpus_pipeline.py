@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from screenloom.llm import bpe, decontam, fm, jaccard, queries, substrings
 from screenloom.llm.exchange import written
 
+#: The key of a row inside a stage.
+ROW = "_row_key"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,26 +28,37 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return fm.score_quality(docs, machine, name="_score").where(F.col("_score") >= fm.THRESHOLD).select(*docs.columns)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """docs with ROW, a key of each row: doc_id for the first row that has it; rows without an identifier, or
+    repeating one, get numbers beyond the largest identifier."""
+    rows, ids, top = docs.agg(F.count(F.lit(1)), F.countDistinct("doc_id"), F.coalesce(F.max("doc_id"), F.lit(-1))).first()
+    if rows == ids:
+        return docs.withColumn(ROW, F.col("doc_id"))
+    numbered = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    first = numbered.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(ROW).alias(ROW)).select(ROW, F.lit(True).alias("_first"))
+    return written(numbered.join(first, ROW, "left").withColumn(ROW, F.when(F.col("_first"), F.col("doc_id")).otherwise(F.col(ROW) + (top + 1))).drop("_first"))
+
+
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by similar shingles, the one with the smallest identifier.
+    """Of each group of rows linked by similar shingles, the one with the smallest identifier.
 
-    Rows without an identifier, and all rows of an identifier that stays, are kept.
+    A row without an identifier comes after all that have one; of rows with the same identifier each is judged by its own text.
     """
-    groups = jaccard.link_documents(docs)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = with_row_key(docs)
+    groups = jaccard.link_documents(rows, key=ROW)
+    gone = groups.where(F.col("component_id") != F.col(ROW)).select(ROW)
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that start in an earlier document; documents of which nothing is left go."""
-    out = substrings.remove_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    """Texts without passages that start in an earlier row, in the order of identifiers; rows of which nothing is left go."""
+    out = substrings.remove_repeats(with_row_key(docs), key=ROW).where("n_removed = 0 OR n_removed < n_words")
     return out.select(*[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontam.find_leaks(docs, queries.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold no benchmark item."""
+    return decontam.without_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

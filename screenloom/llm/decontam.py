@@ -330,15 +330,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     Null or empty text of either side: no match.  Null keys: matches are returned with
     the null.  Rows with the same key: a row each.  Empty tables: empty result.
     """
-    items = benchmark.select(F.col(item_key).alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
+    items = benchmark.select(F.col(item_key).alias("id"), F.col(item_text).alias("text"))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind, item_kind = rows.schema["key"].dataType.simpleString(), items.schema["id"].dataType.simpleString()
     schema = f"key {kind}, item {item_kind}, distance long, item_chars long, place long"
-    parts = -(-items.count() // ITEMS)
     out = None
-    for part in range(parts):
-        some = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
-        index = build([(r.id, r.text) for r in some.orderBy("id", "text").collect()], percent)
+    for index in _indexes(items, percent):
         one = rows.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(index), percent, rows.schema["key"].dataType, items.schema["id"].dataType), schema)
         out = one if out is None else out.unionByName(one)
     if out is None:
@@ -346,6 +343,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return out.select(F.col("key").alias(key), F.col("item").alias(item_key), "distance", "item_chars", "place")
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that hold no benchmark item: each is judged by its own text, whatever its key."""
+    for index in _indexes(benchmark.select(F.col(item_key).alias("id"), F.col(item_text).alias("text")), percent):
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index), percent, text), docs.schema)
+    return docs
+
+
+def _clean(shared, percent: int, text: str):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in spread(batch[text], STEP_BYTES):
+                part = batch.slice(a, b - a)
+                words = split(part[text], lower=True)
+                keep = np.ones(len(part), bool)
+                keep[np.array([f[0] for f in matches(words, symbols(words), shared.value, percent)], np.int64)] = False
+                yield part.filter(pa.array(keep))
+
+    return clean
+
+
+def _indexes(items: DataFrame, percent: int) -> Iterator[Index]:
+    """The tables of all items (id, text), ITEMS at a time."""
+    items = items.where("text IS NOT NULL")
+    parts = -(-items.count() // ITEMS)
+    for part in range(parts):
+        some = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
+        yield build([(r.id, r.text) for r in some.orderBy("id", "text").collect()], percent)
+
+
 def _search(shared, percent: int, key_type, item_type):
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -211,3 +211,24 @@ def test_pipeline(spark, tmp_path):
     assert set(out) - {305} == {*range(200), 303, 304}
     left = {r.doc_id: r.text for r in step.collect()}
     assert left[303] == dict(rows)[303] and passage[:40] not in left[304] and left[5] == dict(rows)[5]
+
+
+def test_pipeline_rows_without_an_identifier_of_their_own(spark, tmp_path):
+    """Null and repeated identifiers: leaks and copies go, one of each group stays, passages are cut, and clean rows are kept."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    text = lambda n=80: " ".join(rng.choice(vocabulary) for _ in range(n))
+    item, passage, twice, nulls, alone, clean = text(25), text(40), text(), text(), text(), text()
+    rows = [(1, alone), (None, alone), (2, twice), (2, twice), (None, nulls), (None, nulls), (None, nulls)]
+    rows += [(3, clean), (3, text() + " " + item), (None, text() + " " + item), (4, text() + " " + passage), (4, passage + " " + text()), (None, passage + " " + text()), (None, passage + " " + text())]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    step = frame
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        step = stage(spark, step, str(tmp_path))
+        assert step.columns == frame.columns
+    left = [(r.doc_id, r.text) for r in step.collect()]
+    assert [k for k, t in left if t == alone] == [1] and [k for k, t in left if t == twice] == [2] and [k for k, t in left if t == nulls] == [None] and [k for k, t in left if t == clean] == [3]
+    assert not any(item in t for _, t in left) and sum(passage in t for _, t in left) == 1 and len(left) == 9  # the second leak has lost its item as a repeated passage
