@@ -27,9 +27,8 @@ def token_set_match(spark, sf_dir):
 
 @query()
 def quote_ratio(spark, sf_dir):
-    """How well a work's title is found in the first sentence of its abstract."""
-    first = F.get(T.sentences(F.col("abstract")), F.lit(0))
-    return pool(spark, sf_dir).select("work_id", rounded(parse.partial_ratio_of("title", first)).alias("ratio"))
+    """How well a work's title is found in its abstract."""
+    return pool(spark, sf_dir).select("work_id", rounded(parse.quote_ratio_of("title", "abstract")).alias("ratio"))
 
 
 @query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part")

@@ -72,6 +72,16 @@ def test_queries_without_sql(spark):
     assert catalogue.QUERIES["citation_spans"](spark, SF).count() == sum(len(citations.spans(r.html)) for r in pages)
 
 
+def test_quote_ratio_reads_the_whole_abstract(spark, tmp_path):
+    from screenloom.plans import catalogue
+
+    later = "First  one here. And then\nA Quoted title follows. " + "More words follow. " * 200
+    rows = [(1, "A quoted  Title\n" + later), (2, "a quotid title\n" + later), (3, "no abstract"), (4, None), (5, "\n" + later)]
+    spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.work_id: r.ratio for r in catalogue.QUERIES["quote_ratio"](spark, str(tmp_path)).collect()}
+    assert got[1] == 100 and 90 < got[2] < 100 and got[3] == got[4] == got[5] == 0
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
