@@ -3,7 +3,8 @@
 The rules label URLs: block, allow, and unlisted, which counts as allowed as long
 as nothing speaks against it.  The trees learn from a bounded sample of each, with
 weights that restore their shares, and judge the unlisted by length, depth,
-digits, entropy, parameters and how often URLs of the same host suffix are blocked.
+digits, entropy, parameters and how often pages of the same host suffix are blocked,
+counted over all pages.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ SAMPLE = 5000
 TREES, DEPTH, SEED = 12, 4, 5
 #: Pseudo-counts that draw the block rate of a rare suffix to the overall rate.
 SMOOTH = 20.0
-#: Host suffixes with a rate of their own: those most frequent in the sample.
-SUFFIXES = 1000
 STEP_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -119,23 +118,24 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, key: str = "p
     counts = {r.verdict: r["count"] for r in given.groupBy("verdict").count().collect()}
     picked = None
     for v in sorted(counts):
-        one = given.where(F.col("verdict") == v).distinct().orderBy(F.xxhash64("url"), "url").limit(sample)
+        one = given.where(F.col("verdict") == v).groupBy("url", "host", "path", "verdict").agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.xxhash64("url"), "url").limit(sample)
         picked = one if picked is None else picked.unionByName(one)
-    picked = picked if picked is not None else given
-    weight = F.lit(1.0)
-    for v, n in counts.items():
-        weight = F.when(F.col("verdict") == v, n / min(n, sample)).otherwise(weight)
-    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("suffix", suffix).withColumn("weight", weight).coalesce(4).persist()
+    picked = picked if picked is not None else given.withColumn("n_rows", F.lit(1))
+    blocked = (F.col("verdict") == "block").cast("long")
+    rates = given.groupBy(suffix.alias("suffix")).agg(F.sum(blocked).alias("blocked"), F.count(F.lit(1)).alias("n"))
+    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("suffix", suffix).coalesce(4).persist()
     try:
-        total = labelled.agg(F.sum(F.col("label") * F.col("weight")).alias("blocked"), F.sum("weight").alias("n")).first()
-        rates = labelled.groupBy("suffix").agg(F.sum(F.col("label") * F.col("weight")).alias("blocked"), F.sum("weight").alias("n")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
-        rate = total.blocked / total.n if total.n else 0.0
-        table = {r.suffix: (r.blocked + SMOOTH * rate) / (r.n + SMOOTH) for r in rates.collect()}
-        if total.n and 0 < rate < 1:
-            known = F.create_map(*[F.lit(x) for pair in sorted(table.items()) for x in pair])
-            vector = array_to_vector(F.concat("lexical", F.array(F.coalesce(F.try_element_at(known, F.col("suffix")), F.lit(rate)), F.length("suffix").cast("double"))))
-            trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(labelled.select("label", "weight", vector.alias("features")))
-            features = add_features(rows).withColumn("suffix", suffix).withColumn("features", vector)
+        total = sum(counts.values())
+        rate = counts.get("block", 0) / total if total else 0.0
+        if 0 < rate < 1:
+            # each URL stands for its rows, and those of a label for all rows of it
+            weight = F.lit(1.0)
+            for r in labelled.groupBy("verdict").agg(F.sum("n_rows").alias("n")).collect():
+                weight = F.when(F.col("verdict") == r.verdict, F.col("n_rows") * (counts[r.verdict] / r.n)).otherwise(weight)
+            known = rates.select("suffix", ((F.col("blocked") + SMOOTH * rate) / (F.col("n") + SMOOTH)).alias("suffix_rate"))
+            vector = array_to_vector(F.concat("lexical", F.array(F.coalesce("suffix_rate", F.lit(rate)), F.length("suffix").cast("double"))))
+            trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(labelled.join(known, "suffix", "left").select("label", weight.alias("weight"), vector.alias("features")))
+            features = add_features(rows.withColumn("suffix", suffix).join(known, "suffix", "left")).withColumn("features", vector)
             judged = trees.transform(features).withColumn("p", F.element_at(_array(F.col("probability")), 2))
         else:
             judged = rows.withColumn("p", F.lit(0.0))

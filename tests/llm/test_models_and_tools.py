@@ -155,6 +155,27 @@ def test_url_trees_learn(spark):
     assert sum((r.verdict == "block") == bool(r.page_id % 2) for r in got) >= 36
 
 
+def test_suffix_rates_count_all_pages(spark, monkeypatch):
+    """With two URLs of each label to fit on, the trees still see each suffix's rate over all rows, and weights that add up to them."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"http://a{i}.bad/x/" if i % 4 else f"http://a{i}.bad/y/") for i in range(200)] + [f"http://b{i}.odd/y/" for i in range(30)] + ["http://same.fine/y/"] * 170
+    seen = {}
+    fit = urls.GBTClassifier.fit
+
+    def look(self, frame):
+        seen["weights"] = {r.label: r.w for r in frame.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+        seen["rates"] = {round(float(r.features[len(urls.NAMES)]), 6) for r in frame.collect()}
+        return fit(self, frame)
+
+    monkeypatch.setattr(urls.GBTClassifier, "fit", look)
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    assert urls.filter_urls(pages, [urls.Rule("block", "bad", "/x/")], sample=2).count() == 400
+    assert seen["weights"] == pytest.approx({1.0: 150, 0.0: 250})
+    rate = 150 / 400
+    assert seen["rates"] <= {round((b + urls.SMOOTH * rate) / (n + urls.SMOOTH), 6) for b, n in ((150, 200), (0, 30), (0, 170))}
+
+
 def test_tool_calls(spark):
     schema = [tools.Argument("f", "n", "integer", True, 0, 9), tools.Argument("f", "s", "string", False, None, 3), tools.Argument("g", "x", "number"), tools.Argument("g", "ok", "boolean", False)]
     calls = [
