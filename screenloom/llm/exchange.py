@@ -1,6 +1,7 @@
 """Counting keys over the whole corpus in compact blocks.
 
-Documents are dealt into chunks by a hash of their identifier.  A chunk sends
+Documents are dealt into chunks by a hash of the whole row; rows that are equal in
+every column and would outgrow a chunk together are one row with their number.  A chunk sends
 every shard one block with its distinct keys of that shard's range, sorted and
 stored as differences; the shard merges the blocks of all chunks and sends each
 chunk one block back with an answer for each of its keys, in the same order.
@@ -16,10 +17,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,32 +30,69 @@ from pyspark.sql import functions as F
 CHUNK_BYTES, ROOT = 4 << 20, 50
 
 
+#: How many equal rows a row stands for.
+COPIES = "_copies"
+#: Bytes that a row counts besides its text, and places listed at once where copies become rows again.
+ROW_BYTES, LISTED = 64, 4096
+
+
 @dataclass(frozen=True)
 class Size:
-    """chunks, shards: how many; bits: of a sketch cell's number; texts, text_bytes: of the corpus."""
+    """chunks, shards: how many; chunk_bytes: of text in a chunk; texts, text_bytes: of the corpus; folded: are there rows with copies?"""
 
     chunks: int
     shards: int
-    bits: int
+    chunk_bytes: int
     texts: int
     text_bytes: int
+    folded: bool = False
 
+    @property
+    def bits(self) -> int:
+        """Of a cell's number in a sketch with 32 cells per text byte, some 200 per word, so that few distinct keys share one at any size of the corpus."""
+        return min(62, max(20, self.text_bytes.bit_length() + 5))
 
-def measure(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Size:
-    """Sizes for an exchange over these texts, from their total length.
 
-    A sketch has at least 32 cells per text byte, some 200 per word, so that few
-    distinct keys share one at any size of the corpus.
-    """
+def measure(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Size:
+    """Sizes for an exchange over these texts, from their total length."""
     n, total = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     chunk = max(chunk_bytes, int(ROOT * total**0.5))
     chunks = max(1, -(-total // chunk))
-    return Size(chunks, max(8, chunks), min(62, max(20, int(total).bit_length() + 5)), n, total)
+    return Size(chunks, max(8, chunks), chunk, n, total)
+
 
+def deal(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> tuple[Size, DataFrame]:
+    """(sizes, (chunk, row)): every row as a struct with COPIES, dealt by a hash of the row.
 
-def deal(docs: DataFrame, size: Size, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(chunk, row): every row as a struct, with its chunk: by key and text, so that rows without a key are dealt too."""
-    return docs.select(F.pmod(F.xxhash64(F.col(key).cast("string"), text), F.lit(size.chunks)).cast("int").alias("chunk"), F.struct("*").alias("row"))
+    Equal rows whose texts exceed a chunk together are folded to one row, aggregated
+    before any shuffle; at most one such row per chunk exists, so that their hashes
+    are a small table.  Columns of maps have no hash and aren't folded.
+    """
+    size = measure(docs, text, chunk_bytes)
+    own = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    h = F.xxhash64(*own)
+    if len(own) == len(docs.columns):
+        weight = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES)
+        limit = max(size.chunk_bytes, ROW_BYTES * size.texts // size.chunks)
+        heavy = docs.groupBy(h.alias("_h")).agg(weight.alias("w"), F.count(F.lit(1)).alias("n")).where((F.col("w") > limit) & (F.col("n") > 1)).select("_h")
+        if not heavy.isEmpty():
+            heavy = F.broadcast(settle(heavy))
+            marked = docs.withColumn("_h", h)
+            one = marked.join(heavy, "_h", "left_anti").select(*docs.columns, F.lit(1).cast("long").alias(COPIES))
+            many = marked.join(heavy, "_h", "left_semi").groupBy(*docs.columns).agg(F.count(F.lit(1)).alias(COPIES))
+            docs, size = one.unionByName(many), replace(size, folded=True)
+    if COPIES not in docs.columns:
+        docs = docs.withColumn(COPIES, F.lit(1).cast("long"))
+    return size, docs.select(F.pmod(F.xxhash64(*own), F.lit(size.chunks)).cast("int").alias("chunk"), F.struct("*").alias("row"))
+
+
+def unfold(df: DataFrame, size: Size) -> DataFrame:
+    """Each row as often as COPIES says, without that column."""
+    if size.folded:
+        # in steps, so that no list is long
+        df = df.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(COPIES) - 1, F.lit(LISTED).cast("long"))))
+        df = df.withColumn("_at", F.explode(F.sequence("_at", F.least(F.col("_at") + LISTED, COPIES) - 1))).drop("_at")
+    return df.drop(COPIES)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -92,10 +132,10 @@ def cut(keys: np.ndarray, bits: int, shards: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, bounds(bits, shards)), len(keys))
 
 
-def blocks(chunk: int, keys: np.ndarray, bits: int, shards: int, **columns: np.ndarray) -> pa.Table:
-    """A row for each shard with any of these sorted keys: chunk, shard, keys and the further columns, packed."""
+def blocks(chunk: int, keys: np.ndarray, bits: int, shards: int, every: bool = False, **columns: np.ndarray) -> pa.Table:
+    """A row for each shard with any of these sorted keys, or for `every` one: chunk, shard, keys and the further columns, packed."""
     at, low = cut(keys, bits, shards), bounds(bits, shards)
-    full = np.flatnonzero(np.diff(at))
+    full = np.arange(shards) if every else np.flatnonzero(np.diff(at))
     out = {"chunk": pa.array([chunk] * len(full), pa.int32()), "shard": pa.array(full, pa.int32()), "keys": pa.array([pack_sorted(keys[at[s] : at[s + 1]] - low[s]) for s in full], pa.binary())}
     return pa.table(out | {k: pa.array([pack(v[at[s] : at[s + 1]]) for s in full], pa.binary()) for k, v in columns.items()})
 
@@ -146,7 +186,7 @@ def field(table: pa.Table, name: str) -> pa.Array:
     rows = table["row"].combine_chunks()
     if isinstance(rows, pa.ChunkedArray):
         rows = pa.concat_arrays(rows.chunks) if rows.num_chunks else pa.array([], table["row"].type)
-    return rows.field(name) if not rows.offset and not rows.null_count else pa.compute.struct_field(rows, name)
+    return rows.field(name) if not rows.offset and not rows.null_count else pc.struct_field(rows, name)
 
 
 def spread(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -162,12 +202,17 @@ def spread(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where it is unset one of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: spark.checkpoint.dir, or that of the context.
+
+    Only where everything runs in one process may it be a temporary folder of our own.
+    """
+    context = spark.sparkContext._jsc.sc()
+    path = spark.conf.get("spark.checkpoint.dir", None) or (context.getCheckpointDir().get() if context.getCheckpointDir().isDefined() else None)
     if not path:
-        was = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = was.get() if was.isDefined() else tempfile.mkdtemp(prefix="screenloom-")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="screenloom-")
+    if context.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -178,8 +223,27 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Folders written inside each open scratch().
+_SCOPES: list[list[str]] = []
+
+
 def written(df: DataFrame) -> DataFrame:
-    """These rows as a table in the shared folder."""
+    """These rows as a table in the shared folder; inside scratch() it goes when that ends."""
     path = f"{shared(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables written inside when it ends: what is read later must be written outside."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

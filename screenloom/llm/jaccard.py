@@ -1,17 +1,22 @@
 """N-gram Jaccard join by a blocked sparse matrix product.
 
-The matrix has a row per document and a column per word shingle.  A document's
-shingles are ordered from rare to frequent by the corpus counts of a sketch
-(exchange.py); two sets with a similarity of at least t share a shingle among the
-first n - ceil(t * n) + 1 of each, so only these, and of them only those not
-unique in the corpus, are multiplied.  Equal sets are one row of the product.
-Blocks of candidate pairs get their exact overlaps accumulated from the whole
-sets; pairs whose sizes or positions bound the overlap below what t asks for are
-discarded before.
-
-Links are found in two rounds.  First every row of a shared column is paired with
-the column's pivot, which joins groups of copies without pairing them all; then
-only rows of a column whose components still differ are paired.
+The matrix has a row per document and a column per word shingle; equal sets are one
+row.  Columns are ordered from rare to frequent by the corpus counts of a sketch
+(exchange.py).  Two sets with a similarity of at least t share a column among the first
+n - ceil(t * n) + 1 of each, so the product is taken in two passes: over these columns,
+those unique in the corpus left out, and then, for pairs that stand, over all columns.
+
+Pass 1: blocks of columns are multiplied, each task adding up overlaps of the pairs of
+rows that share its columns, and the sums of all blocks are added.  Rows of a column
+are in order of size, and a row meets only those whose size and rank bound the overlap
+high enough, so that pairs that can't be similar aren't made; a column of very many
+rows is cut in strips, and each pair of strips is a task's.  What pass 1 has counted and
+what the rest can add at most discards further pairs.
+Pass 2: the overlaps of the pairs left are added up over all columns, a block of pairs
+at a time.
+
+Groups of copies aren't multiplied out: first every row of a column is paired with the
+column's pivot only; then pass 1 makes pairs across the components found so far.
 """
 
 from __future__ import annotations
@@ -27,8 +32,10 @@ from . import exchange as X
 from .words import sequences, split, stream, windows, word_hashes
 
 WORDS, PERCENT = 5, 75
-#: Candidate pairs multiplied at once in a task.
+#: Pairs of rows multiplied at once in a task.
 BLOCK = 512
+#: Entries of a block of columns, and of a strip of a column with more rows; pairs of entries looked at at once.
+ENTRIES, STRIP, AT_ONCE = 50_000, 20_000, 1 << 20
 MARK = stream(41, 1)[0]
 
 
@@ -56,8 +63,7 @@ def signatures(docs: DataFrame, key: str, text: str, words: int, percent: int, c
     """Of every document: n (set size), sig1 and sig2 (of the set), rare (shingles unique in the corpus, per million),
     tokens and places (shingles to multiply and their rank), grams (the whole set, if there are any such)."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    size = X.measure(docs, "text", chunk_bytes)
-    dealt = X.deal(docs, size, "id")
+    size, dealt = X.deal(docs, "text", chunk_bytes)
     shift = np.uint64(64 - size.bits)
 
     def ask(table: pa.Table) -> pa.Table:
@@ -82,14 +88,15 @@ def signatures(docs: DataFrame, key: str, text: str, words: int, percent: int, c
         has = np.diff(ends) > 0
         cut = lambda v, kind: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, kind))
         return pa.table({
-            "id": X.field(table, "id"), "n": pa.array(sizes, pa.int64()),
+            "id": X.field(table, "id"), X.COPIES: X.field(table, X.COPIES), "n": pa.array(sizes, pa.int64()),
             "sig1": pa.array(np.where(sizes > 0, sums[0], 0).view(np.int64)), "sig2": pa.array(np.where(sizes > 0, sums[1], 0).view(np.int64)),
             "rare": pa.array(rare.astype(np.int32), pa.int32()), "tokens": cut(token.view(np.int64), pa.int64()), "places": cut(place.astype(np.int32), pa.int32()),
             "grams": pa.array([X.pack_sorted(shingles[a:b]) if h else None for a, b, h in zip(first[:-1], first[1:], has, strict=True)], pa.binary()),
         })
 
     counts = X.count(dealt, ask)
-    return dealt.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(sign, "id long, n long, sig1 long, sig2 long, rare int, tokens array<long>, places array<int>, grams binary")
+    out = dealt.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(sign, f"id long, {X.COPIES} long, n long, sig1 long, sig2 long, rare int, tokens array<long>, places array<int>, grams binary")
+    return X.unfold(out, size)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -129,8 +136,97 @@ def _bounded(percent: int, n: Column, m: Column, i: Column, j: Column) -> Column
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * most >= percent * (n + m - most))
 
 
+def most_shared(percent: int, n: np.ndarray, place: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The largest set that a set of n shingles can be similar to, if they share the one of rank `place`, before which it has `seen` that aren't unique in the corpus.
+
+    They share `seen` before it and n - place from it on at most, call it o; a similar set of m has (100 + percent) * o >= percent * (n + m).
+    """
+    return (100 + percent) * (seen + n - place) // percent - n
+
+
+def entry_pairs(column: np.ndarray, n: np.ndarray, most: np.ndarray, part: np.ndarray, own: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries (x, y) of the same column and other parts, whose sizes allow each other: n of y from percent of n of x to n of x.
+
+    The largest part of a column is met by the others only, so that copies aren't paired with each other.
+    own: strip of each entry; entries of the same strip meet only where `own` is negative.
+    """
+    # the largest part of each column
+    pairs = np.unique(np.column_stack([column, part]), axis=0, return_inverse=True, return_counts=True)
+    times = pairs[2][pairs[1].reshape(-1)]
+    top = np.zeros(int(column.max(initial=-1)) + 1, np.int64)
+    np.maximum.at(top, column, times)
+    lead = np.full(len(top), np.iinfo(np.int64).max)
+    np.minimum.at(lead, column[times == top[column]], part[times == top[column]])
+    large = part == lead[column]
+    wide = int(n.max(initial=0)) + 2
+    key = column * wide + n
+    order = np.argsort(key, kind="stable")
+    sides = [order[~large[order]], order[large[order]]]
+    least, other = (percent * n + 99) // 100, np.minimum(most, n)
+    # (rows, rows they meet, from size, to size, are both the same list?)
+    larger = np.minimum(most, 100 * n // percent)
+    for rows, those, low, high, same in ((sides[0], sides[0], least, other, True), (sides[0], sides[1], least, larger, False)):
+        begin = np.searchsorted(key[those], column[rows] * wide + low[rows])
+        end = np.searchsorted(key[those], column[rows] * wide + np.minimum(high[rows], wide - 1), "right")
+        if same:
+            end = np.minimum(end, np.arange(len(rows)))
+        reach = np.maximum(end - begin, 0)
+        a = 0
+        sums = np.append(0, np.cumsum(reach))
+        while a < len(rows):
+            b = max(a + 1, int(np.searchsorted(sums, sums[a] + AT_ONCE, "right")) - 1)
+            span = reach[a:b]
+            x = np.repeat(rows[a:b], span)
+            y = those[np.repeat(begin[a:b] - np.cumsum(span) + span, span) + np.arange(len(x))]
+            keep = (part[x] != part[y]) & (n[x] <= most[y]) & ((own[x] < 0) | (own[x] != own[y]))
+            yield x[keep], y[keep]
+            a = b
+
+
+def multiply_columns(table: pa.Table, percent: int) -> pa.Table:
+    """(a, b, shared, left) of one block of columns: the pairs of rows, how many of its columns they share, and how many shingles the columns of later passes can add."""
+    take = lambda c: table[c].to_numpy()
+    _, column = np.unique(np.column_stack([take("token"), take("strip_a"), take("strip_b")]), axis=0, return_inverse=True)
+    column, ids, n, place, seen = column.reshape(-1), take("id"), take("n"), take("place").astype(np.int64), take("seen").astype(np.int64)
+    own = np.where(take("strip_a") == take("strip_b"), -1, take("strip"))
+    most = most_shared(percent, n, place, seen)
+    found = [np.empty((0, 4), np.int64)]
+    for x, y in entry_pairs(column, n, most, take("c"), own, percent):
+        shared = np.minimum(seen[x], seen[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
+        keep = (100 + percent) * shared >= percent * (n[x] + n[y])
+        x, y = x[keep], y[keep]
+        left = np.maximum(needed(percent, n[x]), needed(percent, n[y])) - 1
+        pairs, times = np.unique(np.column_stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), n[x] + n[y], left]), axis=0, return_counts=True)
+        found.append(np.column_stack([pairs[:, 0], pairs[:, 1], times, (percent * pairs[:, 2] + 99 + percent) // (100 + percent) - pairs[:, 3]]) if len(pairs) else found[0])
+    out = np.concatenate(found)
+    return pa.table({"a": out[:, 0], "b": out[:, 1], "shared": out[:, 2], "least": out[:, 3]})
+
+
+def candidate_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of rows of different parts that may be similar, by the product of the columns in entries (token, id, n, place, seen, c).
+
+    A column is worth multiplying if it has several parts, and an entry if its size
+    and another's allow each other; the sums of all blocks discard pairs whose overlap
+    so far and what later columns can add is too small.
+    """
+    most = F.floor((100 + percent) * (F.col("seen") + F.col("n") - F.col("place")) / percent) - F.col("n")
+    entries = entries.withColumn("most", most)
+    stats = entries.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("small"), F.max("most").alias("reach"), F.count(F.lit(1)).alias("m")).where("lo <> hi AND small <= reach")
+    worth = entries.join(stats, "token").where("small <= most AND n <= reach").select("token", "id", "n", "place", "seen", "c", "m")
+    worth = X.settle(worth)
+    blocks = max(1, worth.count() // ENTRIES)
+    strips = F.ceil(F.col("m") / STRIP)
+    strip = F.pmod(F.xxhash64("id"), strips).cast("int")
+    cut = worth.withColumn("strip", strip).withColumn("j", F.explode(F.sequence(F.lit(0), (strips - 1).cast("int"))))
+    cut = cut.withColumn("strip_a", F.least("strip", "j")).withColumn("strip_b", F.greatest("strip", "j"))
+    slot = F.when(strips > 1, F.xxhash64("token", "strip_a", "strip_b")).otherwise(F.pmod(F.xxhash64("token"), F.lit(blocks)))
+    blocked = cut.select(slot.alias("slot"), "token", "id", "n", "place", "seen", "c", "strip", "strip_a", "strip_b")
+    sums = blocked.groupBy("slot").applyInArrow(lambda t: multiply_columns(t, percent), "a long, b long, shared long, least long")
+    return sums.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least")).where("shared >= least").select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity: (a, b)."""
+    """The pairs (a, b) whose sets have the similarity: (a, b), by the product over all columns."""
     left, right = (sets.select(F.col("id").alias(k), F.col("grams").alias(f"g{k}")) for k in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
 
@@ -168,13 +264,15 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     input row.  Lower-cases A-Z; a text of fewer words than a shingle is one shingle.
 
     Null or empty text: no shingles, linked with nothing.  Null key: no component.
-    Rows with the same key are linked.  Empty table: empty result.
+    Rows with the same key are linked, repeated rows are rows of the result.  Further
+    columns don't matter.  Empty table: empty result.
     """
     signed = X.written(signatures(docs, key, text, words, percent, chunk_bytes))
     full = signed.where("n > 0 AND id IS NOT NULL")
     classes = full.groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"))
     rows = signed.where("grams IS NOT NULL AND id IS NOT NULL").join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id", "sig1", "sig2"])
-    entries = X.settle(rows.select("id", "n", "rare", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("id", "n", "rare", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
+    zipped = rows.select("id", "n", "rare", F.posexplode(F.arrays_zip("tokens", "places")).alias("seen", "t"))
+    entries = X.settle(zipped.select("id", "n", "rare", "seen", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
     sets = rows.select("id", "grams")
 
     pivots = entries.groupBy("token").agg(F.min(F.struct("rare", "id", "n", "place")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -183,12 +281,8 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     links = X.settle(_linked(star, sets, percent))
     found = X.settle(components(links))
 
-    placed = entries.join(found, "id", "left").select("token", "id", "n", "place", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    placed = placed.join(mixed, "token", "left_semi")
-    other = placed.select("token", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "place", "c")])
-    rest = placed.join(other, "token").where("c < c2").where(_bounded(percent, F.col("n"), F.col("n2"), F.col("place"), F.col("place2")))
-    rest = rest.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    placed = entries.join(found, "id", "left").select("token", "id", "n", "place", "seen", F.coalesce("component", "id").alias("c"))
+    rest = candidate_pairs(placed, percent).join(star, ["a", "b"], "left_anti")
     more = X.settle(_linked(rest, sets, percent))
     # rows with the same key and different texts are one document
     several = full.groupBy("id").agg(F.min(F.struct("sig1", "sig2", "n")).alias("x"), F.max(F.struct("sig1", "sig2", "n")).alias("y")).where("x <> y").select("id")

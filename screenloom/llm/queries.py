@@ -132,20 +132,19 @@ WITH {CRC_TABLE},
 t AS (SELECT doc_id, {CRC.format("doc_id")} % 7 = 2 AS held_out,
              list_append(regexp_extract_all({LOWER}, '{WORD}'), '') AS ws
       FROM documents, crc_table),
-tok AS (SELECT doc_id, held_out, unnest(ws) AS w, unnest(list_prepend(NULL, ws[:-2])) AS u FROM t),
+tok AS (SELECT doc_id, held_out, unnest(ws) AS w, unnest(list_prepend(NULL, ws[:-2])) AS u, unnest(list_prepend(NULL, list_prepend(NULL, ws[:-3]))[:len(ws)]) AS x FROM t),
 train AS (SELECT * FROM tok WHERE NOT held_out),
 uni AS (SELECT w, count(*) AS c FROM train GROUP BY w),
-hist AS (SELECT u, count(*) AS c, count(DISTINCT w) AS n FROM train WHERE u IS NOT NULL GROUP BY u),
 bi AS (SELECT u, w, count(*) AS c FROM train WHERE u IS NOT NULL GROUP BY u, w),
+tri AS (SELECT x, u, w, count(*) AS c FROM train WHERE x IS NOT NULL GROUP BY x, u, w),
 tot AS (SELECT sum(c)::DOUBLE AS n, count(*)::DOUBLE AS v, sum(c)::BIGINT AS tokens FROM uni),
-dis AS (SELECT least(greatest(count(*) FILTER (c = 1) / greatest(count(*) FILTER (c = 1) + 2 * count(*) FILTER (c = 2), 1), 0.05), 0.995) AS d FROM bi),
-s AS (SELECT k.doc_id, k.held_out, uni.c AS c1, hist.c AS ch, hist.n AS nh, bi.c AS c2, tokens, d,
-             (coalesce(uni.c, 0) + 1) / (tot.n + tot.v + 1) AS q
-      FROM tok k LEFT JOIN uni ON uni.w = k.w LEFT JOIN hist ON hist.u = k.u
-           LEFT JOIN bi ON bi.u = k.u AND bi.w = k.w, tot, dis)
+s1 AS (SELECT k.doc_id, k.held_out, a.c AS c1, h1.c AS ch1, b.c AS c2, h2.c AS ch2, t.c AS c3, tokens, (coalesce(a.c, 0) + 1) / (tot.n + tot.v + 1) AS p1
+       FROM tok k LEFT JOIN uni a ON a.w = k.w LEFT JOIN uni h1 ON h1.w = k.u LEFT JOIN bi b ON b.u = k.u AND b.w = k.w
+            LEFT JOIN bi h2 ON h2.u = k.x AND h2.w = k.u LEFT JOIN tri t ON t.x = k.x AND t.u = k.u AND t.w = k.w, tot),
+s2 AS (SELECT *, CASE WHEN ch1 IS NULL THEN p1 ELSE (coalesce(c2, 0) + {ngram_lm.PRIOR}::DOUBLE * p1) / (ch1 + {ngram_lm.PRIOR}::DOUBLE) END AS p2 FROM s1),
+s AS (SELECT *, CASE WHEN ch2 IS NULL OR ch2 < {ngram_lm.LEAST} THEN p2 ELSE (coalesce(c3, 0) + {ngram_lm.PRIOR}::DOUBLE * p2) / (ch2 + {ngram_lm.PRIOR}::DOUBLE) END AS p FROM s2)
 SELECT doc_id, held_out, count(*)::BIGINT AS n_tokens, count(c1)::BIGINT AS n_known, any_value(tokens) AS train_tokens,
-       round(sum(log10(q)), 6) AS base_score,
-       round(sum(log10(CASE WHEN ch IS NULL THEN q WHEN c2 IS NULL THEN d * nh / ch * q ELSE (c2 - d) / ch + d * nh / ch * q END)), 6) AS score
+       round(sum(log10(p1)), 6) AS base_score, round(sum(log10(p)), 6) AS score
 FROM s GROUP BY doc_id, held_out""",
     "op6_ngram_jaccard": rf"""
 WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS ws FROM documents),

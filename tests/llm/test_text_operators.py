@@ -44,36 +44,37 @@ def test_repetition(docs, empty):
     assert repetition.rate_repetition(empty).count() == 0
 
 
-@pytest.mark.parametrize("chunk_bytes", [600, 1 << 20])
-def test_language_model(docs, empty, texts, chunk_bytes):
+@pytest.mark.parametrize("chunk_bytes,order", [(600, 3), (1 << 20, 3), (600, 2), (600, 4), (1 << 20, 1)])
+def test_language_model(docs, empty, texts, chunk_bytes, order):
     from pyspark.sql import functions as F
 
     marked = docs.where("doc_id IS NOT NULL").withColumn("train", F.col("row") % 3 != 0)
     rows = {i * 3 + 1: (i % 3 != 0, [*words((t or "").translate(LOWER)), ""]) for i, t in enumerate(texts)}
-    uni, bi, hist, after = Counter(), Counter(), Counter(), defaultdict(set)
+    counts = Counter()
     for train, w in rows.values():
         if train:
-            uni.update(w)
-            for u, v in zip(w, w[1:]):
-                bi[u, v] += 1
-                hist[u] += 1
-                after[u].add(v)
-    total, types = sum(uni.values()), len(uni)
-    n1, n2 = sum(c == 1 for c in bi.values()), sum(c == 2 for c in bi.values())
-    d = min(max(n1 / (n1 + 2 * n2), 0.05), 0.995)
-    q = lambda w: (uni[w] + 1) / (total + types + 1)
-    p = lambda w, u: q(w) if not hist[u] else (max(bi[u, w] - d, 0) + d * len(after[u]) * q(w)) / hist[u]
-    for u in list(hist)[:5]:  # the weights from a state sum to one, with the unknown word
-        assert math.isclose(sum(p(w, u) for w in uni) + p("never seen", u), 1, rel_tol=1e-9)
-    got = ngram_lm.score_texts(marked, chunk_bytes=chunk_bytes).collect()
+            counts.update(tuple(w[i : i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1))
+    uni = {k[0]: c for k, c in counts.items() if len(k) == 1}
+    total, types, prior = sum(uni.values()), len(uni), ngram_lm.PRIOR
+    q = lambda w: (uni.get(w, 0) + 1) / (total + types + 1)
+
+    def p(history, w):
+        if not history:
+            return q(w)
+        seen, below = counts[history], p(history[1:], w)
+        return below if seen < (1 if len(history) == 1 else ngram_lm.LEAST) else (counts[*history, w] + prior * below) / (seen + prior)
+
+    for h in [k for k in counts if len(k) == order - 1 and k[-1]][:5]:  # the weights from a state sum to one, with the unknown word
+        assert math.isclose(sum(p(h, w) for w in uni) + p(h, "never seen"), 1, rel_tol=1e-9)
+    got = ngram_lm.score_texts(marked, order=order, chunk_bytes=chunk_bytes).collect()
     assert len(got) == len(rows)
     for r in got:
         train, w = rows[r.doc_id]
         assert (r.train, r.n_tokens, r.n_known, r.train_tokens) == (train, len(w), sum(x in uni for x in w), total)
         assert math.isclose(r.base_score, sum(math.log10(q(x)) for x in w), rel_tol=1e-9)
-        assert math.isclose(r.score, math.log10(q(w[0])) + sum(math.log10(p(v, u)) for u, v in zip(w, w[1:])), rel_tol=1e-9)
-    assert ngram_lm.score_texts(marked.limit(0)).count() == 0
-    assert ngram_lm.score_texts(marked.withColumn("train", F.lit(None).cast("boolean"))).where("n_known > 0").count() == 0
+        assert math.isclose(r.score, sum(math.log10(p(tuple(w[max(0, i - order + 1) : i]), v)) for i, v in enumerate(w)), rel_tol=1e-9)
+    assert ngram_lm.score_texts(marked.limit(0), order=order).count() == 0
+    assert ngram_lm.score_texts(marked.withColumn("train", F.lit(None).cast("boolean")), order=order).where("n_known > 0").count() == 0
 
 
 @pytest.mark.parametrize("chunk_bytes", [600, 1 << 20])
