@@ -38,12 +38,12 @@ PERCENT, RECALL = 20, 0.95
 PREFIX = 4
 #: Walks, tables of each, steps sampled by a table, and how many different words they must have read.
 EMBEDDINGS, TABLES, COORDINATES, DISTINCT = 6, 3, 4, 3
-#: Percent of an item's distinct words that a region found by walks alone must share before its edit distance is computed.
-SHARED = 30
+#: Characters of the pieces that are counted before an edit distance is computed: each edit changes PIECE of them at most.
+PIECE = 3
 #: Bytes of a run, and how many runs an item must have in a region: one in CHARS of its bytes, FEWEST at least.
 GRAM, CHARS, FEWEST = 8, 12, 3
-#: Items compared in one pass over the documents; more are compared in further passes.
-ITEMS = 20_000
+#: Items, and bytes of their texts, compared in one pass over the documents; more are compared in further passes.
+ITEMS, ITEM_BYTES = 20_000, 4 << 20
 STEP_BYTES = 2 << 20
 FILTER_BITS = 18
 
@@ -80,7 +80,7 @@ class Index:
     ids: list
     texts: list[str]
     n_words: np.ndarray
-    symbols: list[frozenset]
+    pieces: list[np.ndarray]
     classes: list[Length]
     grams: Grams
 
@@ -188,8 +188,17 @@ def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
                 own.append((steps[t], filters, key[order], entry[kept][order]))
             tables.append(own)
         classes.append(Length(window, stride, tables))
-    sets = [frozenset(hashes[a:b].tolist()) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-    return Index([i for i, _ in items], texts, n_words, sets, classes, enter_runs(texts, percent))
+    return Index([i for i, _ in items], texts, n_words, [pieces(t) for t in texts], classes, enter_runs(texts, percent))
+
+
+def pieces(text: str) -> np.ndarray:
+    """The PIECE characters from each place as a number."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    n = max(0, len(codes) - PIECE + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(PIECE):
+        out |= codes[i : i + n] << np.uint64(21 * i)
+    return out
 
 
 def runs(text: np.ndarray) -> np.ndarray:
@@ -230,8 +239,8 @@ def normal(text: str | bytes) -> list:
 
 
 def candidates(words: Words, hashes: np.ndarray, index: Index) -> np.ndarray:
-    """Rows of (row, item, place, by runs), distinct and in order: where, in words of the row, the item may begin, and 1 if runs of bytes say so."""
-    found = [np.empty((0, 4), np.int64)]
+    """Rows of (row, item, place), distinct and in order: where, in words of the row, the item may begin."""
+    found = [np.empty((0, 3), np.int64)]
     counts = words.counts
     for c in index.classes:
         # a window every `stride` words of each row that can hold one
@@ -247,13 +256,13 @@ def candidates(words: Words, hashes: np.ndarray, index: Index) -> np.ndarray:
                 times = high - low
                 w = np.repeat(which, times)
                 got = entry[np.repeat(low, times) + np.arange(len(w)) - np.repeat(np.cumsum(times) - times, times)]
-                found.append(np.column_stack([row[w], got[:, 0], place[w] - got[:, 1], np.zeros(len(w), np.int64)]))
+                found.append(np.column_stack([row[w], got[:, 0], place[w] - got[:, 1]]))
     found.append(near(words, index.grams))
     return np.unique(np.concatenate(found), axis=0)
 
 
 def near(words: Words, grams: Grams) -> np.ndarray:
-    """Rows of (row, item, place, 1) where enough of the item's runs of bytes lie as far apart as the allowed edits may bring them."""
+    """Rows of (row, item, place) where enough of the item's runs of bytes lie as far apart as the allowed edits may bring them."""
     keep = ~SPACE[words.data]
     keep[words.end[words.end < len(keep)]] = True  # one space between words
     origin = np.flatnonzero(keep)
@@ -279,7 +288,7 @@ def near(words: Words, grams: Grams) -> np.ndarray:
     hit = np.flatnonzero(last - np.arange(len(key)) >= grams.least[item])
     item, begin, row = item[hit], begin[hit], row[hit]
     word = np.searchsorted(words.start, origin[np.clip(begin, 0, len(origin) - 1)], "right") - 1
-    return np.column_stack([row, item, np.maximum(word - words.first[row], 0), np.ones(len(row), np.int64)])
+    return np.column_stack([row, item, np.maximum(word - words.first[row], 0)])
 
 
 def matches(words: Words, hashes: np.ndarray, index: Index, percent: int) -> Iterator[tuple[int, int, int, int]]:
@@ -288,7 +297,7 @@ def matches(words: Words, hashes: np.ndarray, index: Index, percent: int) -> Ite
     cut = np.flatnonzero((np.diff(found[:, :2], axis=0) != 0).any(1)) + 1
     for group in np.split(found, cut) if len(found) else []:
         row, item = int(group[0, 0]), int(group[0, 1])
-        best = verify(words, hashes, row, index, item, group[:, 2].tolist(), group[:, 3].tolist(), percent)
+        best = verify(words, row, index, item, group[:, 2].tolist(), percent)
         if best:
             yield row, item, *best
 
@@ -364,9 +373,10 @@ def _clean(shared, percent: int, text: str):
 
 
 def _indexes(items: DataFrame, percent: int) -> Iterator[Index]:
-    """The tables of all items (id, text), ITEMS at a time."""
+    """The tables of all items (id, text), about ITEMS or ITEM_BYTES at a time."""
     items = items.where("text IS NOT NULL")
-    parts = -(-items.count() // ITEMS)
+    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(-(-n // ITEMS), -(-size // ITEM_BYTES))
     for part in range(parts):
         some = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
         yield build([(r.id, r.text) for r in some.orderBy("id", "text").collect()], percent)
@@ -392,24 +402,23 @@ def _search(shared, percent: int, key_type, item_type):
     return search
 
 
-def verify(words: Words, hashes: np.ndarray, row: int, index: Index, item: int, places: list[int], by_runs: list[int], percent: int) -> tuple[int, int] | None:
+def verify(words: Words, row: int, index: Index, item: int, places: list[int], percent: int) -> tuple[int, int] | None:
     """(distance, place) of the best place within the allowed edits: places near each other are one region of the text.
 
-    A region found by walks alone with fewer than SHARED percent of the item's words is passed over.
+    Edits leave all but PIECE pieces each of the item in the region, so that a region with fewer can't hold it.
     """
     first, end = int(words.first[row]), int(words.first[row + 1])
-    text, n, own = index.texts[item], int(index.n_words[item]), index.symbols[item]
+    text, n, own = index.texts[item], int(index.n_words[item]), index.pieces[item]
     most, slack = percent * len(text) // 100, n // 2 + 2
     best, at = None, 0
     while at < len(places):
         begin = last = places[at]
-        opening = at
         while at < len(places) and places[at] <= last + slack:
             last, at = places[at], at + 1
         a, b = max(first, first + begin - slack), min(end, first + last + n + slack)
-        if not any(by_runs[opening:at]) and 100 * len(own.intersection(hashes[a:b].tolist())) < SHARED * len(own):
+        region = b" ".join(words.data[words.start[a] : words.end[b - 1]].tobytes().split()).decode("utf-8", "replace") if a < b else ""
+        if np.isin(own, pieces(region)).sum() < len(own) - PIECE * most:
             continue
-        region = " ".join(words.data[words.start[i] : words.end[i]].tobytes().decode("utf-8", "replace") for i in range(a, b))
         distance, _ = edit_distance(text, region, most)
         if distance <= most and (best is None or distance < best[0]):
             best = (distance, max(begin, 0))

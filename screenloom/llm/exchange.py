@@ -1,7 +1,8 @@
 """Counting keys over the whole corpus in compact blocks.
 
-Documents are dealt into chunks by a hash of the whole row; rows that are equal in
-every column and would outgrow a chunk together are one row with their number.  A chunk sends
+Documents are dealt into chunks by a hash of their text, so that copies ask for the
+same keys once.  Texts whose copies would outgrow a chunk together are dealt by the whole
+row, and their rows that are equal in every column are one row with their number.  A chunk sends
 every shard one block with its distinct keys of that shard's range, sorted and
 stored as differences; the shard merges the blocks of all chunks and sends each
 chunk one block back with an answer for each of its keys, in the same order.
@@ -47,6 +48,11 @@ class Size:
     text_bytes: int
     folded: bool = False
 
+    @property
+    def key_bits(self) -> int:
+        """Of a hash that tells all n-grams of the corpus apart: with an n-gram per eight bytes at most, one corpus in sixteen has two that share one, up to some 20 GB."""
+        return min(64, max(32, 2 * self.text_bytes.bit_length() - 3))
+
     @property
     def bits(self) -> int:
         """Of a cell's number in a sketch with 32 cells per text byte, some 200 per word, so that few distinct keys share one at any size of the corpus."""
@@ -62,28 +68,29 @@ def measure(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES)
 
 
 def deal(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> tuple[Size, DataFrame]:
-    """(sizes, (chunk, row)): every row as a struct with COPIES, dealt by a hash of the row.
+    """(sizes, (chunk, row)): every row as a struct with COPIES, dealt by a hash of the text.
 
-    Equal rows whose texts exceed a chunk together are folded to one row, aggregated
-    before any shuffle; at most one such row per chunk exists, so that their hashes
-    are a small table.  Columns of maps have no hash and aren't folded.
+    Texts whose rows exceed a chunk together are dealt by a hash of the row, equal rows
+    folded to one; they are aggregated before any shuffle.  There are fewer such texts
+    than chunks, so that their hashes are a small table.  Columns of maps have no hash:
+    rows that differ in them only aren't told apart in dealing, nor folded.
     """
     size = measure(docs, text, chunk_bytes)
     own = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    h = F.xxhash64(*own)
-    if len(own) == len(docs.columns):
-        weight = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES)
-        limit = max(size.chunk_bytes, ROW_BYTES * size.texts // size.chunks)
-        heavy = docs.groupBy(h.alias("_h")).agg(weight.alias("w"), F.count(F.lit(1)).alias("n")).where((F.col("w") > limit) & (F.col("n") > 1)).select("_h")
-        if not heavy.isEmpty():
-            heavy = F.broadcast(settle(heavy))
-            marked = docs.withColumn("_h", h)
-            one = marked.join(heavy, "_h", "left_anti").select(*docs.columns, F.lit(1).cast("long").alias(COPIES))
-            many = marked.join(heavy, "_h", "left_semi").groupBy(*docs.columns).agg(F.count(F.lit(1)).alias(COPIES))
-            docs, size = one.unionByName(many), replace(size, folded=True)
-    if COPIES not in docs.columns:
-        docs = docs.withColumn(COPIES, F.lit(1).cast("long"))
-    return size, docs.select(F.pmod(F.xxhash64(*own), F.lit(size.chunks)).cast("int").alias("chunk"), F.struct("*").alias("row"))
+    h = F.xxhash64(text)
+    weight = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES)
+    limit = max(size.chunk_bytes, ROW_BYTES * size.texts // size.chunks)
+    heavy = docs.groupBy(h.alias("_h")).agg(weight.alias("w"), F.count(F.lit(1)).alias("n")).where((F.col("w") > limit) & (F.col("n") > 1)).select("_h")
+    chunk = lambda *c: F.pmod(F.xxhash64(*c), F.lit(size.chunks)).cast("int").alias("chunk")
+    one = lambda df: df.select("*", F.lit(1).cast("long").alias(COPIES))
+    heavy = settle(heavy)
+    if heavy.isEmpty():
+        return size, one(docs).select(chunk(text), F.struct("*").alias("row"))
+    heavy, marked = F.broadcast(heavy), docs.withColumn("_h", h)
+    many = marked.join(heavy, "_h", "left_semi").select(*docs.columns)
+    many = many.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias(COPIES)) if len(own) == len(docs.columns) else one(many)
+    few = one(marked.join(heavy, "_h", "left_anti").select(*docs.columns))
+    return replace(size, folded=True), few.select(chunk(text), F.struct("*").alias("row")).unionByName(many.select(chunk(*own), F.struct("*").alias("row")))
 
 
 def unfold(df: DataFrame, size: Size) -> DataFrame:
@@ -95,19 +102,26 @@ def unfold(df: DataFrame, size: Size) -> DataFrame:
     return df.drop(COPIES)
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers as byte planes of the least width; planes of zeros compress away."""
+def pack(values: np.ndarray, dense: bool = False) -> bytes:
+    """Non-negative integers as byte planes of the least width; dense: as they are, else compressed."""
     if not len(values):
         return b"\0"
     width = max(1, (int(values.max()).bit_length() + 7) // 8)
-    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    if dense:
+        return bytes([width]) + planes
+    return bytes([128 + width]) + len(values).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def unpack(block: bytes) -> np.ndarray:
-    width = block[0]
+    width = block[0] & 127
     if not width:
         return np.empty(0, np.uint64)
-    planes = np.frombuffer(block, np.uint8, offset=1).reshape(width, -1)
+    if block[0] & 128:
+        n = int.from_bytes(block[1:5], "little")
+        planes = np.frombuffer(pa.decompress(block[5:], n * width, "zstd"), np.uint8).reshape(width, n)
+    else:
+        planes = np.frombuffer(block, np.uint8, offset=1).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :width] = planes.T
     return out.view("<u8").reshape(-1)
@@ -115,7 +129,7 @@ def unpack(block: bytes) -> np.ndarray:
 
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending unsigned integers, as differences."""
-    return pack(np.diff(keys, prepend=np.uint64(0))) if len(keys) else b"\0"
+    return pack(np.diff(keys, prepend=np.uint64(0)), True) if len(keys) else b"\0"
 
 
 def unpack_sorted(block: bytes) -> np.ndarray:

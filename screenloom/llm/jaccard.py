@@ -136,12 +136,12 @@ def _bounded(percent: int, n: Column, m: Column, i: Column, j: Column) -> Column
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * most >= percent * (n + m - most))
 
 
-def most_shared(percent: int, n: np.ndarray, place: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """The largest set that a set of n shingles can be similar to, if they share the one of rank `place`, before which it has `seen` that aren't unique in the corpus.
+def largest(percent: int, n, place):
+    """The largest set that a set of n shingles can be similar to, if the one of rank `place` is the first that they share.
 
-    They share `seen` before it and n - place from it on at most, call it o; a similar set of m has (100 + percent) * o >= percent * (n + m).
+    They share n - place at most, call it o; a similar set of m has (100 + percent) * o >= percent * (n + m).
     """
-    return (100 + percent) * (seen + n - place) // percent - n
+    return (100 + percent) * (n - place) // percent - n
 
 
 def entry_pairs(column: np.ndarray, n: np.ndarray, most: np.ndarray, part: np.ndarray, own: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -184,35 +184,39 @@ def entry_pairs(column: np.ndarray, n: np.ndarray, most: np.ndarray, part: np.nd
 
 
 def multiply_columns(table: pa.Table, percent: int) -> pa.Table:
-    """(a, b, shared, left) of one block of columns: the pairs of rows, how many of its columns they share, and how many shingles the columns of later passes can add."""
+    """(a, b, shared, place_a, place_b, n_a, n_b) of one block of columns: pairs of rows, how many columns they share, the ranks of the last in each, and their sizes.
+
+    A column counts for a pair if it could be the first that they share; those before such a one could be as well, so that none is left out.
+    """
     take = lambda c: table[c].to_numpy()
     _, column = np.unique(np.column_stack([take("token"), take("strip_a"), take("strip_b")]), axis=0, return_inverse=True)
-    column, ids, n, place, seen = column.reshape(-1), take("id"), take("n"), take("place").astype(np.int64), take("seen").astype(np.int64)
+    column, ids, n, place = column.reshape(-1), take("id"), take("n"), take("place").astype(np.int64)
     own = np.where(take("strip_a") == take("strip_b"), -1, take("strip"))
-    most = most_shared(percent, n, place, seen)
-    found = [np.empty((0, 4), np.int64)]
-    for x, y in entry_pairs(column, n, most, take("c"), own, percent):
-        shared = np.minimum(seen[x], seen[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
+    found = [np.empty((0, 6), np.int64)]
+    for x, y in entry_pairs(column, n, largest(percent, n, place), take("c"), own, percent):
+        shared = np.minimum(n[x] - place[x], n[y] - place[y])
         keep = (100 + percent) * shared >= percent * (n[x] + n[y])
         x, y = x[keep], y[keep]
-        left = np.maximum(needed(percent, n[x]), needed(percent, n[y])) - 1
-        pairs, times = np.unique(np.column_stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), n[x] + n[y], left]), axis=0, return_counts=True)
-        found.append(np.column_stack([pairs[:, 0], pairs[:, 1], times, (percent * pairs[:, 2] + 99 + percent) // (100 + percent) - pairs[:, 3]]) if len(pairs) else found[0])
+        x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+        order = np.lexsort((ids[y], ids[x]))
+        x, y = x[order], y[order]
+        new = np.flatnonzero(np.append(True, (ids[x[1:]] != ids[x[:-1]]) | (ids[y[1:]] != ids[y[:-1]]))) if len(x) else np.empty(0, np.int64)
+        if len(new):
+            found.append(np.column_stack([ids[x[new]], ids[y[new]], np.diff(np.append(new, len(x))), np.maximum.reduceat(place[x], new), np.maximum.reduceat(place[y], new), n[x[new]] * (1 << 32) + n[y[new]]]))
     out = np.concatenate(found)
-    return pa.table({"a": out[:, 0], "b": out[:, 1], "shared": out[:, 2], "least": out[:, 3]})
+    return pa.table({"a": out[:, 0], "b": out[:, 1], "shared": out[:, 2], "place_a": out[:, 3], "place_b": out[:, 4], "n_a": out[:, 5] >> 32, "n_b": out[:, 5] & 0xFFFFFFFF})
 
 
 def candidate_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of rows of different parts that may be similar, by the product of the columns in entries (token, id, n, place, seen, c).
+    """(a, b): pairs of rows of different parts that may be similar, by the product of the columns in entries (token, id, n, place, c).
 
     A column is worth multiplying if it has several parts, and an entry if its size
     and another's allow each other; the sums of all blocks discard pairs whose overlap
-    so far and what later columns can add is too small.
+    so far and what the columns after the last shared one can add is too small.
     """
-    most = F.floor((100 + percent) * (F.col("seen") + F.col("n") - F.col("place")) / percent) - F.col("n")
-    entries = entries.withColumn("most", most)
+    entries = entries.withColumn("most", F.floor((100 + percent) * (F.col("n") - F.col("place")) / percent) - F.col("n"))
     stats = entries.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("small"), F.max("most").alias("reach"), F.count(F.lit(1)).alias("m")).where("lo <> hi AND small <= reach")
-    worth = entries.join(stats, "token").where("small <= most AND n <= reach").select("token", "id", "n", "place", "seen", "c", "m")
+    worth = entries.join(stats, "token").where("small <= most AND n <= reach").select("token", "id", "n", "place", "c", "m")
     worth = X.settle(worth)
     blocks = max(1, worth.count() // ENTRIES)
     strips = F.ceil(F.col("m") / STRIP)
@@ -220,9 +224,11 @@ def candidate_pairs(entries: DataFrame, percent: int) -> DataFrame:
     cut = worth.withColumn("strip", strip).withColumn("j", F.explode(F.sequence(F.lit(0), (strips - 1).cast("int"))))
     cut = cut.withColumn("strip_a", F.least("strip", "j")).withColumn("strip_b", F.greatest("strip", "j"))
     slot = F.when(strips > 1, F.xxhash64("token", "strip_a", "strip_b")).otherwise(F.pmod(F.xxhash64("token"), F.lit(blocks)))
-    blocked = cut.select(slot.alias("slot"), "token", "id", "n", "place", "seen", "c", "strip", "strip_a", "strip_b")
-    sums = blocked.groupBy("slot").applyInArrow(lambda t: multiply_columns(t, percent), "a long, b long, shared long, least long")
-    return sums.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least")).where("shared >= least").select("a", "b")
+    blocked = cut.select(slot.alias("slot"), "token", "id", "n", "place", "c", "strip", "strip_a", "strip_b")
+    sums = blocked.groupBy("slot").applyInArrow(lambda t: multiply_columns(t, percent), "a long, b long, shared long, place_a long, place_b long, n_a long, n_b long")
+    sums = sums.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"), F.max("place_a").alias("i"), F.max("place_b").alias("j"))
+    most_shared = F.col("shared") + F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) - 1
+    return sums.where((100 + percent) * most_shared >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -271,8 +277,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     full = signed.where("n > 0 AND id IS NOT NULL")
     classes = full.groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"))
     rows = signed.where("grams IS NOT NULL AND id IS NOT NULL").join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id", "sig1", "sig2"])
-    zipped = rows.select("id", "n", "rare", F.posexplode(F.arrays_zip("tokens", "places")).alias("seen", "t"))
-    entries = X.settle(zipped.select("id", "n", "rare", "seen", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
+    entries = X.settle(rows.select("id", "n", "rare", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("id", "n", "rare", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
     sets = rows.select("id", "grams")
 
     pivots = entries.groupBy("token").agg(F.min(F.struct("rare", "id", "n", "place")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -281,7 +286,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     links = X.settle(_linked(star, sets, percent))
     found = X.settle(components(links))
 
-    placed = entries.join(found, "id", "left").select("token", "id", "n", "place", "seen", F.coalesce("component", "id").alias("c"))
+    placed = entries.join(found, "id", "left").select("token", "id", "n", "place", F.coalesce("component", "id").alias("c"))
     rest = candidate_pairs(placed, percent).join(star, ["a", "b"], "left_anti")
     more = X.settle(_linked(rest, sets, percent))
     # rows with the same key and different texts are one document

@@ -64,8 +64,8 @@ class Grams:
     where: np.ndarray
 
 
-def grams(tokens: np.ndarray, first: np.ndarray, order: int) -> list[Grams]:
-    """The n-grams of orders 1 to `order`."""
+def grams(tokens: np.ndarray, first: np.ndarray, order: int, bits: int) -> list[Grams]:
+    """The n-grams of orders 1 to `order`, by the first bits of their hashes."""
     place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
     out, key = [], tokens
     for n in range(1, order + 1):
@@ -75,7 +75,7 @@ def grams(tokens: np.ndarray, first: np.ndarray, order: int) -> list[Grams]:
             with np.errstate(over="ignore"):
                 key = mix(mix(history) * PAIR + tokens)
         inner = np.flatnonzero(place >= n - 1)
-        keys, where, inverse = np.unique(key[inner], return_index=True, return_inverse=True)
+        keys, where, inverse = np.unique(key[inner] >> U(64 - bits), return_index=True, return_inverse=True)
         at = np.full(len(tokens), -1)
         at[inner] = inverse
         out.append(Grams(keys, at, inner[where]))
@@ -182,13 +182,13 @@ def score_texts(docs: DataFrame, train: str = "train", key: str = "doc_id", text
         here = level.at >= 0
         counts = np.bincount(level.at[here], weights[here], len(level.keys)).astype(np.int64)
         keys, counts = (level.keys, counts) if use is None else (level.keys[use], counts[use])
-        out = X.blocks(chunk, keys, 64, shards, every=n == 1, counts=counts)
+        out = X.blocks(chunk, keys, size.key_bits, shards, every=n == 1, counts=counts)
         return out.append_column("n", pa.array([n] * len(out), pa.int32()))
 
     def read(table: pa.Table, upto: int):
         tokens, row, first = _tokens(X.field(table, "text"))
         learnt = X.field(table, "train").to_numpy(zero_copy_only=False).astype(bool) * X.field(table, X.COPIES).to_numpy()
-        return row, first, learnt.astype(np.float64)[row], grams(tokens, first, upto)
+        return row, first, learnt.astype(np.float64)[row], grams(tokens, first, upto, size.key_bits)
 
     def counted(levels: list[Grams], told: pa.Table, upto: int) -> list[np.ndarray]:
         """The counts of all n-grams of orders 1 to upto; 0 for those that weren't asked for."""

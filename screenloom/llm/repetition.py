@@ -2,11 +2,12 @@
 
 The words of many texts at once form one suffix array in which suffixes end with
 their text, built by prefix doubling that sorts again only suffixes still tied.
-The ranks of every doubling give the longest common prefixes of neighbours.  The
-deepest interval of common prefixes that holds a suffix is as long as the larger
-of its two neighbours' prefixes, which is the longest repeated substring that
-starts there; the union of those of at least REPEAT words covers exactly what
-maximal repeated substrings of that length cover.
+The longest common prefix of two neighbours is found by comparing substrings of
+halving lengths by their polynomial hashes, so that a few arrays as long as the text
+are held, whatever repeats in it.  The deepest interval of common prefixes that holds
+a suffix is as long as the larger of its two neighbours' prefixes, which is the longest
+repeated substring that starts there; the union of those of at least REPEAT words covers
+exactly what maximal repeated substrings of that length cover.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
 
-def suffix_array(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The order of all suffixes, by text and then by words, and the ranks after each doubling.
+#: Moduli and bases of the hashes: products fit in 62 bits, sums of 2**32 residues in 63.
+PRIMES, BASES = (2147483647, 2147483629), (1000003937, 1327217893)
 
-    ranks[k][i] is equal for two suffixes when their first 2**k words are equal
-    and lie in one text.  It ends in a rank that no suffix has.
-    """
+
+def suffix_array(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The order of all suffixes, by text and then by words; the symbol of each word; and a length in words that no two suffixes of a text share."""
     n = len(words)
     ends = words.first[1:][words.row] if n else np.empty(0, np.int64)
     _, symbol = np.unique(hashes, return_inverse=True)
@@ -48,12 +49,12 @@ def suffix_array(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, list[np.
     begin = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else np.empty(0, np.int64)
     rank = np.full(n + 1, -1)
     rank[order] = begin
-    ranks, step = [rank], 1
+    step = 1
     while True:
         new = np.append(new, True)
         tied = np.flatnonzero(~(new[:-1] & new[1:])) if n else np.empty(0, np.int64)
         if not len(tied):
-            return order, ranks
+            return order, symbol, step
         at = order[tied]
         ahead = at + step
         second = np.where(ahead < ends[at], rank[np.minimum(ahead, n)], -1)
@@ -64,30 +65,45 @@ def suffix_array(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, list[np.
         fresh = np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]))
         new = new[:-1]
         new[tied] = fresh
-        rank = rank.copy()
         rank[at] = np.maximum.accumulate(np.where(fresh, tied, 0))
-        ranks.append(rank)
         step *= 2
 
 
+def prefix_hashes(symbol: np.ndarray, prime: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, powers): sums[i] is the sum of (symbol[t] + 1) * base**t for t < i, modulo prime."""
+    powers = np.ones(len(symbol) + 1, np.int64)
+    have = 1
+    while have < len(powers):
+        more = min(have, len(powers) - have)
+        powers[have : have + more] = powers[:more] * pow(base, have, prime) % prime
+        have += more
+    return np.append(0, np.cumsum((symbol % prime + 1) * powers[:-1] % prime)) % prime, powers
+
+
 def longest_repeats(words: Words, hashes: np.ndarray) -> np.ndarray:
     """For each word, the length in words of the longest substring that starts there and again elsewhere in its text."""
     n = len(words)
-    order, ranks = suffix_array(words, hashes)
+    order, symbol, limit = suffix_array(words, hashes)
     out = np.zeros(n, np.int64)
     if n < 2:
         return out
-    left, right = order[:-1], order[1:]
-    same = np.flatnonzero(ranks[0][left] == ranks[0][right])
-    left, right = left[same], right[same]
-    i, j = left.copy(), right.copy()
-    for k in range(len(ranks) - 1, -1, -1):
-        equal = ranks[k][i] == ranks[k][j]
-        i[equal] += 1 << k
-        j[equal] += 1 << k
-    prefix = i - left
-    np.maximum.at(out, left, prefix)
-    np.maximum.at(out, right, prefix)
+    low, high = np.minimum(order[:-1], order[1:]), np.maximum(order[:-1], order[1:])
+    same = np.flatnonzero((words.row[low] == words.row[high]) & (symbol[low] == symbol[high]))
+    low, high = low[same], high[same]
+    end = words.first[1:][words.row[high]]
+    length = np.zeros(len(low), np.int64)
+    sides = [(*prefix_hashes(symbol, p, b), p) for p, b in zip(PRIMES, BASES, strict=True)]
+    step = limit // 2 or 1
+    while step:
+        at = np.flatnonzero(high + length + step <= end)
+        i, j = low[at] + length[at], high[at] + length[at]
+        equal = np.ones(len(at), bool)
+        for sums, powers, prime in sides:
+            equal &= (sums[i + step] - sums[i]) % prime * powers[j - i] % prime == (sums[j + step] - sums[j]) % prime
+        length[at[equal]] += step
+        step //= 2
+    np.maximum.at(out, low, length)
+    np.maximum.at(out, high, length)
     return out
 
 
@@ -144,7 +160,8 @@ def rate_repetition(docs: DataFrame, key: str = "doc_id", text: str = "text", lo
     longer than `longest`.
 
     Null or empty text: no words, fails the base rules.  Keys are carried along,
-    so that null and repeated keys are rows like others.  Empty table: empty result.
+    so that null and repeated keys are rows like others; further columns don't matter.
+    Empty table: empty result.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "longest_repeat"]
 

@@ -2,14 +2,19 @@
 
 The rules label URLs: block, allow, and unlisted, which counts as allowed as long
 as nothing speaks against it.  The trees learn from a bounded sample of each, with
-weights that restore their shares, and judge the unlisted by length, depth,
-digits, entropy, parameters and how often pages of the same host suffix are blocked,
-counted over all pages.
+weights that restore their shares, and judge the unlisted by length, depth, digits,
+entropy, parameters and how often pages under the host's last label, and under its
+last two, are blocked, counted over all pages.
+
+URLs are dealt into FOLDS parts by a hash.  The trees, and the rates under suffixes,
+that judge a part come from the other parts only, so that no URL is judged by what was
+learnt from itself; accuracy() says how such verdicts agree with the rules' labels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +32,9 @@ from .words import raw
 #: URLs of each label that the trees are fitted on, at most.
 SAMPLE = 5000
 TREES, DEPTH, SEED = 12, 4, 5
+FOLDS = 2
+#: Labels of a host's suffixes that block rates are counted for.
+SUFFIXES = (1, 2)
 #: Pseudo-counts that draw the block rate of a rare suffix to the overall rate.
 SMOOTH = 20.0
 STEP_BYTES = 4 << 20
@@ -99,6 +107,66 @@ def add_features(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("lexical", T.ArrayType(T.DoubleType()))]))
 
 
+def _judged(pages: DataFrame, rules: list[Rule], key: str, url: str, sample: int) -> DataFrame:
+    """key, url, host, path, decision and p, the trees' chance of block, for every row."""
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host(url).alias("host"), path(url).alias("path"))
+    rows = rows.withColumn("decision", decide(rules, F.col("host"), F.col("path"))).withColumn("fold", F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit("fold")), F.lit(FOLDS)).cast("int"))
+    given = rows.where("url IS NOT NULL").withColumn("verdict", F.coalesce("decision.verdict", F.lit("unlisted")))
+    counts = {(r.fold, r.verdict): r["count"] for r in given.groupBy("fold", "verdict").count().collect()}
+    blocked = (F.col("verdict") == "block").cast("long")
+    rates = []
+    for k in SUFFIXES:
+        g = given.groupBy(F.substring_index("host", ".", -k).alias(f"suffix{k}"), "fold").agg(F.sum(blocked).alias("b"), F.count(F.lit(1)).alias("n"))
+        rates.append(g.groupBy(f"suffix{k}").agg(F.collect_list(F.struct("fold", "b", "n")).alias(f"known{k}")))  # an entry per fold
+
+    def with_rates(df: DataFrame, fold: int, rate: float) -> DataFrame:
+        """df with suffix1, suffix2, ... and the rates under them outside the fold."""
+        for k, known in zip(SUFFIXES, rates, strict=True):
+            other = F.filter(F.coalesce(f"known{k}", F.array().cast("array<struct<fold:int,b:bigint,n:bigint>>")), lambda x: x["fold"] != fold)
+            total = lambda c, o=other: F.aggregate(o, F.lit(0).cast("long"), lambda s, x: s + x[c])
+            df = df.withColumn(f"suffix{k}", F.substring_index("host", ".", -k)).join(known, f"suffix{k}", "left").withColumn(f"rate{k}", (total("b") + SMOOTH * rate) / (total("n") + SMOOTH)).drop(f"known{k}")
+        return df
+
+    def share(fold: int) -> float:
+        n = sum(c for (f, _), c in counts.items() if f != fold)
+        return sum(c for (f, v), c in counts.items() if f != fold and v == "block") / n if n else 0.0
+
+    vector = array_to_vector(F.concat("lexical", F.array(*[F.col(f"rate{k}") for k in SUFFIXES], F.length("suffix1").cast("double"))))
+    picked = None
+    for f, v in sorted(counts):
+        one = given.where((F.col("fold") == f) & (F.col("verdict") == v)).groupBy("url", "host", "path", "fold", "verdict").agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.xxhash64("url"), "url").limit(sample)
+        picked = one if picked is None else picked.unionByName(one)
+    if picked is None or not any(0 < share(f) < 1 for f in range(FOLDS)):
+        return rows.withColumn("p", F.lit(0.0))
+    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).coalesce(4).persist()
+    try:
+        # each URL stands for its rows, and those of a fold's label for all rows of it
+        weight = F.lit(1.0)
+        for r in labelled.groupBy("fold", "verdict").agg(F.sum("n_rows").alias("n")).collect():
+            weight = F.when((F.col("fold") == r.fold) & (F.col("verdict") == r.verdict), F.col("n_rows") * (counts[r.fold, r.verdict] / r.n)).otherwise(weight)
+
+        def fit(fold: int):
+            if not 0 < share(fold) < 1:
+                return None
+            examples = with_rates(labelled.where(F.col("fold") != fold), fold, share(fold)).select("label", weight.alias("weight"), vector.alias("features"))
+            return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(examples)
+
+        with ThreadPoolExecutor(FOLDS) as pool:
+            models = list(pool.map(fit, range(FOLDS)))
+    finally:
+        labelled.unpersist()
+    out = None
+    for fold, model in enumerate(models):
+        part = rows.where(F.col("fold") == fold)
+        if model is None:
+            part = part.withColumn("p", F.lit(0.0))
+        else:
+            part = model.transform(add_features(with_rates(part, fold, share(fold))).withColumn("features", vector)).withColumn("p", F.element_at(_array(F.col("probability")), 2))
+        part = part.select("key", "url", "host", "path", "decision", "p")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, key: str = "page_id", url: str = "url", sample: int = SAMPLE) -> DataFrame:
     """key, host, path, rule (null if none fits), verdict (allow or block) and block_score (null where a rule decides).
 
@@ -107,44 +175,21 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, key: str = "p
     all subdomains if the path starts with the rule's; the longest wins.
 
     Null URL or none with `://`: empty host and path, judged by the trees.  If the
-    rules block no URL, or all, the trees can't be fitted and the rest is allowed.  Keys are carried along, null and repeated ones too.  Empty table: empty result.
+    rules block no URL, or all, the trees can't be fitted and the rest is allowed.
+    Keys are carried along, null and repeated ones too; a repeated URL counts as often
+    as it occurs.  Further columns don't matter.  Empty table: empty result.
     """
-    rules = RULES if rules is None else rules
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host(url).alias("host"), path(url).alias("path"))
-    rows = rows.withColumn("decision", decide(rules, F.col("host"), F.col("path")))
-    suffix = F.substring_index("host", ".", -1)
-
-    given = rows.where("url IS NOT NULL").select("url", "host", "path", F.coalesce("decision.verdict", F.lit("unlisted")).alias("verdict"))
-    counts = {r.verdict: r["count"] for r in given.groupBy("verdict").count().collect()}
-    picked = None
-    for v in sorted(counts):
-        one = given.where(F.col("verdict") == v).groupBy("url", "host", "path", "verdict").agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.xxhash64("url"), "url").limit(sample)
-        picked = one if picked is None else picked.unionByName(one)
-    picked = picked if picked is not None else given.withColumn("n_rows", F.lit(1))
-    blocked = (F.col("verdict") == "block").cast("long")
-    rates = given.groupBy(suffix.alias("suffix")).agg(F.sum(blocked).alias("blocked"), F.count(F.lit(1)).alias("n"))
-    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("suffix", suffix).coalesce(4).persist()
-    try:
-        total = sum(counts.values())
-        rate = counts.get("block", 0) / total if total else 0.0
-        if 0 < rate < 1:
-            # each URL stands for its rows, and those of a label for all rows of it
-            weight = F.lit(1.0)
-            for r in labelled.groupBy("verdict").agg(F.sum("n_rows").alias("n")).collect():
-                weight = F.when(F.col("verdict") == r.verdict, F.col("n_rows") * (counts[r.verdict] / r.n)).otherwise(weight)
-            known = rates.select("suffix", ((F.col("blocked") + SMOOTH * rate) / (F.col("n") + SMOOTH)).alias("suffix_rate"))
-            vector = array_to_vector(F.concat("lexical", F.array(F.coalesce("suffix_rate", F.lit(rate)), F.length("suffix").cast("double"))))
-            trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(labelled.join(known, "suffix", "left").select("label", weight.alias("weight"), vector.alias("features")))
-            features = add_features(rows.withColumn("suffix", suffix).join(known, "suffix", "left")).withColumn("features", vector)
-            judged = trees.transform(features).withColumn("p", F.element_at(_array(F.col("probability")), 2))
-        else:
-            judged = rows.withColumn("p", F.lit(0.0))
-    finally:
-        labelled.unpersist()
+    judged = _judged(pages, RULES if rules is None else rules, key, url, sample)
     verdict = F.coalesce("decision.verdict", F.when(F.col("p") > 0.5, "block").otherwise("allow"))
     return judged.select(F.col("key").alias(key), "host", "path", F.col("decision.rule").alias("rule"), verdict.alias("verdict"), F.when(F.col("decision").isNull(), F.col("p")).alias("block_score"))
 
 
+def accuracy(pages: DataFrame, rules: list[Rule] | None = None, key: str = "page_id", url: str = "url", sample: int = SAMPLE) -> DataFrame:
+    """(label, rows, blocked): of the rows that the rules block, allow or leave unlisted, how many the trees that haven't seen them would block."""
+    judged = _judged(pages, RULES if rules is None else rules, key, url, sample).where("url IS NOT NULL")
+    return judged.groupBy(F.coalesce("decision.verdict", F.lit("unlisted")).alias("label")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") > 0.5).alias("blocked"))
+
+
 def _array(vector: Column) -> Column:
     from pyspark.ml.functions import vector_to_array
 

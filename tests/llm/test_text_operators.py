@@ -30,20 +30,40 @@ def test_repetition(docs, empty):
             starts[tuple(w[p : p + n])].append(p)
         return {q for ps in starts.values() if len(ps) > 1 for p in ps for q in range(p, p + n)}
 
-    got = {(r.doc_id, r.row, r.text): r for r in repetition.rate_repetition(docs).join(docs.select("doc_id", "row", "text"), "doc_id").collect()}
-    assert got
-    for (_, _, text), r in got.items():
-        w, t = words(text), text or ""
+    def longest_repeat(w):
+        """By the table of common prefixes of all pairs of places."""
+        best, below = 0, [0] * (len(w) + 1)
+        for p in reversed(range(len(w))):
+            below = [(below[q + 1] + 1 if w[p] == w[q] and p != q else 0) for q in range(len(w))] + [0]
+            best = max(best, *below)
+        return best
+
+    # the key is the text's place, so that rows without an identifier are compared as well
+    texts = [r.text for r in docs.collect()]
+    keyed = docs.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in repetition.rate_repetition(keyed).collect()}
+    assert len(got) == len(texts)
+    for k, r in got.items():
+        w, t = words(texts[k]), texts[k] or ""
         lines = [x for x in t.split("\n") if words(x)]
-        longest = next((n for n in range(len(w), 0, -1) if repeated(w, n)), 0) if len(w) < 150 else r.longest_repeat
+        longest = longest_repeat(w) if w else 0
         five, ten = len(repeated(w, 5)), len(repeated(w, repetition.REPEAT))
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_covered_words, r.longest_repeat) == (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), five, ten, longest)
         failed = len(w) < 10 or 100 * five > 20 * len(w)
         assert r.base_failed == failed and r.kept == (not failed and 100 * ten <= repetition.COVERED * len(w) and longest <= repetition.LONGEST)
-    assert repetition.rate_repetition(docs).count() == docs.count()
+    assert repetition.rate_repetition(docs).count() == docs.count() and repetition.rate_repetition(docs).where("doc_id IS NULL").count() == 2
     assert repetition.rate_repetition(empty).count() == 0
 
 
+def test_repetition_of_long_texts():
+    """Texts that repeat throughout, and one without repeats: what is known of them."""
+    import pyarrow as pa
+
+    n = 300_000
+    found = repetition.measures(pa.array(["z " * n, "a b c " * n, " ".join(f"w{i}" for i in range(n)), " ".join(["x y", *(f"w{i}" for i in range(n)), "x y"])]))
+    assert found["longest_repeat"].tolist() == [n - 1, 3 * n - 3, 0, 2] and found["n_covered_words"].tolist() == [n, 3 * n, 0, 0]
+
+
 @pytest.mark.parametrize("chunk_bytes,order", [(600, 3), (1 << 20, 3), (600, 2), (600, 4), (1 << 20, 1)])
 def test_language_model(docs, empty, texts, chunk_bytes, order):
     from pyspark.sql import functions as F
