@@ -3,10 +3,11 @@
 The rules label URLs: block, allow, and unlisted, which counts as allowed as long
 as nothing speaks against it.  The trees learn from a bounded sample of each, with
 weights that restore their shares, and judge the unlisted by length, depth, digits,
-entropy, parameters and how often pages under the host's last label, and under its
-last two, are blocked, counted over all pages.
+entropy, parameters, and how often pages under the host's last label, and under the path's
+first segment, are blocked, counted over all pages.  Statistics of longer suffixes would
+tell listed hosts apart so well that nothing was learnt about others.
 
-URLs are dealt into FOLDS parts by a hash.  The trees, and the rates under suffixes,
+URLs are dealt into FOLDS parts by a hash.  The trees, and the counts under suffixes,
 that judge a part come from the other parts only, so that no URL is judged by what was
 learnt from itself; accuracy() says how such verdicts agree with the rules' labels.
 """
@@ -33,10 +34,10 @@ from .words import raw
 SAMPLE = 5000
 TREES, DEPTH, SEED = 12, 4, 5
 FOLDS = 2
-#: Labels of a host's suffixes that block rates are counted for.
-SUFFIXES = (1, 2)
-#: Pseudo-counts that draw the block rate of a rare suffix to the overall rate.
-SMOOTH = 20.0
+#: What pages are counted for: the host's last label and the path's first segment.
+COUNTED = ("suffix", "segment")
+#: Pseudo-counts that draw a block rate to the overall rate, and pages that a rate needs: that of fewer would tell a URL's own label.
+SMOOTH, FEWEST = 20.0, 50
 STEP_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,6 +75,11 @@ def decide(rules: list[Rule], host: Column, path: Column) -> Column:
     return out
 
 
+def counted(name: str) -> Column:
+    """Of host and path, what pages are counted for."""
+    return {"suffix": F.substring_index("host", ".", -1), "segment": F.regexp_extract("path", "^/([^/]*)", 1)}[name]
+
+
 def lexical(urls: pa.Array, hosts: pa.Array, paths: pa.Array) -> np.ndarray:
     """A row of NAMES for each URL."""
     data, at = raw(urls)
@@ -115,23 +121,23 @@ def _judged(pages: DataFrame, rules: list[Rule], key: str, url: str, sample: int
     counts = {(r.fold, r.verdict): r["count"] for r in given.groupBy("fold", "verdict").count().collect()}
     blocked = (F.col("verdict") == "block").cast("long")
     rates = []
-    for k in SUFFIXES:
-        g = given.groupBy(F.substring_index("host", ".", -k).alias(f"suffix{k}"), "fold").agg(F.sum(blocked).alias("b"), F.count(F.lit(1)).alias("n"))
-        rates.append(g.groupBy(f"suffix{k}").agg(F.collect_list(F.struct("fold", "b", "n")).alias(f"known{k}")))  # an entry per fold
+    for k in COUNTED:
+        g = given.groupBy(counted(k).alias(k), "fold").agg(F.sum(blocked).alias("b"), F.count(F.lit(1)).alias("n"))
+        rates.append(g.groupBy(k).agg(F.collect_list(F.struct("fold", "b", "n")).alias(f"known_{k}")))  # an entry per fold
 
     def with_rates(df: DataFrame, fold: int, rate: float) -> DataFrame:
-        """df with suffix1, suffix2, ... and the rates under them outside the fold."""
-        for k, known in zip(SUFFIXES, rates, strict=True):
-            other = F.filter(F.coalesce(f"known{k}", F.array().cast("array<struct<fold:int,b:bigint,n:bigint>>")), lambda x: x["fold"] != fold)
+        """df with what COUNTED names, and the block rate (rate_) of each outside the fold."""
+        for k, known in zip(COUNTED, rates, strict=True):
+            other = F.filter(F.coalesce(f"known_{k}", F.array().cast("array<struct<fold:int,b:bigint,n:bigint>>")), lambda x: x["fold"] != fold)
             total = lambda c, o=other: F.aggregate(o, F.lit(0).cast("long"), lambda s, x: s + x[c])
-            df = df.withColumn(f"suffix{k}", F.substring_index("host", ".", -k)).join(known, f"suffix{k}", "left").withColumn(f"rate{k}", (total("b") + SMOOTH * rate) / (total("n") + SMOOTH)).drop(f"known{k}")
+            df = df.withColumn(k, counted(k)).join(known, k, "left").withColumn(f"rate_{k}", F.when(total("n") >= FEWEST, (total("b") + SMOOTH * rate) / (total("n") + SMOOTH)).otherwise(rate)).drop(f"known_{k}")
         return df
 
     def share(fold: int) -> float:
         n = sum(c for (f, _), c in counts.items() if f != fold)
         return sum(c for (f, v), c in counts.items() if f != fold and v == "block") / n if n else 0.0
 
-    vector = array_to_vector(F.concat("lexical", F.array(*[F.col(f"rate{k}") for k in SUFFIXES], F.length("suffix1").cast("double"))))
+    vector = array_to_vector(F.concat("lexical", F.array(F.col("rate_suffix"), F.col("rate_segment"), F.length("suffix").cast("double"))))
     picked = None
     for f, v in sorted(counts):
         one = given.where((F.col("fold") == f) & (F.col("verdict") == v)).groupBy("url", "host", "path", "fold", "verdict").agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.xxhash64("url"), "url").limit(sample)

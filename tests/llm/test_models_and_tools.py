@@ -156,24 +156,41 @@ def test_url_trees_learn(spark):
 
 
 def test_suffix_rates_count_all_pages(spark, monkeypatch):
-    """With two URLs of each label to fit on, the trees still see each suffix's rate over all rows, and weights that add up to them."""
+    """With two URLs of each label to fit on, the trees still see each suffix's rate over all rows of the other parts, and weights that add up to them."""
     from pyspark.sql import functions as F
 
     rows = [(f"http://a{i}.bad/x/" if i % 4 else f"http://a{i}.bad/y/") for i in range(200)] + [f"http://b{i}.odd/y/" for i in range(30)] + ["http://same.fine/y/"] * 170
-    seen = {}
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    seen = []
     fit = urls.GBTClassifier.fit
 
     def look(self, frame):
-        seen["weights"] = {r.label: r.w for r in frame.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
-        seen["rates"] = {round(float(r.features[len(urls.NAMES)]), 6) for r in frame.collect()}
+        seen.append(({r.label: r.w for r in frame.groupBy("label").agg(F.sum("weight").alias("w")).collect()}, {round(float(r.features[len(urls.NAMES)]), 6) for r in frame.collect()}))
         return fit(self, frame)
 
     monkeypatch.setattr(urls.GBTClassifier, "fit", look)
-    pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
     assert urls.filter_urls(pages, [urls.Rule("block", "bad", "/x/")], sample=2).count() == 400
-    assert seen["weights"] == pytest.approx({1.0: 150, 0.0: 250})
-    rate = 150 / 400
-    assert seen["rates"] <= {round((b + urls.SMOOTH * rate) / (n + urls.SMOOTH), 6) for b, n in ((150, 200), (0, 30), (0, 170))}
+    folds = {r.page_id: r.fold for r in pages.select("page_id", F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(urls.FOLDS)).alias("fold")).collect()}
+    assert len(seen) == urls.FOLDS
+    for fold in range(urls.FOLDS):
+        own = [u for i, u in enumerate(rows) if folds[i] != fold]
+        bad = sum(u.endswith("/x/") for u in own)
+        rate = bad / len(own)
+        count = lambda s: (sum(s in u and u.endswith("/x/") for u in own), sum(s in u for u in own))
+        rates = {round((b + urls.SMOOTH * rate) / (n + urls.SMOOTH), 6) for b, n in map(count, (".bad/", ".odd/", ".fine/")) if n >= urls.FEWEST} | {round(rate, 6)}
+        assert any(w == pytest.approx({1.0: bad, 0.0: len(own) - bad}) and r <= rates for w, r in seen)
+
+
+def test_url_accuracy(spark):
+    """Trees that haven't seen a URL agree with its label; a URL is judged alike however often it occurs."""
+    rng = random.Random(16)
+    bad = lambda: f"http://w{rng.randint(0, 9)}.bad.test/" + "".join(rng.choice("0123456789") for _ in range(60))
+    good = lambda: f"http://w{rng.randint(0, 9)}.fine.test/" + "".join(rng.choice("abcdef") for _ in range(10))
+    rows = [(i, bad() if i % 3 == 0 else good()) for i in range(500)]
+    pages = spark.createDataFrame([*rows, *[(1000 + i, rows[0][1]) for i in range(50)], (None, None)], "page_id long, url string")
+    rules = [urls.Rule("block", "bad.test", "/"), urls.Rule("allow", "fine.test", "/")]
+    found = {r.label: (r.rows, r.blocked) for r in urls.accuracy(pages, rules).collect()}
+    assert found["block"][0] == 217 and found["allow"][0] == 333 and found["block"][1] >= 0.95 * 217 and found["allow"][1] <= 0.05 * 333
 
 
 def test_tool_calls(spark):
