@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes what a
 stage returns to the shared folder and gives the next stage the table read back.
 All but the last return the columns of `documents`.
+
+Every row is judged by itself: rows without an identifier, or sharing one, are rows like
+others.  Of rows equal in text one stays; null and empty texts have nothing to be
+compared and are judged by the classifier alone.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenloom.llm import bpe, decontam, fm, jaccard, queries, substrings
-from screenloom.llm.exchange import written
+from screenloom.llm.exchange import kept, scratch, written
 
 #: The key of a row inside a stage.
 ROW = "_row_key"
@@ -80,9 +84,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = queries.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if (name, stage) != STAGES[-1]:
-            docs = written(docs)
-    return docs
+    """All stages; tables made on the way are deleted when the next stage has been written, but for the one that the result reads."""
+    docs, path = queries.table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        with scratch(spark, path):
+            docs, path = kept(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
