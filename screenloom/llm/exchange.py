@@ -243,17 +243,23 @@ _SCOPES: list[list[str]] = []
 
 def written(df: DataFrame) -> DataFrame:
     """These rows as a table in the shared folder; inside scratch() it goes when that ends."""
-    path = f"{shared(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    out, path = kept(df)
     if _SCOPES:
         _SCOPES[-1].append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return out
+
+
+def kept(df: DataFrame) -> tuple[DataFrame, str]:
+    """These rows as a table in the shared folder that stays, and its path."""
+    path = f"{shared(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes the tables written inside when it ends: what is read later must be written outside."""
-    _SCOPES.append([])
+def scratch(spark: SparkSession, *paths: str | None) -> Iterator[None]:
+    """Deletes the tables written() inside, and these, when it ends: what is read later must be kept()."""
+    _SCOPES.append([p for p in paths if p])
     try:
         yield
     finally:

@@ -122,8 +122,7 @@ d AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, run ORDER B
 r AS (SELECT conv_id, turn - 1 AS turn, text FROM conversations WHERE role = 'assistant'),
 j AS (SELECT c.*, d.depth, r.text AS result, r.turn IS NOT NULL AS has
       FROM calls c JOIN d ON d.conv_id = c.conv_id AND d.turn = c.turn LEFT JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn),
-e AS (SELECT *, concat_ws('; ', CASE WHEN length(text) < 1 THEN 'text: too small' WHEN length(text) > 4000 THEN 'text: too large' WHEN text IS NULL THEN 'text: missing' END,
-                          CASE WHEN turn > CASE name WHEN 'reply' THEN 1000 ELSE 0 END THEN 'turn: too large' END, CASE WHEN NOT has THEN 'no result' END) AS errors FROM j)
+e AS (SELECT *, concat_ws('; ', CASE WHEN length(text) < 1 THEN 'text: too small' WHEN text IS NULL THEN 'text: missing' END, CASE WHEN NOT has THEN 'no result' END) AS errors FROM j)
 SELECT conv_id, 'call-' || turn AS call_id, name, depth::BIGINT AS depth, has::BIGINT AS n_results, errors,
        CASE WHEN errors = '' THEN '{"arguments":{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"id":"call-' || turn || '","name":"' || name || '","result":' || to_json(result)::VARCHAR || '}' END AS json
 FROM e""",

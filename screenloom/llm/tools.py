@@ -85,12 +85,34 @@ def _stuck(at: DataFrame) -> bool:
     return at.join(done, ["thread", "up"], "left_semi").isEmpty()
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: list[Argument]) -> DataFrame:
+def longest_paths(calls: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """(thread, id, depth): the longest path of dependencies (thread, id, after) that leads to each call; null in or behind a cycle or a missing call.
+
+    Layer by layer: a call whose dependencies all have a depth comes after the deepest.
+    Rounds are as many as the longest path has calls; each looks at the calls that are
+    left only.
+    """
+    calls = calls.select("thread", "id").distinct()
+    edges = settle(dependencies.where("after IS NOT NULL").select("thread", "id", "after").distinct().join(calls.hint("shuffle_hash"), ["thread", "id"], "left_semi"))
+    waiting = edges.groupBy("thread", "id").agg(F.count(F.lit(1)).alias("n"))
+    done = settle(calls.join(waiting, ["thread", "id"], "left_anti").select("thread", "id", F.lit(0).cast("long").alias("depth")))
+    fresh, depth = done, 0
+    while not fresh.isEmpty():
+        depth += 1
+        met = edges.join(done.select("thread", F.col("id").alias("after")), ["thread", "after"], "left_semi").groupBy("thread", "id").agg(F.count(F.lit(1)).alias("met"))
+        fresh = settle(met.join(waiting, ["thread", "id"]).where("met = n").join(done, ["thread", "id"], "left_anti").select("thread", "id", F.lit(depth).cast("long").alias("depth")))
+        done = done.unionByName(fresh)
+    return calls.join(done, ["thread", "id"], "left")
+
+
+def link_calls(calls: DataFrame, results: DataFrame, schemas: list[Argument], dependencies: DataFrame | None = None) -> DataFrame:
     """A row for each distinct call (thread, id, name, arguments, after) with its result (thread, id, content).
 
     Returns thread, id, name, depth (its place in topological order: ties by id),
     n_results, errors (array) and json: the call's arguments, id, name and result as
-    canonical JSON, null with any error.
+    canonical JSON, null with any error: keys in order, no white space, numbers as the
+    VARIANT type holds them.  Calls that wait for several others name them in
+    `dependencies` (thread, id, after), which then count in place of `after`.
 
     Of several calls with the same thread and id the smallest (name, arguments, after)
     counts, and `duplicate id` is an error unless they are equal; of several results
@@ -103,7 +125,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: list[Argument]) ->
     one = F.struct("name", "arguments", "after")
     calls = calls.groupBy("thread", "id").agg(F.min(one).alias("c"), (F.min(one) != F.max(one)).alias("twice")).select("thread", "id", "c.*", "twice")
     answers = results.where("thread IS NOT NULL AND id IS NOT NULL").groupBy("thread", "id").agg(F.count(F.lit(1)).alias("n_results"), F.min("content").alias("result"), (F.min("content") != F.max("content")).alias("unequal"))
-    linked = calls.join(answers, ["thread", "id"], "left").join(depths(calls), ["thread", "id"])
+    order = depths(calls) if dependencies is None else longest_paths(calls, dependencies)
+    linked = calls.join(answers.hint("shuffle_hash"), ["thread", "id"], "left").join(order.hint("shuffle_hash"), ["thread", "id"])
     errors = F.concat(
         argument_errors(linked, schemas),
         F.array_compact(F.array(F.when(F.col("twice"), "duplicate id"), F.when(F.col("n_results").isNull(), "no result"), F.when(F.col("unequal"), "unequal results"), F.when(F.col("depth").isNull(), "unordered"))),
@@ -115,8 +138,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: list[Argument]) ->
 
 #: Calls of the conversations table: a turn of the user asks the tool `reply`, and one of the system sets the tool `configure`.
 CONVERSATION_TOOLS = [
-    Argument("reply", "text", "string", True, 1, 4000), Argument("reply", "turn", "integer", True, 0, 1000),
-    Argument("configure", "text", "string", True, 1, 4000), Argument("configure", "turn", "integer", True, 0, 0),
+    Argument("reply", "text", "string", True, 1), Argument("reply", "turn", "integer", True, 0),
+    Argument("configure", "text", "string", True, 1), Argument("configure", "turn", "integer", True, 0),
 ]
 
 
@@ -135,7 +158,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = asks.select("conv_id", "turn", F.when(F.col("role") == "user", "reply").otherwise("configure").alias("name"), F.to_json(F.struct("turn", "text")).alias("arguments"))
     for back in (1, 2):
         earlier = before.select("conv_id", (F.col("turn") + back).alias("turn"), F.col("turn").alias(f"before{back}"))
-        calls = calls.join(earlier, ["conv_id", "turn"], "left")
+        calls = calls.join(earlier.hint("shuffle_hash"), ["conv_id", "turn"], "left")
     calls = calls.select(F.col("conv_id").alias("thread"), name(F.col("turn")).alias("id"), "name", "arguments", F.when(F.coalesce("before1", "before2").isNotNull(), name(F.coalesce("before1", "before2"))).alias("after"))
     results = turns.where("role = 'assistant'").select(F.col("conv_id").alias("thread"), name(F.col("turn") - 1).alias("id"), F.col("text").alias("content"))
     return calls, results

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import pytest
@@ -167,13 +168,29 @@ def test_ring(spark, docs, empty):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(counts[s]))
     assert all(r.text_crc32 == zlib.crc32(("same" if r.doc_id == 7 and r.size == 5 else "t" * (r.size - 1)).encode()) for r in got)
     # every key is at its own point's shard or that shard is full
+    from pyspark.sql import functions as F
+
     at = ring.ring(16, ring.POINTS)
+    places, full = [p for p, _ in at], {s for s in counts if counts[s] == max(counts.values()) or len(rows) % 16 == 0 or counts[s] == min(counts.values())}
+    keys = spark.createDataFrame([(i,) for i in range(3000)], "doc_id long").select("doc_id", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("ring")), F.lit(ring.TOP)).alias("h"))
+    home = {r.doc_id: at[bisect_left(places, r.h) % len(at)][1] for r in keys.collect()}
+    loads = Counter(home[r.doc_id] if r.doc_id is not None else -1 for r in got)
+    away = [r for r in got if r.doc_id is not None and r.doc_id != 7 and r.shard != home[r.doc_id]]
+    assert all(loads[home[r.doc_id]] > counts[home[r.doc_id]] - 5 for r in away) and len(full) == 16
+    assert len(away) <= sum(max(0, n - len(rows) // 16) for n in loads.values()) + len(counts)  # no more than overflow
     assert len(at) == 16 * ring.POINTS and [p for p, s in at if s < 8] == [p for p, _ in ring.ring(8, ring.POINTS)]
     assert ring.shard_documents(empty).count() == 0
     # one more shard moves few rows beyond those it takes
     more = {r.doc_id: r.shard for r in ring.shard_documents(spark.createDataFrame(rows[:3000], "doc_id long, text string"), shards=17).collect()}
     few = {r.doc_id: r.shard for r in ring.shard_documents(spark.createDataFrame(rows[:3000], "doc_id long, text string"), shards=16).collect()}
-    assert sum(more[k] != few[k] for k in few) < 0.4 * len(few)
+    home17 = [p for p, _ in ring.ring(17, ring.POINTS)]
+    own = ring.ring(17, ring.POINTS)
+    hashes = {r.doc_id: r.h for r in keys.collect()}
+    after = {k: own[bisect_left(home17, h) % len(own)][1] for k, h in hashes.items()}
+    overflow = sum(few[k] != home[k] for k in few) + sum(more[k] != after[k] for k in few)
+    # what moves is what the new shard takes and what overflows before or after
+    assert sum(more[k] != few[k] for k in few) <= sum(after[k] == 16 for k in few) + overflow
+    assert sum(more[k] != few[k] for k in few) < 0.25 * len(few)
 
 
 def test_deal_loads():
