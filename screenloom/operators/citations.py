@@ -1,40 +1,107 @@
-"""Author and year citations in texts: greedy spans by pattern priority."""
+"""Author and year citations in texts, and the references that they may mean."""
 
 from __future__ import annotations
 
+import calendar
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NAME = r"[A-ZÀ-Þ][\w'’-]+"
-#: Most specific first: three authors, two, et al., possessive, one; each with its year.
+from ..functions import text as T
+from . import folds
+
+#: How names, years and what may follow a year in parentheses look.
+LETTERS = "À-ɏḀ-ỿ"
+PARTICLE = r"(?:van\s+der\s+|van\s+|von\s+|de\s+la\s+|de\s+|da\s+|del\s+|den\s+|der\s+|du\s+|le\s+|la\s+|el\s+|al\s+)?"
+NAME = rf"(?:{PARTICLE}[A-ZÀ-ɏ][\w{LETTERS}]{{2,}})"
+YEAR, TAIL = r"(?:19|20)\d{2}", r"(?:\s*[,;][^)]{0,60})?"
+AND, OWNER = r"\s+(?:and|&)\s+", r"\s*'?s?\s*"
+#: The patterns, most specific first.
 PATTERNS = [
-    rf"({NAME}), {NAME},? (?:and|&) {NAME},? \(?((?:19|20)\d\d)\)?", rf"({NAME}) (?:and|&) {NAME},? \(?((?:19|20)\d\d)\)?", rf"({NAME}) et al\.?,? \(?((?:19|20)\d\d)\)?",
-    rf"({NAME})['’]s? \(?((?:19|20)\d\d)\)?", rf"({NAME}),? \(?((?:19|20)\d\d)\)?",
-]
-COMPILED = [re.compile(p) for p in PATTERNS]
+    ("multi_and_paren", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}){OWNER}\(({YEAR}){TAIL}\)"),
+    ("multi_and_bare", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}),?\s+({YEAR})(?!\d)"),
+    ("etal_paren", rf"({NAME})\s+et\s+al\.?{OWNER}\(({YEAR}){TAIL}\)"),
+    ("etal_bare", rf"({NAME})\s+et\s+al\.?\s*,?\s+({YEAR})(?!\d)"),
+    ("two_and_paren", rf"({NAME}){AND}({NAME}){OWNER}\(({YEAR}){TAIL}\)"),
+    ("two_and_bare", rf"({NAME}){AND}({NAME}),?\s+({YEAR})(?!\d)"),
+    ("single_paren", rf"({NAME}){OWNER}\(({YEAR}){TAIL}\)"),
+    ("single_bare", rf"({NAME}),?\s+({YEAR})(?!\d)"),
+]
+COMPILED = [(n, re.compile(p)) for n, p in PATTERNS]
+#: Names of months and weekdays are never authors.
+DATES = {m.lower() for m in [*calendar.month_name, *calendar.day_name] if m}
+#: Words before a bare year that aren't authors, for strict extraction.
+LEADS = DATES - {d.lower() for d in calendar.day_name} | {m.lower() for m in calendar.month_abbr if m} | {
+    w.lower() for w in (
+        "Winter Spring Summer Fall Autumn "
+        "Study Studies Table Figure Fig Experiment Experiments Session Sessions Wave Waves Sample Samples Model Models Appendix Chapter Section Panel Phase Trial Trials Cohort Group Groups "
+        "Item Items Question Version Round Block Condition Column Row Note Equation Hypothesis Day Week Month Year Time Age Quarter Volume Vol Issue Number No Page Part Level Step Set Series Line Site Class Type Grade "
+        "COVID SARS MERS HIV AIDS EU US USA UK UN WHO GDP AI ML PCR DNA RNA "
+        "Since During Between From Until After Before In On By At For With Within Over Through Under Around About Across Throughout Post Pre Early Late The This That These Those Their Our Its And But However Thus Here There "
+        "When While Copyright Circa Ca Fiscal Academic Christmas Easter"
+    ).split()
+}
+FIRST, LAST = 1900, 2099
+
 
+def spans(text: str, max_year: int | None = None, strict: bool = False) -> list[tuple[str, int, int, str, int]]:
+    """(pattern, start, end, first author's surname, year), in order of pattern and then of place.
 
-def spans(text: str) -> list[tuple[int, int, int, str, int]]:
-    """(pattern, start, end, surname, year), without overlaps: earlier patterns first, then from left to right."""
-    taken: list[tuple[int, int, int, str, int]] = []
-    for k, pattern in enumerate(COMPILED):
+    A match that overlaps one of an earlier pattern is left out, as are months and
+    weekdays for authors and years after max_year.  strict: neither does a bare year
+    after a word that isn't a name count.
+    """
+    out, taken = [], []
+    for name, pattern in COMPILED:
         for m in pattern.finditer(text):
-            if all(m.end() <= a or m.start() >= b for _, a, b, _, _ in taken):
-                taken.append((k, m.start(), m.end(), m[1].lower(), int(m[2])))
-    return sorted(taken, key=lambda t: t[1])
+            start, end, *groups = m.start(), m.end(), *m.groups()
+            at = bisect_left(taken, (start, end))
+            if at < len(taken) and taken[at][0] < end or at and taken[at - 1][1] > start:
+                continue
+            lead = groups[0].strip().lower().rstrip(",")
+            if strict and name == "single_bare" and (lead in LEADS or lead.split()[-1] in LEADS):
+                continue
+            if any(w.lower() in DATES for g in groups[:-1] for w in re.findall(r"[A-Za-z-]+", g)):
+                continue
+            year = int(groups[-1])
+            if not FIRST <= year <= LAST or max_year is not None and year > max_year:
+                continue
+            out.append((name, start, end, re.sub(r"[\s']", "", groups[0]).lower(), year))
+            taken.insert(at, (start, end))
+    return out
+
 
+def find_citations(docs: DataFrame, key: str, text: str, max_year: str | None = None, strict: bool = False) -> DataFrame:
+    """(key, n, pattern, start, raw, surname, year) of every citation; n: its order in the text's patterns.
 
-def find_citations(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pattern, start, surname, year) of every citation."""
+    Texts without a year are left out before any is searched.  Null text: none.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, p, a, name, year) for k, t in zip(batch["key"], batch["text"], strict=True) for p, a, _, name, year in spans(t or "")]
-            yield pd.DataFrame(rows, columns=["key", "pattern", "start", "surname", "year"])
+            rows = [(k, n, p, a, t[a:b], name, year) for k, t, most in zip(batch["key"], batch["text"], batch["most"], strict=True) for n, (p, a, b, name, year) in enumerate(spans(t, None if pd.isna(most) else int(most), strict))]
+            yield pd.DataFrame(rows, columns=["key", "n", "pattern", "start", "raw", "surname", "year"])
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (F.col(max_year).cast("double") if max_year else F.lit(None).cast("double")).alias("most"))
+    rows = rows.where(F.col("text").rlike("(?:19|20)[0-9]{2}"))
+    return rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, n int, pattern string, start int, raw string, surname string, year int").withColumnRenamed("key", key)
+
+
+def find_candidates(citations: DataFrame, references: DataFrame, work: str = "work_id") -> DataFrame:
+    """(work, ref_id, title, year, match_year_exact, cited) of the references that a work's citations may mean, each by the first citation that fits.
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, pattern int, start int, surname string, year int").withColumnRenamed("key", key)
+    citations: work, n, raw, surname, year, doi_self; references: work, ref_id, doi, title,
+    year, surnames (array).  A reference fits with a surname and with the year or one beside
+    it, tried in the order 0, 1, -1; the work itself isn't its own candidate.  The years are
+    listed, so that the join is by work and year.
+    """
+    near = F.array(*[F.struct(F.lit(i).alias("order"), (F.col("year") + d).alias("near"), F.lit(d == 0).alias("exact")) for i, d in enumerate((0, 1, -1))])
+    asked = citations.select(work, "n", "raw", "surname", "doi_self", F.explode(near).alias("y")).select(work, "n", "raw", "surname", "doi_self", "y.order", F.col("y.near").alias("year"), "y.exact")
+    hits = asked.join(references.withColumnRenamed("surnames", "_names"), [work, "year"])
+    hits = hits.where(F.exists("_names", lambda a: T.authors_match(F.col("surname"), F.lower(F.trim(a)))))
+    hits = hits.where(~F.coalesce(T.clean_doi(F.col("doi")) == T.clean_doi(F.col("doi_self")), F.lit(False)))
+    return folds.first_by(hits.select(work, "ref_id", "n", "order", "title", "year", F.col("exact").alias("match_year_exact"), F.col("raw").alias("cited")), [work, "ref_id"], ["n", "order"]).drop("n", "order")

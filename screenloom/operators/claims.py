@@ -57,6 +57,22 @@ def follow(events: DataFrame, claim: str, kind: str, at: str, hours: int = 6) ->
     return one.select("claim", "tier", F.lit(kind).alias("kind"), "works", now.alias("at"), F.greatest("expires_at", end).alias("expires_at"))
 
 
+def select_verdicts(verdicts: DataFrame, claims: DataFrame, mode: str | None = None, generation: str | None = None, kinds: list[str] | None = None, superseded: bool = False) -> DataFrame:
+    """Verdicts with their claim's mode and generation, of the given mode, generation and kinds of verdict; superseded ones only if asked for.
+
+    verdicts: claim, verdict, superseded_by; claims: claim, mode, generation.  A verdict
+    whose claim is unknown has neither and is left out where either is asked for.
+    """
+    out = verdicts.join(claims.select("claim", "mode", "generation"), "claim", "left")
+    if mode is not None:
+        out = out.where(F.col("mode") == mode)
+    if generation is not None:
+        out = out.where(F.col("generation") == generation)
+    if kinds is not None:
+        out = out.where(F.col("verdict").isin(kinds))
+    return out if superseded else out.where("superseded_by IS NULL")
+
+
 def verdict_rows(verdicts: DataFrame) -> DataFrame:
     """Verdicts with the content hash of their response."""
     return verdicts.withColumn("response_hash", F.sha2("response", 256)).drop("response")

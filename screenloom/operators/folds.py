@@ -55,23 +55,63 @@ def without(df: DataFrame, others: list[tuple[DataFrame, str]]) -> DataFrame:
 
 
 def dominant(df: DataFrame, keys: list[str], score: str, item: str, least: float, ratio: float) -> DataFrame:
-    """Of each key the best item, if its score is at least `least` and `ratio` times the second's."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(score), item)
-    ranked = df.withColumn("_rank", F.row_number().over(w)).withColumn("second", F.coalesce(F.lead(score).over(w), F.lit(0.0)))
-    return ranked.where((F.col("_rank") == 1) & (F.col(score) >= least) & (F.col(score) >= ratio * F.col("second"))).drop("_rank")
+    """Of each key the best item, if its score is at least `least` and `ratio` times the second's; a row per key and item.
 
+    By maxima joined back, so that no task sorts a key's rows.
+    """
+    top = df.groupBy(*keys).agg(F.max(score).alias("_top"))
+    best = df.join(top, keys).where(F.col(score) == F.col("_top")).groupBy(*keys).agg(F.min(F.struct(item, *[c for c in df.columns if c not in keys and c != item])).alias("_best"))
+    rest = df.join(best.select(*keys, F.col(f"_best.{item}").alias("_item")), keys).where(~F.col(item).eqNullSafe(F.col("_item"))).groupBy(*keys).agg(F.max(score).alias("second"))
+    out = best.select(*keys, "_best.*").join(rest, keys, "left").withColumn("second", F.coalesce("second", F.lit(0.0)))
+    return out.where((F.col(score) >= least) & (F.col(score) >= ratio * F.col("second"))).select(*df.columns, "second")
+
+
+def suffixed(df: DataFrame, base: str, order: list[str], name: str = "key", given: DataFrame | None = None) -> DataFrame:
+    """Rows of an equal base told apart: the first as it is, then b, c, ... and after z the number.
 
-def suffixed(df: DataFrame, base: str, order: list[str], name: str = "key") -> DataFrame:
-    """Rows of an equal base told apart: the first as it is, then b, c, ... and after z the number."""
+    given: (key) of rows that have one already, whose places are taken.
+    """
     n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return df.withColumn("_n", n).withColumn(name, F.concat(base, F.when(F.col("_n") == 1, "").when(F.col("_n") <= 26, F.chr(F.col("_n") + 96)).otherwise(F.col("_n").cast("string")))).drop("_n")
+    df = df.withColumn("_n", n)
+    if given is not None:
+        # a key is its base, or that with a letter or number after it
+        bases = F.array_distinct(F.array("key", F.regexp_replace("key", r"[b-z]\z", ""), F.regexp_replace("key", r"(?:2[7-9]|[3-9][0-9]|[1-9][0-9]{2,})\z", "")))
+        taken = given.select("key").distinct().select(F.explode(bases).alias(base)).groupBy(base).agg(F.count(F.lit(1)).alias("_taken"))
+        df = df.join(taken, base, "left").withColumn("_n", F.col("_n") + F.coalesce("_taken", F.lit(0))).drop("_taken")
+    return df.withColumn(name, F.concat(base, F.when(F.col("_n") == 1, "").when(F.col("_n") <= 26, F.chr(F.col("_n") + 96)).otherwise(F.col("_n").cast("string")))).drop("_n")
+
+
+#: Rows of a prefix in content_digest, on average.
+PER_PREFIX = 50_000
+
+
+def shard_digests(df: DataFrame, key: str, lines: Column, width: int = 2) -> DataFrame:
+    """(shard, rows, digest): rows dealt by the first characters of their key's md5; the digest of a shard is the same for any order of its rows.
+
+    A sum of hashes, so that each task sends one row per shard.
+    """
+    part = lambda at: F.conv(F.substring(F.md5(lines), at, 15), 16, 10).cast("decimal(38,0)")
+    g = df.groupBy(F.substring(F.md5(F.col(key).cast("string")), 1, width).alias("shard")).agg(F.count(F.lit(1)).alias("rows"), F.sum(part(1)).alias("a"), F.sum(part(16)).alias("b"))
+    return g.select("shard", "rows", F.md5(F.concat_ws(":", "rows", "a", "b")).alias("digest"))
+
+
+def changed_shards(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(shard, why) of shards (shard, digest) to copy: new, gone or changed."""
+    both = before.select("shard", F.col("digest").alias("_was")).join(after.select("shard", "digest"), "shard", "full")
+    return both.where(~F.col("_was").eqNullSafe(F.col("digest"))).select("shard", F.when(F.col("_was").isNull(), "new").when(F.col("digest").isNull(), "gone").otherwise("changed").alias("why"))
 
 
 def content_digest(df: DataFrame, lines: Column) -> DataFrame:
     """One row, `fingerprint`: sha256 over the lines' sha256 in order, the same however the rows are dealt.
 
-    Rows are first folded to one digest for each of 4096 prefixes, so that no task holds all lines.
+    Rows are first folded to one digest for each prefix of their hash, as many as keep a
+    prefix under PER_PREFIX rows, and those again, so that no task holds many lines.
     """
     hashed = df.select(F.sha2(lines, 256).alias("h"))
-    parts = hashed.groupBy(F.substring("h", 1, 3).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"))
+    n, width = df.count(), 3
+    while n > PER_PREFIX * 16**width:
+        width += 1
+    parts = hashed.groupBy(F.substring("h", 1, width).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"))
+    for shorter in range(width - 1, 2, -1):
+        parts = parts.groupBy(F.substring("p", 1, shorter).alias("q")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), "\n"), 256).alias("d")).withColumnRenamed("q", "p")
     return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), "\n"), 256).alias("fingerprint"))

@@ -8,27 +8,29 @@ from ..functions import parse
 from ..functions import text as T
 from ..functions.regex import to_java
 from ..operators import folds
+from ..sources import tables
+from . import release as L
 from . import rules as R
 from .registry import Registry
-from .standins import LOG_SQL, POOL_SQL, ROUTED_SQL, log, pool, rounded, routed, table
+from .standins import BUNDLE, LOG_SQL, POOL_SQL, ROUTED_SQL, log, pool, rounded, routed, table
 
 query = Registry()
 
 
 @query()
 def token_set_match(spark, sf_dir):
-    """For each distinct title of parts the first other one, in order, that shares a word and has nearly the same words."""
-    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title")).distinct()
-    words = titles.select("title", F.explode(T.title_words(F.col("title"))).alias("word"))
-    pairs = words.join(words.select(F.col("title").alias("other"), "word"), "word").where("title < other").select("title", "other").distinct()
+    """For each distinct title of a year the first other one of that year, in order, that shares a word and has nearly the same words."""
+    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title"), (1950 + F.col("p_size")).alias("year")).distinct()
+    words = titles.select("title", "year", F.explode(T.title_words(F.col("title"))).alias("word"))
+    pairs = words.join(words.withColumnRenamed("title", "other"), ["year", "word"]).where("title < other").select("year", "title", "other").distinct()
     hits = pairs.withColumn("ratio", parse.token_set_ratio_of("title", "other")).where("ratio >= 75")
-    return folds.first_by(hits, ["title"], ["other"])
+    return folds.first_by(hits, ["title", "year"], ["other"])
 
 
 @query()
 def quote_ratio(spark, sf_dir):
-    """How well a work's title is found in its abstract."""
-    return pool(spark, sf_dir).select("work_id", rounded(parse.quote_ratio_of("title", "abstract")).alias("ratio"))
+    """Works whose title is found in their whole abstract, or nearly so."""
+    return tables.spread(pool(spark, sf_dir)).select("work_id", parse.quote_found_of("title", "abstract").alias("found"))
 
 
 @query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part")
@@ -41,11 +43,13 @@ def citation_cleaning(spark, sf_dir):
 def reference_lists(spark, sf_dir):
     """Authors, years and titles of references made of each brand's parts, one list per brand and size."""
     line = F.concat(F.lit("["), "p_partkey", F.lit("] Maker, B. ("), 1950 + F.col("p_size"), F.lit("). "), F.initcap("p_name"), F.lit("."))
-    lists = table(spark, sf_dir, "part").groupBy("p_brand", "p_size").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("block"))
+    # a line is parsed by itself, so that long lists may be cut
+    cut = F.pmod(F.xxhash64("p_partkey"), F.lit(16)).alias("cut")
+    lists = table(spark, sf_dir, "part").groupBy("p_brand", "p_size", cut).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("block"))
     return lists.select("p_brand", "p_size", F.explode(parse.references_of("block")).alias("r")).select("p_brand", "p_size", "r.authors", "r.year", "r.title")
 
 
-@query()
+@query(f"WITH {POOL_SQL}, s AS (SELECT work_id, 'abstract' AS heading, length(trim(title, ' ' || chr(9) || chr(10) || chr(13))) AS chars FROM p UNION ALL SELECT work_id, 'methods', length(trim(abstract, ' ' || chr(9) || chr(10) || chr(13))) FROM p) SELECT work_id, heading, chars::INTEGER AS chars FROM s WHERE chars > 0")
 def section_lengths(spark, sf_dir):
     text = F.concat(F.lit("Abstract\n"), "title", F.lit("\nMethods\n"), "abstract")
     s = pool(spark, sf_dir).select("work_id", F.explode(parse.sections_of(text)).alias("s"))
@@ -66,14 +70,14 @@ def validated_skip(spark, sf_dir):
     return out.withColumn("action", F.when(F.col("known"), "skip").when(F.col("identified") < F.col("records") / 2, "ask").otherwise("keep"))
 
 
-@query(f"WITH {ROUTED_SQL} SELECT r.work_id, CASE WHEN r.rule_id = 'syn-es' THEN 'reproduction' WHEN r.rule_id IN ('syn-de', 'syn-lang') THEN 'replication' ELSE 'candidate' END AS status, 'engine:' || substr(md5('release'), 1, 12) AS method FROM routing r WHERE r.pile LIKE 'screen%'")
+@query(f"""WITH {ROUTED_SQL} SELECT r.work_id, CASE WHEN r.rule_id = 'skim-spanish' THEN 'reproduction' WHEN r.rule_id IN ('skim-german', 'skim-language') THEN 'replication' ELSE 'needs_review' END AS paper_type, 'engine:0123456789ab' AS filter_method,
+  'rule:' || r.rule_id || '; ' || CASE r.rule_id WHEN 'ask-contact' THEN regexp_extract(txt, '(?i)[a-z]@[a-z]') WHEN 'skim-spanish' THEN regexp_extract(txt, '(?i)\\bde los\\b') WHEN 'skim-german' THEN regexp_extract(abstract, '(?i)\\bder die\\b|\\bund der\\b') ELSE 'fields' END AS filter_evidence,
+  CASE WHEN r.pile = 'screen_expensive' THEN 'high' ELSE 'medium' END AS filter_confidence FROM routing r JOIN p ON p.work_id = r.work_id WHERE r.pile LIKE 'screen%' AND 1990 + p.n_chars % 30 BETWEEN 1995 AND 2010""")
 def export_status(spark, sf_dir):
-    """The status of an exported work: its rule's vocabulary, else the pile's own."""
-    from .standins import BUNDLE
-
-    rules = F.broadcast(R.as_table(spark, BUNDLE).select("rule_id", "vocabulary"))  # as many rows as rules
-    rows = routed(spark, sf_dir).where(F.col("pile").isin(*R.SCREENS)).select("work_id", "rule_id").join(rules, "rule_id", "left")
-    return rows.select("work_id", F.coalesce("vocabulary", F.lit("candidate")).alias("status"), F.concat(F.lit("engine:"), F.substring(F.md5(F.lit("release")), 1, 12)).alias("method"))
+    """Exported works of both screens and some years: a rule's vocabulary names their status, else the pile's."""
+    works, rows = pool(spark, sf_dir).withColumn("publication_year", (1990 + F.col("n_chars") % 30).cast("int")), routed(spark, sf_dir)
+    parts = [L.export_rows(works, rows, BUNDLE, pile, "0123456789abcdef", from_year=1995, to_year=2010) for pile in R.SCREENS]
+    return parts[0].unionByName(parts[1]).select("work_id", "paper_type", "filter_method", "filter_evidence", "filter_confidence")
 
 
 @query(f"WITH {POOL_SQL}, b AS (SELECT work_id, title, regexp_extract(title, '(?i)\\bof ([a-z]+)', 1) AS target, len(regexp_extract_all(title, '(?i)\\bthe\\b')) AS n FROM p) SELECT work_id, nullif(target, '') AS target, n::BIGINT AS studies, n > 1 AS umbrella FROM b")
@@ -100,13 +104,6 @@ def axis_fold(spark, sf_dir):
     return g.select("work", "claim", "weakest", F.col("lo").isNotNull().alias("coded"), F.when(F.col("lo") != F.col("hi"), "conflict").otherwise(F.coalesce("lo", F.lit("none"))).alias("axis"))
 
 
-@query("SELECT substr(text, 1, 8) AS option, count(*)::BIGINT AS decisions, count(*) FILTER (flips)::BIGINT AS flips FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN 'lenient' ELSE 'strict' END AS text, quality = 1 AND toxic = 1 AS flips FROM labels) GROUP BY 1")
-def decision_flips(spark, sf_dir):
-    """Decisions that another extractor's option would turn."""
-    rows = table(spark, sf_dir, "labels").select(F.when(F.col("doc_id") % 2 == 0, "lenient").otherwise("strict").alias("option"), ((F.col("quality") == 1) & (F.col("toxic") == 1)).alias("flips"))
-    return rows.groupBy("option").agg(F.count(F.lit(1)).alias("decisions"), F.count_if("flips").alias("flips"))
-
-
 @query("SELECT c.c_mktsegment AS segment, count(*)::BIGINT AS cases, sum(CASE WHEN s.s_acctbal > c.c_acctbal THEN 1 ELSE 0 END)::BIGINT AS higher FROM customer c JOIN supplier s ON s.s_suppkey = c.c_custkey GROUP BY 1")
 def case_merge(spark, sf_dir):
     c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import folds
+from ..operators.claims import select_verdicts
 from .registry import Registry
 from .standins import LOG_SQL, log, rounded, table
 
@@ -185,15 +186,6 @@ def apply_patches(spark, sf_dir):
     return c.join(patches, "c_custkey", "left").select("c_custkey", F.coalesce(F.try_element_at("patch", F.lit("c_mktsegment")), "c_mktsegment").alias("segment"), F.col("patch").isNotNull().alias("patched"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN 'c_mktsegment=' || lower(c_mktsegment) ELSE '' END || CASE WHEN c_acctbal < 0 THEN CASE WHEN c_nationkey % 2 = 0 THEN ';' ELSE '' END || 'c_name=-' ELSE '' END AS patch FROM customer WHERE c_nationkey % 2 = 0 OR c_acctbal < 0")
-def version_patch(spark, sf_dir):
-    """The changed columns between two versions of a row."""
-    c = table(spark, sf_dir, "customer")
-    new = c.select("c_custkey", F.when(F.col("c_nationkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("s2"), F.when(F.col("c_acctbal") < 0, "-").otherwise(F.col("c_name")).alias("n2"))
-    changed = F.array_compact(F.array(F.when(~F.col("c_mktsegment").eqNullSafe(F.col("s2")), F.concat(F.lit("c_mktsegment="), "s2")), F.when(~F.col("c_name").eqNullSafe(F.col("n2")), F.concat(F.lit("c_name="), "n2"))))
-    return c.join(new, "c_custkey").select("c_custkey", F.array_join(changed, ";").alias("patch")).where("patch <> ''")
-
-
 @query(WITH + "SELECT work, claim, string_agg(verdict || '=' || printf('%.2f', score), '; ' ORDER BY id) AS evidence, count(*)::BIGINT AS votes FROM log GROUP BY ALL")
 def vote_evidence(spark, sf_dir):
     g = log(spark, sf_dir).groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("id", "verdict", "score"))).alias("v"))
@@ -206,6 +198,24 @@ def newest_release(spark, sf_dir):
     return g.select("work", "newest_claim", F.regexp_replace(F.date_format("m", "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.?0+\z", "").alias("fetched_at"))
 
 
+@query(WITH + "SELECT id, CASE WHEN claim % 3 = 0 THEN 'validation' ELSE 'live' END AS mode, 'g' || claim // 50 AS generation FROM log WHERE claim % 3 <> 0 AND claim // 50 = 1 AND verdict IN ('purchase', 'signup') AND score <= 300")
+def verdict_filter(spark, sf_dir):
+    """Live verdicts of two kinds of one generation that nothing supersedes, with their claim's metadata."""
+    verdicts = log(spark, sf_dir).withColumn("superseded_by", F.when(F.col("score") > 300, F.col("id") + 1))
+    claims = verdicts.select("claim").distinct().select("claim", F.when(F.col("claim") % 3 == 0, "validation").otherwise("live").alias("mode"), F.concat(F.lit("g"), F.floor(F.col("claim") / 50)).alias("generation"))
+    return select_verdicts(verdicts, claims, "live", "g1", ["purchase", "signup"]).select("id", "mode", "generation")
+
+
+@query(WITH + ", s AS (SELECT id, tm, CASE WHEN claim < 60 THEN claim WHEN claim < 80 THEN claim * 30 ELSE claim * 3660 END AS s FROM log WHERE id % 4 <> 3) SELECT id, strftime(tm, '%Y-%m-%dT%H:%M:%S') AS at, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN s // 60 || 'm ' || s % 60 || 's' ELSE s // 3600 || 'h ' || s % 3600 // 60 || 'm' END AS took FROM s")
+def iso_times(spark, sf_dir):
+    """Times read from texts with Z, an offset or neither, those that can't be read left out; durations for people."""
+    written = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(F.col("id") % 4 == 0, F.concat(written, F.lit("Z"))).when(F.col("id") % 4 == 1, written).when(F.col("id") % 4 == 2, F.concat(F.date_format(F.col("at") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).otherwise("soon")
+    seconds = F.when(F.col("claim") < 60, F.col("claim")).when(F.col("claim") < 80, F.col("claim") * 30).otherwise(F.col("claim") * 3660)
+    rows = log(spark, sf_dir).select("id", T.utc(text).alias("t"), T.duration_text(seconds).alias("took")).where("t IS NOT NULL")
+    return rows.select("id", F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), "took")
+
+
 @query(WITH + "SELECT work, verdict, round(score, 6) AS best, round(coalesce(second, 0), 6) AS second FROM (SELECT work, verdict, s AS score, lead(s) OVER w AS second, row_number() OVER w AS n FROM (SELECT work, verdict, max(score) AS s FROM log GROUP BY ALL) WINDOW w AS (PARTITION BY work ORDER BY s DESC, verdict)) WHERE n = 1 AND score >= 50 AND score >= 1.5 * coalesce(second, 0)")
 def dominance_match(spark, sf_dir):
     scored = log(spark, sf_dir).groupBy("work", "verdict").agg(F.max("score").alias("score"))

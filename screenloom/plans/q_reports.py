@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..functions.regex import to_java
+from ..sources import tables
+from . import rules as R
 from .registry import Registry
-from .standins import LOG_SQL, POOL_SQL, log, pool, rounded, table
+from .standins import BUNDLE, COLUMNS, LOG_SQL, POOL_SQL, ROUTED_SQL, log, pool, rounded, table
 
 query = Registry()
 
@@ -17,7 +18,6 @@ def n_rows():
     return F.count(F.lit(1))
 
 
-
 @query("WITH v(k) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('9-NEVER')), c AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '9-NEVER') THEN o_orderpriority ELSE '_other' END AS k, count(*) AS n FROM orders GROUP BY 1) SELECT coalesce(v.k, c.k) AS k, coalesce(n, 0)::BIGINT AS n FROM v FULL JOIN c ON v.k = c.k")
 def vocab_counts(spark, sf_dir):
     known = ["1-URGENT", "2-HIGH", "9-NEVER"]
@@ -122,19 +122,6 @@ def solo_accuracy(spark, sf_dir):
 BUCKETS_SQL = "CASE WHEN l_quantity <= 2 THEN 'malformed' WHEN l_discount > 0.09 THEN 'refused' WHEN l_returnflag = 'R' AND l_tax > 0.06 THEN 'contested' WHEN l_linestatus = 'O' THEN 'open' ELSE 'main' END"
 
 
-@query(f"SELECT {BUCKETS_SQL} AS bucket, count(*)::BIGINT AS rows, min(l_orderkey) AS first_order FROM lineitem GROUP BY 1")
-def quarantine_partition(spark, sf_dir):
-    bucket = F.coalesce(T.first_reason([("malformed", F.col("l_quantity") <= 2), ("refused", F.col("l_discount") > 0.09), ("contested", (F.col("l_returnflag") == "R") & (F.col("l_tax") > 0.06)), ("open", F.col("l_linestatus") == "O")]), F.lit("main"))
-    return table(spark, sf_dir, "lineitem").groupBy(bucket.alias("bucket")).agg(n_rows().alias("rows"), F.min("l_orderkey").alias("first_order"))
-
-
-@query("SELECT o_orderkey, 'no value' AS problem, 'blocker' AS severity FROM orders WHERE o_totalprice < 2000 UNION ALL SELECT o_orderkey, 'early', 'warning' FROM orders WHERE o_orderdate < TIMESTAMP '1993-01-01' UNION ALL SELECT o_orderkey, 'urgent and pending', 'warning' FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
-def audit_findings(spark, sf_dir):
-    checks = [("no value", "blocker", F.col("o_totalprice") < 2000), ("early", "warning", F.col("o_orderdate") < F.lit("1993-01-01").cast("timestamp")), ("urgent and pending", "warning", (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))]
-    found = F.array_compact(F.array(*[F.when(h, F.struct(F.lit(c).alias("problem"), F.lit(s).alias("severity"))) for c, s, h in checks]))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(found).alias("f")).select("o_orderkey", "f.problem", "f.severity")
-
-
 @query("SELECT l_orderkey, count(*)::BIGINT AS n, count(DISTINCT l_linenumber) < count(*) AS repeated, NOT (count(DISTINCT l_linenumber) = count(*) AND min(l_linenumber) = 1 AND max(l_linenumber) = count(*)) AS bad_ranks FROM lineitem GROUP BY 1")
 def group_consistency(spark, sf_dir):
     g = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(n_rows().alias("n"), F.countDistinct("l_linenumber").alias("d"), F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
@@ -144,7 +131,7 @@ def group_consistency(spark, sf_dir):
 @query("SELECT count(*)::BIGINT AS rows, count(*) FILTER (o_totalprice < 2000)::BIGINT AS blank, count(*) FILTER (l_shipdate < o_orderdate)::BIGINT AS out_of_order, count(*) FILTER (TRY_CAST(substr(o_orderpriority, 1, 2) AS INTEGER) IS NULL)::BIGINT AS not_numbers FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
 def sanity_report(spark, sf_dir):
     j = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.agg(n_rows().alias("rows"), F.count_if(F.col("o_totalprice") < 2000).alias("blank"), F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("out_of_order"), F.count_if(F.substring("o_orderpriority", 1, 2).try_cast("int").isNull()).alias("not_numbers"))
+    return j.agg(n_rows().alias("rows"), F.count_if(F.col("o_totalprice") < 2000).alias("blank"), F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("out_of_order"), F.count_if(T.whole(F.substring("o_orderpriority", 1, 2)).isNull()).alias("not_numbers"))
 
 
 @query(f"WITH {POOL_SQL} SELECT source, count(*)::BIGINT AS rows, count(*) FILTER (abstract = '')::BIGINT AS no_abstract, count(*) FILTER (length(title) < 40)::BIGINT AS short_title, count(*) FILTER (blank AND type = 'en')::BIGINT AS blank_english FROM p GROUP BY source")
@@ -152,19 +139,6 @@ def completeness(spark, sf_dir):
     return pool(spark, sf_dir).groupBy("source").agg(n_rows().alias("rows"), F.count_if(F.col("abstract") == "").alias("no_abstract"), F.count_if(F.length("title") < 40).alias("short_title"), F.count_if(T.is_blank(F.col("abstract")) & (F.col("type") == "en")).alias("blank_english"))
 
 
-@query(f"WITH {POOL_SQL} SELECT work_id, CASE WHEN source IN ('src3', 'src4') THEN 'non-article source' WHEN regexp_matches(title, '(?i)license|copyright') THEN 'notice' WHEN regexp_matches(title, '^\\S+$') THEN 'one-word title' WHEN type = 'es' AND n_chars < 300 THEN 'fragment' END AS reason FROM p")
-def reason_codes(spark, sf_dir):
-    t = F.col("title")
-    reasons = [("non-article source", F.col("source").isin("src3", "src4")), ("notice", t.rlike(to_java("license|copyright"))), ("one-word title", t.rlike(to_java(r"^\S+$"))), ("fragment", (F.col("type") == "es") & (F.col("n_chars") < 300))]
-    return pool(spark, sf_dir).select("work_id", T.first_reason(reasons).alias("reason"))
-
-
-@query(f"WITH {POOL_SQL} SELECT work_id, CASE WHEN source = 'src7' THEN 'curated' WHEN length(abstract) < 200 THEN 'short text' WHEN regexp_matches(txt, '(?i)\\bthat the\\b') THEN 'signal: ' || lower(regexp_extract(txt, '(?i)\\bthat the\\b')) END AS bypass FROM p")
-def screen_bypass(spark, sf_dir):
-    text, signal = F.concat_ws("\n", "title", "abstract"), to_java(r"\bthat the\b")
-    return pool(spark, sf_dir).select("work_id", F.when(F.col("source") == "src7", "curated").when(F.length("abstract") < 200, "short text").when(text.rlike(signal), F.concat(F.lit("signal: "), F.lower(F.regexp_extract(text, signal, 0)))).alias("bypass"))
-
-
 @query(f"WITH {LOG_SQL}, d AS (SELECT claim, count(*) AS files, sum(round(score * 100)::BIGINT) AS bytes, max(tm) AS done_at FROM log GROUP BY claim) SELECT claim, bytes::BIGINT AS bytes, sum(bytes) OVER (ORDER BY done_at, claim)::BIGINT AS done_bytes, round((sum(bytes) OVER w - first_value(bytes) OVER w) / nullif(epoch_us(done_at) - epoch_us(first_value(done_at) OVER w), 0)::DOUBLE * 1000000, 4) AS bytes_per_s FROM d WINDOW w AS (ORDER BY done_at, claim ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)")
 def scan_progress(spark, sf_dir):
     """Progress of a scan and its rate over the last 50 partitions, the first one's bytes left out; a row per partition of the manifest."""
@@ -181,15 +155,9 @@ def supersession_counts(spark, sf_dir):
     return log(spark, sf_dir).groupBy("verdict", F.when(F.col("claim") > 70, "moved").otherwise("stays").alias("kind")).agg(n_rows().alias("n"))
 
 
-@query("SELECT c_mktsegment AS family, count(*)::BIGINT AS n, round(avg(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END), 6) AS share FROM customer GROUP BY 1 HAVING count(*) >= 10")
-def model_family(spark, sf_dir):
-    return table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("family")).agg(n_rows().alias("n"), F.round(F.avg(F.when(F.col("c_acctbal") > 0, 1).otherwise(0)), 6).alias("share")).where("n >= 10")
-
-
-@query(f"WITH {POOL_SQL} SELECT arm, count(*)::BIGINT AS works FROM (SELECT CASE WHEN regexp_matches(txt, '(?i)\\bthat the\\b') THEN 'a' END AS a, CASE WHEN regexp_matches(txt, '(?i)\\bwith the\\b') THEN 'b' END AS b FROM p), (VALUES ('a'), ('b')) v(arm) WHERE (arm = 'a' AND a IS NOT NULL) OR (arm = 'b' AND b IS NOT NULL) GROUP BY arm")
+@query(f"WITH {ROUTED_SQL} SELECT rule_id AS arm, count(*)::BIGINT AS works FROM ev WHERE rule_id IN ('ask-french', 'skim-spanish', 'skim-german') GROUP BY 1")
 def fused_prefilter(spark, sf_dir):
-    """A looser pattern that holds wherever any arm does drops most texts before the exact arms are tried."""
-    arms = {"a": r"\bthat the\b", "b": r"\bwith the\b"}
-    text = F.concat_ws("\n", "title", "abstract")
-    rows = pool(spark, sf_dir).select(text.alias("txt")).where(F.col("txt").rlike(to_java("(?:that|with) the")))
-    return rows.select(F.explode(F.array_compact(F.array(*[F.when(F.col("txt").rlike(to_java(p)), F.lit(n)) for n, p in arms.items()]))).alias("arm")).groupBy("arm").agg(n_rows().alias("works"))
+    """A looser pattern that holds wherever any arm does, made from the arms' rules, drops most texts before the exact arms are tried."""
+    arms = [r for r in BUNDLE if r.id in ("ask-french", "skim-spanish", "skim-german")]
+    rows = tables.spread(pool(spark, sf_dir)).where(T.matches(F.concat_ws("\n", "title", "abstract"), R.fused_prefilter(arms)))
+    return R.evaluations(R.match_flags(rows, arms, COLUMNS)).groupBy(F.col("rule_id").alias("arm")).agg(n_rows().alias("works"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources import tables
 from . import rules as R
 from .registry import Registry
 from .standins import BUNDLE, BUNDLE_B, COLUMNS, POOL_SQL, ROUTED_B_SQL, ROUTED_SQL, RULES_SQL, pool, routed
@@ -24,14 +25,15 @@ def rule_table(spark, bundle=BUNDLE):
 
 @query(rf"WITH {POOL_SQL} SELECT work_id, regexp_matches(title, '(?i)tion|ment') AS hit_title, regexp_matches(abstract, '(?i)tion|ment') AS hit_abstract, type IN ('en', 'fr') AS hit_concept FROM p WHERE regexp_matches(title, '(?i)tion|ment') OR regexp_matches(abstract, '(?i)tion|ment') OR type IN ('en', 'fr')")
 def gate_scan(spark, sf_dir):
-    stem = R.to_java("tion|ment")
-    hits = pool(spark, sf_dir).select("work_id", F.col("title").rlike(stem).alias("hit_title"), F.col("abstract").rlike(stem).alias("hit_abstract"), F.exists(F.array("type"), lambda c: c.isin("en", "fr")).alias("hit_concept"))
+    stem = "tion|ment"
+    hits = tables.spread(pool(spark, sf_dir)).select("work_id", T.matches(F.col("title"), stem).alias("hit_title"), T.matches(F.col("abstract"), stem).alias("hit_abstract"), F.exists(F.array("type"), lambda c: c.isin("en", "fr")).alias("hit_concept"))
     return hits.where("hit_title OR hit_abstract OR hit_concept")
 
 
 @query(f"WITH {POOL_SQL} SELECT work_id, " + ", ".join(f'({sql}) AS "{i}"' for i, (_, _, _, sql) in RULES_SQL.items()) + " FROM p")
 def rule_match_matrix(spark, sf_dir):
-    return pool(spark, sf_dir).select("work_id", *[R.compile_block(r.match, COLUMNS).alias(r.id) for r in BUNDLE])
+    works, columns = COLUMNS.prepared(tables.spread(pool(spark, sf_dir)), [r.match for r in BUNDLE])
+    return works.select("work_id", *[R.compile_block(r.match, columns).alias(r.id) for r in BUNDLE])
 
 
 @query(WITH + ", m AS (SELECT work_id, string_agg(rule_id, '|' ORDER BY prec DESC, rule_id) AS matched_rules FROM ev JOIN rules USING (rule_id) WHERE NOT shadow GROUP BY work_id) SELECT r.work_id, r.pile, r.pending_reason, r.rule_id, r.precedence, coalesce(matched_rules, '') AS matched_rules FROM routing r LEFT JOIN m ON m.work_id = r.work_id")
@@ -45,9 +47,9 @@ def route_no_text(spark, sf_dir):
 
 
 @query(WITH + r"""SELECT r.work_id, r.rule_id, CASE r.rule_id
-  WHEN 'syn-license' THEN regexp_extract(txt, '(?i)licensed under|all rights reserved|copyright') WHEN 'syn-secret' THEN regexp_extract(txt, '(?i)token = .[0-9a-f]{40}')
-  WHEN 'syn-contact' THEN regexp_extract(txt, '(?i)[a-z]@[a-z]') WHEN 'syn-fr' THEN 'fields' WHEN 'syn-es' THEN regexp_extract(txt, '(?i)\bde los\b')
-  WHEN 'syn-de' THEN regexp_extract(abstract, '(?i)\bder die\b|\bund der\b') WHEN 'syn-lang' THEN 'fields' END AS evidence
+  WHEN 'drop-notice' THEN regexp_extract(txt, '(?i)licensed under|all rights reserved|copyright') WHEN 'drop-secret' THEN regexp_extract(txt, '(?i)token = .[0-9a-f]{40}')
+  WHEN 'ask-contact' THEN regexp_extract(txt, '(?i)[a-z]@[a-z]') WHEN 'ask-french' THEN 'fields' WHEN 'skim-spanish' THEN regexp_extract(txt, '(?i)\bde los\b')
+  WHEN 'skim-german' THEN regexp_extract(abstract, '(?i)\bder die\b|\bund der\b') WHEN 'skim-language' THEN 'fields' END AS evidence
   FROM routing r JOIN p ON p.work_id = r.work_id WHERE r.rule_id IS NOT NULL""")
 def match_evidence(spark, sf_dir):
     return routed(spark, sf_dir).where("rule_id IS NOT NULL").select("work_id", "rule_id", "evidence")
@@ -73,7 +75,7 @@ def routing_outcome(spark, sf_dir):
     return routed(spark, sf_dir).groupBy("pile", F.nullif("pending_reason", F.lit("")).alias("reason"), "rule_id").agg(F.count(F.lit(1)).alias("works"), F.count_if(F.col("rule_id").isNotNull() & (F.col("pending_reason") == "no_text")).alias("won_without_text"))
 
 
-@query(WITH + """, dom AS (SELECT work_id, 'syn-' || type AS rule_id FROM p WHERE type IN ('fr', 'es', 'de'))
+@query(WITH + """, dom AS (SELECT work_id, CASE type WHEN 'fr' THEN 'ask-french' WHEN 'es' THEN 'skim-spanish' ELSE 'skim-german' END AS rule_id FROM p WHERE type IN ('fr', 'es', 'de'))
 SELECT d.rule_id, count(DISTINCT d.work_id)::BIGINT AS works, count(DISTINCT e.work_id)::BIGINT AS matched, count(DISTINCT CASE WHEN r.pile = 'pending' THEN d.work_id END)::BIGINT AS pending, count(DISTINCT CASE WHEN r.rule_id = d.rule_id THEN d.work_id END)::BIGINT AS won
 FROM dom d JOIN routing r ON r.work_id = d.work_id LEFT JOIN ev e ON e.work_id = d.work_id AND e.rule_id = d.rule_id GROUP BY d.rule_id""")
 def domain_coverage(spark, sf_dir):
@@ -85,8 +87,7 @@ def domain_coverage(spark, sf_dir):
 
 @query(BOTH + "SELECT a.work_id, a.pile AS pile_a, b.pile AS pile_b, a.rule_id AS rule_a, b.rule_id AS rule_b FROM routing a JOIN routing_b b USING (work_id) WHERE a.pile IS DISTINCT FROM b.pile")
 def release_diff(spark, sf_dir):
-    a, b = (routed(spark, sf_dir, x).select("work_id", F.col("pile").alias(f"pile_{n}"), F.col("rule_id").alias(f"rule_{n}")) for n, x in (("a", BUNDLE), ("b", BUNDLE_B)))
-    return a.join(b, "work_id").where(~F.col("pile_a").eqNullSafe(F.col("pile_b")))
+    return R.route_two(tables.spread(pool(spark, sf_dir)), BUNDLE, BUNDLE_B, COLUMNS).where(~F.col("pile_a").eqNullSafe(F.col("pile_b")))
 
 
 @query(WITH + "SELECT e.rule_id, e.work_id FROM ev e JOIN rules s ON s.rule_id = e.rule_id AND s.shadow WHERE NOT EXISTS (SELECT 1 FROM ev l JOIN rules r USING (rule_id) WHERE l.work_id = e.work_id AND NOT r.shadow AND (r.prec > s.prec OR (r.prec = s.prec AND r.rule_id < s.rule_id)))")
@@ -99,11 +100,8 @@ def shadow_would_win(spark, sf_dir):
 
 @query(BOTH + "SELECT a.pile AS was, b.pile AS becomes, count(*)::BIGINT AS works, count(*) FILTER (a.rule_id IS DISTINCT FROM b.rule_id)::BIGINT AS other_rule FROM routing a JOIN routing_b b USING (work_id) GROUP BY ALL")
 def diagnose_moves(spark, sf_dir):
-    matched = R.match_flags(pool(spark, sf_dir), BUNDLE, COLUMNS)
-    # both routings from one evaluation: columns of the second are told apart
-    a = R.route(matched.drop("matched"), BUNDLE, COLUMNS).select("work_id", "title", "abstract", "type", F.col("pile").alias("was"), F.col("rule_id").alias("rule_a"))
-    b = R.route(a, BUNDLE_B, COLUMNS)
-    return b.groupBy("was", F.col("pile").alias("becomes")).agg(F.count(F.lit(1)).alias("works"), F.count_if(~F.col("rule_a").eqNullSafe(F.col("rule_id"))).alias("other_rule"))
+    both = R.route_two(tables.spread(pool(spark, sf_dir)), BUNDLE, BUNDLE_B, COLUMNS)
+    return both.groupBy(F.col("pile_a").alias("was"), F.col("pile_b").alias("becomes")).agg(F.count(F.lit(1)).alias("works"), F.count_if(~F.col("rule_a").eqNullSafe(F.col("rule_b"))).alias("other_rule"))
 
 
 @query(WITH + "SELECT a.rule_id AS rule_a, b.rule_id AS rule_b, count(*)::BIGINT AS works FROM ev a JOIN ev b ON a.work_id = b.work_id AND a.rule_id < b.rule_id GROUP BY ALL")
@@ -113,10 +111,10 @@ def rule_overlap(spark, sf_dir):
     return pairs.groupBy("rule_a", "rule_b").agg(F.count(F.lit(1)).alias("works"))
 
 
-@query(WITH + ", x AS (SELECT work_id, max(CASE WHEN rule_id = 'syn-lang' THEN 1 ELSE 0 END) AS mine, count(*) AS n FROM ev GROUP BY work_id) SELECT count(*) FILTER (mine = 1)::BIGINT AS matched, count(*) FILTER (mine = 1 AND n = 1)::BIGINT AS exclusive, count(*) FILTER (mine = 1 AND n > 1)::BIGINT AS covered FROM x")
+@query(WITH + ", x AS (SELECT work_id, max(CASE WHEN rule_id = 'skim-language' THEN 1 ELSE 0 END) AS mine, count(*) AS n FROM ev GROUP BY work_id) SELECT count(*) FILTER (mine = 1)::BIGINT AS matched, count(*) FILTER (mine = 1 AND n = 1)::BIGINT AS exclusive, count(*) FILTER (mine = 1 AND n > 1)::BIGINT AS covered FROM x")
 def rule_diagnosis(spark, sf_dir):
     m = routed(spark, sf_dir).where(F.size("matched") > 0)
-    mine, alone = F.array_contains("matched", "syn-lang"), F.size("matched") == 1
+    mine, alone = F.array_contains("matched", "skim-language"), F.size("matched") == 1
     return m.agg(F.count_if(mine).alias("matched"), F.count_if(mine & alone).alias("exclusive"), F.count_if(mine & ~alone).alias("covered"))
 
 
@@ -128,12 +126,12 @@ def rule_precision(spark, sf_dir):
     return g.select("rule_id", "n", "hits", F.round(F.col("hits") / F.col("n"), 6).alias("precision"), F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
 
-@query(WITH + ", m AS (SELECT work_id, bit_or(1 << rn) AS mask FROM (SELECT work_id, (CASE rule_id WHEN 'syn-es' THEN 0 WHEN 'syn-de' THEN 1 WHEN 'syn-lang' THEN 2 END) AS rn FROM ev WHERE rule_id IN ('syn-es', 'syn-de', 'syn-lang')) GROUP BY work_id), n AS (SELECT count(*) AS n FROM p) SELECT b.arm, count(*) FILTER (mask & (1 << b.bit) <> 0)::BIGINT AS total, count(*) FILTER (mask = 1 << b.bit)::BIGINT AS exclusive, round(1000.0 * count(*) FILTER (mask & (1 << b.bit) <> 0) / any_value(n.n), 6)::DOUBLE AS yield_per_1000 FROM m, n, (VALUES ('syn-es', 0), ('syn-de', 1), ('syn-lang', 2)) b(arm, bit) GROUP BY b.arm")
+@query(WITH + ", m AS (SELECT work_id, bit_or(1 << rn) AS mask FROM (SELECT work_id, (CASE rule_id WHEN 'skim-spanish' THEN 0 WHEN 'skim-german' THEN 1 WHEN 'skim-language' THEN 2 END) AS rn FROM ev WHERE rule_id IN ('skim-spanish', 'skim-german', 'skim-language')) GROUP BY work_id), n AS (SELECT count(*) AS n FROM p) SELECT b.arm, count(*) FILTER (mask & (1 << b.bit) <> 0)::BIGINT AS total, count(*) FILTER (mask = 1 << b.bit)::BIGINT AS exclusive, round(1000.0 * count(*) FILTER (mask & (1 << b.bit) <> 0) / any_value(n.n), 6)::DOUBLE AS yield_per_1000 FROM m, n, (VALUES ('skim-spanish', 0), ('skim-german', 1), ('skim-language', 2)) b(arm, bit) GROUP BY b.arm")
 def arm_attribution(spark, sf_dir):
-    arms = ["syn-es", "syn-de", "syn-lang"]
+    arms = ["skim-spanish", "skim-german", "skim-language"]
     by_id = {r.id: r for r in BUNDLE}
     mask = sum((F.when(R.compile_block(by_id[a].match, COLUMNS), 1 << i).otherwise(0) for i, a in enumerate(arms)), F.lit(0))
-    masks = pool(spark, sf_dir).select(mask.alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+    masks = tables.spread(pool(spark, sf_dir)).select(mask.alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
     out = masks.select("mask", "n", F.posexplode(F.array(*map(F.lit, arms))).alias("bit", "arm")).withColumn("b", F.expr("shiftleft(1, bit)"))
     g = out.groupBy("arm").agg(F.sum(F.when(F.col("mask").bitwiseAND(F.col("b")) != 0, F.col("n")).otherwise(0)).alias("total"), F.sum(F.when(F.col("mask") == F.col("b"), F.col("n")).otherwise(0)).alias("exclusive"), F.sum("n").alias("works"))
     return g.select("arm", "total", "exclusive", F.round(F.lit(1000.0) * F.col("total") / F.col("works"), 6).alias("yield_per_1000"))

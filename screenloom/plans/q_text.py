@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.regex import to_java
-from ..operators import citations, folds
+from ..operators import citations, folds, outcomes, similar
+from ..sources import tables
 from .registry import Registry
 from .standins import POOL_SQL, pool, rounded, table
 
@@ -21,12 +22,13 @@ def clean_identifier(spark, sf_dir):
 
 @query(r"SELECT doc_id AS work_id, md5(nfc_normalize(regexp_replace(text, '[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))) AS folded_md5 FROM documents")
 def text_fold(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("work_id"), F.md5(T.fold_text(F.col("text"))).alias("folded_md5"))
+    docs = tables.spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("work_id"), "text"))
+    return T.fold_text(docs, "text", "folded").select("work_id", F.md5("folded").alias("folded_md5"))
 
 
 UNESCAPED = "html"
 for _ in range(3):
-    for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
         UNESCAPED = f"replace({UNESCAPED}, '{_e}', '{_c}')"
 
 
@@ -86,46 +88,81 @@ def candidate_range_join(spark, sf_dir):
 
 @query("WITH w AS (SELECT DISTINCT p_name || ' ' || p_type AS t, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]{3,}')) AS ws FROM part) SELECT x.t AS a, y.t AS b, round(len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE, 6) AS jaccard FROM w x JOIN w y ON x.t < y.t WHERE len(list_intersect(x.ws, y.ws)) / len(list_distinct(list_concat(x.ws, y.ws)))::DOUBLE >= 0.5")
 def jaccard_pairs(spark, sf_dir):
-    """Pairs of distinct titles that share words, by counts of shared words."""
-    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("a")).distinct().withColumn("wa", T.title_words(F.col("a")))
-    words = titles.select("a", F.size("wa").alias("na"), F.explode("wa").alias("word"))
-    other = words.select(F.col("a").alias("b"), F.col("na").alias("nb"), "word")
-    shared = words.join(other, "word").where("a < b").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
-    j = F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))
-    return shared.where(j >= 0.5).select("a", "b", rounded(j).alias("jaccard"))
+    """Pairs of distinct titles with half of their words in common."""
+    titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title"))
+    return similar.alike(titles).select("a", "b", rounded("jaccard").alias("jaccard"))
 
 
 @query(f"WITH {POOL_SQL}, b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{{3,}}')) AS ws FROM benchmark), t AS (SELECT work_id, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{{3,}}')) AS ws FROM p) SELECT b.item_id, t.work_id, round(len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE, 6) AS coverage FROM b, t WHERE len(b.ws) > 0 AND len(list_intersect(b.ws, t.ws)) / len(b.ws)::DOUBLE >= 0.2")
 def token_coverage(spark, sf_dir):
-    """How much of a benchmark item's words a title has, where it is a fifth or more, by counts of shared words."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", T.title_words(F.col("text")).alias("bw")).select("item_id", F.size("bw").alias("n"), F.explode("bw").alias("word"))
-    t = pool(spark, sf_dir).select("work_id", F.explode(T.title_words(F.col("title"))).alias("word"))
-    shared = t.join(b, "word").groupBy("item_id", "work_id", "n").agg(F.count(F.lit(1)).alias("k"))
-    return shared.where(F.col("k") / F.col("n") >= 0.2).select("item_id", "work_id", rounded(F.col("k") / F.col("n")).alias("coverage"))
+    """How much of a benchmark item's words a title has, where it is a fifth or more."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), "text")
+    found = similar.covered(items, pool(spark, sf_dir).select(F.col("work_id").alias("work"), "title"))
+    return found.select(F.col("item").alias("item_id"), F.col("work").alias("work_id"), rounded("coverage").alias("coverage"))
 
 
-@query()
+#: A text per part with citations of several forms, a month and a bare year; the same in Spark and in SQL.
+CITING = "'See ' || upper(substr(p_brand, 1, 1)) || 'aker, Ritter & Zwei (' || CAST(1950 + p_size AS STRING) || ', Journal, Study 2) and Holm et al. ' || CAST(1951 + p_size AS STRING) || '. In May ' || CAST(1952 + p_size AS STRING) || ' van der Berg''s (' || CAST(1953 + p_size AS STRING) || ') view was Table ' || CAST(1954 + p_size AS STRING) || '.'"
+CITED = [("multi_and_paren", 0, "upper(substr(p_brand, 1, 1)) || 'aker,ritter&zwei'", 1950, None), ("etal_bare", 1, "'holm'", 1951, "Holm et al. "), ("single_paren", 2, "'vanderberg'", 1953, "van der Berg")]
+
+
+@query("WITH t AS (SELECT p_partkey, p_size, p_brand, " + CITING + " AS text FROM part) " + " UNION ALL ".join(f"SELECT p_partkey, {n}::INTEGER AS n, '{p}' AS pattern, (strpos(text, " + (f"'{at}'" if at else "substr(p_brand, 1, 1) || 'aker, '") + f") - 1)::INTEGER AS start, lower({name}) AS surname, ({year} + p_size)::INTEGER AS year FROM t" for p, n, name, year, at in CITED))
 def citation_spans(spark, sf_dir):
-    return citations.find_citations(table(spark, sf_dir, "pages"), "page_id", "html")
+    """Citations of texts, strictly: neither a month nor a table before a year is one."""
+    texts = tables.spread(table(spark, sf_dir, "part").selectExpr("p_partkey", f"{CITING} AS text"))
+    return citations.find_citations(texts, "p_partkey", "text", strict=True).select("p_partkey", "n", "pattern", "start", "surname", "year")
+
+
+@query("WITH c AS (SELECT p_partkey AS work_id, 1950 + p_size AS y FROM part), r AS (SELECT l_partkey AS work_id, min(l_orderkey) AS ref_id, 1950 + l_linenumber * 7 AS year FROM lineitem GROUP BY 1, 3) SELECT c.work_id, r.ref_id, r.year::INTEGER AS year, r.year = c.y + 1 AS match_year_exact FROM c JOIN r ON r.work_id = c.work_id AND abs(r.year - (c.y + 1)) <= 1")
+def citation_candidates(spark, sf_dir):
+    """References of the works that parts' texts may mean by their citation of Holm."""
+    texts = table(spark, sf_dir, "part").selectExpr("p_partkey AS work_id", f"{CITING} AS text")
+    cited = citations.find_citations(tables.spread(texts), "work_id", "text").where("pattern = 'etal_bare'").withColumn("doi_self", F.lit(None).cast("string"))
+    refs = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("work_id"), (1950 + F.col("l_linenumber") * 7).alias("year")).agg(F.min("l_orderkey").alias("ref_id"))
+    refs = refs.select("*", F.lit(None).cast("string").alias("doi"), F.lit("").alias("title"), F.array(F.lit("Other"), F.lit("Holms")).alias("surnames"))
+    return citations.find_candidates(cited, refs).select("work_id", "ref_id", "year", "match_year_exact")
+
+
+MASKED_SQL = "regexp_replace({0}, '(?i)(^|[^\\p{L}\\p{N}_])(et al|e\\.g|i\\.e|vs|Dr|Mr|Mrs|Ms|Prof|Fig|No|Vol|pp|cf|[A-Z])\\.', '\\1\\2' || chr(1), 'g')".replace("\\\\", "\\")
+SENTENCES_SQL = "list_filter(list_transform(string_split(regexp_replace(" + MASKED_SQL + ", '([.!?])\\s+', '\\1' || chr(2), 'g'), chr(2)), lambda x: replace(trim(x, ' ' || chr(10) || chr(9) || chr(13)), chr(1), '.')), lambda x: x <> '')".replace("\\\\", "\\")
 
 
-@query(f"WITH {POOL_SQL}, s AS (SELECT work_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(abstract, '([.!?])\\s+', '\\1' || chr(2), 'g'), chr(2)), lambda x: trim(x)), lambda x: x <> '') AS ss FROM p), h AS (SELECT work_id, ss, list_position(list_transform(ss, lambda x: regexp_matches(x, '(?i)\\bthe of\\b')), true) AS i FROM s) SELECT work_id, i::BIGINT AS sentence, md5(array_to_string(ss[greatest(i - 1, 1):i + 1], ' ')) AS context_md5 FROM h WHERE i > 0")
+def sentences_sql(column: str) -> str:
+    return SENTENCES_SQL.replace("{0}", column)
+
+
+@query(f"WITH {POOL_SQL}, s AS (SELECT work_id, {sentences_sql('abstract')} AS ss FROM p), h AS (SELECT work_id, ss, list_position(list_transform(ss, lambda x: regexp_matches(x, '(?i)\\bthe of\\b')), true) AS i FROM s) SELECT work_id, i::BIGINT AS sentence, md5(array_to_string(ss[greatest(i - 2, 1):i + 2], ' ')) AS context_md5 FROM h WHERE i > 0")
 def sentence_context(spark, sf_dir):
-    """The first sentence with a phrase, and the ones beside it."""
-    rows = pool(spark, sf_dir).select("work_id", T.sentences(F.col("abstract")).alias("ss"))
-    at = F.array_position(F.transform("ss", lambda x: x.rlike(to_java(r"\bthe of\b"))), True)
-    hit = rows.withColumn("i", at).where("i > 0")
-    first = F.greatest(F.col("i") - 1, F.lit(1)).cast("int")
-    return hit.select("work_id", F.col("i").alias("sentence"), F.md5(F.array_join(F.slice("ss", first, (F.col("i") + 2 - first).cast("int")), " ")).alias("context_md5"))
+    """The first sentence with a phrase, and up to two on each side."""
+    works = tables.spread(pool(spark, sf_dir).select("work_id", "abstract").where(T.matches(F.col("abstract"), r"\bthe of\b")))
+    hit = works.select("work_id", T.sentences(F.col("abstract")).alias("ss"))
+    hit = hit.withColumn("i", F.array_position(F.transform("ss", lambda x: T.matches(x, r"\bthe of\b")), True)).where("i > 0")
+    return hit.select("work_id", F.col("i").alias("sentence"), F.md5(T.sentence_context(F.col("ss"), F.col("i"))).alias("context_md5"))
+
 
+#: Phrases that invented prose has, in place of those that studies report their outcome by.
+STAND_IN = outcomes.Phrases(r"\b(?:the not|of no|is of|und ist)\b", r"\b(?:in the|the in|der und)\b", r"\b(?:and the of|to the of)\b", r"\b(?:in the|the in)\b|\band of\b", r"\bis (?:a|the)\b", r"\bfrom\b")
 
-OUTCOMES = [("failure", r"\bthe not\b|\bof no\b"), ("mixed", r"\band the of\b"), ("success", r"\bin the\b"), ("weak failure", r"\bis a\b"), ("descriptive", r"\bfrom\b")]
 
+def scan_sql(column: str) -> str:
+    """CASE of (outcome, confidence) of a text, by the stand-in phrases."""
+    said = lambda p: f"regexp_matches({column}, '(?i){p}')"
+    failed = f"len(list_filter({sentences_sql(column)}, lambda x: regexp_matches(x, '(?i){STAND_IN.failure}') AND NOT regexp_matches(x, '(?i){STAND_IN.explicit_success}'))) > 0"
+    return f"CASE WHEN {failed} THEN 'failed/high' WHEN {said(STAND_IN.mixed)} THEN 'mixed/medium' WHEN {said(STAND_IN.success)} THEN 'successful/high' WHEN {said(STAND_IN.weak_failure)} THEN 'failed/medium' WHEN {said(STAND_IN.descriptive)} THEN 'descriptive only/medium' END"
 
-@query(f"WITH {POOL_SQL} SELECT work_id, CASE " + " ".join(f"WHEN regexp_matches(title, '(?i){p}') THEN '{n}'" for n, p in OUTCOMES) + " " + " ".join(f"WHEN regexp_matches(abstract, '(?i){p}') THEN '{n}'" for n, p in OUTCOMES) + " END AS outcome FROM p")
+
+@query(f"WITH {POOL_SQL} SELECT work_id, {scan_sql('abstract')} AS outcome FROM p")
 def keyword_outcome(spark, sf_dir):
-    scan = lambda c: T.first_reason([(n, F.col(c).rlike(to_java(p))) for n, p in OUTCOMES])
-    return pool(spark, sf_dir).select("work_id", F.coalesce(scan("title"), scan("abstract")).alias("outcome"))
+    """Outcomes of abstracts by phrases; a failure in a sentence that reports success doesn't count."""
+    rows = outcomes.scan(tables.spread(pool(spark, sf_dir).select("work_id", "abstract")), "abstract", STAND_IN)
+    return rows.select("work_id", F.when(F.col("hit").isNotNull(), F.concat_ws("/", "hit.outcome", "hit.confidence")).alias("outcome"))
+
+
+@query(f"WITH {POOL_SQL}, s AS (SELECT work_id, source, {scan_sql('title')} AS t, {scan_sql('abstract')} AS a FROM p) SELECT work_id, CASE WHEN source = 'src2' THEN 'cannot_be_determined' WHEN t LIKE '%/high' THEN split_part(t, '/', 1) WHEN a IS NOT NULL THEN split_part(a, '/', 1) ELSE 'cannot_be_determined' END AS outcome, CASE WHEN source = 'src2' THEN 'low' WHEN t LIKE '%/high' THEN 'high' WHEN a IS NOT NULL THEN split_part(a, '/', 2) ELSE 'low' END AS outcome_confidence, CASE WHEN source = 'src2' THEN '' WHEN t LIKE '%/high' THEN 'title' WHEN a IS NOT NULL THEN 'abstract' ELSE '' END AS outcome_source FROM s")
+def outcome_route(spark, sf_dir):
+    """Outcomes by record type: titles by sure phrases, then abstracts by any; a reproduction's can't be told so."""
+    works = pool(spark, sf_dir).select("work_id", "title", "abstract", F.when(F.col("source") == "src2", "Reproduction").otherwise("replication").alias("record_type"))
+    return outcomes.predict(tables.spread(works), phrases=STAND_IN).select("work_id", "outcome", "outcome_confidence", "outcome_source")
 
 
 @query(f"WITH {POOL_SQL} SELECT work_id, array_to_string(ws[1:6], ' ') AS topic FROM (SELECT work_id, list_filter(list_transform(list_distinct_ordered, lambda x: x), lambda x: true) AS ws FROM (SELECT work_id, list_filter(m, lambda x, i: list_position(m, x) = i) AS list_distinct_ordered FROM (SELECT work_id, regexp_extract_all(lower(title), '[a-z]{{5,}}') AS m FROM p)))")
@@ -161,13 +198,14 @@ def json_url(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", T.json_url(json, ["$.loc.landing", "$.oa"], F.concat(F.lit("https://f/"), "event_id")).alias("url"))
 
 
-@query(f"WITH {POOL_SQL} SELECT work_id, md5(title) AS title_md5, true AS same FROM p")
+@query(f"WITH {POOL_SQL} SELECT work_id, md5(title) AS title_md5, true AS same FROM p WHERE title <> ''")
 def inverted_index_roundtrip(spark, sf_dir):
-    back = T.from_inverted_index(T.inverted_index(F.col("title")))
-    return pool(spark, sf_dir).select("work_id", F.md5(back).alias("title_md5"), (back == F.col("title")).alias("same"))
+    works = pool(spark, sf_dir).select("work_id", "title")
+    back = T.from_inverted_index(T.inverted_index(works, "work_id", "title"), "work_id", "index")
+    return works.join(back, "work_id").select("work_id", F.md5("text").alias("title_md5"), (F.col("text") == F.col("title")).alias("same"))
 
 
-@query("SELECT s_suppkey, c_custkey, a AS surname_a, b AS surname_b FROM (SELECT s_suppkey, c_custkey, 'author' || s_nationkey AS a, 'author' || (c_nationkey // 10) AS b FROM supplier JOIN customer ON c_custkey = s_suppkey) WHERE a = b OR (starts_with(a, b) AND length(a) - length(b) <= 1) OR (starts_with(b, a) AND length(b) - length(a) <= 1)")
+@query("SELECT s_suppkey, c_custkey, a AS surname_a, b AS surname_b FROM (SELECT s_suppkey, c_custkey, 'author' || s_nationkey AS a, 'author' || (c_nationkey // 10) AS b FROM supplier JOIN customer ON c_custkey = s_suppkey) WHERE starts_with(a, b) OR starts_with(b, a) OR (length(a) <= length(b) AND a[:-2] = b[:length(a) - 1]) OR (length(b) < length(a) AND b[:-2] = a[:length(b) - 1])")
 def author_match(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", T.surname(F.concat(F.lit("Given Author"), "s_nationkey")).alias("a"))
     c = table(spark, sf_dir, "customer").select("c_custkey", T.surname(F.concat(F.lit("Author"), F.floor(F.col("c_nationkey") / 10), F.lit(", Given"))).alias("b"))

@@ -23,9 +23,10 @@ def alias_resolve(spark, sf_dir):
 
 @query(f"WITH {ALIAS_SQL} SELECT coalesce(a.canonical, d.doc_id) AS work_id, arg_min(d.source, d.doc_id) AS source, count(*)::BIGINT AS arrivals FROM documents d LEFT JOIN alias a ON a.old = d.doc_id GROUP BY 1")
 def first_writer_wins(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("work_id"), F.col("doc_id").alias("arrival"), "source")
+    # arrival: by file and row, as the pool is read
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("work_id"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"), "source")
     rows = folds.resolve_alias(rows, aliases(spark, sf_dir), "work_id")
-    first = folds.first_by(rows, ["work_id"], ["arrival"])
+    first = folds.first_by(rows, ["work_id"], ["file_name", "row_index"])
     return first.join(rows.groupBy("work_id").agg(F.count(F.lit(1)).alias("arrivals")), "work_id").select("work_id", "source", "arrivals")
 
 
@@ -161,8 +162,11 @@ def alias_refusals(spark, sf_dir):
 @query("WITH v AS (SELECT p_partkey, p_brand AS base, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS ver FROM part) SELECT p_partkey, base, ver FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY (ver IS NULL) DESC, ver DESC, p_partkey) AS n, count(ver) OVER (PARTITION BY base) AS c FROM v) WHERE n = 1 OR c = 0")
 def version_dedup(spark, sf_dir):
     v = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("base"), F.when(F.col("p_size") % 5 != 0, F.col("p_size")).alias("ver"))
-    w = Window.partitionBy("base").orderBy(F.col("ver").isNull().desc(), F.desc("ver"), "p_partkey")
-    return v.withColumn("n", F.row_number().over(w)).withColumn("c", F.count("ver").over(Window.partitionBy("base"))).where("n = 1 OR c = 0").select("p_partkey", "base", "ver")
+    # the first row and the number of versions of each base; only bases without any are joined back to their rows
+    first = F.min_by(F.struct("p_partkey", "ver"), F.struct(F.col("ver").isNotNull(), -F.coalesce("ver", F.lit(0)), "p_partkey"))
+    bases = v.groupBy("base").agg(first.alias("one"), F.count("ver").alias("c"))
+    rest = v.join(bases.where("c = 0").select("base"), "base", "left_semi")
+    return bases.where("c > 0").select("one.p_partkey", "base", "one.ver").unionByName(rest.select("p_partkey", "base", "ver"))
 
 
 @query("SELECT p.doc_id AS url_key, CASE WHEN l.doc_id IS NULL THEN 'new' WHEN l.quality = 0 THEN 'not done' WHEN l.toxic <> p.len % 2 THEN 'changed' END AS why FROM (SELECT doc_id, length(text) AS len FROM documents) p LEFT JOIN labels l ON l.doc_id = p.doc_id WHERE l.doc_id IS NULL OR l.quality = 0 OR l.toxic <> p.len % 2")
@@ -213,10 +217,37 @@ def faceted_search(spark, sf_dir):
     return rows.where((year >= 1995) & (year <= 1996) & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & F.col("c_mktsegment").isin("BUILDING", "MACHINERY") & any_text).select("o_orderkey", "c_name", F.to_date("o_orderdate").alias("day"), "o_orderpriority", "c_mktsegment")
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE contains(lower(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR, o_orderstatus, o_orderpriority)), '99')")
+@query("SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE contains(o_orderkey::VARCHAR, '88') OR contains(o_custkey::VARCHAR, '88') OR contains(lower(o_orderstatus), '88') OR contains(o_totalprice::VARCHAR, '88') OR contains(o_orderdate::VARCHAR, '88') OR contains(lower(o_orderpriority), '88')")
 def free_text_search(spark, sf_dir):
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return table(spark, sf_dir, "orders").where(T.either([F.contains(F.lower(F.col(c).cast("string")), F.lit("99")) for c in cols]) | F.contains(F.concat_ws("|", *cols), F.lit("99"))).select("o_orderkey", "o_orderstatus", "o_custkey")
+    """Rows with a text in any of their columns."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.where(T.any_contains(orders, "88")).select("o_orderkey", "o_orderstatus", "o_custkey")
+
+
+PARTS = {"work_id": "p_partkey", "doi": "'https://doi.org/10.' || CAST(p_size % 4 AS STRING) || '/' || CAST(p_partkey AS STRING)", "title": "p_name", "abstract": "p_type", "url": "''", "type": "p_brand", "publication_year": "CAST(1950 + p_size AS INT)", "concepts": "'[{\"id\":\"https://x/C' || CAST(p_size AS STRING) || '\"}]'"}
+CONDITIONS = R.load([
+    {"id": "a-doi", "pile": "discard", "precedence": 9, "match": {"doi_prefix": "10.2"}}, {"id": "b-year", "pile": "screen_cheap", "precedence": 8, "match": {"fields": {"publication_year": [1960, 1961]}}},
+    {"id": "c-concept", "pile": "screen_cheap", "precedence": 7, "match": {"fields": {"concept_ids": ["C1"]}}}, {"id": "d-none", "pile": "screen_expensive", "precedence": 6, "match": {"none_of": [{"doi_regex": "10[.]3/"}, {"fields": {"type": ["Brand#11"]}}]}},
+    {"id": "e-any", "pile": "screen_cheap", "precedence": 5, "match": {"any_of": [{"doi_regex": "/1.$"}, {"all_of": [{"fields": {"publication_year": [1999]}}, {"abstract_missing": False}]}]}},
+])
+
+
+@query("SELECT p_partkey AS work_id, concat_ws('|', CASE WHEN p_size % 4 = 2 THEN 'a-doi' END, CASE WHEN p_size IN (10, 11) THEN 'b-year' END, CASE WHEN p_size = 1 THEN 'c-concept' END, CASE WHEN p_size % 4 <> 3 AND p_brand <> 'Brand#11' THEN 'd-none' END, CASE WHEN p_partkey BETWEEN 10 AND 19 OR (p_size = 49 AND trim(p_type) <> '') THEN 'e-any' END) AS rules FROM part")
+def rule_conditions(spark, sf_dir):
+    """The set of rules that each work meets, by identifiers, years, concepts and nested conditions."""
+    works = table(spark, sf_dir, "part").selectExpr(*[f"{e} AS {c}" for c, e in PARTS.items()])
+    return R.match_flags(works, CONDITIONS, R.Pool()).select("work_id", F.array_join("matched", "|").alias("rules"))
+
+
+SHARDS_SQL = "SELECT substr(md5(doc_id::VARCHAR), 1, 2) AS shard, md5(count(*) || ':' || sum(('0x' || substr(md5({0}), 1, 15))::BIGINT) || ':' || sum(('0x' || substr(md5({0}), 16, 15))::BIGINT)) AS digest FROM documents {1} GROUP BY 1"
+
+
+@query("WITH a AS (" + SHARDS_SQL.format("source", "WHERE n_chars > 40") + "), b AS (" + SHARDS_SQL.format("CASE WHEN doc_id % 50 = 0 THEN '' ELSE source END", "") + ") SELECT coalesce(a.shard, b.shard) AS shard, CASE WHEN a.shard IS NULL THEN 'new' WHEN b.shard IS NULL THEN 'gone' ELSE 'changed' END AS why FROM a FULL JOIN b ON a.shard = b.shard WHERE a.digest IS DISTINCT FROM b.digest")
+def shard_changes(spark, sf_dir):
+    """Shards of a cache that differ between two versions, by digest."""
+    d = table(spark, sf_dir, "documents")
+    before = folds.shard_digests(d.where("n_chars > 40"), "doc_id", F.col("source"))
+    return folds.changed_shards(before, folds.shard_digests(d, "doc_id", F.when(F.col("doc_id") % 50 == 0, "").otherwise(F.col("source"))))
 
 
 @query("SELECT lang, count(*)::BIGINT AS n, min(n_chars)::BIGINT AS least, round(median(n_chars), 6) AS p50, max(CASE WHEN rn = floor(0.9 * c)::BIGINT + 1 THEN n_chars END)::BIGINT AS p90, max(n_chars)::BIGINT AS most FROM (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) AS rn, count(*) OVER (PARTITION BY lang) AS c FROM documents) GROUP BY lang")

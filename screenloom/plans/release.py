@@ -62,6 +62,42 @@ def read(spark: SparkSession, store: str, table: str, release: str) -> DataFrame
     return spark.read.parquet(f"{store}/{table}").where(F.col("release_id") == release)
 
 
+#: What a pile's works are called and how sure that is; `named`: a rule's vocabulary names them instead.
+POLICY = {"discard": ("false_positive", "high", False), "screen_expensive": ("needs_review", "high", True), "screen_cheap": ("needs_review", "medium", True)}
+
+
+def export_rows(pool: DataFrame, routing: DataFrame, rules: list[R.Rule], pile: str, release: str, work: str = "work_id", year: str = "publication_year", from_year: int | None = None, to_year: int | None = None) -> DataFrame:
+    """A pile's works with status, method, evidence and confidence; raises for a pile that isn't exported, as pending.
+
+    A work without a year fails either bound.
+    """
+    if pile not in POLICY:
+        raise ValueError(f"pile {pile} isn't exported")
+    status, confidence, named = POLICY[pile]
+    own = routing.where(F.col("pile") == pile).select(work, "rule_id", "precedence", "evidence", F.array_join("live", "|").alias("matched_rules"))
+    words = F.broadcast(R.as_table(pool.sparkSession, rules).select("rule_id", "vocabulary"))  # as many rows as rules
+    rows = pool.join(own, work).join(words, "rule_id", "left")
+    if from_year is not None or to_year is not None:
+        y = F.col(year).cast("int")
+        rows = rows.where((y >= from_year if from_year is not None else y.isNotNull()) & (y <= to_year if to_year is not None else y.isNotNull()))
+    called = F.coalesce("vocabulary", F.lit(status)) if named else F.lit(status)
+    evidence = F.concat(F.lit("rule:"), "rule_id", F.when(F.coalesce("evidence", F.lit("")) != "", F.concat(F.lit("; "), "evidence")).otherwise(""))
+    kept = [c for c in pool.columns if c in (work, "title", year)]
+    return rows.select(*kept, called.alias("paper_type"), F.lit(f"engine:{release[:12]}").alias("filter_method"), evidence.alias("filter_evidence"), F.lit(confidence).alias("filter_confidence"), F.col("rule_id").alias("route_rule"), F.col("precedence").alias("route_precedence"), "matched_rules")
+
+
+def drop_release(spark: SparkSession, store: str, release: str) -> None:
+    """Remove a release's partitions; its row in releases/ goes by writing the others anew."""
+    from ..sources.exports import _fs
+
+    for table in ("routing", "evaluations", "domains"):
+        fs, p = _fs(spark, f"{store}/{table}/release_id={release}")
+        fs.delete(p, True)
+    left = spark.read.parquet(f"{store}/releases").where(F.col("release_id") != release)
+    left = spark.createDataFrame(left.collect(), left.schema)  # a row per release
+    left.write.mode("overwrite").parquet(f"{store}/releases")
+
+
 def resolve(releases: DataFrame, prefix: str) -> str:
     """The release that the prefix names; raises if there is none or more than one."""
     found = [r.release_id for r in releases.where(F.col("release_id").startswith(prefix)).select("release_id").distinct().limit(2).collect()]

@@ -11,14 +11,14 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.regex import UnsupportedPattern, to_java
+from ..functions.regex import UnsupportedPattern, loosen, to_java
 
 PILES = ("discard", "screen_expensive", "screen_cheap", "pending")
 SCREENS = ("screen_expensive", "screen_cheap")
@@ -146,12 +146,31 @@ class Pool:
     publication_year: str | None = "publication_year"
     concept_ids: str | None = "concepts"
 
+    #: Set by prepared(): the columns that hold values once derived, and their lower-case forms.
+    derived: frozenset = frozenset()
+
     def value(self, name: str) -> Column:
+        if name in self.derived:
+            return F.col(f"_value_{name}")
         if name == "text":
             return F.concat(self.value("title"), F.lit("\n"), self.value("abstract"))
         column = getattr(self, name)
         return F.lit("") if column is None else F.coalesce(F.col(column).cast("string"), F.lit(""))
 
+    def matches(self, name: str, pattern: str) -> Column:
+        """Does the pattern match this value?  Where it needs a literal, only values that contain it are tried."""
+        return T.matches(self.value(name), pattern, F.col(f"_lower_{name}") if name in self.derived else None)
+
+    def prepared(self, pool: DataFrame, blocks: list[dict]) -> tuple[DataFrame, Pool]:
+        """pool with the values that these blocks' patterns read and their lower-case forms as columns, each derived once, and the Pool that reads them."""
+        names = sorted({REGEXES[k] for b in blocks for k in _keys_used(b) if k in REGEXES})
+        first = pool.select("*", *[self.value(n).alias(f"_value_{n}") for n in names])
+        return first.select("*", *[F.lower(f"_value_{n}").alias(f"_lower_{n}") for n in names]), replace(self, derived=frozenset(names))
+
+    def dropped(self, df: DataFrame) -> DataFrame:
+        """df without the derived columns."""
+        return df.drop(*[f"{k}_{n}" for n in self.derived for k in ("_value", "_lower")])
+
 
 def compile_block(block: dict, pool: Pool) -> Column:
     """A boolean that is never null."""
@@ -161,7 +180,7 @@ def compile_block(block: dict, pool: Pool) -> Column:
         parts.append(T.either([T.doi_has_prefix(doi, p) for p in _listed(block["doi_prefix"])]))
     for key, column in REGEXES.items():
         if key in block:
-            parts.append(T.either([pool.value(column).rlike(to_java(p)) for p in _listed(block[key])]))
+            parts.append(T.either([pool.matches(column, p) for p in _listed(block[key])]))
     for name, values in block.get("fields", {}).items():
         if getattr(pool, name) is None:
             return F.lit(False)
@@ -190,8 +209,11 @@ def evidence(block: dict, pool: Pool) -> Column:
 
 def match_flags(pool: DataFrame, rules: list[Rule], columns: Pool, block: str = "match") -> DataFrame:
     """pool with one array column `matched` (or `domains`): the ids of the rules whose block holds, by precedence."""
+    blocks = [getattr(r, block) for r in rules if getattr(r, block) is not None]
+    ready, columns = (pool, columns) if columns.derived else columns.prepared(pool, blocks)
     flags = [F.when(compile_block(getattr(r, block), columns), F.lit(r.id)) for r in rules if getattr(r, block) is not None]
-    return pool.withColumn("matched" if block == "match" else "domains", F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>"))
+    name = "matched" if block == "match" else "domains"
+    return ready.withColumn(name, F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")).select(*[c for c in pool.columns if c != name], name)
 
 
 def route(pool: DataFrame, rules: list[Rule], columns: Pool | None = None, exempt: Column | None = None) -> DataFrame:
@@ -202,10 +224,15 @@ def route(pool: DataFrame, rules: list[Rule], columns: Pool | None = None, exemp
     pile without an abstract: pending with reason no_text, unless `exempt`.
     """
     columns = columns or Pool()
+    ready, columns = columns.prepared(pool, [r.match for r in rules])
+    return columns.dropped(decide(match_flags(ready, rules, columns), rules, columns, exempt))
+
+
+def decide(matched: DataFrame, rules: list[Rule], columns: Pool, exempt: Column | None = None) -> DataFrame:
+    """What route() adds to rows with `matched`, which may come from more rules than these."""
     rules = sorted(rules, key=lambda r: (-r.precedence, r.id))
-    shadows = [r.id for r in rules if r.shadow]
-    out = match_flags(pool, rules, columns)
-    out = out.withColumn("live", F.array_except("matched", F.array(*map(F.lit, shadows)).cast("array<string>")))
+    own = F.array(*[F.lit(r.id) for r in rules if not r.shadow]).cast("array<string>")
+    out = matched.withColumn("live", F.array_intersect(own, "matched"))
     rule = F.get("live", F.lit(0))
     pick = lambda f: F.coalesce(*[F.when(rule == r.id, F.lit(f(r))) for r in rules], F.lit(None))
     won = pick(lambda r: r.pile)
@@ -217,6 +244,45 @@ def route(pool: DataFrame, rules: list[Rule], columns: Pool | None = None, exemp
     )
 
 
+def route_two(pool: DataFrame, a: list[Rule], b: list[Rule], columns: Pool | None = None) -> DataFrame:
+    """(work, pile_a, rule_a, pile_b, rule_b) under two bundles, every text read once.
+
+    Rules of the same digest are evaluated once; a rule that the bundles give different
+    contents is evaluated for each.
+    """
+    columns = columns or Pool()
+    other = {r.id for r in a} & {r.id for r in b if r.digest not in {x.digest for x in a}}
+    marked = [r if r.id not in other else replace(r, id=f"{r.id}\0b") for r in b]
+    every = [*a, *[r for r in marked if r.id not in {x.id for x in a}]]
+    ready, columns = columns.prepared(pool, [r.match for r in every])
+    found = match_flags(ready, every, columns)
+    first = decide(found, a, columns).withColumnsRenamed({"pile": "pile_a", "rule_id": "rule_a"})
+    second = decide(first, marked, columns).withColumn("rule_id", F.substring_index("rule_id", "\0", 1))
+    return second.select(columns.work, "pile_a", "rule_a", F.col("pile").alias("pile_b"), F.col("rule_id").alias("rule_b"))
+
+
+def text_patterns(block: dict) -> list[str] | None:
+    """Text patterns of which one matches wherever the block holds, or None if there are no such."""
+    direct = [p for k in ("title_regex", "abstract_regex", "text_regex") for p in [block.get(k)] if p]
+    if direct:
+        return _listed(direct[0])
+    for child in block.get("all_of", []):
+        if found := text_patterns(child):
+            return found
+    if block.get("any_of"):
+        parts = [text_patterns(child) for child in block["any_of"]]
+        return None if any(p is None for p in parts) else [p for x in parts for p in x]
+    return None
+
+
+def fused_prefilter(rules: list[Rule]) -> str | None:
+    """One pattern that matches the raw text of every work that any of the rules could match, or None."""
+    parts = [text_patterns(r.match) for r in rules]
+    if not parts or any(p is None for p in parts):
+        return None
+    return "|".join(f"(?:{loosen(p.removeprefix('(?i)'))})" for p in dict.fromkeys(p for x in parts for p in x))
+
+
 def evaluations(routed: DataFrame, work: str = "work_id") -> DataFrame:
     """(work, rule) of every match: absence is a no."""
     return routed.select(work, F.explode("matched").alias("rule_id"))

@@ -14,6 +14,15 @@ def read_pool(spark: SparkSession, path: str, schema: T.StructType = POOL) -> Da
     return spark.read.schema(schema).parquet(path).select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if it has fewer: one file is one task, however much work its texts are.
+
+    A table of many files is left as it is, so that nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(url, content_length, record_count) of a manifest {entries or files: [{url, meta}]}; s3 as https; empty or malformed raises."""
     entry = "array<struct<url:string,meta:struct<content_length:bigint,record_count:bigint>>>"

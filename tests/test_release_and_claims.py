@@ -7,7 +7,7 @@ from screenloom.functions import parse
 from screenloom.operators import claims
 from screenloom.plans import release
 from screenloom.plans import rules as R
-from tests_data import CONTENTS, SCHEMA, WORKS
+from tests_data import CONTENTS, MATCHES, SCHEMA, WORKS
 
 
 def test_release(spark, tmp_path):
@@ -20,8 +20,12 @@ def test_release(spark, tmp_path):
     for _ in range(2):  # again: replaced, not doubled
         first = release.build(pool, rules, R.Pool(), store, one, "2024-01-01T00:00:00Z")
     second = release.build(pool, rules[1:], R.Pool(), store, two, "2024-01-02T00:00:00Z")
-    assert release.read(spark, store, "routing", first).count() == 8 and release.read(spark, store, "evaluations", first).count() == 11
+    assert release.read(spark, store, "routing", first).count() == 8 and release.read(spark, store, "evaluations", first).count() == MATCHES
     assert release.read(spark, store, "routing", second).where("pile = 'discard'").count() == 1
+    rows = release.export_rows(pool, release.read(spark, store, "routing", first), rules, "screen_cheap", first, from_year=2000).collect()
+    assert {(r.work_id, r.paper_type, r.filter_confidence) for r in rows} == {(106, "reproduction", "medium"), (108, "replication", "medium")} and rows[0].filter_method == f"engine:{first[:12]}"
+    with pytest.raises(ValueError):
+        release.export_rows(pool, release.read(spark, store, "routing", first), rules, "pending", first)
     plan = release.read(spark, store, "routing", first)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(release_id" in plan
     releases = spark.read.parquet(f"{store}/releases")
@@ -29,8 +33,12 @@ def test_release(spark, tmp_path):
     with pytest.raises(LookupError):
         release.resolve(releases, "")
     release.check_binding(releases, first, bundle=one.bundle)
+    with pytest.raises(release.Mismatch, match="no release"):
+        release.check_binding(releases, "none")
     with pytest.raises(release.Mismatch, match="bundle"):
         release.check_binding(releases, first, bundle=two.bundle, pool=digest)
+    release.drop_release(spark, store, second)
+    assert spark.read.parquet(f"{store}/releases").count() == 1 and spark.read.parquet(f"{store}/routing").count() == 8
 
 
 def test_claims(spark):
@@ -66,8 +74,22 @@ def test_tiers(spark):
     assert {r.work_id: r.decision for r in claims.run_tier("test", routed, done).collect()} == {1: "discard", 2: "proceed"}
 
 
+def lcs(a, b):
+    rows = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, rows[j] = rows[j], max(rows[j], rows[j - 1], last + (x == y))
+    return rows[-1]
+
+
 def test_parsing(spark):
     assert parse.partial_ratio("effect of sleep", "the effect of sleep on memory") == 100 and parse.partial_ratio("", "x") == 0 and parse.partial_ratio("abcd", "xxabzdxx") == 75
+    for a, b in (("sleep well", "they slept very well"), ("abc", "zabz"), ("aaaa", "bbbbbbb"), ("short", "longer than short"), ("a b c d e", "e d c b a")):
+        parts = [b[max(0, i) : i + len(a)] for i in range(1 - len(a), len(b))]
+        plain = max(200 * lcs(a, p) / (len(a) + len(p)) for p in parts)
+        assert abs(parse.partial_ratio(a, b) - plain) < 1e-9 and parse.nearly_in(a, b, 70) == (plain >= 70)
+    assert parse.quote_found("A  Quoted titel", "it has a quoted title in it") and not parse.quote_found("something else", "it has a quoted title") and not parse.quote_found("", "x")
     assert parse.token_set_ratio("Sleep and memory", "memory and sleep: again") == 100 and parse.token_set_ratio("a", None) == 0
     assert parse.clean_citation("[12] Smith, J., & Lee, K. (1999). The big effect. Journal, 3.") == "The big effect"
     assert parse.fold_title("Eﬀect of Naï-\nve  Café") == "effect of naive cafe"

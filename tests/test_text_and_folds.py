@@ -22,8 +22,12 @@ def test_identifiers(spark):
     assert values(spark, T.work_id(x), ["https://openalex.org/W12", "w7", "8", "W1x", None, ""]) == [12, 7, 8, None, None, None]
     assert values(spark, T.year_text(x), ["2018.0", " 2019 ", "n.d.", None, "2018.5"]) == ["2018", "2019", "n.d.", "", "2018.5"]
     assert values(spark, T.surname(x), ["Smith, Jo", "Jo de Smith", " Žižek "]) == ["smith", "smith", "žižek"]
-    assert values(spark, T.title_fingerprint(x), ["A &amp;amp;lt; B—c!", "  "]) == ["a b c", ""]
-    assert values(spark, T.fold_text(x), ["é  x\n\ty", "plain  text", None]) == ["é x y", "plain text", None]
+    assert values(spark, T.title_fingerprint(x), ["A &amp;amp;lt; B—c! &eacute;t&#233; &rarr; x", "  ", None]) == ["a b c t x", "", None]
+    texts = spark.createDataFrame([("e\u0301  x\n\ty",), ("plain  text",), (None,), ("caf\u00e9\u2003z",), ("\u212b",), ("\u1112\u1161",)], "x string")
+    assert [r.y for r in T.fold_text(texts, "x", "y").collect()] == ["\u00e9 x y", "plain text", None, "caf\u00e9 z", "\u00c5", "\ud558"]
+    assert values(spark, T.whole(x), ["12", " -3 ", "1.0", "x", None, "99999999999"]) == [12, -3, None, None, None, None]
+    assert values(spark, T.model_family(x), ["GPT-4.1", "o3-mini", "acme/qwen", "", None, "chatgpt"]) == ["gpt", "gpt", "qwen", "none", "none", "other"]
+    assert values(spark, T.value_bytes(x), ["a" * 126, "a" * 127, None]) == [127, 131, 1]
     assert values(spark, F.date_format(T.utc(x), "yyyy-MM-dd HH:mm"), ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "2024-01-02T03:04:05", "2024-01-02", "soon", None]) == ["2024-01-02 03:04", "2024-01-02 01:04", "2024-01-02 03:04", "2024-01-02 00:00", None, None]
     assert values(spark, T.duration_text(x.cast("long")), ["5", "65", "7260"]) == ["5s", "1m 5s", "2h 1m"]
     assert values(spark, T.is_blank(x), [" 　\t\x0b", "a", None]) == [True, False, True]
@@ -33,12 +37,16 @@ def test_titles_and_keys(spark):
     pair = "a string, b string"
     match = T.titles_match(F.col("a"), F.col("b"))
     assert values(spark, match, [("The Big Effect of Sleep", "the big effect of sleep!"), ("effect of sleep on memory", "A study: effect of sleep on memory, revisited in many ways and places"), ("one two", "one two three four five six"), ("", "")], pair) == [True, True, False, False]
-    assert values(spark, T.authors_match(F.col("a"), F.col("b")), [("smith", "smiths"), ("li", "lin"), ("lin", "line"), ("smith", "smithson")], pair) == [True, False, True, False]
+    assert values(spark, T.authors_match(F.col("a"), F.col("b")), [("smith", "smiths"), ("li", "lin"), ("lin", "line"), ("smith", "smithson"), ("smyth", "smith"), ("smita", "smith"), ("", "x")], pair) == [True, False, True, True, False, True, False]
     keys = T.identity_keys(F.col("a"), F.lit(None).cast("long"), F.col("b"), F.lit("A Title"))
     assert values(spark, keys, [("doi:10.1/X", " HTTP://U "), (None, ""), (None, None)], pair) == [["doi:10.1/x", "url:http://u"], ["title:a title"], ["title:a title"]]
-    back = T.from_inverted_index(F.col("x"))
-    assert values(spark, back, ['{"b":[1],"a":[0,2]}', '{"z":[0],"a":[0]}', None]) == ["a b a", "z", None]
-    assert values(spark, T.sentences(F.col("x")), ["Smith et al. found it. Was it? Yes!", ""]) == [["Smith et al. found it.", "Was it?", "Yes!"], []]
+    long = " ".join(f"w{i % 9000}" for i in range(20_000))
+    indexes = spark.createDataFrame([(1, '{"b":[1],"a":[0,2]}'), (2, '{"z":[0],"a":[0]}'), (3, None), (4, "{bad"), (5, "{}")], "k int, i string").unionByName(T.inverted_index(spark.createDataFrame([(6, long), (7, "a  b")], "k int, t string"), "k", "t").withColumnRenamed("index", "i"))
+    assert {r.k: r.text for r in T.from_inverted_index(indexes, "k", "i").collect()} == {1: "a b a", 2: "a", 3: None, 4: None, 5: None, 6: long, 7: "a  b"}
+    assert values(spark, T.sentences(F.col("x")), ["Smith et al. found it. Was it? Yes!", "", "J. Doe, e.g. here, cf. No. 3. Then."]) == [["Smith et al. found it.", "Was it?", "Yes!"], [], ["J. Doe, e.g. here, cf. No. 3.", "Then."]]
+    assert values(spark, T.sentence_context(F.array(*[F.lit(str(i)) for i in range(9)]), F.col("x").cast("int")), ["1", "5", "9"]) == ["0 1 2", "2 3 4 5 6", "6 7 8"]
+    assert values(spark, T.published_after(F.col("a"), F.col("b")), [("2011", "2010.0"), ("2010", "2010"), ("n.d.", "2010"), (None, "2010"), ("in 2012", "2010")], pair) == [True, False, False, False, True]
+    assert values(spark, T.years_agree(F.col("a"), F.col("b")), [("2011", "2010.0"), ("2012", "2010"), (None, "2010")], pair) == [True, False, True]
     low, high = T.wilson(F.col("x").cast("long"), F.lit(10))
     assert values(spark, F.round(low, 3), ["5"]) == [0.237] and values(spark, F.round(high, 3), ["5"]) == [0.763]
     assert values(spark, T.wilson(F.lit(0), F.lit(0))[0], ["1"]) == [None]
@@ -60,6 +68,13 @@ def test_folds(spark):
     assert [r.k for r in folds.without(base, [(extra.where("k = 1"), "k"), (aliases.selectExpr("canonical AS k"), "k")]).collect()] == [2]
     keyed = folds.suffixed(spark.createDataFrame([("s", i) for i in range(28)], "b string, i int"), "b", ["i"]).orderBy("i").collect()
     assert [keyed[i].key for i in (0, 1, 25, 26)] == ["s", "sb", "sz", "s27"]
+    given = spark.createDataFrame([("s2009",), ("s2009b",), ("t2009",)], "key string")
+    assert [r.key for r in folds.suffixed(spark.createDataFrame([("s2009", 1), ("u2009", 2)], "b string, i int"), "b", ["i"], given=given).orderBy("i").collect()] == ["s2009c", "u2009"]
+    scores = spark.createDataFrame([("k", "a", 9.0), ("k", "b", 5.0), ("l", "a", 9.0), ("l", "b", 8.0), ("m", "z", 3.0), ("n", "b", 7.0), ("n", "a", 7.0), ("o", "a", 6.0)], "k string, item string, score double")
+    assert {(r.k, r.item, r.second) for r in folds.dominant(scores, ["k"], "score", "item", 4, 1.5).collect()} == {("k", "a", 5.0), ("o", "a", 0.0)}
+    shards = lambda rows: folds.shard_digests(spark.createDataFrame(rows, "k int, v string"), "k", F.col("v"), 1)
+    one, two = shards([(i, str(i)) for i in range(60)]), shards([(i, str(i) if i else "x") for i in reversed(range(60))])
+    assert folds.changed_shards(one, one).count() == 0 and [r.why for r in folds.changed_shards(one, two).collect()] == ["changed"]
     a, b = (spark.createDataFrame(x, "x string") for x in ([("a",), ("b",)], [("b",), ("a",)]))
     assert folds.content_digest(a, F.col("x")).first() == folds.content_digest(b, F.col("x")).first() != folds.content_digest(a.limit(1), F.col("x")).first()
 
@@ -95,7 +110,18 @@ def test_citations(spark):
     text = "As Smith, Jones, and Brown (1999) and Miller et al. (2004) say; Fox's (2010) work, unlike Lee & Park, 2011, is old. Ng 2012."
     docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, text string")
     got = citations.find_citations(docs, "id", "text").orderBy("start").collect()
-    assert [(r.surname, r.year) for r in got] == [("smith", 1999), ("miller", 2004), ("fox", 2010), ("lee", 2011), ("ng", 2012)]
+    assert [(r.pattern, r.surname, r.year) for r in got] == [("multi_and_paren", "smith,jones,andbrown", 1999), ("etal_paren", "miller", 2004), ("single_paren", "fox", 2010), ("two_and_bare", "lee", 2011)]
+    cases = {
+        "Vess (2012, PS, Study 1)": [("single_paren", "vess", 2012)], "Adams, Baker & Clark, 1987 and": [("multi_and_bare", "adams,baker&clark", 1987)], "de la Cruz et al., 1950": [("etal_bare", "delacruz", 1950)],
+        "Foxe & Hall (1999; a)": [("two_and_paren", "foxe", 1999)], "Lees & Park, 2011": [("two_and_bare", "lees", 2011)], "Foxe's (2010)": [("single_paren", "foxe", 2010)], "In May and June 2018": [], "Monday 2018": [], "Study 2019": [("single_bare", "study", 2019)], "Miller 20041": [],
+        "Miller, 2051 by": [("single_bare", "miller", 2051)], "": [],
+    }
+    for t, want in cases.items():
+        assert [(p, s, y) for p, _, _, s, y in citations.spans(t)] == want, t
+    assert citations.spans("Study 2019", strict=True) == [] == citations.spans("Miller, 2051", max_year=2020)
+    cited = spark.createDataFrame([(1, 0, "Foxe (2010)", "foxe", 2010, "10.1/self"), (1, 1, "Lees 2011", "lees", 2011, "10.1/self")], "work_id int, n int, raw string, surname string, year int, doi_self string")
+    refs = spark.createDataFrame([(1, "a", "10.1/a", "A", 2011, ["Foxe", "Lees"]), (1, "b", None, "B", 2010, ["Foxen"]), (1, "c", "10.1/SELF", "C", 2010, ["Foxe"]), (1, "d", None, "D", 2013, ["Lees"]), (2, "e", None, "E", 2010, ["Foxe"])], "work_id int, ref_id string, doi string, title string, year int, surnames array<string>")
+    assert {(r.ref_id, r.match_year_exact, r.cited) for r in citations.find_candidates(cited, refs).collect()} == {("a", False, "Foxe (2010)"), ("b", True, "Foxe (2010)")}
 
 
 def test_streaming(spark, tmp_path):
