@@ -37,6 +37,9 @@ def test_quality_classifier(spark):
     held_out = [r for r in scored if r.doc_id is not None and 400 <= r.doc_id < 600]
     assert sum((r.score >= fm.THRESHOLD) == (r.doc_id % 4 != 0) for r in held_out) >= 0.95 * len(held_out)
     assert fm.score_quality(docs.limit(0), machine).count() == 0
+    # repeated rows beside labels don't change what is learnt
+    again = fm.train(docs.unionByName(docs.where("doc_id < 30")), labels, sample=150)
+    assert np.allclose(again.w, machine.w) and np.allclose(again.v, machine.v)
     nothing = fm.train(docs, labels.limit(0))
     assert {r.score for r in fm.score_quality(docs.limit(3), nothing).collect()} == {0.5}
 
@@ -81,6 +84,42 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0 and decontam.find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_of_odd_rows(spark):
+    """Null and repeated keys, repeated rows, columns with the operator's own names, and more items than one pass compares."""
+    rng = random.Random(14)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(n))
+    items = [(None, words(20)), (5, words(20)), (5, words(30))]
+    texts = [f"{words(30)} {items[i % 3][1]} {words(30)}" for i in range(3)]
+    rows = [(None, texts[0]), (None, texts[0]), (7, texts[1]), (7, texts[1]), (7, words(60)), (8, texts[2]), (None, words(60)), (None, None)]
+    docs = spark.createDataFrame([(k, t, "x", "y", 3) for k, t in rows], "doc_id long, text string, key string, item string, distance int")
+    bench = spark.createDataFrame([(i, t, "z") for i, t in items], "item_id long, text string, id string")
+    want = sorted([(None, None), (None, None), (7, 5), (7, 5), (8, 5)], key=str)
+    assert sorted(((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()), key=str) == want
+    kept = decontam.without_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.text) for r in kept.where("text IS NOT NULL AND doc_id IS NOT NULL").collect()) == [rows[4]] and kept.count() == 3
+    was, decontam.ITEM_BYTES = decontam.ITEM_BYTES, 100
+    try:
+        assert sorted(((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()), key=str) == want and decontam.without_leaks(docs, bench).count() == 3
+    finally:
+        decontam.ITEM_BYTES = was
+
+
+def test_regions_that_edits_allow_are_compared():
+    """The count of pieces never turns away a region within the allowed edits."""
+    rng = random.Random(15)
+    for _ in range(300):
+        item = "".join(rng.choice("abc dé") for _ in range(rng.randint(5, 60))).strip() or "a"
+        near = list(item)
+        most = decontam.PERCENT * len(item) // 100
+        for _ in range(most):
+            q = rng.randrange(len(near) + 1)
+            near[q : q + 1] = rng.choice([[], ["z"], ["y", "x"]])
+        region = "before " + "".join(near) + " after"
+        if decontam.edit_distance(item, region, most)[0] <= most:
+            own = decontam.pieces(item)
+            assert np.isin(own, decontam.pieces(region)).sum() >= len(own) - decontam.PIECE * most
+
+
 def test_recall_of_misspelt_passages():
     """Items with 3 of 100 characters edited are nearly all found, with 6 of 100 nine of ten."""
     import pyarrow as pa
@@ -212,6 +251,21 @@ def test_tool_calls(spark):
     assert tools.link_calls(spark.createDataFrame([], "thread string, id string, name string, arguments string, after string"), spark.createDataFrame([], "thread string, id string, content string"), schema).count() == 0
 
 
+def test_calls_that_wait_for_several(spark):
+    """The longest path of dependencies counts; cycles and missing calls leave what waits for them unordered."""
+    graph = {"a": [], "b": ["a"], "c": ["a", "b"], "d": ["a", "c", "b"], "e": ["f"], "f": ["e"], "g": ["a", "f"], "h": ["gone"], "i": []}
+    calls = spark.createDataFrame([("t", k, "f", "{}", None, "x", 1) for k in graph] + [("u", "a", "f", "{}", None, "x", 1)], "thread string, id string, name string, arguments string, after string, depth string, errors int")
+    needs = spark.createDataFrame([("t", k, a) for k, v in graph.items() for a in v] + [("t", "b", "a"), ("t", "b", None), ("t", "other", "a")], "thread string, id string, after string")
+    results = spark.createDataFrame([("t", k, None if k == "i" else "long " * 20_000 if k == "a" else "r") for k in graph] + [("u", "a", "r")], "thread string, id string, content string")
+    got = {(r.thread, r.id): r for r in tools.link_calls(calls, results, [], needs).collect()}
+    assert {k: r.depth for (t, k), r in got.items() if t == "t"} == {"a": 0, "b": 1, "c": 2, "d": 3, "e": None, "f": None, "g": None, "h": None, "i": 0}
+    assert got["u", "a"].depth == 0 and "unordered" in got["t", "g"].errors and "unknown tool" in got["t", "a"].errors
+    schema = [tools.Argument("f", "n", "number")]
+    plain = tools.link_calls(calls.where("id = 'i'").selectExpr("thread", "id", "name", "'{\"n\":1.50, \"a\":1e2}' AS arguments", "after", "1 AS content", "2 AS json"), results, schema).first()
+    assert plain.errors == [] and json.loads(plain.json) == {"arguments": {"a": 100, "n": 1.5}, "id": "i", "name": "f", "result": None} and plain.json.index('"a"') < plain.json.index('"n"')
+    assert tools.link_calls(calls.limit(0), results, schema, needs).count() == 0
+
+
 def test_long_chain(spark):
     calls = spark.createDataFrame([("t", f"c{i}", "f", "{}", f"c{i - 1}" if i else None) for i in range(70)], "thread string, id string, name string, arguments string, after string")
     assert {r.id: r.depth for r in tools.depths(calls).collect()} == {f"c{i}": i for i in range(70)}
@@ -251,6 +305,80 @@ def test_pipeline(spark, tmp_path):
     assert left[303] == dict(rows)[303] and passage[:40] not in left[304] and left[5] == dict(rows)[5]
 
 
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, kind in (("documents", schema), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    some = spark.createDataFrame([(1, "a few words here", "en", "s", 4), (2, None, None, None, None)], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        some = stage(spark, some, str(tmp_path))
+    assert some.count() == 2
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    """What each stage keeps, against loops over all rows."""
+    import hashlib
+
+    import corpus_pipeline
+    import public_tokenizers
+
+    from screenloom.llm import bpe
+
+    rng = random.Random(23)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage, items, rows = words(35), [(i, " ".join(words(22))) for i in range(4)], []
+    for i in range(120):
+        w = words(rng.randint(3, 120))
+        if i % 5 == 0:
+            w[3:3] = passage
+        if i % 11 == 0:
+            w[1:1] = items[i % 4][1].split(" ")
+        if i % 7 == 0 and rows:
+            w = rng.choice(rows)[1].split(" ")
+            if len(w) > 60:
+                w[len(w) // 2] = "changed"
+        rows.append((i, " ".join(w)))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    sets = {i: {tuple(t.split(" ")[p : p + 5]) for p in range(len(t.split(" ")) - 4)} or {tuple(t.split(" "))} for i, t in rows}
+    group = {i: i for i in sets}
+    for _ in range(6):
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    group[i] = group[j] = min(group[i], group[j])
+    one = stages["n-gram Jaccard join"](spark, docs, str(tmp_path))
+    texts = {r.doc_id: r.text for r in one.collect()}
+    assert set(texts) == set(group.values()) and len(texts) < 120
+    first = {}
+    for i in sorted(texts):
+        w = texts[i].split(" ")
+        for p in range(len(w) - 12):
+            first.setdefault(tuple(w[p : p + 13]), i)
+    left = {}
+    for i, t in texts.items():
+        w = t.split(" ")
+        gone = {q for p in range(len(w) - 12) if first[tuple(w[p : p + 13])] < i for q in range(p, p + 13)}
+        if len(gone) < len(w):
+            left[i] = [x for q, x in enumerate(w) if q not in gone]
+    two = stages["substring dedup"](spark, one, str(tmp_path))
+    assert {r.doc_id: r.text.split() for r in two.collect()} == left and all(r.n_chars == len(r.text) for r in two.collect())
+    three = stages["benchmark decontamination"](spark, two, str(tmp_path))
+    plain = {r.doc_id: " ".join(r.text.split()) for r in two.collect()}
+    leaks = {i for i, t in plain.items() for _, x in items if decontam.edit_distance(x, t, decontam.PERCENT * len(x) // 100)[0] <= decontam.PERCENT * len(x) // 100}
+    assert {r.doc_id for r in three.collect()} == set(left) - leaks and leaks
+    encode = bpe.encoding(public_tokenizers.path(bpe.RANKS))
+    kept = {r.doc_id: r.text for r in three.collect()}
+    for r in stages["byte-level BPE encoding and decoding"](spark, three, str(tmp_path)).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == encode.encode_ordinary(kept[r.doc_id]) and r.decoded_sha256 == hashlib.sha256(kept[r.doc_id].encode()).hexdigest()
+
+
 def test_pipeline_rows_without_an_identifier_of_their_own(spark, tmp_path):
     """Null and repeated identifiers: leaks and copies go, one of each group stays, passages are cut, and clean rows are kept."""
     import corpus_pipeline

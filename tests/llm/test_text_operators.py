@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from bisect import bisect_left
@@ -69,8 +70,10 @@ def test_repetition_of_long_texts():
 def test_language_model(docs, empty, texts, chunk_bytes, order):
     from pyspark.sql import functions as F
 
-    marked = docs.where("doc_id IS NOT NULL").withColumn("train", F.col("row") % 3 != 0)
-    rows = {i * 3 + 1: (i % 3 != 0, [*words((t or "").translate(LOWER)), ""]) for i, t in enumerate(texts)}
+    # rows without an identifier are learnt from and scored as others, each known by its text here
+    marked = docs.withColumn("train", F.col("row") % 3 != 0).withColumn("doc_id", F.coalesce("doc_id", -F.octet_length("text")))
+    assert ngram_lm.score_texts(docs.withColumn("train", F.lit(True)), order=order, chunk_bytes=chunk_bytes).where("doc_id IS NULL").count() == 2
+    rows = {r.doc_id: (r.train, [*words((r.text or "").translate(LOWER)), ""]) for r in marked.collect()}
     counts = Counter()
     for train, w in rows.values():
         if train:
@@ -119,6 +122,92 @@ def test_jaccard(docs, texts, chunk_bytes, empty):
     assert jaccard.link_documents(empty).count() == 0
 
 
+def test_many_equal_rows(spark):
+    """Rows that would outgrow a chunk together, equal ones and ones that differ in their key, give the results of rows each by itself."""
+    from pyspark.sql import functions as F
+
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, passage, True)] * 300 + [(i, passage, i % 2 == 0) for i in range(200)] + [(1000 + i, f"own{i} words {passage} end", True) for i in range(5)] + [(None, "", False)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    size, dealt = exchange.deal(docs, "text", 2000)
+    assert size.folded and dealt.agg(F.sum(f"row.{exchange.COPIES}")).first()[0] == len(rows) and dealt.count() < len(rows) - 250
+    weights = [r.n for r in dealt.groupBy("chunk").agg(F.sum(F.octet_length("row.text")).alias("n")).collect()]
+    assert max(weights) < 15_000  # of 50,000 bytes that are equal
+    assert exchange.unfold(dealt.select("row.*"), size).exceptAll(docs).count() == 0 and exchange.unfold(dealt.select("row.*"), size).count() == len(rows)
+    one, two = (ngram_lm.score_texts(docs, chunk_bytes=b).select("doc_id", "train", F.round("score", 9).alias("s"), "train_tokens").collect() for b in (2000, 1 << 22))
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.train, r.s, r.train_tokens)
+    assert sorted(map(key, one)) == sorted(map(key, two)) and len(one) == len(rows)
+    groups = jaccard.link_documents(docs, chunk_bytes=2000).collect()
+    assert len(groups) == len(rows) and {r.component_id for r in groups if r.doc_id is not None and r.doc_id < 200} == {0}
+    left = substrings.remove_repeats(docs, chunk_bytes=2000).collect()
+    assert len(left) == len(rows) and sum(r.n_removed == 0 and r.n_words == 30 for r in left) == 1 and all(r.n_removed == 30 for r in left if r.doc_id is None and r.n_words)
+
+
+def test_templates_just_below_the_threshold(spark):
+    """Texts with much in common that link with nobody make no pairs, so that time grows with their number."""
+    base = " ".join(f"t{i}" for i in range(100))
+    docs = spark.createDataFrame([(i, base + " " + " ".join(f"u{i}x{j}" for j in range(22))) for i in range(2000)], "doc_id long, text string")
+    made = []
+    whole = jaccard.multiply_columns
+
+    def look(entries, percent):
+        t = entries.withColumns({c: entries["token"] * 0 for c in ("strip", "strip_a", "strip_b")}).toArrow()
+        made.append((len(t), len(whole(t, percent))))
+        return entries.selectExpr("id AS a", "id AS b").limit(0)
+
+    kept, jaccard.candidate_pairs = jaccard.candidate_pairs, look
+    try:
+        assert jaccard.link_documents(docs).where("component_id <> doc_id").count() == 0
+    finally:
+        jaccard.candidate_pairs = kept
+    assert len(made) == 1 and 2000 * 8 <= made[0][0] < 2000 * 9 and made[0][1] == 0
+    assert jaccard.link_documents(docs).where("component_id <> doc_id").count() == 0
+
+
+def test_column_strips_and_bounds(spark, monkeypatch):
+    """Columns cut in strips, and blocks of few entries, find the same links."""
+    rng = random.Random(21)
+    words_ = [f"w{i}" for i in range(60)]
+    base, rows = [rng.choice(words_) for _ in range(60)], []
+    for i in range(160):
+        w = base[:]
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = rng.choice(words_) + str(rng.randint(0, 3))
+        rows.append((i, " ".join(w[: rng.randint(40, 60)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {r.doc_id: r.component_id for r in jaccard.link_documents(docs).collect()}
+    monkeypatch.setattr(jaccard, "STRIP", 7)
+    monkeypatch.setattr(jaccard, "ENTRIES", 50)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 16)
+    assert {r.doc_id: r.component_id for r in jaccard.link_documents(docs).collect()} == plain
+    sets = {i: {tuple(t.split()[p : p + 5]) for p in range(len(t.split()) - 4)} for i, t in rows}
+    group = {i: i for i in sets}
+    for _ in range(8):
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    group[i] = group[j] = min(group[i], group[j])
+    assert plain == group and len(set(group.values())) > 20
+
+
+def test_sketch():
+    """Never an undercount; few windows that occur once are estimated repeated; sketches of parts add up."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    first = rng.integers(0, 2**63, 40_000).astype(np.uint64)
+    first[:5000] = first[5000:10_000]
+    bits = substrings.width_bits(40_000 * substrings.WORD_BYTES)
+    cells = substrings.sketch_cells(first, bits).reshape(substrings.DEPTH, -1)
+    counts = np.bincount(cells.reshape(-1).astype(np.int64), minlength=substrings.DEPTH << bits)
+    estimate = counts[cells.astype(np.int64)].min(0)
+    true = np.unique(first, return_counts=True)
+    exact = dict(zip(*map(np.ndarray.tolist, true)))
+    assert all(e >= exact[f] for e, f in zip(estimate.tolist(), first.tolist()))
+    once = np.array([exact[f] == 1 for f in first.tolist()])
+    assert 0 < (estimate[once] > 1).mean() < 1.2 * substrings.ERROR
+
+
 def test_chain_of_links(spark):
     """Each text is near the next only: one component, found over several rounds."""
     base = [f"a{i}" for i in range(400)]
