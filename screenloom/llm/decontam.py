@@ -7,10 +7,11 @@ have a small Hamming distance.  A table samples COORDINATES steps; windows whose
 samples equal an item's become candidates.  TABLES independent ones reach the
 target recall.  An exact edit distance of the characters decides each candidate.
 
-Windows go with the size of items.  For items of 2**c to 2**(c+1) - 1 words a
-window has half of 2**c words and starts at every such half of a document; each
-item is entered at all shifts, so that every window inside a passage meets its
-counterpart word for word.  A word counts by its first PREFIX bytes, so that most
+Windows go with the size of items.  Items whose numbers of words are within a factor of
+the square root of two are a class; its windows have three quarters of the words of the
+shortest, and start so often that each passage as long as that holds one.  An item is
+entered at all shifts, so that every window inside a passage meets its counterpart word
+for word.  A word counts by its first PREFIX bytes, so that most
 misspellings leave it as it was.
 
 Edits spread over many words leave few words as they were, but runs of bytes between
@@ -38,6 +39,8 @@ PERCENT, RECALL = 20, 0.95
 PREFIX = 4
 #: Walks, tables of each, steps sampled by a table, and how many different words they must have read.
 EMBEDDINGS, TABLES, COORDINATES, DISTINCT = 6, 3, 4, 3
+#: Words of a window, percent of those of the shortest item of its class.
+WINDOW = 75
 #: Characters of the pieces that are counted before an edit distance is computed: each edit changes PIECE of them at most.
 PIECE = 3
 #: Bytes of a run, and how many runs an item must have in a region: one in CHARS of its bytes, FEWEST at least.
@@ -168,9 +171,12 @@ def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
     words = split(pa.array(texts, pa.string()))
     hashes, n_words = symbols(words), words.counts
     classes = []
-    for c in sorted({int(n).bit_length() - 1 for n in n_words}):
-        members = np.flatnonzero((n_words >> c) == 1)
-        window = stride = max(1, (1 << c) // 2)
+    size = np.floor(2 * np.log2(n_words)).astype(np.int64)
+    for c in np.unique(size):
+        members = np.flatnonzero(size == c)
+        least = int(n_words[members].min())
+        window = max(1, WINDOW * least // 100)
+        stride = least - window + 1
         entry = np.array([(m, s) for m in members for s in range(int(n_words[m]) - window + 1)])
         start = words.first[entry[:, 0]] + entry[:, 1]
         tables = []
