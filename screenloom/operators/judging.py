@@ -61,6 +61,12 @@ def tier_outcomes(verdicts: DataFrame, claims: DataFrame, release: str, work: st
     return out
 
 
+def progress(works: DataFrame, votes: DataFrame, work: str = "work_id") -> DataFrame:
+    """(work, state) of all works: untouched without a vote, incomplete while a voter that was asked has no answer, else decided."""
+    g = votes.groupBy(work).agg(F.bool_or(F.col("verdict") == "no_answer").alias("open"))
+    return works.select(work).join(g, work, "left").select(work, F.when(F.col("open").isNull(), "untouched").when(F.col("open"), "incomplete").otherwise("decided").alias("state"))
+
+
 def would_discard(decisions: DataFrame, routing: DataFrame, work: str = "work_id") -> DataFrame:
     """(pile, works): how many works that a tier would discard lie in each pile that the rules chose."""
     gone = decisions.where(F.col("outcome") == DISCARD).select(work)

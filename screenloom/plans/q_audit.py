@@ -172,6 +172,12 @@ def cheap_judge(spark, sf_dir):
     return cheap_votes(spark, sf_dir)
 
 
+@query(f"WITH {POOL_SQL}, {VOTES_SQL}, s AS (SELECT work_id, bool_or(verdict = 'no_answer') AS open FROM votes GROUP BY work_id) SELECT p.work_id, CASE WHEN s.open IS NULL THEN 'untouched' WHEN s.open THEN 'incomplete' ELSE 'decided' END AS state FROM p LEFT JOIN s ON s.work_id = p.work_id")
+def tier_progress(spark, sf_dir):
+    """How far the cheap tier is with each work."""
+    return judging.progress(pool(spark, sf_dir), cheap_votes(spark, sf_dir))
+
+
 @query(f"WITH {ROUTED_SQL}, {VOTES_SQL} SELECT r.pile, count(*)::BIGINT AS works FROM dec JOIN routing r ON r.work_id = dec.work_id WHERE outcome = 'discard' GROUP BY r.pile")
 def would_discard(spark, sf_dir):
     """What the cheap tier would discard, by the pile that the rules chose."""

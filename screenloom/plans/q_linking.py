@@ -27,6 +27,12 @@ def token_set_match(spark, sf_dir):
     return folds.first_by(hits, ["title", "year"], ["other"])
 
 
+@query(r"SELECT item_id, md5(trim(regexp_replace(lower(regexp_replace(strip_accents(text), '([\p{L}\p{N}_])[-‐‑]\s+([\p{L}\p{N}_])', '\1\2', 'g')), '\s+', ' ', 'g'))) AS normal_md5 FROM benchmark")
+def title_normal(spark, sf_dir):
+    """Compatibility forms of texts in lower case, without accents and with hyphenation undone."""
+    return table(spark, sf_dir, "benchmark").select("item_id", F.md5(parse.fold_title_of("text")).alias("normal_md5"))
+
+
 @query()
 def quote_ratio(spark, sf_dir):
     """Works whose title is found in their whole abstract, or nearly so."""

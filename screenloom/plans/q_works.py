@@ -269,9 +269,13 @@ def cost_estimate(spark, sf_dir):
     return g.select("pile", "works", "tokens", F.round(cost, 6).alias("cost"), F.round(cost / F.col("works") * 100_000, 4).alias("cost_per_100k"))
 
 
-@query("SELECT source, count(*)::BIGINT AS rows, sum(24 + 8 + 4 + strlen(text) + 4 + strlen(source))::BIGINT AS heap_bytes, round(sum(24 + 8 + 4 + strlen(text) + 4 + strlen(source)) / 1048576.0, 6)::DOUBLE AS mb FROM documents GROUP BY source")
+WIDTH_SQL = "CASE WHEN strlen({0}) < 127 THEN strlen({0}) + 1 ELSE strlen({0}) + 4 END"
+
+
+@query("WITH w AS (SELECT source, 28 + ceil((8 + " + WIDTH_SQL.format("text") + " + " + WIDTH_SQL.format("source") + ") / 8.0) * 8 AS b FROM documents) SELECT source, count(*)::BIGINT AS rows, sum(b)::BIGINT AS heap_bytes, round(sum(b) / 1048576.0, 6)::DOUBLE AS mb FROM w GROUP BY source")
 def sizing_model(spark, sf_dir):
-    size = F.lit(24 + 8 + 4) + F.octet_length("text") + 4 + F.octet_length("source")
+    """Bytes that works with their texts and sources take as rows of a store."""
+    size = T.heap_bytes(F.lit(8) + T.value_bytes(F.col("text")) + T.value_bytes(F.col("source")))
     return table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum(size.cast("long")).alias("heap_bytes"), F.round(F.sum(size.cast("long")) / F.lit(1048576.0), 6).alias("mb"))
 
 

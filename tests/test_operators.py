@@ -80,6 +80,7 @@ def test_tiers(spark):
     votes = judging.cheap_judge(works, answers)
     assert sorted((r.work_id, r.voter, r.verdict) for r in votes.collect()) == [(1, "1", "no"), (1, "2", "no"), (2, "1", "yes"), (3, "1", "no"), (3, "2", "no_answer"), (4, "prescreen_bypass", "proceed"), (5, "1", "no_answer")]
     decided = judging.cheap_decision(votes)
+    assert {r.work_id: r.state for r in judging.progress(works.unionByName(spark.createDataFrame([(9, None)], works.schema)), votes).collect()} == {1: "decided", 2: "decided", 3: "incomplete", 4: "decided", 5: "incomplete", 9: "untouched"}
     assert {r.work_id for r in decided.where("outcome = 'discard'").collect()} == {1}
     routing = spark.createDataFrame([(1, "screen_cheap"), (2, "screen_cheap")], "work_id int, pile string")
     assert [tuple(r) for r in judging.would_discard(decided, routing).collect()] == [("screen_cheap", 1)]
