@@ -21,12 +21,23 @@ from screenloom.llm.exchange import kept, scratch, written
 
 #: The key of a row inside a stage.
 ROW = "_row_key"
+#: Rows that go to Python in one batch, and text bytes of a chunk that a task holds: stages follow each other in the same
+#: executors, whose workers keep the memory that an earlier stage took.
+BATCH_ROWS, CHUNK_BYTES = 2000, 3 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def bounded(spark: SparkSession) -> None:
+    """Bounds the batches of this session that go to Python by BATCH_ROWS."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is at least the threshold; the classifier learns from the labels outside the held-out fold."""
+    bounded(spark)
     labels = queries.table(spark, sf_dir, "labels").where(queries.fold("doc_id", fm.FOLDS) != fm.HELD_OUT)
     machine = fm.train(docs, labels)
     return fm.score_quality(docs, machine, name="_score").where(F.col("_score") >= fm.THRESHOLD).select(*docs.columns)
@@ -48,25 +59,29 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A row without an identifier comes after all that have one; of rows with the same identifier each is judged by its own text.
     """
+    bounded(spark)
     rows = with_row_key(docs)
-    groups = jaccard.link_documents(rows, key=ROW)
+    groups = jaccard.link_documents(rows, key=ROW, chunk_bytes=CHUNK_BYTES)
     gone = groups.where(F.col("component_id") != F.col(ROW)).select(ROW)
     return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that start in an earlier row, in the order of identifiers; rows of which nothing is left go."""
-    out = substrings.remove_repeats(with_row_key(docs), key=ROW).where("n_removed = 0 OR n_removed < n_words")
+    bounded(spark)
+    out = substrings.remove_repeats(with_row_key(docs), key=ROW, chunk_bytes=CHUNK_BYTES).where("n_removed = 0 OR n_removed < n_words")
     return out.select(*[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item."""
+    bounded(spark)
     return decontam.without_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text (little-endian unsigned 32-bit integers), their number, and checksums of them and of the decoded bytes."""
+    bounded(spark)
     out = bpe.round_trip(docs.select("doc_id", "text"))
     return out.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
