@@ -24,6 +24,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -215,6 +216,22 @@ def spread(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[tuple[int, pa.Table]]:
+    """(number, rows) of chunks with at most so many bytes of that text column, or one row; numbers are unique over all tasks."""
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in batches:
+        for a, b in spread(batch[column], most):
+            part = batch.slice(a, b - a)
+            n = (pc.sum(pc.binary_length(part[column])).as_py() or 0) + ROW_BYTES * part.num_rows
+            if held and size + n > most:
+                yield number, pa.Table.from_batches(held)
+                number, held, size = number + 1, [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield number, pa.Table.from_batches(held)
+
+
 def shared(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or that of the context.
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fm, jaccard, ngram_lm, repetition, ring, substrings, tools, urls
+from . import bpe, decontam, fm, jaccard, ngram_lm, phrases, repetition, ring, substrings, tools, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+#: Phrases of each language that op13 reports.
+TOP = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+    return phrases.ranked(found, TOP).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_lm_scoring": op2_lm_scoring,
@@ -85,6 +92,7 @@ QUERIES = {
     "op8_quality_fm": op8_quality_fm,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -167,4 +175,22 @@ k AS (SELECT w.doc_id, count(gone.p)::BIGINT AS n_removed, string_agg(w.w, ' ' O
       FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.p = w.p GROUP BY w.doc_id)
 SELECT t.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM t LEFT JOIN k ON k.doc_id = t.doc_id""",
+    "op13_collocations": rf"""
+WITH piece AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS ws FROM (
+       SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS x FROM documents)),
+gram AS MATERIALIZED (
+  SELECT lang, k, g, count(*) AS f
+  FROM (SELECT lang, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM piece, range(1, {phrases.WORDS + 1}) r(k))) GROUP BY ALL
+  HAVING count(*) >= {phrases.LEAST}),
+c AS (SELECT lang, k AS size, g, f, string_split(g, ' ') AS ws FROM gram WHERE k > 1),
+inner_part AS (SELECT lang, array_to_string(ws[p:p + k - 1], ' ') AS g, max(f) AS longer
+               FROM (SELECT *, unnest(range(1, size - k + 2)) AS p FROM c, range(2, {phrases.WORDS}) r(k) WHERE k < size) GROUP BY ALL),
+cut AS (SELECT lang, g, f, k, array_to_string(ws[:k], ' ') AS lg, array_to_string(ws[k + 1:], ' ') AS rg FROM c, range(1, {phrases.WORDS}) s(k) WHERE k < size),
+scored AS (SELECT cut.*, a.f AS l, b.f AS r, {phrases.SCALE}::HUGEINT * cut.f // (a.f + b.f) AS score
+           FROM cut JOIN gram a ON a.lang = cut.lang AND a.g = lg JOIN gram b ON b.lang = cut.lang AND b.g = rg),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS nth FROM scored),
+spoken AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM piece GROUP BY lang),
+placed AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, f DESC, b.g) AS rank
+           FROM best b LEFT JOIN inner_part i ON i.lang = b.lang AND i.g = b.g WHERE nth = 1 AND (longer IS NULL OR 100 * longer < {phrases.SHARE} * f))
+SELECT lang, rank::BIGINT AS rank, g AS phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM placed JOIN spoken USING (lang) WHERE rank <= {TOP}""",
 }
