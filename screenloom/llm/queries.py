@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fm, jaccard, ngram_lm, phrases, repetition, ring, substrings, tools, urls
+from . import align, bpe, decontam, fm, jaccard, ngram_lm, phrases, repetition, ring, substrings, tools, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -76,6 +76,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.mine(table(spark, sf_dir, "documents").select("lang", "text"))
     return phrases.ranked(found, TOP).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -92,6 +98,7 @@ QUERIES = {
     "op8_quality_fm": op8_quality_fm,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op13_collocations": op13_collocations,
 }
 
