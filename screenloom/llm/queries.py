@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bpe, decontam, fm, jaccard, ngram_lm, phrases, repetition, ring, substrings, tools, urls
+from . import align, bpe, decontam, dom, fm, jaccard, ngram_lm, phrases, repetition, ring, substrings, tools, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -82,6 +82,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = dom.extract(pages, dom.train(pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.mine(table(spark, sf_dir, "documents").select("lang", "text"))
     return phrases.ranked(found, TOP).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -99,6 +105,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_main_text": op12_main_text,
     "op13_collocations": op13_collocations,
 }
 
