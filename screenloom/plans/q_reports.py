@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..operators import running
 from ..sources import tables
 from . import rules as R
 from .registry import Registry
@@ -143,11 +144,9 @@ def completeness(spark, sf_dir):
 def scan_progress(spark, sf_dir):
     """Progress of a scan and its rate over the last 50 partitions, the first one's bytes left out; a row per partition of the manifest."""
     d = log(spark, sf_dir).groupBy("claim").agg(F.sum(F.round(F.col("score") * 100).cast("long")).alias("bytes"), F.max("at").alias("done_at"))
-    by = Window.partitionBy(F.lit(0)).orderBy("done_at", "claim")
-    w = by.rowsBetween(-49, 0)
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    seconds = F.nullif(micros(F.col("done_at")) - micros(F.first("done_at").over(w)), F.lit(0))
-    return d.select("claim", "bytes", F.sum("bytes").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("done_bytes"), F.round((F.sum("bytes").over(w) - F.first("bytes").over(w)) / seconds * 1_000_000, 4).alias("bytes_per_s"))
+    last = running.in_order(d, ["done_at", "claim"]).trailing(50, sent=lambda w: F.sum("bytes").over(w) - F.first("bytes").over(w), took=lambda w: micros(F.col("done_at")) - micros(F.first("done_at").over(w)))
+    return last.running(done_bytes=F.col("bytes")).done().select("claim", "bytes", "done_bytes", F.round(F.col("sent") / F.nullif("took", F.lit(0)) * 1_000_000, 4).alias("bytes_per_s"))
 
 
 @query(f"WITH {LOG_SQL} SELECT verdict, 'moved' AS kind, count(*)::BIGINT AS n FROM log WHERE claim > 70 GROUP BY 1 UNION ALL SELECT verdict, 'stays', count(*)::BIGINT FROM log WHERE NOT claim > 70 GROUP BY 1")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..operators.folds import content_digest
-from .tables import read_stage_csv, to_scan
+from .tables import read_stage_csv
 
 #: Fixed value: what a spreadsheet looks for at the head of a file in UTF-8.
 MARK = "﻿"
@@ -108,35 +108,6 @@ def mirror(spark: SparkSession, csv: str, parquet: str, columns: list[str]) -> b
     return True
 
 
-LEDGER = "url string, status string, content_length bigint, records bigint, kept bigint, malformed bigint"
-
-
-def scan(spark: SparkSession, manifest: DataFrame, store: str, schema: T.StructType, gate: Column, project: list[Column]) -> DataFrame:
-    """Read the files of a manifest that the ledger doesn't have, keep what passes the gate, and return the new ledger rows.
-
-    One job reads all of them as JSON lines, whose tasks Spark runs again when they fail; a
-    record that can't be read costs itself only, and is counted.  What is kept goes to
-    store/pool, a folder per source file that a rescan replaces; then the ledger's rows go to
-    store/ledger.  Should the job end between, the files are scanned again.
-    """
-    ledger = spark.read.schema(LEDGER).parquet(f"{store}/ledger") if exists(spark, f"{store}/ledger") else spark.createDataFrame([], LEDGER)
-    last = ledger.groupBy("url").agg(F.max_by(F.struct("status", "content_length"), F.struct("content_length")).alias("l")).select("url", "l.*")
-    todo = to_scan(manifest, last).select("url", "content_length")
-    urls = [r.url for r in todo.select("url").orderBy("url").collect()]  # as many as the manifest has files
-    if not urls:
-        return spark.createDataFrame([], LEDGER)
-    raw = spark.read.schema(T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(urls)
-    source = F.col("_metadata.file_path")
-    rows = raw.withColumn("source_file", F.element_at(F.split(source, "/"), -1)).withColumn("_url", source)
-    keep = F.col("_bad").isNull() & F.coalesce(gate, F.lit(False))
-    rows.where(keep).select(*project, "source_file").write.mode("overwrite").partitionBy("source_file").option("partitionOverwriteMode", "dynamic").parquet(f"{store}/pool")
-    counts = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"), F.count_if(keep).alias("kept"), F.count_if(F.col("_bad").isNotNull()).alias("malformed"))
-    done = todo.withColumn("source_file", F.element_at(F.split("url", "/"), -1)).join(counts, "source_file", "left")
-    out = done.select("url", F.lit("done").alias("status"), "content_length", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("records", "kept", "malformed")])
-    out.write.mode("append").parquet(f"{store}/ledger")
-    return spark.read.schema(LEDGER).parquet(f"{store}/ledger").join(todo.select("url"), "url", "left_semi")
-
-
 #: Columns of an overlay's chunks.
 OVERLAY = T.StructType([T.StructField("work_id", T.LongType()), T.StructField("abstract_text", T.StringType()), T.StructField("source", T.StringType()), T.StructField("fetched_at", T.StringType())])
 

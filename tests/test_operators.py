@@ -142,20 +142,6 @@ def test_exports(spark, tmp_path):
     assert exports.mirror(spark, path, f"{tmp_path}/copy", ["title", "note", "year_r"]) and not exports.mirror(spark, path, f"{tmp_path}/copy", ["title", "note", "year_r"]) and spark.read.parquet(f"{tmp_path}/copy").count() == 2
 
 
-def test_scan(spark, tmp_path):
-    from pyspark.sql import types as T
-
-    (tmp_path / "a.json").write_text('{"id": 1, "t": "keep"}\n{bad\n{"id": 2, "t": "drop"}\n')
-    (tmp_path / "b.json").write_text('{"id": 3, "t": "keep"}\n')
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
-    manifest = lambda size: spark.createDataFrame([(f"{tmp_path}/a.json", size), (f"{tmp_path}/b.json", 5)], "url string, content_length long")
-    run = lambda size: {r.url[-6:]: (r.records, r.kept, r.malformed) for r in exports.scan(spark, manifest(size), f"{tmp_path}/store", schema, F.col("t") == "keep", [F.col("id")]).collect()}
-    assert run(9) == {"a.json": (3, 1, 1), "b.json": (1, 1, 0)} and run(9) == {}
-    (tmp_path / "a.json").write_text('{"id": 4, "t": "keep"}\n{"id": 5, "t": "keep"}\n')
-    assert set(run(10)) == {"a.json"}
-    assert {r.id for r in spark.read.parquet(f"{tmp_path}/store/pool").collect()} == {3, 4, 5}
-
-
 def test_overlay_and_store(spark, tmp_path):
     folder = f"{tmp_path}/overlay"
     frame = lambda rows: spark.createDataFrame(rows, exports.OVERLAY)
