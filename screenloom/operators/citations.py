@@ -1,16 +1,15 @@
-"""Author and year citations in texts, and the references that they may mean."""
+"""Author and year citations in texts, and the references and works that they may mean."""
 
 from __future__ import annotations
 
-import calendar
-import re
-from bisect import bisect_left
-from collections.abc import Iterator
+import sys
+import unicodedata
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import spans
 from ..functions import text as T
 from . import folds
 
@@ -20,75 +19,98 @@ PARTICLE = r"(?:van\s+der\s+|van\s+|von\s+|de\s+la\s+|de\s+|da\s+|del\s+|den\s+|
 NAME = rf"(?:{PARTICLE}[A-ZÀ-ɏ][\w{LETTERS}]{{2,}})"
 YEAR, TAIL = r"(?:19|20)\d{2}", r"(?:\s*[,;][^)]{0,60})?"
 AND, OWNER = r"\s+(?:and|&)\s+", r"\s*'?s?\s*"
-#: The patterns, most specific first.
-PATTERNS = [
-    ("multi_and_paren", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}){OWNER}\(({YEAR}){TAIL}\)"),
-    ("multi_and_bare", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}),?\s+({YEAR})(?!\d)"),
-    ("etal_paren", rf"({NAME})\s+et\s+al\.?{OWNER}\(({YEAR}){TAIL}\)"),
-    ("etal_bare", rf"({NAME})\s+et\s+al\.?\s*,?\s+({YEAR})(?!\d)"),
-    ("two_and_paren", rf"({NAME}){AND}({NAME}){OWNER}\(({YEAR}){TAIL}\)"),
-    ("two_and_bare", rf"({NAME}){AND}({NAME}),?\s+({YEAR})(?!\d)"),
-    ("single_paren", rf"({NAME}){OWNER}\(({YEAR}){TAIL}\)"),
-    ("single_bare", rf"({NAME}),?\s+({YEAR})(?!\d)"),
-]
-COMPILED = [(n, re.compile(p)) for n, p in PATTERNS]
-#: Names of months and weekdays are never authors.
-DATES = {m.lower() for m in [*calendar.month_name, *calendar.day_name] if m}
-#: Words before a bare year that aren't authors, for strict extraction.
-LEADS = DATES - {d.lower() for d in calendar.day_name} | {m.lower() for m in calendar.month_abbr if m} | {
-    w.lower() for w in (
-        "Winter Spring Summer Fall Autumn "
-        "Study Studies Table Figure Fig Experiment Experiments Session Sessions Wave Waves Sample Samples Model Models Appendix Chapter Section Panel Phase Trial Trials Cohort Group Groups "
-        "Item Items Question Version Round Block Condition Column Row Note Equation Hypothesis Day Week Month Year Time Age Quarter Volume Vol Issue Number No Page Part Level Step Set Series Line Site Class Type Grade "
-        "COVID SARS MERS HIV AIDS EU US USA UK UN WHO GDP AI ML PCR DNA RNA "
-        "Since During Between From Until After Before In On By At For With Within Over Through Under Around About Across Throughout Post Pre Early Late The This That These Those Their Our Its And But However Thus Here There "
-        "When While Copyright Circa Ca Fiscal Academic Christmas Easter"
-    ).split()
-}
+BRACKETED, PLAIN = rf"{OWNER}\(({YEAR}){TAIL}\)", rf",?\s+({YEAR})(?!\d)"
 FIRST, LAST = 1900, 2099
 
 
-def spans(text: str, max_year: int | None = None, strict: bool = False) -> list[tuple[str, int, int, str, int]]:
-    """(pattern, start, end, first author's surname, year), in order of pattern and then of place.
+@dataclass(frozen=True)
+class Form:
+    """How a citation may read: the pattern, its groups of names, and a text that it can't do without."""
 
-    A match that overlaps one of an earlier pattern is left out, as are months and
-    weekdays for authors and years after max_year.  strict: neither does a bare year
-    after a word that isn't a name count.
-    """
-    out, taken = [], []
-    for name, pattern in COMPILED:
-        for m in pattern.finditer(text):
-            start, end, *groups = m.start(), m.end(), *m.groups()
-            at = bisect_left(taken, (start, end))
-            if at < len(taken) and taken[at][0] < end or at and taken[at - 1][1] > start:
-                continue
-            lead = groups[0].strip().lower().rstrip(",")
-            if strict and name == "single_bare" and (lead in LEADS or lead.split()[-1] in LEADS):
-                continue
-            if any(w.lower() in DATES for g in groups[:-1] for w in re.findall(r"[A-Za-z-]+", g)):
-                continue
-            year = int(groups[-1])
-            if not FIRST <= year <= LAST or max_year is not None and year > max_year:
-                continue
-            out.append((name, start, end, re.sub(r"[\s']", "", groups[0]).lower(), year))
-            taken.insert(at, (start, end))
-    return out
+    label: str
+    pattern: str
+    names: int
+    needs: str
 
+    @property
+    def java(self) -> str:
+        return spans.UNICODE + self.pattern
 
-def find_citations(docs: DataFrame, key: str, text: str, max_year: str | None = None, strict: bool = False) -> DataFrame:
-    """(key, n, pattern, start, raw, surname, year) of every citation; n: its order in the text's patterns.
 
-    Texts without a year are left out before any is searched.  Null text: none.
+#: From the most to the least specific.
+FORMS = [
+    Form("list_bracketed", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}){BRACKETED}", 1, "(?:and|&)"),
+    Form("list_plain", rf"({NAME}(?:,\s*{NAME}){{1,}},?{AND}{NAME}){PLAIN}", 1, "(?:and|&)"),
+    Form("others_bracketed", rf"({NAME})\s+et\s+al\.?{BRACKETED}", 1, "et"),
+    Form("others_plain", rf"({NAME})\s+et\s+al\.?\s*,?\s+({YEAR})(?!\d)", 1, "et"),
+    Form("pair_bracketed", rf"({NAME}){AND}({NAME}){BRACKETED}", 2, "(?:and|&)"),
+    Form("pair_plain", rf"({NAME}){AND}({NAME}){PLAIN}", 2, "(?:and|&)"),
+    Form("one_bracketed", rf"({NAME}){BRACKETED}", 1, r"\("),
+    Form("one_plain", rf"({NAME}){PLAIN}", 1, r"\s"),
+]
+#: Months and days of the week are never authors.
+DATES = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+    "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday",
+)
+#: Words before a bare year that aren't authors, for strict extraction.
+LEADS = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+    "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "oct", "nov", "dec",
+    "winter", "spring", "summer", "fall", "autumn",
+    "study", "studies", "table", "figure", "fig", "experiment", "experiments", "session", "sessions", "wave", "waves", "sample", "samples", "model", "models",
+    "appendix", "chapter", "section", "panel", "phase", "trial", "trials", "cohort", "group", "groups", "item", "items", "question", "version", "round",
+    "block", "condition", "column", "row", "note", "equation", "hypothesis", "day", "week", "month", "year", "time", "age", "quarter", "volume", "vol",
+    "issue", "number", "no", "page", "part", "level", "step", "set", "series", "line", "site", "class", "type", "grade",
+    "covid", "sars", "mers", "hiv", "aids", "eu", "us", "usa", "uk", "un", "who", "gdp", "ai", "ml", "pcr", "dna", "rna",
+    "since", "during", "between", "from", "until", "after", "before", "in", "on", "by", "at", "for", "with", "within", "over", "through", "under",
+    "around", "about", "across", "throughout", "post", "pre", "early", "late", "the", "this", "that", "these", "those", "their", "our", "its", "and",
+    "but", "however", "thus", "here", "there", "when", "while", "copyright", "circa", "ca", "fiscal", "academic", "christmas", "easter",
+)
+
+
+def _candidates(text: Column, place: int, form: Form, latest: Column | None, strict: bool) -> Column:
+    """What a form finds, without hits whose names are dates or whose year is out of bounds."""
+    hits = F.when(text.rlike(form.needs), spans.find(text, form.java)).otherwise(F.array().cast(spans.HITS))
+    group = lambda h, i: F.regexp_extract(h["hit"], form.java, i)
+    read = F.transform(hits, lambda h: F.struct(
+        F.lit(place).alias("place"), h["start"].alias("start"), h["end"].alias("end"), F.lit(form.label).alias("pattern"), h["hit"].alias("raw"), group(h, 1).alias("first"),
+        F.concat_ws(" ", *[group(h, i + 1) for i in range(form.names)]).alias("names"), group(h, form.names + 1).cast("int").alias("year"),
+    ))
+
+    def holds(c: Column) -> Column:
+        ok = ~c["names"].rlike(f"(?i)(?<![A-Za-z-])(?:{'|'.join(DATES)})(?![A-Za-z-])") & c["year"].between(FIRST, LAST)
+        if latest is not None:
+            ok &= F.coalesce(c["year"] <= latest, F.lit(True))
+        if strict and form.label == "one_plain":
+            ok &= ~F.element_at(F.split(F.lower(F.trim(c["first"])), r"\s+"), -1).isin(*LEADS)
+        return ok
+
+    return F.filter(read, holds)
+
+
+def citations_in(text: Column, latest: Column | None = None, strict: bool = False) -> Column:
+    """array<struct<place, start, end, pattern, raw, first, names, year>> of a text's citations, in order of form and then of place.
+
+    All forms are tried on the whole text; of what they find, the most specific first, those
+    stay that overlap none before.  Months and days of the week are no authors, years after
+    `latest` don't count.  strict: neither does a bare year after a word of LEADS.
     """
+    text = F.when(text.rlike("(?:19|20)[0-9]{2}"), text)
+    every = F.concat(*[_candidates(text, i, form, latest, strict) for i, form in enumerate(FORMS)])
+    return spans.apart(F.array_sort(every))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(k, n, p, a, t[a:b], name, year) for k, t, most in zip(batch["key"], batch["text"], batch["most"], strict=True) for n, (p, a, b, name, year) in enumerate(spans(t, None if pd.isna(most) else int(most), strict))]
-            yield pd.DataFrame(rows, columns=["key", "n", "pattern", "start", "raw", "surname", "year"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (F.col(max_year).cast("double") if max_year else F.lit(None).cast("double")).alias("most"))
-    rows = rows.where(F.col("text").rlike("(?:19|20)[0-9]{2}"))
-    return rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, n int, pattern string, start int, raw string, surname string, year int").withColumnRenamed("key", key)
+def find_citations(docs: DataFrame, key: str, text: str, max_year: str | None = None, strict: bool = False) -> DataFrame:
+    """(key, n, pattern, start, raw, surname, year) of every citation; n: its order among those of the text, by form and place.
+
+    surname: the names of the first group in lower case, without spaces and apostrophes.
+    Texts without a year are left out before any form is tried.  Null text: none.
+    """
+    rows = docs.where(F.col(text).rlike("(?:19|20)[0-9]{2}"))
+    found = citations_in(F.col(text), F.col(max_year).cast("int") if max_year else None, strict)
+    rows = rows.select(key, F.posexplode(found).alias("n", "c"))
+    return rows.select(key, "n", "c.pattern", "c.start", "c.raw", F.lower(F.regexp_replace("c.first", r"(?U)[\s']", "")).alias("surname"), "c.year")
 
 
 def find_candidates(citations: DataFrame, references: DataFrame, work: str = "work_id") -> DataFrame:
@@ -105,3 +127,90 @@ def find_candidates(citations: DataFrame, references: DataFrame, work: str = "wo
     hits = hits.where(F.exists("_names", lambda a: T.authors_match(F.col("surname"), F.lower(F.trim(a)))))
     hits = hits.where(~F.coalesce(T.clean_doi(F.col("doi")) == T.clean_doi(F.col("doi_self")), F.lit(False)))
     return folds.first_by(hits.select(work, "ref_id", "n", "order", "title", "year", F.col("exact").alias("match_year_exact"), F.col("raw").alias("cited")), [work, "ref_id"], ["n", "order"]).drop("n", "order")
+
+
+#: Authors of a citation that are looked up, hits above which topic words narrow them, how many words are tried, works offered.
+MOST_NAMES, NARROW_ABOVE, TOPIC_STEPS, OFFERED = 3, 12, (3, 2), 10
+#: Words that carry no topic.
+NO_TOPIC = (
+    "about", "above", "after", "again", "against", "all", "also", "among", "and", "another", "any", "are", "because",
+    "been", "before", "being", "between", "both", "but", "can", "conceptual", "could", "direct", "does",
+    "during", "each", "effect", "effects", "evidence", "experiment", "experiments", "extension",
+    "extensions", "first", "from", "further", "have", "high", "higher", "how", "into", "investigation", "its",
+    "large", "low", "lower", "many", "materials", "more", "most", "new", "not", "novel", "one", "only", "other",
+    "over", "paper", "papers", "pre", "preregistered", "registered", "replicate", "replicates",
+    "replicating", "replication", "replications", "report", "reports", "research", "results", "revisited",
+    "same", "second", "several", "study", "studies", "such", "test", "testing", "tests", "than", "that", "the",
+    "their", "them", "then", "there", "these", "they", "this", "those", "three", "through", "two", "under", "using",
+    "very", "was", "were", "what", "when", "where", "which", "while", "who", "why", "will", "with", "within",
+    "without", "would", "your",
+)
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Letters that decompose into one ASCII letter and marks, and those letters."""
+    pairs = [(chr(c), d) for c in range(128, min(sys.maxunicode, 0x2100)) for d in ["".join(x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x))] if len(d) == 1 and d.isascii() and d.isalpha()]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+PLAIN_LETTERS = _plain_letters()
+
+
+def fold_accents(c: Column) -> Column:
+    """Lower case without accents: letters with marks as the letter, marks on their own left out."""
+    return F.lower(F.regexp_replace(F.translate(c, *PLAIN_LETTERS), r"\p{Mn}+", ""))
+
+
+def fold_names(names: Column) -> Column:
+    """Names as they are compared: without accents, white space as one space; blank ones left out, each once."""
+    folded = F.transform(names, lambda n: F.trim(F.regexp_replace(fold_accents(n), r"(?U)\s+", " ")))
+    return F.array_distinct(F.filter(folded, lambda n: n.isNotNull() & (n != "")))
+
+
+def topic_words(text: Column, names: Column) -> Column:
+    """The words of a title that carry its topic, in order: of four letters or more, not in NO_TOPIC, no author's name, each once."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)[\w&&[^\d_]]{4,}"), F.lit(0))
+    return F.array_distinct(F.filter(words, lambda w: ~w.isin(*NO_TOPIC) & ~F.array_contains(names, fold_accents(w))))
+
+
+def rank_works(citations: DataFrame, works: DataFrame, offered: int = OFFERED, narrow_above: int = NARROW_ABOVE, names: int = MOST_NAMES, steps: tuple[int, ...] = TOPIC_STEPS) -> DataFrame:
+    """(cite_id, rank, ref_id, how, covers, total): the works that a citation of authors and a year may mean, the likeliest first, `offered` at most.
+
+    citations: cite_id, surnames (array, as cited), year, topic (the citing work's title);
+    works: ref_id, surnames (array), year, title, cited_by.  Names are compared without
+    accents.  In passes: works of the year that carry every name of the first `names`; where
+    none does, those of the first name; where there are more than `narrow_above`, those whose
+    title has all of the first three words of the topic, else of the first two, stand ahead of
+    the broad list and never replace it.  Each list is by cited_by, then ref_id.  total counts
+    the broad list; covers: does the work carry every name?
+
+    A citation's names are looked up once however many cite so, by the rarest of them; titles
+    are looked up by a word of the topic among works of those names.
+    """
+    cited = citations.select("cite_id", "year", F.slice(fold_names(F.col("surnames")), 1, names).alias("names"), fold_names(F.col("surnames")).alias("_all"), "topic").where((F.size("names") > 0) & F.col("year").isNotNull())
+    known = works.select("ref_id", "year", fold_names(F.col("surnames")).alias("theirs"), F.coalesce("cited_by", F.lit(0)).alias("cited_by"), F.array_distinct(F.split(fold_accents(F.coalesce("title", F.lit(""))), r"(?U)[\W_]+")).alias("words"))
+    by_name = known.select("ref_id", "year", "theirs", "cited_by", "words", F.explode("theirs").alias("name"))
+    counts = by_name.groupBy("year", "name").agg(F.count(F.lit(1)).alias("n"))
+    keys = cited.select("year", "names").distinct()
+    each = keys.select("year", "names", F.posexplode("names").alias("at", "name")).join(counts, ["year", "name"], "left")
+    rarest = each.groupBy("year", "names").agg(F.min_by("name", F.struct(F.coalesce("n", F.lit(0)), "at")).alias("name"))
+    every = rarest.join(by_name, ["year", "name"]).where(F.size(F.array_except("names", "theirs")) == 0).withColumn("covers", F.lit(True)).drop("name")
+    found = every.select("year", "names").distinct()
+    first = keys.join(found, ["year", "names"], "left_anti").where(F.size("names") > 1).withColumn("name", F.element_at("names", 1))
+    alone = first.join(by_name, ["year", "name"]).withColumn("covers", F.lit(False)).drop("name")
+    hits = every.unionByName(alone)
+    totals = hits.groupBy("year", "names").agg(F.count(F.lit(1)).alias("total"))
+    best = [F.desc("cited_by"), F.asc("ref_id")]
+    top = hits.withColumn("place", F.row_number().over(Window.partitionBy("year", "names").orderBy(*best))).where(F.col("place") <= offered)
+    broad = cited.select("cite_id", "year", "names").join(top, ["year", "names"]).select("cite_id", "ref_id", "covers", F.lit(len(steps)).alias("step"), "place")
+    asked = cited.join(totals.where(F.col("total") > narrow_above), ["year", "names"]).select("cite_id", "year", "names", F.transform(topic_words(F.col("topic"), F.col("_all")), fold_accents).alias("topic"))
+    tried = F.array(*[F.struct(F.lit(i).alias("step"), F.slice("topic", 1, n).alias("wanted")) for i, n in enumerate(steps)])
+    tried = asked.where(F.size("topic") > 0).select("cite_id", "year", "names", F.explode(tried).alias("t")).select("cite_id", "year", "names", "t.*").withColumn("word", F.element_at("wanted", 1))
+    worded = hits.join(asked.select("year", "names").distinct(), ["year", "names"], "left_semi").select("year", "names", "ref_id", "cited_by", "covers", "words", F.explode("words").alias("word"))
+    close = tried.join(worded, ["year", "names", "word"]).where(F.size(F.array_except("wanted", "words")) == 0)
+    near = close.join(close.groupBy("cite_id").agg(F.min("step").alias("step")), ["cite_id", "step"], "left_semi")
+    near = near.withColumn("place", F.row_number().over(Window.partitionBy("cite_id").orderBy(*best))).where(F.col("place") <= offered).select("cite_id", "ref_id", "covers", "step", "place")
+    once = folds.first_by(near.unionByName(broad), ["cite_id", "ref_id"], ["step", "place"])  # 2 * offered rows of a citation at most
+    out = once.withColumn("rank", F.row_number().over(Window.partitionBy("cite_id").orderBy("step", "place"))).where(F.col("rank") <= offered)
+    how = F.when(F.col("step") < len(steps), "topic").when(F.col("covers"), "names").otherwise("first name")
+    return out.join(cited.select("cite_id", "year", "names").join(totals, ["year", "names"]).select("cite_id", "total"), "cite_id").select("cite_id", "rank", "ref_id", how.alias("how"), "covers", "total")

@@ -103,7 +103,7 @@ def token_coverage(spark, sf_dir):
 
 #: A text per part with citations of several forms, a month and a bare year; the same in Spark and in SQL.
 CITING = "'See ' || upper(substr(p_brand, 1, 1)) || 'aker, Ritter & Zwei (' || CAST(1950 + p_size AS STRING) || ', Journal, Study 2) and Holm et al. ' || CAST(1951 + p_size AS STRING) || '. In May ' || CAST(1952 + p_size AS STRING) || ' van der Berg''s (' || CAST(1953 + p_size AS STRING) || ') view was Table ' || CAST(1954 + p_size AS STRING) || '.'"
-CITED = [("multi_and_paren", 0, "upper(substr(p_brand, 1, 1)) || 'aker,ritter&zwei'", 1950, None), ("etal_bare", 1, "'holm'", 1951, "Holm et al. "), ("single_paren", 2, "'vanderberg'", 1953, "van der Berg")]
+CITED = [("list_bracketed", 0, "upper(substr(p_brand, 1, 1)) || 'aker,ritter&zwei'", 1950, None), ("others_plain", 1, "'holm'", 1951, "Holm et al. "), ("one_bracketed", 2, "'vanderberg'", 1953, "van der Berg")]
 
 
 @query("WITH t AS (SELECT p_partkey, p_size, p_brand, " + CITING + " AS text FROM part) " + " UNION ALL ".join(f"SELECT p_partkey, {n}::INTEGER AS n, '{p}' AS pattern, (strpos(text, " + (f"'{at}'" if at else "substr(p_brand, 1, 1) || 'aker, '") + f") - 1)::INTEGER AS start, lower({name}) AS surname, ({year} + p_size)::INTEGER AS year FROM t" for p, n, name, year, at in CITED))
@@ -117,7 +117,7 @@ def citation_spans(spark, sf_dir):
 def citation_candidates(spark, sf_dir):
     """References of the works that parts' texts may mean by their citation of Holm."""
     texts = table(spark, sf_dir, "part").selectExpr("p_partkey AS work_id", f"{CITING} AS text")
-    cited = citations.find_citations(tables.spread(texts), "work_id", "text").where("pattern = 'etal_bare'").withColumn("doi_self", F.lit(None).cast("string"))
+    cited = citations.find_citations(tables.spread(texts), "work_id", "text").where("pattern = 'others_plain'").withColumn("doi_self", F.lit(None).cast("string"))
     refs = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("work_id"), (1950 + F.col("l_linenumber") * 7).alias("year")).agg(F.min("l_orderkey").alias("ref_id"))
     refs = refs.select("*", F.lit(None).cast("string").alias("doi"), F.lit("").alias("title"), F.array(F.lit("Other"), F.lit("Holms")).alias("surnames"))
     return citations.find_candidates(cited, refs).select("work_id", "ref_id", "year", "match_year_exact")
@@ -210,3 +210,31 @@ def author_match(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", T.surname(F.concat(F.lit("Given Author"), "s_nationkey")).alias("a"))
     c = table(spark, sf_dir, "customer").select("c_custkey", T.surname(F.concat(F.lit("Author"), F.floor(F.col("c_nationkey") / 10), F.lit(", Given"))).alias("b"))
     return s.join(c, F.col("s_suppkey") == F.col("c_custkey")).where(T.authors_match(F.col("a"), F.col("b"))).select("s_suppkey", "c_custkey", F.col("a").alias("surname_a"), F.col("b").alias("surname_b"))
+
+
+#: Names of the parts, as authors.
+MAKERS = "['anvil', 'blue', 'bolt', 'cold', 'gear', 'gizmo', 'hot', 'large', 'new', 'old', 'plate', 'red', 'ring', 'rod', 'small', 'widget']"
+RANKED_SQL = f"""
+WITH w AS (SELECT p_partkey AS ref_id, string_split(p_name, ' ') AS theirs, 1950 + p_size % 5 AS year, list_concat(string_split(lower(p_type), ' '), ['brand', substr(p_brand, 7)]) AS words, p_partkey * 37 % 101 AS cited FROM part),
+c AS (SELECT c_custkey AS cite_id, 1950 + c_custkey % 5 AS year, CASE WHEN c_custkey % 3 = 0 THEN [a] WHEN a = b THEN [a] ELSE [a, b] END AS names, CASE c_custkey % 4 WHEN 0 THEN ['economy', 'brand', 'elsewhere'] WHEN 1 THEN ['standard', 'brand'] WHEN 2 THEN ['nowhere'] ELSE [] END AS topic
+      FROM (SELECT *, {MAKERS}[(c_custkey % 16 + 1)::BIGINT] AS a, {MAKERS}[(c_nationkey % 16 + 1)::BIGINT] AS b FROM customer)),
+every AS (SELECT cite_id, topic, ref_id, cited, words FROM c JOIN w ON w.year = c.year AND list_has_all(theirs, names)),
+h AS (SELECT *, true AS covers FROM every UNION ALL
+      SELECT cite_id, topic, ref_id, cited, words, false FROM c JOIN w ON w.year = c.year AND list_contains(theirs, names[1]) WHERE len(names) > 1 AND cite_id NOT IN (SELECT cite_id FROM every)),
+tot AS (SELECT cite_id, count(*)::BIGINT AS total FROM h GROUP BY 1),
+near AS (SELECT cite_id, ref_id, cited, covers, s AS step FROM h JOIN tot USING (cite_id), (VALUES (0, 3), (1, 2)) v(s, n) WHERE total > 12 AND len(topic) > 0 AND list_has_all(words, topic[:n]) QUALIFY s = min(s) OVER (PARTITION BY cite_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY cite_id, step ORDER BY cited DESC, ref_id) AS place FROM (SELECT * FROM near UNION ALL SELECT cite_id, ref_id, cited, covers, 2 FROM h)),
+once AS (SELECT * FROM placed WHERE place <= 10 QUALIFY row_number() OVER (PARTITION BY cite_id, ref_id ORDER BY step, place) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY cite_id ORDER BY step, place) AS rank FROM once)
+SELECT cite_id, rank::INTEGER AS rank, ref_id, CASE WHEN step < 2 THEN 'topic' WHEN covers THEN 'names' ELSE 'first name' END AS how, covers, total FROM r JOIN tot USING (cite_id) WHERE rank <= 10"""
+
+
+@query(RANKED_SQL)
+def ranked_works(spark, sf_dir):
+    """Parts as works that customers' citations of one or two makers, a year and a topic may mean."""
+    works = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ref_id"), F.transform(F.split("p_name", " "), F.initcap).alias("surnames"), (1950 + F.col("p_size") % 5).alias("year"), F.concat_ws(" ", "p_type", "p_brand").alias("title"), (F.col("p_partkey") * 37 % 101).alias("cited_by"))
+    makers = F.array(*[F.lit(w.strip(" '")) for w in MAKERS.strip("[]").split(",")])
+    name = lambda c: F.get(makers, (F.col(c) % 16).cast("int"))
+    topic = F.when(F.col("c_custkey") % 4 == 0, "Effects of Economy: the Brand, elsewhere").when(F.col("c_custkey") % 4 == 1, "A standard brand").when(F.col("c_custkey") % 4 == 2, "nowhere")
+    cited = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cite_id"), F.when(F.col("c_custkey") % 3 == 0, F.array(name("c_custkey"))).otherwise(F.array(name("c_custkey"), name("c_nationkey"))).alias("surnames"), (1950 + F.col("c_custkey") % 5).alias("year"), topic.alias("topic"))
+    return citations.rank_works(cited, works)

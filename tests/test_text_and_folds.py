@@ -110,15 +110,21 @@ def test_citations(spark):
     text = "As Smith, Jones, and Brown (1999) and Miller et al. (2004) say; Fox's (2010) work, unlike Lee & Park, 2011, is old. Ng 2012."
     docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, text string")
     got = citations.find_citations(docs, "id", "text").orderBy("start").collect()
-    assert [(r.pattern, r.surname, r.year) for r in got] == [("multi_and_paren", "smith,jones,andbrown", 1999), ("etal_paren", "miller", 2004), ("single_paren", "fox", 2010), ("two_and_bare", "lee", 2011)]
+    assert [(r.pattern, r.surname, r.year) for r in got] == [("list_bracketed", "smith,jones,andbrown", 1999), ("others_bracketed", "miller", 2004), ("one_bracketed", "fox", 2010), ("pair_plain", "lee", 2011)]
+    assert [text[r.start : r.start + len(r.raw)] for r in got] == [r.raw for r in got]
     cases = {
-        "Vess (2012, PS, Study 1)": [("single_paren", "vess", 2012)], "Adams, Baker & Clark, 1987 and": [("multi_and_bare", "adams,baker&clark", 1987)], "de la Cruz et al., 1950": [("etal_bare", "delacruz", 1950)],
-        "Foxe & Hall (1999; a)": [("two_and_paren", "foxe", 1999)], "Lees & Park, 2011": [("two_and_bare", "lees", 2011)], "Foxe's (2010)": [("single_paren", "foxe", 2010)], "In May and June 2018": [], "Monday 2018": [], "Study 2019": [("single_bare", "study", 2019)], "Miller 20041": [],
-        "Miller, 2051 by": [("single_bare", "miller", 2051)], "": [],
+        "Vess (2012, PS, Study 1)": [("one_bracketed", "vess", 2012)], "Adams, Baker & Clark, 1987 and": [("list_plain", "adams,baker&clark", 1987)], "de la Cruz et al., 1950": [("others_plain", "delacruz", 1950)],
+        "Foxe & Hall (1999; a)": [("pair_bracketed", "foxe", 1999)], "Lees & Park, 2011": [("pair_plain", "lees", 2011)], "Foxe's (2010)": [("one_bracketed", "foxe", 2010)], "In May and June 2018": [], "Monday 2018": [], "Study 2019": [("one_plain", "study", 2019)], "Miller 20041": [],
+        "Miller, 2051 by": [("one_plain", "miller", 2051)], "": [], "Çelik (2001) and \U0001f600 Ōta 2003": [("one_bracketed", "çelik", 2001), ("one_plain", "ōta", 2003)], "see \u00a0Vess\u00a0(2012)": [("one_bracketed", "vess", 2012)],
     }
-    for t, want in cases.items():
-        assert [(p, s, y) for p, _, _, s, y in citations.spans(t)] == want, t
-    assert citations.spans("Study 2019", strict=True) == [] == citations.spans("Miller, 2051", max_year=2020)
+    rows = spark.createDataFrame([(t, None if "2051" in t else 2100) for t in cases], "id string, most int").withColumn("text", F.col("id"))
+    got = {}
+    for r in citations.find_citations(rows, "id", "text", "most").orderBy("n").collect():
+        assert r.id[r.start : r.start + len(r.raw)] == r.raw
+        got.setdefault(r.id, []).append((r.pattern, r.surname, r.year))
+    assert got == {t: want for t, want in cases.items() if want}
+    one = lambda t, **k: citations.find_citations(spark.createDataFrame([(1, t, 2020)], "id int, text string, most int"), "id", "text", **k).count()
+    assert one("Study 2019", strict=True) == 0 == one("Miller, 2051", max_year="most") and one("Miller 2019", strict=True) == 1
     cited = spark.createDataFrame([(1, 0, "Foxe (2010)", "foxe", 2010, "10.1/self"), (1, 1, "Lees 2011", "lees", 2011, "10.1/self")], "work_id int, n int, raw string, surname string, year int, doi_self string")
     refs = spark.createDataFrame([(1, "a", "10.1/a", "A", 2011, ["Foxe", "Lees"]), (1, "b", None, "B", 2010, ["Foxen"]), (1, "c", "10.1/SELF", "C", 2010, ["Foxe"]), (1, "d", None, "D", 2013, ["Lees"]), (2, "e", None, "E", 2010, ["Foxe"])], "work_id int, ref_id string, doi string, title string, year int, surnames array<string>")
     assert {(r.ref_id, r.match_year_exact, r.cited) for r in citations.find_candidates(cited, refs).collect()} == {("a", False, "Foxe (2010)"), ("b", True, "Foxe (2010)")}
