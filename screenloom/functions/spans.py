@@ -6,6 +6,8 @@ expressions over one row, so that nothing leaves the executors' code.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ HITS = "array<struct<start:int,end:int,hit:string>>"
 INTERVALS = "array<struct<start:int,end:int>>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value computed once however often it is named: an expression is otherwise computed anew in each place, and within functions of arrays for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def find(text: Column, pattern: str) -> Column:
     """HITS of a pattern that never matches nothing, from left to right; null text: null.
 

@@ -115,3 +115,45 @@ def content_digest(df: DataFrame, lines: Column) -> DataFrame:
     for shorter in range(width - 1, 2, -1):
         parts = parts.groupBy(F.substring("p", 1, shorter).alias("q")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), "\n"), 256).alias("d")).withColumnRenamed("q", "p")
     return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), "\n"), 256).alias("fingerprint"))
+
+
+def joined_texts(df: DataFrame, keys: list[str], order: list[str], texts: dict[str, Column], sep: str = " | ", once: bool = False) -> DataFrame:
+    """For each key the texts joined in order, empty and null ones left out; once: a text that comes again is left out.
+
+    With `once` a key's rows are first folded to one for each text, so that a key of very many
+    rows with few texts is spread by its texts; then, as ever, tasks send lists of (order,
+    text) that are merged and put in order: the joined text alone is as large as they.
+    """
+    out = None
+    for name, text in texts.items():
+        rows = df.select(*keys, F.struct(*order).alias("_order"), F.trim(text).alias("_text")).where(F.length("_text") > 0)
+        rows = rows.groupBy(*keys, "_text").agg(F.min("_order").alias("_order")) if once else rows
+        one = rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_order", "_text"))), lambda x: x["_text"]), sep).alias(name))
+        out = one if out is None else out.join(one, keys, "full")
+    return out
+
+
+#: Fixed value: what settles nothing.
+UNSETTLED = "cannot_be_determined"
+
+
+def fold_axes(df: DataFrame, keys: list[str], order: list[str], axes: dict[str, tuple[str, str, str]], sep: str = " | ", once: bool = False) -> DataFrame:
+    """Verdicts of several rows of a key on each axis as one; axes: column -> (value of a conflict, column of quotes, column of their sources).
+
+    One settled value carries the axis, two that differ are its conflict, and without a settled
+    one the first value that isn't empty stays.  Quotes are joined in order, each with its
+    source in the same place; once: a quote with the same source that comes again is left out.
+    """
+    by = F.struct(*order)
+    said = lambda c: F.when(F.length(c) > 0, F.col(c))
+    settled = lambda c: F.when((F.length(c) > 0) & (F.col(c) != UNSETTLED), F.col(c))
+    values = df.groupBy(*keys).agg(*[x for c in axes for x in (F.min(settled(c)).alias(f"_lo_{c}"), F.max(settled(c)).alias(f"_hi_{c}"), F.min_by(said(c), F.when(said(c).isNotNull(), by)).alias(f"_any_{c}"))])
+    value = lambda c, conflict: F.when(F.col(f"_lo_{c}") != F.col(f"_hi_{c}"), conflict).otherwise(F.coalesce(f"_lo_{c}", f"_any_{c}", F.lit(""))).alias(c)
+    out = values.select(*keys, *[value(c, conflict) for c, (conflict, _, _) in axes.items()])
+    for _, quote, source in axes.values():
+        rows = df.select(*keys, by.alias("_order"), F.trim(quote).alias("q"), F.trim(F.coalesce(source, F.lit(""))).alias("s")).where(F.length("q") > 0)
+        rows = rows.groupBy(*keys, "q", "s").agg(F.min("_order").alias("_order")) if once else rows
+        listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_order", "q", "s"))).alias("_l"))
+        joined = lambda f: F.array_join(F.transform("_l", lambda x: x[f]), sep)
+        out = out.join(listed.select(*keys, joined("q").alias(quote), joined("s").alias(source)), keys, "left").fillna("", [quote, source])
+    return out

@@ -91,10 +91,6 @@ def test_parsing(spark):
         assert abs(parse.partial_ratio(a, b) - plain) < 1e-9 and parse.nearly_in(a, b, 70) == (plain >= 70)
     assert parse.quote_found("A  Quoted titel", "it has a quoted title in it") and not parse.quote_found("something else", "it has a quoted title") and not parse.quote_found("", "x")
     assert parse.token_set_ratio("Sleep and memory", "memory and sleep: again") == 100 and parse.token_set_ratio("a", None) == 0
-    assert parse.clean_citation("[12] Smith, J., & Lee, K. (1999). The big effect. Journal, 3.") == "The big effect"
     assert parse.fold_title("Eﬀect of Naï-\nve  Café") == "effect of naive cafe"
-    text = "Intro words\n1. Methods\nWe did.\nReferences\n[1] Smith, J. (1999). The big effect. J.\n[2] No year here\n[3] Lee, K. & Ng, P. (2004a). Small\n effects. X."
-    assert [h for h, _ in parse.sections(text)] == ["", "methods", "references"]
-    assert parse.references(parse.sections(text)[-1][1]) == [("Smith, J.", 1999, "The big effect"), ("Lee, K. & Ng, P.", 2004, "Small effects")]
-    row = spark.createDataFrame([(text, None)], "t string, n string").select(F.size(parse.sections_of("t")).alias("s"), F.size(parse.references_of("t")).alias("r"), parse.partial_ratio_of("t", "n").alias("p"), parse.fold_title_of("n").alias("f"), parse.clean_citation_of("n").alias("c"), parse.token_set_ratio_of("n", "t").alias("k")).first()
-    assert row.s == 3 and row.r >= 1 and row.p == 0 and row.f == row.c == "" and row.k == 0
+    row = spark.createDataFrame([("some text", None)], "t string, n string").select(parse.partial_ratio_of("t", "n").alias("p"), parse.fold_title_of("n").alias("f"), parse.token_set_ratio_of("n", "t").alias("k")).first()
+    assert row.p == 0 and row.f == "" and row.k == 0
