@@ -447,7 +447,9 @@ def train(pages: DataFrame, source: str = "html", sample: int = SAMPLE, seed: in
     """
     page = F.col(source)
     usable = pages.where((F.octet_length(page) <= SAMPLE_BYTES) & F.lower(page).contains("<article")).select(page.alias("page"), F.xxhash64(page).alias("_h"))
-    rows = usable.orderBy("_h", "page").limit(sample).collect()
+    # hashes first, so that tasks send no pages but those that are picked; copies of a page count once
+    picked = usable.select("_h").distinct().orderBy("_h").limit(sample)
+    rows = usable.join(F.broadcast(picked), "_h").groupBy("_h").agg(F.min("page").alias("page")).orderBy("_h").collect()
     known = [*relaid([r["page"] for r in rows], seed)]
     if not known:
         return Potentials(np.full(BEGINS[-1], -1.0), np.zeros((len(GROUPS), 2, 2)))
