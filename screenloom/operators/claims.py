@@ -12,8 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import settled
+from . import running
+from .candidates import same_by_either
 
 SCHEMA = "claim string, tier string, kind string, works array<long>, at timestamp, expires_at timestamp"
+#: Where a verdict's raw response is.
+PENDING, UPLOADED = "response_pending_upload", "uploaded"
 STATES = {"claim": "active", "renew": "active", "release": "released", "finish": "finished"}
 
 
@@ -57,6 +62,44 @@ def follow(events: DataFrame, claim: str, kind: str, at: str, hours: int = 6) ->
     return one.select("claim", "tier", F.lit(kind).alias("kind"), "works", now.alias("at"), F.greatest("expires_at", end).alias("expires_at"))
 
 
+def generation_classes(pairs: DataFrame) -> DataFrame:
+    """(generation, class): generations that declared pairs (a, b) make equivalent, in however many steps; the class is the smallest of them.
+
+    A generation that no pair names is a class by itself and isn't listed.
+    """
+    links = settled(pairs.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b", (2 * F.monotonically_increasing_id()).alias("pair")))
+    ends = links.select(F.col("a").alias("generation"), F.col("pair").cast("string").alias("pair"), F.col("pair").alias("row")).unionByName(links.select(F.col("b").alias("generation"), F.col("pair").cast("string").alias("pair"), (F.col("pair") + 1).alias("row")))
+    rows = same_by_either(ends, [], ["pair", "generation"], "row")
+    least = rows.groupBy("group").agg(F.min("generation").alias("class"))
+    return rows.join(least, "group").select("generation", "class").distinct()
+
+
+def answering(verdicts: DataFrame, classes: DataFrame, generation: str) -> DataFrame:
+    """Verdicts of a generation, or of one declared equivalent to it, that still answer what it asks."""
+    own = classes.where(F.col("generation") == generation).select("class")
+    accepted = classes.join(own, "class", "left_semi").select("generation").union(verdicts.sparkSession.createDataFrame([(generation,)], "generation string")).distinct()
+    return verdicts.join(accepted, "generation", "left_semi")
+
+
+def affordable(works: DataFrame, cost: str, order: list[str], bound: int, spent: int = 0) -> DataFrame:
+    """works with spent_before and `decided`: in this order each is decided as long as what was spent before it is below the bound.
+
+    The last one may cross the bound, as its cost is known afterwards only; null costs are
+    free, a negative cost is none.  The order should be total, or ties are in any order.
+    """
+    charged = works.withColumn("_cost", F.greatest(F.coalesce(F.col(cost), F.lit(0)), F.lit(0)))
+    total = running.in_order(charged, order).running(_through=F.col("_cost")).done()
+    before = F.col("_through") - F.col("_cost") + spent
+    return total.withColumn("spent_before", before).withColumn("decided", F.col("spent_before") < bound).drop("_cost", "_through")
+
+
+def mark_uploaded(verdicts: DataFrame, stored: DataFrame) -> DataFrame:
+    """Verdicts whose response is pending and whose hash is among those stored (response_hash) as uploaded; all others as they are."""
+    hashes = stored.select("response_hash").where(F.col("response_hash").isNotNull() & (F.col("response_hash") != "")).distinct().withColumn("_stored", F.lit(True))
+    moved = F.col("_stored").isNotNull() & (F.col("response_state") == PENDING)
+    return verdicts.join(hashes, "response_hash", "left").withColumn("response_state", F.when(moved, UPLOADED).otherwise(F.col("response_state"))).select(*verdicts.columns)
+
+
 def select_verdicts(verdicts: DataFrame, claims: DataFrame, mode: str | None = None, generation: str | None = None, kinds: list[str] | None = None, superseded: bool = False) -> DataFrame:
     """Verdicts with their claim's mode and generation, of the given mode, generation and kinds of verdict; superseded ones only if asked for.
 
@@ -110,8 +153,14 @@ def tier(name: str) -> Tier:
     return _TIERS[name]
 
 
-def run_tier(name: str, routed: DataFrame, decided: DataFrame) -> DataFrame:
-    """Votes and decisions of a tier on its piles' works that aren't decided."""
+def run_tier(name: str, routed: DataFrame, decided: DataFrame, budget: int | None = None, cost: str | None = None, order: list[str] | None = None) -> DataFrame:
+    """Votes and decisions of a tier on its piles' works that aren't decided.
+
+    budget: what their `cost` may come to; in `order` (work_id) works are judged until it is
+    spent, and the rest stay undecided for the next run.
+    """
     t = tier(name)
     todo = routed.where(F.col("pile").isin(*t.piles)).join(decided.select("work_id"), "work_id", "left_anti")
+    if budget is not None:
+        todo = affordable(todo, cost or "cost", order or ["work_id"], budget).where("decided").drop("decided", "spent_before")
     return t.decide(t.judge(todo))

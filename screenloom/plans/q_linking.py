@@ -18,7 +18,19 @@ from .standins import BLANKS, BUNDLE, LOG_SQL, POOL_SQL, ROUTED_SQL, log, pool,
 query = Registry()
 
 
-@query()
+#: The longest common subsequence of texts p and q: a row of its table for each character of q, in which a cell is the largest of those before it.
+LCS = "list_reduce(list_prepend(list_transform(range(0, len(p) + 1), lambda i: 0), list_transform(string_split(q, ''), lambda ch: [ascii(ch)])), lambda row, ch: list_transform(range(1, len(p) + 2), lambda i: list_max(list_transform(range(1, i + 1), lambda k: CASE WHEN k > 1 AND ascii(substr(p, k - 1, 1)) = ch[1] THEN row[k - 1] + 1 ELSE row[k] END))))[-1]"
+TOKEN_SQL = f"""
+WITH t AS (SELECT DISTINCT 1950 + p_size AS year, p_name || ' ' || p_type AS title FROM part),
+w AS (SELECT *, list_sort(list_distinct(regexp_extract_all(lower(title), '[\\w]+'))) AS ws FROM t),
+c AS (SELECT x.year, x.title, y.title AS other, list_filter(x.ws, lambda v: list_contains(y.ws, v)) AS mutual, list_filter(x.ws, lambda v: NOT list_contains(y.ws, v)) AS l, list_filter(y.ws, lambda v: NOT list_contains(x.ws, v)) AS r
+      FROM w x JOIN w y ON x.year = y.year AND x.title < y.title AND list_has_any(list_filter(x.ws, lambda v: len(v) >= 3), list_filter(y.ws, lambda v: len(v) >= 3))),
+s AS (SELECT year, title, other, array_to_string(mutual, ' ') AS com, array_to_string(list_concat(mutual, l), ' ') AS p, array_to_string(list_concat(mutual, r), ' ') AS q FROM c),
+z AS (SELECT *, greatest(200.0 * len(com) / (len(com) + len(p)), 200.0 * len(com) / (len(com) + len(q)), 200.0 * {LCS} / (len(p) + len(q))) AS ratio FROM s)
+SELECT year, title, min(other) AS other, arg_min(ratio, other)::DOUBLE AS ratio FROM z WHERE ratio >= 75 GROUP BY year, title"""
+
+
+@query(TOKEN_SQL)
 def token_set_match(spark, sf_dir):
     """For each distinct title of a year the first other one of that year, in order, that shares a word and has nearly the same words."""
     titles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title"), (1950 + F.col("p_size")).alias("year")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import folds
+from ..operators import claims, folds
 from ..operators.claims import select_verdicts
 from .registry import Registry
 from .standins import LOG_SQL, log, rounded, table
@@ -225,3 +225,27 @@ def dominance_match(spark, sf_dir):
 @query(WITH + "SELECT work, arg_max(verdict, struct_pack(s := score, i := -id)) AS parser, max(score) AS score FROM log GROUP BY work")
 def best_parse(spark, sf_dir):
     return log(spark, sf_dir).groupBy("work").agg(F.max_by("verdict", F.struct("score", -F.col("id"))).alias("parser"), F.max("score").alias("score"))
+
+
+@query("""
+WITH RECURSIVE l AS (SELECT DISTINCT 'g' || (n_nationkey % 20) AS a, 'g' || (n_nationkey * 7 % 20) AS b FROM nation WHERE n_nationkey % 4 <> 1),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a AS i, a AS c FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.i),
+k AS (SELECT i, min(c) AS class FROM r GROUP BY i),
+v AS (SELECT event_id, 'g' || ((props->>'$.k')::BIGINT % 23) AS generation FROM events)
+SELECT now.g AS current, count(*)::BIGINT AS verdicts FROM (SELECT 'g' || i AS g FROM range(23) s(i)) now LEFT JOIN k x ON x.i = now.g JOIN v ON v.generation = now.g OR v.generation IN (SELECT i FROM k WHERE k.class = x.class) GROUP BY 1""")
+def equivalent_generations(spark, sf_dir):
+    """Verdicts that answer each generation: its own and those of generations declared equivalent, in any number of steps."""
+    n = F.col("n_nationkey")
+    pairs = table(spark, sf_dir, "nation").where(n % 4 != 1).select(F.concat(F.lit("g"), n % 20).alias("a"), F.concat(F.lit("g"), n * 7 % 20).alias("b"))
+    classes = claims.generation_classes(pairs)
+    counts = log(spark, sf_dir).groupBy(F.concat(F.lit("g"), F.col("claim") % 23).alias("generation")).agg(F.count(F.lit(1)).alias("n"))
+    known = counts.join(classes, "generation", "left").withColumn("class", F.coalesce("class", F.concat(F.lit("own "), "generation")))
+    return known.select(F.col("generation").alias("current"), "class").join(known.groupBy("class").agg(F.sum("n").alias("verdicts")), "class").select("current", "verdicts")
+
+
+@query("SELECT o_orderkey, spent_before::BIGINT AS spent_before, spent_before < 300000000000 AS decided FROM (SELECT o_orderkey, sum(cents) OVER (ORDER BY o_orderdate, o_orderkey) - cents AS spent_before FROM (SELECT *, floor(o_totalprice * 100)::BIGINT AS cents FROM orders))")
+def budget_stop(spark, sf_dir):
+    """Orders in order of their date, each decided as long as what was spent before it is below the budget."""
+    cents = F.floor(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    works = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", cents)
+    return claims.affordable(works, "cents", ["o_orderdate", "o_orderkey"], 300_000_000_000).select("o_orderkey", "spent_before", "decided")
