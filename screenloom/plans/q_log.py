@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import claims, folds
+from ..operators import claims, folds, linking
 from ..operators.claims import select_verdicts
 from .registry import Registry
 from .standins import LOG_SQL, log, rounded, table
@@ -81,14 +81,13 @@ def permanence_violations(spark, sf_dir):
     return log(spark, sf_dir).where(f"claim < {CLOSED}").groupBy("work", "verdict").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("claim").alias("values")).where("values > 1")
 
 
-@query("WITH d AS (SELECT o_custkey AS work, count(*)::BIGINT AS moved FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), f AS (SELECT DISTINCT c_custkey AS work FROM customer WHERE c_acctbal > 5000), s AS (SELECT o_custkey AS work, list(o_orderkey ORDER BY o_orderkey) AS ks FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT d.work, CASE WHEN f.work IS NULL THEN 'withdraw' ELSE 'resend' END AS kind, len(s.ks)::BIGINT AS records, array_to_string(s.ks, ',') AS record_ids FROM d JOIN s USING (work) LEFT JOIN f USING (work)")
+@query("WITH d AS (SELECT c_custkey AS work, CASE WHEN c_nationkey < 5 THEN 'withdrawal' ELSE 'reroute' END AS kind FROM customer WHERE c_acctbal < 2000) SELECT work, kind, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR) AS record_ids, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS validated, count(*) FILTER (o_orderstatus <> 'F')::BIGINT AS unvalidated FROM d JOIN orders ON o_custkey = work GROUP BY work, kind")
 def supersession_plan(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("work", F.col("o_custkey"))
-    final = table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("work"), F.lit(True).alias("stays"))
-    sent = orders.where("o_orderpriority = '1-URGENT'").groupBy("work").agg(F.array_sort(F.collect_list("o_orderkey")).alias("ks"))
-    moved = orders.where("o_orderstatus = 'F'").select("work").distinct()
-    out = moved.join(sent, "work").join(final, "work", "left")
-    return out.select("work", F.when(F.col("stays"), "resend").otherwise("withdraw").alias("kind"), F.size("ks").cast("long").alias("records"), F.array_join(F.transform("ks", lambda x: x.cast("string")), ",").alias("record_ids"))
+    """Works whose pile changed after records of them were sent, and how many of these were validated."""
+    diffs = table(spark, sf_dir, "customer").where("c_acctbal < 2000").select(F.col("c_custkey").alias("work_id"), F.lit("pending").alias("old_pile"), F.when(F.col("c_nationkey") < 5, "discard").otherwise("screen_cheap").alias("new_pile"))
+    sent = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("work_id"), F.col("o_orderkey").cast("string").alias("record_id"), (F.col("o_orderstatus") == "F").alias("validated"))
+    out = linking.plan_supersession(diffs, sent)
+    return out.select(F.col("work_id").alias("work"), "kind", F.array_join("record_ids", ",").alias("record_ids"), F.col("n_validated").alias("validated"), F.col("n_unvalidated").alias("unvalidated"))
 
 
 @query(WITH + "SELECT work, max(CASE WHEN verdict = 'view' THEN score END) AS view, max(CASE WHEN verdict = 'click' THEN score END) AS click, max(CASE WHEN verdict = 'purchase' THEN score END) AS purchase FROM log GROUP BY work")
@@ -96,21 +95,27 @@ def drilldown_pivot(spark, sf_dir):
     return log(spark, sf_dir).groupBy("work").pivot("verdict", ["view", "click", "purchase"]).agg(F.max("score"))
 
 
-@query(WITH + "SELECT id, 1::BIGINT AS rank, work || ':' || claim AS pair, md5(work || '|' || claim) AS pair_id FROM log UNION ALL SELECT id, 2::BIGINT, work || ':' || (claim + 1), md5(work || '|' || (claim + 1)) FROM log")
+@query(WITH + """, p AS (SELECT id, CASE WHEN claim % 4 = 0 THEN '' ELSE '10.1/r' || work END AS r, 'Study ' || work AS t, 0 AS pos, '10.2/o' || claim AS o, '' AS title_o, 'kept' AS pair, 'replication' AS kind FROM log
+UNION ALL SELECT id, CASE WHEN claim % 4 = 0 THEN '' ELSE '10.1/r' || work END, 'Study ' || work, 1, '', CASE WHEN claim % 3 = 0 THEN 'A title' ELSE '' END, 'kept', CASE WHEN claim % 5 = 0 THEN 'reproduction' ELSE 'replication' END FROM log)
+SELECT id, pos::INTEGER AS pos, CASE WHEN r = '' AND (o <> '' OR title_o = '') THEN md5('t:' || lower(t) || '|' || o) ELSE pair END AS pair_id, r AS doi_r, o AS doi_o, kind AS paper_type FROM p""")
 def payload_render(spark, sf_dir):
-    target = lambda add, rank: F.struct((F.col("claim") + add).alias("o"), F.lit(rank).alias("rank"))
-    payloads = log(spark, sf_dir).select("id", F.to_json(F.struct(F.struct(F.col("work").alias("r")).alias("input"), F.array(target(0, 1), target(1, 2)).alias("targets"))).alias("payload"))
-    doc = payloads.select("id", F.from_json("payload", "struct<input:struct<r:bigint>,targets:array<struct<o:bigint,rank:bigint>>>").alias("d")).select("id", "d.input.r", F.explode("d.targets").alias("t"))
-    r, o = F.col("r").cast("string"), F.col("t.o").cast("string")
-    return doc.select("id", F.col("t.rank").alias("rank"), F.concat_ws(":", r, o).alias("pair"), T.pair_id(r, o).alias("pair_id"))
-
-
-@query(WITH + "SELECT work, claim, CASE WHEN count(DISTINCT verdict) FILTER (verdict IN ('purchase', 'error')) > 1 THEN 'mixed' WHEN bool_or(verdict = 'purchase') THEN 'success' WHEN bool_or(verdict = 'error') THEN 'failure' WHEN bool_or(verdict = 'signup') THEN 'descriptive' ELSE 'not coded' END AS outcome FROM log GROUP BY ALL")
+    """Stored payloads as rows of their targets, columns under old names read, keys made without a DOI mended."""
+    r = F.when(F.col("claim") % 4 != 0, F.concat(F.lit("10.1/r"), "work"))
+    inputs = F.struct(r.alias("doi_r"), F.concat(F.lit("Study  "), "work").alias("title_r"), F.lit("replication").alias("filter_status"))
+    none = F.lit(None).cast("string")
+    target = lambda o, title, kind: F.struct(o.alias("doi_o"), title.alias("title_o"), F.lit("kept").alias("pair_id"), kind.alias("paper_type"))
+    targets = F.array(target(F.concat(F.lit("10.2/o"), "claim"), none, none), target(none, F.when(F.col("claim") % 3 == 0, "A title"), F.when(F.col("claim") % 5 == 0, "reproduction")))
+    stored = log(spark, sf_dir).select("id", F.to_json(F.struct(inputs.alias("input"), targets.alias("targets"))).alias("payload"))
+    columns = ["pair_id", "doi_r", "doi_o", "oa_work_id_r", "oa_work_id_o", "title_r", "title_o", "paper_type"]
+    return linking.render_payload(stored, "payload", ["doi_r", "title_r", "paper_type"], columns, {"filter_status": "paper_type"}).select("id", F.col("at").alias("pos"), "pair_id", "doi_r", "doi_o", "paper_type")
+
+
+@query(WITH + "SELECT work, claim, CASE WHEN count(DISTINCT verdict) FILTER (verdict IN ('purchase', 'error')) > 1 THEN 'mixed' WHEN bool_or(verdict = 'purchase') THEN 'successful' WHEN bool_or(verdict = 'error') THEN 'failed' WHEN bool_or(verdict = 'signup') THEN 'uninformative' WHEN bool_or(verdict = 'click') THEN 'descriptive only' ELSE 'cannot_be_determined' END AS outcome FROM log GROUP BY ALL")
 def outcome_fold(spark, sf_dir):
-    v = F.col("v")
-    g = log(spark, sf_dir).groupBy("work", "claim").agg(F.collect_set("verdict").alias("v"))
-    hard = F.array_intersect(v, F.array(F.lit("purchase"), F.lit("error")))
-    return g.select("work", "claim", F.when(F.size(hard) > 1, "mixed").when(F.array_contains(v, "purchase"), "success").when(F.array_contains(v, "error"), "failure").when(F.array_contains(v, "signup"), "descriptive").otherwise("not coded").alias("outcome"))
+    """One outcome of a work's studies: what has substance before what hasn't, mixed where it differs."""
+    v = F.col("verdict")
+    named = F.when(v == "purchase", "successful").when(v == "error", "failed").when(v == "signup", "uninformative").when(v == "click", "descriptive only").otherwise("pending")
+    return linking.fold_outcomes(log(spark, sf_dir).withColumn("outcome", named), ["work", "claim"])
 
 
 @query(WITH + ", f AS (SELECT work, claim, verdict, min(id) AS pos, min(score) AS score FROM log GROUP BY ALL), g AS (SELECT work, claim, string_agg(verdict, '; ' ORDER BY pos) AS labels, min(score) AS weakest, min(pos) AS first FROM f GROUP BY ALL) SELECT work, claim, labels, weakest, row_number() OVER (PARTITION BY work ORDER BY first)::BIGINT AS rank FROM g")
@@ -122,13 +127,13 @@ def collapse_groups(spark, sf_dir):
     return g.select("work", "claim", F.array_join(F.transform("ls", lambda x: x["verdict"]), "; ").alias("labels"), "weakest", F.row_number().over(Window.partitionBy("work").orderBy("first")).cast("long").alias("rank"))
 
 
-@query(WITH + "SELECT id, CASE verdict WHEN 'view' THEN 'not coded' WHEN 'click' THEN 'descriptive' WHEN 'signup' THEN 'mixed' WHEN 'purchase' THEN 'success' ELSE 'failure' END AS axis_a, CASE WHEN claim < 33 THEN 'success' WHEN claim < 66 THEN 'failure' ELSE 'not coded' END AS axis_b, CASE WHEN verdict = 'view' AND claim >= 66 THEN 'not coded' WHEN verdict = 'purchase' AND claim < 33 THEN 'success' WHEN verdict = 'error' OR claim BETWEEN 33 AND 65 THEN 'failure' ELSE 'mixed' END AS derived FROM log")
+@query(WITH + ", a AS (SELECT id, CASE verdict WHEN 'view' THEN 'computationally reproducible' WHEN 'click' THEN 'computational issues' WHEN 'signup' THEN 'not checked' WHEN 'purchase' THEN 'technical failure' ELSE 'unheard of' END AS c, CASE WHEN claim < 33 THEN 'robust' WHEN claim < 66 THEN 'robustness challenges' ELSE 'cannot_be_determined' END AS r FROM log) SELECT id, CASE WHEN c = 'unheard of' OR r = 'cannot_be_determined' THEN 'cannot_be_determined' ELSE c || ', ' || r END AS derived FROM a")
 def derive_outcome(spark, sf_dir):
-    names = F.create_map(*map(F.lit, ("view", "not coded", "click", "descriptive", "signup", "mixed", "purchase", "success", "error", "failure")))
-    rows = log(spark, sf_dir).withColumn("axis_a", F.try_element_at(names, F.col("verdict"))).withColumn("axis_b", F.when(F.col("claim") < 33, "success").when(F.col("claim") < 66, "failure").otherwise("not coded"))
-    a, b = F.col("axis_a"), F.col("axis_b")
-    derived = F.when((a == "not coded") & (b == "not coded"), "not coded").when((a == "success") & (b == "success"), "success").when((a == "failure") | (b == "failure"), "failure").otherwise("mixed")
-    return rows.select("id", "axis_a", "axis_b", derived.alias("derived"))
+    """A reproduction's outcome by its two axes, unsettled if either is."""
+    v, claim = F.col("verdict"), F.col("claim")
+    computation = F.when(v == "view", "computationally reproducible").when(v == "click", "computational issues").when(v == "signup", " not checked").when(v == "purchase", "technical failure").otherwise("unheard of")
+    robustness = F.when(claim < 33, "robust").when(claim < 66, "robustness challenges").otherwise(linking.UNSETTLED)
+    return log(spark, sf_dir).select("id", linking.reproduction_outcome(computation, robustness).alias("derived"))
 
 
 @query(WITH + "SELECT work, array_to_string(list_filter(['signup', 'view', 'click', 'purchase', 'error'], lambda x: list_contains(list(DISTINCT verdict), x)), '|') AS labels FROM log WHERE score > 150 GROUP BY work")
@@ -144,39 +149,76 @@ def reconcile_blobs(spark, sf_dir):
     return pending.join(blobs, "response_hash", "left").select("response_hash", "first_id", F.coalesce("there", F.lit(False)).alias("present"))
 
 
-@query(WITH + "SELECT id, 'm0' AS voter, verdict, claim::BIGINT AS confidence FROM log UNION ALL SELECT id, 'm1', 'none', (100 - claim)::BIGINT FROM log")
+@query(WITH + "SELECT id, 'm0' AS model, verdict AS classification, claim < 60 AS confident FROM log UNION ALL SELECT id, 'm1', 'none', claim % 2 = 0 FROM log")
 def parse_votes(spark, sf_dir):
-    line = F.concat(F.lit("m0="), "verdict", F.lit("/"), F.col("claim"), F.lit("|m1=none/"), 100 - F.col("claim"))
-    parsed = F.transform(F.split(line, r"\|"), lambda s: F.struct(F.regexp_extract(s, r"\A([^=]+)=", 1).alias("voter"), F.regexp_extract(s, r"=([^/]*)/", 1).alias("verdict"), F.regexp_extract(s, r"/([0-9]+)\z", 1).try_cast("long").alias("confidence")))
-    return log(spark, sf_dir).select("id", F.explode(parsed).alias("v")).select("id", "v.voter", "v.verdict", "v.confidence")
+    """Votes written as `model=class/confident|...` as rows."""
+    sure = lambda c: F.when(c, "confident").otherwise("unconfident")
+    line = F.concat(F.lit("m0="), F.initcap("verdict"), F.lit("/"), sure(F.col("claim") < 60), F.lit("|no vote|m1=none/"), sure(F.col("claim") % 2 == 0))
+    return log(spark, sf_dir).select("id", F.explode(linking.parse_votes(line)).alias("v")).select("id", "v.model", "v.classification", "v.confident")
 
 
-@query(WITH + "SELECT id, CASE WHEN claim < 30 THEN verdict WHEN score > 100 THEN 'routed' WHEN claim % 2 = 0 THEN '' ELSE 'replication' END AS record_type, CASE WHEN verdict = 'error' THEN 'set aside' WHEN claim < 30 AND score < 5 THEN 'no outcome' ELSE 'keep' END AS ending FROM log")
+@query(WITH + "SELECT id, CASE WHEN score <= 100 AND claim < 30 THEN verdict WHEN claim % 2 = 1 THEN 'replication' WHEN score <= 100 THEN '' ELSE 'replication' END AS record_type, CASE WHEN verdict = 'click' THEN 'target_pending' WHEN verdict = 'error' THEN 'api_error' WHEN claim % 7 = 0 THEN 'not_a_replication' ELSE 'goes on' END AS ending FROM log")
 def type_resolution(spark, sf_dir):
-    kind = F.when(F.col("claim") < 30, F.col("verdict")).when(F.col("score") > 100, "routed").when(F.col("claim") % 2 == 0, "").otherwise("replication")
-    ending = F.coalesce(T.first_reason([("set aside", F.col("verdict") == "error"), ("no outcome", (F.col("claim") < 30) & (F.col("score") < 5))]), F.lit("keep"))
+    """A work's type by its screen, or else its paper, and how a screen ends it."""
+    claim, verdict = F.col("claim"), F.col("verdict")
+    kind = linking.record_type(F.when(claim < 30, verdict), F.col("score") <= 100, F.when(claim % 2 == 0, "needs_review").otherwise(" Replication"))
+    method = F.when(verdict == "click", "llm_refscreen_partial").when(verdict == "error", "llm_refscreen_failed").otherwise("llm_refscreen")
+    ending = F.coalesce(linking.front_door(method, F.when(claim % 7 == 0, "discard").otherwise("proceed")), F.lit("goes on"))
     return log(spark, sf_dir).select("id", kind.alias("record_type"), ending.alias("ending"))
 
 
-@query("SELECT l_orderkey, l_linenumber::BIGINT AS line, CASE WHEN l_partkey % 100 = l_suppkey THEN NULL ELSE l_suppkey END AS target, CASE WHEN l_partkey % 100 = l_suppkey THEN '' ELSE l_returnflag END AS flag, l_partkey % 100 = l_suppkey AS self_link FROM lineitem")
+@query("""
+WITH o AS (SELECT o_orderkey AS k, '10.1/r' || o_orderkey AS r, CASE o_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN '10.1/r' || o_orderkey ELSE '10.2/o' || o_custkey END AS o, CASE o_orderkey % 9 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS t, 'W' || o_orderkey AS wr,
+       CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'W' || o_custkey END AS wo, CASE WHEN o_orderstatus = 'P' THEN 'target_pending' ELSE 'llm_fulltext' END AS method,
+       CASE WHEN o_orderkey % 6 = 0 THEN '10.3/f' || o_orderkey ELSE '' END AS fd, CASE o_orderkey % 6 WHEN 1 THEN 'W' || o_orderkey WHEN 2 THEN 'W' || o_custkey ELSE '' END AS fw FROM orders),
+u AS (SELECT *, o = '' AND t <> 2 AND fd <> '' AS filled, CASE WHEN t <> 2 AND fw <> '' THEN fw ELSE wo END AS ident FROM o),
+v AS (SELECT *, method <> 'target_pending' AND (o = r OR t = 1 OR o = '' AND NOT filled AND (t = 2 OR ident = wr)) AS bad FROM u)
+SELECT k AS o_orderkey, CASE WHEN bad THEN 'target_pending' WHEN method <> 'target_pending' AND o = '' AND NOT filled AND ident = '' THEN 'unidentified_original' ELSE method END AS link_method,
+       CASE WHEN method = 'target_pending' THEN o WHEN bad THEN '' WHEN filled THEN fd ELSE o END AS doi_o,
+       CASE WHEN method = 'target_pending' THEN wo WHEN bad OR filled THEN '' WHEN o = '' AND ident <> '' THEN ident ELSE wo END AS oa_work_id_o,
+       CASE WHEN method = 'target_pending' THEN '' WHEN bad THEN 'skipped' WHEN o = '' AND NOT filled THEN 'no_doi' ELSE '' END AS status FROM v""")
 def self_link_guard(spark, sf_dir):
-    own = F.col("l_partkey") % 100 == F.col("l_suppkey")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), F.when(~own, F.col("l_suppkey")).alias("target"), F.when(own, "").otherwise(F.col("l_returnflag")).alias("flag"), own.alias("self_link"))
-
-
-@query("SELECT l_orderkey, l_linenumber::BIGINT AS line, CASE WHEN count(*) OVER (PARTITION BY l_orderkey) > 1 AND l_returnflag = 'N' THEN 'reference only' ELSE l_returnflag END AS method FROM lineitem")
+    """Orders as links, of which those to themselves, or to nothing that has a name, are set back, and DOIs found by title filled in."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    w = lambda x: F.concat(F.lit("W"), x)
+    study = F.concat(F.lit("Study number "), k, F.lit(" of the series"))
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(
+        k.alias("row_key"), F.concat(F.lit("10.1/r"), k).alias("doi_r"), F.when(c % 10 == 0, "").when(c % 10 == 1, F.concat(F.lit("10.1/R"), k)).otherwise(F.concat(F.lit("10.2/o"), c)).alias("doi_o"), study.alias("title_r"),
+        F.when(k % 9 == 0, F.upper(study)).when(k % 9 == 1, "M. Moieni, M.R").otherwise(F.concat(F.lit("Work number "), c, F.lit(" of the list"))).alias("title_o"), w(k).alias("oa_work_id_r"), F.when(k % 4 == 0, "").otherwise(w(c)).alias("oa_work_id_o"),
+        F.when(F.col("o_orderstatus") == "P", "target_pending").otherwise("llm_fulltext").alias("link_method"), F.lit("").alias("link_evidence"), F.lit("high").alias("link_confidence"), F.lit("").alias("doi_o_verification"),
+    )
+    found = o.where(k % 6 < 3).select(k.alias("row_key"), F.when(k % 6 == 0, F.concat(F.lit("10.3/f"), k)).alias("doi"), F.when(k % 6 == 1, w(k)).when(k % 6 == 2, w(c)).alias("ident"))
+    out = linking.guard_links(rows, found, ["llm_fulltext"])
+    return out.select(F.col("row_key").alias("o_orderkey"), "link_method", F.lower("doi_o").alias("doi_o"), "oa_work_id_o", F.col("doi_o_verification").alias("status"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber::BIGINT AS line, CASE WHEN low THEN 'low' ELSE 'high' END AS confidence, CASE WHEN low THEN '{linking.NO_DOCUMENT}' ELSE '' END AS evidence FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) > 1 AND l_returnflag = 'N' AND l_linestatus = 'O' AS low FROM lineitem)")
 def demote_multi(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    many = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    return lines.join(many, "l_orderkey").select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), F.when((F.col("n") > 1) & (F.col("l_returnflag") == "N"), "reference only").otherwise(F.col("l_returnflag")).alias("method"))
+    """Links of works with several originals that rest on a list of references alone: of low confidence, with a note."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), F.when(F.col("l_returnflag") == "N", "llm_references").otherwise("llm_fulltext").alias("link_method"), F.when(F.col("l_linestatus") != "O", "pdf").alias("pdf_source"), F.lit("high").alias("link_confidence"), F.lit("").alias("link_evidence"))
+    return linking.demote_reference_only(lines, ["l_orderkey"]).select("l_orderkey", "line", F.col("link_confidence").alias("confidence"), F.col("link_evidence").alias("evidence"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'skipped' WHEN o_custkey % 10 = 0 THEN 'no_doi' WHEN c_custkey IS NULL THEN 'not_found' WHEN c_acctbal < 0 THEN 'no_metadata' WHEN abs(year(o_orderdate) - 1997) <= 1 THEN 'verified' WHEN c_mktsegment = 'BUILDING' THEN 'corrected' ELSE 'mismatch' END AS status FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 3 <> 0")
+@query("""
+WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE '10.1/c' || o_custkey END AS doi, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'order of customer ' || o_custkey END AS title, year(o_orderdate) AS y, o_custkey FROM orders),
+m AS (SELECT '10.1/c' || c_custkey AS doi, c_acctbal >= 0 AS registered, CASE WHEN c_nationkey % 2 = 0 THEN 'order of customer ' || c_custkey ELSE 'something else entirely' END AS title, 1994 + c_nationkey % 4 AS y FROM customer WHERE c_custkey % 3 <> 0),
+s AS (SELECT o_orderkey AS k, o_orderkey % 5 <> 0 AS answered, CASE WHEN o_orderkey % 3 = 0 THEN '10.5/s' || o_orderkey WHEN o_orderkey % 7 = 0 THEN '10.1/c' || o_custkey ELSE '' END AS doi, CASE WHEN o_orderkey % 4 = 0 THEN 'W' || o_orderkey ELSE '' END AS ident FROM orders WHERE o_orderkey % 2 = 0),
+j AS (SELECT o.*, m.doi IS NOT NULL AS known, coalesce(m.registered, false) AS registered, coalesce(m.registered AND o.title <> '' AND o.title = m.title AND abs(o.y - m.y) <= 1, false) AS ok, coalesce(s.answered AND (s.doi <> '' OR s.ident <> ''), false) AS hit, coalesce(s.doi, '') AS found, coalesce(NOT s.answered, false) AS silent
+      FROM o LEFT JOIN m ON m.doi = o.doi LEFT JOIN s ON s.k = o.k),
+v AS (SELECT *, CASE WHEN doi <> '' THEN CASE WHEN NOT known THEN 'api_error' WHEN ok THEN 'verified' WHEN NOT hit AND silent THEN 'api_error' WHEN hit AND found = doi THEN 'verified' WHEN hit AND found <> '' THEN 'corrected' WHEN hit THEN 'no_doi' WHEN registered THEN 'mismatch' ELSE 'no_metadata' END
+  ELSE CASE WHEN title = '' THEN 'skipped' WHEN NOT hit AND silent THEN 'api_error' WHEN hit AND found <> '' THEN 'corrected' WHEN hit THEN 'no_doi' ELSE 'not_found' END END AS status FROM j)
+SELECT k AS o_orderkey, status, CASE WHEN status = 'corrected' THEN found WHEN status IN ('no_doi', 'not_found', 'skipped') THEN '' ELSE doi END AS doi FROM v""")
 def verification_status(spark, sf_dir):
-    known = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0")
-    o = table(spark, sf_dir, "orders").join(known, F.col("c_custkey") == F.col("o_custkey"), "left")
-    reasons = [("skipped", F.col("o_orderpriority") == "5-LOW"), ("no_doi", F.col("o_custkey") % 10 == 0), ("not_found", F.col("c_custkey").isNull()), ("no_metadata", F.col("c_acctbal") < 0), ("verified", F.abs(F.year("o_orderdate") - 1997) <= 1), ("corrected", F.col("c_mktsegment") == "BUILDING")]
-    return o.select("o_orderkey", F.coalesce(T.first_reason(reasons), F.lit("mismatch")).alias("status"))
+    """Orders as links whose DOI customers' registry and searches by metadata verify, correct, fill or leave open."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0")
+    key, own = F.col("o_orderkey"), lambda c: F.concat(F.lit("10.1/C"), c)
+    title = lambda c: F.concat(F.lit("order of customer "), c)
+    rows = o.select(key.alias("row_key"), F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(own("o_custkey")).alias("doi_o"), F.when(key % 11 == 0, "").otherwise(title("o_custkey")).alias("title_o"), F.year("o_orderdate").cast("string").alias("year_o"))
+    registry = c.select(own("c_custkey").alias("doi"), (F.col("c_acctbal") >= 0).alias("registered"), F.when(F.col("c_nationkey") % 2 == 0, title("c_custkey")).otherwise("something else entirely").alias("title"), (1994 + F.col("c_nationkey") % 4).alias("year"), F.lit("maker").alias("surname"))
+    doi = F.when(key % 3 == 0, F.concat(F.lit("10.5/s"), key)).when(key % 7 == 0, own("o_custkey"))
+    searches = o.where(key % 2 == 0).select(key.alias("row_key"), F.lit(0).alias("tier"), (key % 5 != 0).alias("answered"), doi.alias("doi"), F.when(key % 4 == 0, F.concat(F.lit("W"), key)).alias("ident"), F.lit("found").alias("title"))
+    return linking.verify(rows, registry, searches).select(F.col("row_key").alias("o_orderkey"), F.col("doi_o_verification").alias("status"), F.col("doi_o").alias("doi"))
 
 
 @query("SELECT c_custkey, CASE WHEN b > 9000 THEN 'AUDITED' ELSE c_mktsegment END AS segment, b > 9000 AS patched FROM (SELECT c_custkey, c_mktsegment, coalesce(c_acctbal, 0) AS b FROM customer)")
@@ -186,10 +228,12 @@ def apply_patches(spark, sf_dir):
     return c.join(patches, "c_custkey", "left").select("c_custkey", F.coalesce(F.try_element_at("patch", F.lit("c_mktsegment")), "c_mktsegment").alias("segment"), F.col("patch").isNotNull().alias("patched"))
 
 
-@query(WITH + "SELECT work, claim, string_agg(verdict || '=' || printf('%.2f', score), '; ' ORDER BY id) AS evidence, count(*)::BIGINT AS votes FROM log GROUP BY ALL")
+@query(WITH + "SELECT work, claim, coalesce(string_agg(verdict || ': q' || id, ' || ' ORDER BY id) FILTER (score > 100), '') AS evidence, count(*)::BIGINT AS votes FROM log GROUP BY ALL")
 def vote_evidence(spark, sf_dir):
-    g = log(spark, sf_dir).groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("id", "verdict", "score"))).alias("v"))
-    return g.select("work", "claim", F.array_join(F.transform("v", lambda x: F.concat(x["verdict"], F.lit("="), F.format_string("%.2f", x["score"]))), "; ").alias("evidence"), F.size("v").cast("long").alias("votes"))
+    """Every voter's quote, in order, votes without one left out."""
+    quote = F.when(F.col("score") > 100, F.concat(F.lit("q"), "id")).otherwise(" ")
+    g = log(spark, sf_dir).groupBy("work", "claim").agg(F.array_sort(F.collect_list(F.struct("id", F.col("verdict").alias("model"), quote.alias("quote")))).alias("v"))
+    return g.select("work", "claim", linking.format_evidence(F.col("v")).alias("evidence"), F.size("v").cast("long").alias("votes"))
 
 
 @query(WITH + "SELECT work, arg_max(claim, struct_pack(a := tm, i := id)) AS newest_claim, max(tm)::VARCHAR AS fetched_at FROM log GROUP BY work")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..operators import folds
+from ..operators import folds, linking
 from ..sources import tables
 from . import rules as R
 from .registry import Registry
@@ -75,13 +75,16 @@ def candidate_projection(spark, sf_dir):
     return pool(spark, sf_dir).select(F.col("work_id").alias("openalex_id_r"), F.col("title").alias("title_r"), F.col("abstract").alias("abstract_r"), F.lit("").alias("doi_r"), F.col("source").alias("journal_r"), F.lit("pool").alias("source"))
 
 
-@query(f"WITH {ROUTED_SQL} SELECT r.work_id, r.pile, CASE WHEN l.quality = 1 THEN 'proceed' ELSE 'discard' END AS decision FROM routing r JOIN labels l ON l.doc_id = r.work_id WHERE r.pile LIKE 'screen%' AND r.work_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+@query(f"""WITH {ROUTED_SQL}, d AS (SELECT doc_id AS work_id, doc_id % 3 <> 0 AS expensive, quality = 1 AS proceeds, CASE WHEN toxic = 1 THEN 'reproduction' ELSE '' END AS kind FROM labels)
+SELECT r.work_id, r.pile, CASE r.pile WHEN 'screen_expensive' THEN 1 ELSE 2 END::INTEGER AS pile_order, CASE WHEN d.expensive THEN 'proceed' ELSE '' END AS screen_verdict, CASE WHEN d.expensive AND d.kind <> '' THEN d.kind ELSE 'needs_review' END AS paper_type, CASE WHEN d.expensive AND d.kind <> '' THEN 'screen' ELSE 'engine' END AS filter_method
+FROM routing r LEFT JOIN d ON d.work_id = r.work_id WHERE r.pile LIKE 'screen%' AND (d.proceeds IS NULL OR d.proceeds)""")
 def handoff(spark, sf_dir):
+    """Routed works with what the screens decided, in order of their piles; discarded ones dropped, types of the screen before the paper's."""
     labels = table(spark, sf_dir, "labels")
-    rows = routed(spark, sf_dir).where(F.col("pile").isin(*R.SCREENS)).select("work_id", "pile")
-    decisions = labels.select(F.col("doc_id").alias("work_id"), F.when(F.col("quality") == 1, "proceed").otherwise("discard").alias("decision"))
-    drop = labels.where("toxic = 1").select(F.col("doc_id").alias("work_id"))
-    return folds.without(rows.join(decisions, "work_id", "left").where("decision IS NOT NULL"), [(drop, "work_id")])
+    rows = routed(spark, sf_dir).select("work_id", "pile", F.lit("needs_review").alias("paper_type"), F.lit("engine").alias("filter_method"))
+    votes = F.lit(None).cast("array<struct<model:string,classification:string,confident:boolean,quote:string>>")
+    decisions = labels.select(F.col("doc_id").alias("work_id"), F.when(F.col("doc_id") % 3 == 0, "cheap").otherwise("expensive").alias("tier"), F.when(F.col("quality") == 1, "proceed").otherwise("discard").alias("outcome"), F.when(F.col("toxic") == 1, "reproduction").otherwise("").alias("record_type"), votes.alias("votes"))
+    return linking.hand_on(rows, decisions).select("work_id", "pile", "pile_order", "screen_verdict", "paper_type", "filter_method")
 
 
 @query("SELECT doc_id AS work_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND doc_id NOT IN (SELECT item_id FROM benchmark) AND source NOT IN (SELECT 'src' || n_nationkey FROM nation WHERE n_regionkey = 0)")
