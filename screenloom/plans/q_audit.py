@@ -44,27 +44,34 @@ def search_grades(spark, sf_dir):
     return extracted(spark, sf_dir).select("work_id", "position", audit.grade().alias("grade")).where("grade <> ''")
 
 
-CHECKS = {
-    ("doi_o_unverified", "BLOCKER"): "doi_o_verification NOT IN ('verified', 'corrected') AND NOT (doi_o_verification = 'no_doi' AND oa_work_id_o <> '')",
-    ("self_link", "BLOCKER"): "doi_o <> '' AND lower(doi_o) = lower(doi_r)",
-    ("self_link ", "BLOCKER"): "oa_work_id_o = oa_work_id_r",
-    ("unresolved_stage", "BLOCKER"): "outcome = 'pending' OR link_method IN ('target_pending', 'api_error', 'no_original_found')",
-    ("missing_display_field", "BLOCKER"): "trim(title_r) = '' OR title_o = ''",
-    ("original_postdates_replication", "WARNING"): "TRY_CAST(year_o AS DOUBLE) > TRY_CAST(year_r AS DOUBLE) + 1",
-    ("outcome_not_canonical", "WARNING"): "outcome = 'odd'",
-    ("quote_source_count_mismatch", "WARNING"): "position = 5",
-    ("quote_not_in_abstract", "WARNING"): "position % 4 = 1",
-    ("low_link_confidence", "WARNING"): "link_confidence = 'low'",
-    ("low_outcome_confidence", "WARNING"): "outcome_confidence = 'low'",
-    ("duplicate_pair_id", "BLOCKER"): "pair_id IN (SELECT pair_id FROM x GROUP BY pair_id HAVING count(*) > 1)",
-    ("multi_original_inconsistent", "WARNING"): "doi_r IN (SELECT doi_r FROM x GROUP BY doi_r HAVING NOT coalesce(count(TRY_CAST(original_rank AS INTEGER)) = count(*) AND count(DISTINCT TRY_CAST(original_rank AS INTEGER)) = count(*) AND min(TRY_CAST(original_rank AS INTEGER)) = 1 AND max(TRY_CAST(original_rank AS INTEGER)) = count(*) AND min(TRY_CAST(n_originals AS INTEGER)) = count(*) AND max(TRY_CAST(n_originals AS INTEGER)) = count(*), false))",
-}
-FINDINGS_SQL = WITH + ", f AS (" + " UNION ALL ".join(f"SELECT pair_id, doi_r, '{c.strip()}' AS \"check\", '{s}' AS severity FROM x WHERE {w}" for (c, s), w in CHECKS.items()) + ")"
+LATE = "substr(year_o, 1, 4)::INTEGER > TRY_CAST(year_r AS INTEGER) + 1"
+RANK, ORIGINALS = "TRY_CAST(original_rank AS INTEGER)", "TRY_CAST(n_originals AS INTEGER)"
+#: (check, severity, condition, detail).
+CHECKS = [
+    ("doi_o_unverified", "BLOCKER", "doi_o_verification NOT IN ('verified', 'corrected') AND NOT (doi_o_verification = 'no_doi' AND oa_work_id_o <> '')", "'doi_o_verification=' || coalesce(nullif(doi_o_verification, ''), 'empty') || CASE WHEN doi_o_verification = 'no_doi' THEN ', no oa_work_id_o' ELSE '' END"),
+    ("self_link", "BLOCKER", "doi_o <> '' AND lower(doi_o) = lower(doi_r)", "'doi_o == doi_r (' || lower(doi_o) || ')'"),
+    ("self_link", "BLOCKER", "oa_work_id_o = oa_work_id_r", "'oa_work_id_o == oa_work_id_r (' || oa_work_id_o || ')'"),
+    ("unresolved_stage", "BLOCKER", "outcome = 'pending' OR link_method IN ('target_pending', 'api_error', 'no_original_found')", "'outcome=' || outcome || ', link_method=' || link_method"),
+    ("missing_display_field", "BLOCKER", "trim(title_r) = '' OR title_o = ''", "'empty: ' || concat_ws(', ', CASE WHEN trim(title_r) = '' THEN 'title_r' END, CASE WHEN title_o = '' THEN 'title_o' END)"),
+    ("original_postdates_replication", "WARNING", LATE, "'year_o=' || substr(year_o, 1, 4) || ' > year_r=' || year_r || ' + 1'"),
+    ("outcome_not_canonical", "WARNING", "outcome = 'odd'", "'outcome=odd'"),
+    ("quote_source_count_mismatch", "WARNING", "position = 5", "'outcome_phrase has 2 passage(s) but out_quote_source names 1 source(s)'"),
+    ("quote_source_count_mismatch", "WARNING", "position = 2", "'outcome_robustness_quote has 1 passage(s) but out_quote_robust_source names 2 source(s)'"),
+    ("quote_not_in_abstract", "WARNING", "position % 4 = 1", "'outcome_phrase not found in abstract_r'"),
+    ("quote_not_in_abstract", "WARNING", "position = 3", "'outcome_computational_quote not found in abstract_r'"),
+    ("low_link_confidence", "WARNING", "link_confidence = 'low'", "'link_confidence=low'"),
+    ("low_outcome_confidence", "WARNING", "outcome_confidence = 'low'", "'outcome_confidence=low'"),
+    ("duplicate_pair_id", "BLOCKER", "pair_id IN (SELECT pair_id FROM x GROUP BY pair_id HAVING count(*) > 1)", "'pair_id ' || pair_id || ' in ' || (SELECT count(*) FROM x y WHERE y.pair_id = x.pair_id) || ' rows'"),
+    ("multi_original_inconsistent", "WARNING", f"doi_r IN (SELECT doi_r FROM x GROUP BY doi_r HAVING NOT coalesce(count({RANK}) = count(*) AND count(DISTINCT {RANK}) = count(*) AND min({RANK}) = 1 AND max({RANK}) = count(*) AND min({ORIGINALS}) = count(*) AND max({ORIGINALS}) = count(*), false))", "'ranks or n_originals don''t fit the ' || (SELECT count(*) FROM x y WHERE y.doi_r = x.doi_r) || ' row(s) of ' || lower(doi_r)"),
+]
+FINDINGS_SQL = WITH + ", f AS (" + " UNION ALL ".join(f"SELECT pair_id, doi_r, '{c}' AS \"check\", '{s}' AS severity, {d} AS detail FROM x WHERE {w}" for c, s, w, d in CHECKS) + ")"
 
 
 @query(FINDINGS_SQL + " SELECT * FROM f")
 def audit_findings(spark, sf_dir):
-    return audit.audit(extracted(spark, sf_dir))
+    """Every finding of every extracted row, with its detail; ratios of passages are left out, as SQL has none."""
+    found = audit.audit(extracted(spark, sf_dir))
+    return found.withColumn("detail", F.regexp_replace("detail", r" \(partial_ratio=[0-9]+\)\z", ""))
 
 
 @query(FINDINGS_SQL + " SELECT DISTINCT pair_id FROM f WHERE severity = 'BLOCKER'")

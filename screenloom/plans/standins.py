@@ -69,6 +69,10 @@ EXTRACTED = {
     "year_o": "CAST(1990 + l_linenumber AS STRING) || CASE WHEN l_linenumber % 2 = 0 THEN '.0' ELSE '' END",
     "outcome_phrase": "CASE WHEN l_linenumber % 4 = 0 THEN 'we find that PART ' || CAST(l_partkey AS STRING) WHEN l_linenumber % 4 = 1 THEN 'nothing like it at all, whatever one may say | it was late' ELSE '' END",
     "out_quote_source": "CASE WHEN l_linenumber = 5 THEN 'abstract' WHEN l_linenumber % 4 = 1 THEN 'abstract | fulltext' ELSE 'abstract' END",
+    "outcome_computational_quote": "CASE WHEN l_linenumber = 3 THEN 'quite another sentence, which nobody wrote' ELSE '' END",
+    "out_quote_computational_source": "CASE WHEN l_linenumber = 3 THEN 'abstract' ELSE '' END",
+    "outcome_robustness_quote": "CASE WHEN l_linenumber = 2 THEN 'It was late.' ELSE '' END",
+    "out_quote_robust_source": "CASE WHEN l_linenumber = 2 THEN 'abstract | fulltext' ELSE '' END",
     "link_confidence": "CASE WHEN l_discount < 0.02 THEN 'low' ELSE 'high' END",
     "outcome_confidence": "CASE WHEN l_discount > 0.08 THEN 'low' ELSE 'high' END",
     "original_rank": "CASE WHEN l_orderkey % 53 = 0 THEN 'x' ELSE CAST(l_linenumber AS STRING) END",
