@@ -47,16 +47,19 @@ def clean_title(c: Column) -> Column:
     return F.regexp_replace(text, rf"{U}\A(?>{AUTHOR})(?=\s*\S)(?:(?>{AUTHOR}|{OTHERS})(?=\s*\S))*+", "")
 
 
+def _is_piece(text: Column) -> Column:
+    return (text == "") | text.rlike(rf"{U}\A(?:{CONJUNCTION})?{AUTHOR}") | text.rlike(U + CUT_OFF) | text.rlike(ONLY_INITIALS)
+
+
 def is_fragment(c: Column) -> Column:
     """Is it a piece of a citation: empty, authors first, cut off among initials, or initials alone?"""
-    text = without_marker(c)
-    return (text == "") | text.rlike(rf"{U}\A(?:{CONJUNCTION})?{AUTHOR}") | text.rlike(U + CUT_OFF) | text.rlike(ONLY_INITIALS)
+    return spans.let(without_marker(c), _is_piece)
 
 
 def usable_title(c: Column) -> Column:
     """Can it be searched for: LEAST_TITLE letters or more, and no fragment?"""
-    letters = F.trim(F.regexp_replace(without_marker(c), U + r"[\W_]+", " "))
-    return (F.length(letters) >= LEAST_TITLE) & ~is_fragment(c)
+    letters = lambda text: F.trim(F.regexp_replace(text, U + r"[\W_]+", " "))
+    return spans.let(without_marker(c), lambda text: (F.length(letters(text)) >= LEAST_TITLE) & ~_is_piece(text))
 
 
 def without_citation(c: Column) -> Column:

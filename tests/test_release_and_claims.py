@@ -1,5 +1,7 @@
 """Releases, claims, tiers and parsing."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,15 @@ def test_parsing(spark):
         parts = [b[max(0, i) : i + len(a)] for i in range(1 - len(a), len(b))]
         plain = max(200 * lcs(a, p) / (len(a) + len(p)) for p in parts)
         assert abs(parse.partial_ratio(a, b) - plain) < 1e-9 and parse.nearly_in(a, b, 70) == (plain >= 70)
+    dice = random.Random(5)
+    some = ["", "a", "ab ab", "sleep well", "x" * 64, "y" * 65, *("".join(dice.choice("abcd é") for _ in range(dice.randint(1, 90))) for _ in range(60))]
+    pairs = [(dice.choice(some), dice.choice(some)) for _ in range(300)] + [(None, "a"), ("a", None)]
+    assert all(abs(x - parse.partial_ratio(a, b)) < 1e-9 for x, (a, b) in zip(parse.partial_ratios(pairs), pairs, strict=True))
+    lists = [[["sleep well", "zzz"], []], None, [["they slept"], ["z" * 70, "they slept very well " * 4]]]
+    texts = ["they slept very well", "x", "they slept very well " * 5]
+    far = [[q for q in x if parse.partial_ratio(q, texts[i]) < 80] for i in (0, 2) for x in lists[i]]
+    want = [min((parse.partial_ratio(q, texts[0 if n < 2 else 2]) for q in x), default=None) for n, x in enumerate(far)]
+    assert parse.worst_ratios(lists, texts, 80) == [want[:2], None, want[2:]] and want[0] is not None and want[2] is None
     assert parse.quote_found("A  Quoted titel", "it has a quoted title in it") and not parse.quote_found("something else", "it has a quoted title") and not parse.quote_found("", "x")
     assert parse.token_set_ratio("Sleep and memory", "memory and sleep: again") == 100 and parse.token_set_ratio("a", None) == 0
     assert parse.fold_title("Eﬀect of Naï-\nve  Café") == "effect of naive cafe"
