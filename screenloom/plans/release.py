@@ -45,6 +45,7 @@ def pool_digest(pool: DataFrame) -> str:
 
 def build(pool: DataFrame, rules: list[R.Rule], columns: R.Pool, store: str, inputs: Inputs, created_at: str) -> str:
     """Route the pool and store the release; its id."""
+    recover(pool.sparkSession, store)
     release = inputs.release_id
     work = columns.work
     routed = R.match_flags(R.route(pool, rules, columns), rules, columns, "domain").withColumn("release_id", F.lit(release))
@@ -86,16 +87,32 @@ def export_rows(pool: DataFrame, routing: DataFrame, rules: list[R.Rule], pile:
     return rows.select(*kept, called.alias("paper_type"), F.lit(f"engine:{release[:12]}").alias("filter_method"), evidence.alias("filter_evidence"), F.lit(confidence).alias("filter_confidence"), F.col("rule_id").alias("route_rule"), F.col("precedence").alias("route_precedence"), "matched_rules")
 
 
-def drop_release(spark: SparkSession, store: str, release: str) -> None:
-    """Remove a release's partitions; its row in releases/ goes by writing the others anew."""
-    from ..sources.exports import _fs
+def recover(spark: SparkSession, store: str) -> None:
+    """Finish what a drop_release that broke off had begun: its rows stand beside until they are in place."""
+    from ..sources.exports import _fs, exists, move
+
+    here, new, old = (f"{store}/releases{x}" for x in ("", ".new", ".old"))
+    if not exists(spark, here) and exists(spark, f"{new}/_SUCCESS"):
+        move(spark, new, here)
+    elif not exists(spark, here) and exists(spark, old):
+        move(spark, old, here)
+    for rest in (new, old):
+        fs, p = _fs(spark, rest)
+        fs.delete(p, True)
 
-    for table in ("routing", "evaluations", "domains"):
-        fs, p = _fs(spark, f"{store}/{table}/release_id={release}")
+
+def drop_release(spark: SparkSession, store: str, release: str) -> None:
+    """Remove a release: first its row in releases/, by rows written beside and then moved, so that a step that fails leaves the old ones or the new ones; then its partitions."""
+    from ..sources.exports import _fs, move
+
+    recover(spark, store)
+    here, new, old = (f"{store}/releases{x}" for x in ("", ".new", ".old"))
+    spark.read.parquet(here).where(F.col("release_id") != release).coalesce(1).write.mode("overwrite").parquet(new)
+    move(spark, here, old)
+    move(spark, new, here)
+    for path in (old, *(f"{store}/{table}/release_id={release}" for table in ("routing", "evaluations", "domains"))):
+        fs, p = _fs(spark, path)
         fs.delete(p, True)
-    left = spark.read.parquet(f"{store}/releases").where(F.col("release_id") != release)
-    left = spark.createDataFrame(left.collect(), left.schema)  # a row per release
-    left.write.mode("overwrite").parquet(f"{store}/releases")
 
 
 def resolve(releases: DataFrame, prefix: str) -> str:

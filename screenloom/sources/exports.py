@@ -44,9 +44,18 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if overwrite:
-        fs.delete(p, False)
-    fs.rename(part, p)
+    move(spark, f"{path}.part", path, overwrite)
+
+
+def move(spark: SparkSession, old: str, new: str, overwrite: bool = False) -> None:
+    """Rename a file or folder in one step; overwrite: a file that is there is replaced in the same step, so that a reader finds the old one or the new one."""
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
+    _, a = _fs(spark, old)
+    fs, b = _fs(spark, new)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b, options)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -80,17 +89,23 @@ def export_csv(df: DataFrame, path: str, columns: list[str], order: list[Column]
     plain = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
     text = df.orderBy(*order).select(*plain)
     text.withColumnRenamed(columns[0], MARK + columns[0]).write.mode("overwrite").csv(path, header=True, emptyValue="", escape='"')
-    manifest = {**(about or {}), "rows": df.count(), "columns": columns, "sha256": content_digest(df.select(*plain), F.to_json(F.struct(*columns))).first()[0], "created_at": created_at}
+    # counted and digested as it can be read back: df is computed once
+    back = _read_csv(spark, path, columns)
+    manifest = {**(about or {}), "rows": back.count(), "columns": columns, "sha256": content_digest(back, F.to_json(F.struct(*columns))).first()[0], "created_at": created_at}
     write_text(spark, f"{path}.manifest.json", json.dumps(manifest, indent=1, sort_keys=True))
     return manifest
 
 
+def _read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', enforceSchema=True).select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+
+
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """An export's rows by its manifest; raises if their number or digest isn't the manifest's."""
     manifest = json.loads(read_text(spark, f"{path}.manifest.json"))
     columns = manifest["columns"]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', enforceSchema=True).select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+    df = _read_csv(spark, path, columns)
     if content_digest(df, F.to_json(F.struct(*columns))).first()[0] != manifest["sha256"]:
         raise Refused(f"{path} isn't what its manifest describes")
     return df
@@ -161,7 +176,11 @@ def freeze_overlay(spark: SparkSession, folder: str, pool: str | None, created_a
         raise Refused("overlay can't be frozen:\n" + "\n".join(errors))
     whole = spark.read.schema(OVERLAY).parquet(*overlay_chunks(spark, folder))
     line = F.to_json(F.struct(*[f.name for f in OVERLAY]))
-    files = [{"name": p.rsplit("/", 1)[1], "rows": (one := spark.read.schema(OVERLAY).parquet(p)).count(), "sha256": content_digest(one, line).first()[0]} for p in overlay_chunks(spark, folder)]
+    # one job for all chunks: lines are folded by prefixes of their hash, and those again
+    named = whole.select(F.element_at(F.split(F.regexp_replace("_metadata.file_path", r"/[^/]*\z", ""), "/"), -1).alias("name"), F.sha2(line, 256).alias("h"))
+    joined = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
+    parts = named.groupBy("name", F.substring("h", 1, 4).alias("p")).agg(F.concat("p", joined("h")).alias("d"), F.count(F.lit(1)).alias("n"))
+    files = [r.asDict() for r in parts.groupBy("name").agg(F.sum("n").alias("rows"), joined("d").alias("sha256")).orderBy("name").collect()]  # a row for each chunk
     sources = {r.s: r.n for r in whole.groupBy(F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     digest = spark.range(1).select(F.sha2(F.lit("".join(f"{f['name']}:{f['sha256']}\n" for f in files)), 256)).first()[0]
     manifest = {"overlay_hash": digest, "rows": sum(f["rows"] for f in files), "files": files, "sources": dict(sorted(sources.items())), "parent_pool": pool, "created_at": created_at}

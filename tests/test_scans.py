@@ -102,3 +102,39 @@ def test_another_gate_is_refused(place):
     assert place.pool() == [1]
     place.scan((b, 5, None), gate_id="two", force=True)
     assert place.pool() == [1, 2]
+
+
+def test_steps_that_fail_leave_the_old_state(spark, tmp_path, monkeypatch):
+    from screenloom.plans import release
+
+    path = f"{tmp_path}/pointer.json"
+    exports.write_text(spark, path, "one")
+    exports.write_text(spark, path, "two", overwrite=True)
+    assert exports.read_text(spark, path) == "two"
+    with pytest.raises(exports.Refused):
+        exports.write_text(spark, path, "three")
+    monkeypatch.setattr(exports, "move", lambda *a, **k: (_ for _ in ()).throw(OSError("no move")))
+    with pytest.raises(OSError):
+        exports.write_text(spark, path, "four", overwrite=True)
+    assert exports.read_text(spark, path) == "two"
+    monkeypatch.undo()
+    store = f"{tmp_path}/store"
+    rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "release_id string, created_at string")
+    rows.write.parquet(f"{store}/releases")
+    real, calls = exports.move, []
+
+    def breaks(*a, **k):
+        calls.append(a)
+        if len(calls) == 2:
+            raise OSError("no second move")
+        return real(*a, **k)
+
+    ids = lambda: sorted(r.release_id for r in spark.read.parquet(f"{store}/releases").collect())
+    monkeypatch.setattr(exports, "move", breaks)
+    with pytest.raises(OSError):
+        release.drop_release(spark, store, "a")
+    monkeypatch.undo()
+    release.recover(spark, store)
+    assert ids() == ["b", "c"]
+    release.drop_release(spark, store, "b")
+    assert ids() == ["c"] and sorted(os.listdir(store)) == ["releases"]
