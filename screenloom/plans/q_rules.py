@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import identifiers as I
 from ..functions import text as T
 from ..sources import tables
 from . import rules as R
@@ -23,10 +24,15 @@ def rule_table(spark, bundle=BUNDLE):
     return F.broadcast(R.as_table(spark, bundle))
 
 
-@query(rf"WITH {POOL_SQL} SELECT work_id, regexp_matches(title, '(?i)tion|ment') AS hit_title, regexp_matches(abstract, '(?i)tion|ment') AS hit_abstract, type IN ('en', 'fr') AS hit_concept FROM p WHERE regexp_matches(title, '(?i)tion|ment') OR regexp_matches(abstract, '(?i)tion|ment') OR type IN ('en', 'fr')")
+@query(rf"WITH {POOL_SQL}, g AS (SELECT work_id, regexp_matches(title, '(?i)tion|ment') AS hit_title, regexp_matches(abstract, '(?i)tion|ment') AS hit_abstract, type IN ('en', 'fr') OR work_id % 10 = 3 AS hit_concept, work_id % 10 = 3 AS hit_json FROM p) SELECT * FROM g WHERE hit_title OR hit_abstract OR hit_concept")
 def gate_scan(spark, sf_dir):
+    """Works that a stem in title or abstract, or a concept, admits; concepts as lists of structs, and as JSON."""
     stem = "tion|ment"
-    hits = tables.spread(pool(spark, sf_dir)).select("work_id", T.matches(F.col("title"), stem).alias("hit_title"), T.matches(F.col("abstract"), stem).alias("hit_abstract"), F.exists(F.array("type"), lambda c: c.isin("en", "fr")).alias("hit_concept"))
+    ident = lambda c: F.concat(F.lit(I.CONCEPT_BASE), c)
+    works = tables.spread(pool(spark, sf_dir)).withColumn("concepts", F.array(F.struct(ident(F.lit("Cx")).alias("id"), F.lit(1).alias("level")), F.struct(ident(F.concat(F.lit("C"), "type")).alias("id"), F.lit(2).alias("level")), F.struct(F.when(F.col("work_id") % 10 == 3, "C3").alias("id"), F.lit(3).alias("level"))))
+    works = works.withColumn("concepts_json", F.to_json("concepts"))
+    hit = I.has_concept(works, "concepts", ["Cen", "Cfr", "C3"])
+    hits = works.select("work_id", T.matches(F.col("title"), stem).alias("hit_title"), T.matches(F.col("abstract"), stem).alias("hit_abstract"), hit.alias("hit_concept"), I.has_concept(works, "concepts_json", ["C3"]).alias("hit_json"))
     return hits.where("hit_title OR hit_abstract OR hit_concept")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import identifiers
 from ..functions import text as T
 from ..functions.regex import to_java
 from ..operators import citations, folds, outcomes, similar
@@ -49,9 +50,11 @@ def pair_id(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), T.pair_id(F.col("l_partkey").cast("string"), F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey").cast("string"))).alias("pair_id"))
 
 
-@query("SELECT p_partkey, concat_ws('. ', p_brand, CASE WHEN p_size % 4 <> 0 THEN '(' || (1970 + p_size) || ')' END, p_name, nullif(p_type, 'SMALL')) || '.' AS reference FROM part")
+@query("SELECT p_partkey, concat_ws('. ', upper(substr(p_name, 1, 1)) || substr(string_split(p_name, ' ')[1], 2) || ', ' || upper(substr(p_brand, 1, 1)) || '. ' || 'X.', CASE WHEN p_size % 4 <> 0 THEN '(' || (1970 + p_size) || ')' END, p_name, nullif(p_type, 'SMALL')) || '.' AS reference FROM part")
 def reference_string(spark, sf_dir):
-    parts = F.array_compact(F.array("p_brand", F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("("), 1970 + F.col("p_size"), F.lit(")"))), F.col("p_name"), F.nullif("p_type", F.lit("SMALL"))))
+    """References of an author as `Family, G. I.`, a year, a title and a journal, what isn't there left out."""
+    author = identifiers.apa_author(F.concat("p_brand", F.lit("  X. "), F.initcap(F.substring_index("p_name", " ", 1))))
+    parts = F.array_compact(F.array(author, F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("("), 1970 + F.col("p_size"), F.lit(")"))), F.col("p_name"), F.nullif("p_type", F.lit("SMALL"))))
     return table(spark, sf_dir, "part").select("p_partkey", F.concat(F.array_join(parts, ". "), F.lit(".")).alias("reference"))
 
 
@@ -238,3 +241,16 @@ def ranked_works(spark, sf_dir):
     topic = F.when(F.col("c_custkey") % 4 == 0, "Effects of Economy: the Brand, elsewhere").when(F.col("c_custkey") % 4 == 1, "A standard brand").when(F.col("c_custkey") % 4 == 2, "nowhere")
     cited = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cite_id"), F.when(F.col("c_custkey") % 3 == 0, F.array(name("c_custkey"))).otherwise(F.array(name("c_custkey"), name("c_nationkey"))).alias("surnames"), (1950 + F.col("c_custkey") % 5).alias("year"), topic.alias("topic"))
     return citations.rank_works(cited, works)
+
+
+@query("""
+WITH t AS (SELECT s_suppkey, c_custkey, 'the ' || lower(c_mktsegment) || ' of nation ' || c_nationkey AS a, 'The ' || upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ' of Nation ' || s_nationkey || ': again' AS b FROM supplier JOIN customer ON c_custkey = s_suppkey),
+f AS (SELECT *, trim(regexp_replace(lower(a), '[^a-z0-9]+', ' ', 'g')) AS fa, trim(regexp_replace(lower(b), '[^a-z0-9]+', ' ', 'g')) AS fb, list_distinct(regexp_extract_all(lower(a), '[a-z0-9]{3,}')) AS wa, list_distinct(regexp_extract_all(lower(b), '[a-z0-9]{3,}')) AS wb FROM t)
+SELECT s_suppkey, len(list_intersect(wa, wb)) / len(list_distinct(list_concat(wa, wb)))::DOUBLE >= 0.7 OR contains(fb, fa) AND length(fa) <= length(fb) AS alike FROM f""")
+def titles_alike(spark, sf_dir):
+    """Titles of one thing: alike by their words, or one held in the other."""
+    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    j = s.join(c, F.col("c_custkey") == F.col("s_suppkey"))
+    a = F.concat(F.lit("the "), F.lower("c_mktsegment"), F.lit(" of nation "), "c_nationkey")
+    b = F.concat(F.lit("The "), F.initcap("c_mktsegment"), F.lit(" of Nation "), "s_nationkey", F.lit(": again"))
+    return j.select("s_suppkey", T.titles_match(a, b).alias("alike"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import identifiers
 from ..functions import text as T
 from ..operators import folds, linking
 from ..sources import tables
@@ -110,12 +111,13 @@ def tagged_union(spark, sf_dir):
     return c.unionByName(s, allowMissingColumns=True).groupBy("stage", "nation").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("bal") < 0, 1).otherwise(0)).alias("negative"))
 
 
-@query("SELECT DISTINCT k FROM (SELECT unnest(string_split(c_mktsegment || ';' || c_nationkey, ';')) AS k FROM customer UNION ALL SELECT unnest(string_split(p_brand || ';' || p_type, ';')) FROM part) WHERE k <> ''")
+@query("SELECT DISTINCT k FROM (SELECT unnest(string_split('10.1/n' || c_nationkey || ';10.1/s' || lower(c_mktsegment), ';')) AS k FROM customer UNION ALL SELECT '10.17605/osf.io/' || lpad((c_custkey % 97)::VARCHAR, 5, 'a') FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT lower('part ' || p_brand || ', ' || p_type) FROM part UNION ALL SELECT '10.1/n' || p_size FROM part)")
 def skip_key_union(spark, sf_dir):
-    split = lambda c: F.explode(F.split(c, ";")).alias("k")
-    a = table(spark, sf_dir, "customer").select(split(F.concat_ws(";", "c_mktsegment", "c_nationkey")))
-    b = table(spark, sf_dir, "part").select(split(F.concat_ws(";", "p_brand", "p_type")))
-    return a.unionByName(b).where("k <> ''").distinct()
+    """Keys of works to skip from cells with several DOIs, addresses of pages, and cells that a comma doesn't divide."""
+    c, p = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    cells = c.select(F.concat(F.lit("10.1/N"), "c_nationkey", F.lit(", 10.1/s"), "c_mktsegment").alias("ids"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("https://osf.io/"), F.lpad((F.col("c_custkey") % 97).cast("string"), 5, "a"), F.lit("/?view"))).otherwise("https://x.org").alias("url"))
+    parts = p.select(F.concat(F.lit("part "), "p_brand", F.lit(", "), "p_type").alias("name"), F.concat(F.lit("https://doi.org/10.1/n"), "p_size").alias("doi"))
+    return identifiers.skip_keys([(cells, ["ids"], ["url"]), (parts, ["name", "doi"], [])]).select(F.col("key").alias("k"))
 
 
 @query("SELECT k, arg_min(src, pri) AS provider, min(pri)::BIGINT AS priority FROM (SELECT doc_id AS k, 'labels' AS src, 0 AS pri FROM labels UNION ALL SELECT item_id, 'benchmark', 1 FROM benchmark UNION ALL SELECT page_id, 'pages', 2 FROM pages) GROUP BY k")

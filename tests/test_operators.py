@@ -201,3 +201,21 @@ def test_command_line(spark, tmp_path):
     assert {r.work_id for r in at("worklist", "--store", "@store", "--release", release.release_id[:8], "--pile", "screen_cheap").collect()} == {106, 107, 108}
     out = at("export", "--pool", "@pool", "--rules", "@rules", "--store", "@store", "--release", release.release_id[:8], "--pile", "screen_cheap", "--out", "@csv", "--at", "2024-01-02").first()
     assert out.rows == 3 and exports.read_export(spark, f"{tmp_path}/csv").count() == 3
+    both = at("export-csv", "--pool", "@pool", "--rules", "@rules", "--store", "@store", "--release", release.release_id[:8], "--out", "@both", "--at", "2024-01-02").first()
+    assert both.rows == 4 and {r.paper_type for r in exports.read_export(spark, f"{tmp_path}/both").collect()} >= {"needs_review"}
+    specs = at("specs", "--rules", "@rules").collect()
+    assert len(specs) == len(CONTENTS) and len({r.bundle for r in specs}) == 1
+    screen = ("screen", "--store", "@store", "--release", release.release_id[:8], "--pile", "screen_cheap", "--tier", "cheap", "--at")
+    assert {r.work for r in at(*screen, "2024-01-03 00:00:00").collect()} == {106, 107, 108} and at("release-claim", "--store", "@store", "--at", "2024-01-03 00:00:00").count() == 0
+    assert at(*screen, "2024-01-03 00:00:00", "--limit", "2", "--claim", "c1", "--run").first().works == [106, 107]
+    assert {r.work for r in at(*screen, "2024-01-03 01:00:00").collect()} == {108} and at(*screen, "2024-01-03 09:00:00").count() == 3
+    held = at("release-claim", "--store", "@store", "--at", "2024-01-03 09:00:00").first()
+    assert (held.claim, held.expired) == ("c1", True)
+    assert at("release-claim", "--store", "@store", "--at", "2024-01-03 02:00:00", "--claim", "c1").first().state == "released"
+    assert at("release-claim", "--store", "@store", "--at", "2024-01-03 02:00:00").count() == 0 and at(*screen, "2024-01-03 02:30:00").count() == 3
+    with pytest.raises(SystemExit):
+        at(*screen, "2024-01-03 00:00:00", "--run")
+    spark.createDataFrame([(1, "h1", "response_pending_upload"), (2, "h2", "response_pending_upload")], "id int, response_hash string, response_state string").write.parquet(f"{tmp_path}/verdicts")
+    spark.createDataFrame([("h1",)], "response_hash string").write.parquet(f"{tmp_path}/stored")
+    done = {r.response_state: r.verdicts for r in at("reconcile", "--verdicts", "@verdicts", "--stored", "@stored", "--out", "@marked").collect()}
+    assert done == {"uploaded": 1, "response_pending_upload": 1} and spark.read.parquet(f"{tmp_path}/marked").where("response_state = 'uploaded'").first().id == 1
