@@ -45,6 +45,10 @@ WINDOW = 75
 PIECE = 3
 #: Bytes of a run, and how many runs an item must have in a region: one in CHARS of its bytes, FEWEST at least.
 GRAM, CHARS, FEWEST = 8, 12, 3
+#: Places among all items from which a run is too common to be looked up, unless too few others are left: each item keeps its rarest half at least.
+COMMON = 64
+#: Pairs of equal runs that are listed at once.
+PAIRS = 1 << 22
 #: Items, and bytes of their texts, compared in one pass over the documents; more are compared in further passes.
 ITEMS, ITEM_BYTES = 20_000, 4 << 20
 STEP_BYTES = 2 << 20
@@ -229,12 +233,20 @@ def enter_runs(texts: list[str], percent: int) -> Grams:
     size = np.array([len(x) for x in own], np.int64)
     key = np.concatenate([np.empty(0, np.uint64), *own])
     item, place = np.repeat(np.arange(len(own)), size), np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+    chars = np.array([len(t.encode()) for t in texts], np.int64)
+    _, which, often = np.unique(key, return_inverse=True, return_counts=True)
+    ranked = np.lexsort((place, often[which], item))
+    rank = np.empty(len(key), np.int64)
+    rank[ranked] = place  # places of an item are its numbers from 0
+    kept = (often[which] <= COMMON) | (rank < -(-size[item] // 2))
+    # an item asks for as many runs less as it has lost
+    least = np.maximum(FEWEST, chars // CHARS * np.bincount(item[kept], minlength=len(own)) // np.maximum(size, 1))
+    key, item, place = key[kept], item[kept], place[kept]
     order = np.argsort(key, kind="stable")
     keys, first = np.unique(key[order], return_index=True)
     full = np.zeros(1 << min(26, max(FILTER_BITS, len(keys).bit_length() + 4)), bool)
     full[cell(keys, full)] = True
-    chars = np.array([len(t.encode()) for t in texts], np.int64)
-    return Grams(full, keys, np.append(first, len(key)), item[order], place[order], np.maximum(FEWEST, chars // CHARS), chars * percent // 100)
+    return Grams(full, keys, np.append(first, len(key)), item[order], place[order], least, chars * percent // 100)
 
 
 def normal(text: str | bytes) -> list:
@@ -282,11 +294,22 @@ def near(words: Words, grams: Grams) -> np.ndarray:
     row = np.searchsorted(words.offsets, origin[at], "right") - 1
     whole = origin[at + GRAM - 1] < words.offsets[row + 1]
     at, low, row = at[whole], low[whole], row[whole]
-    times = grams.first[low + 1] - grams.first[low]
-    entry = np.repeat(grams.first[low] - np.cumsum(times) + times, times) + np.arange(times.sum())
+    n, found = len(grams.least), [np.empty((0, 3), np.int64)]
+    # entries of a run stand in order of items: a block of items at a time, so that few pairs are listed at once
+    blocks = max(1, min(n, -(-int((grams.first[low + 1] - grams.first[low]).sum()) // PAIRS)))
+    placed = np.repeat(np.arange(len(grams.keys)), np.diff(grams.first)) * n + grams.item
+    for a in range(blocks):
+        begin, end = (np.searchsorted(placed, low * n + x * n // blocks) for x in (a, a + 1))
+        found.append(_aligned(at, row, begin, end - begin, origin, len(text), words, grams))
+    return np.concatenate(found)
+
+
+def _aligned(at: np.ndarray, row: np.ndarray, entry: np.ndarray, times: np.ndarray, origin: np.ndarray, size: int, words: Words, grams: Grams) -> np.ndarray:
+    """near() for some of the items: `times` entries from `entry` on for each place in the texts."""
+    entry = np.repeat(entry - np.cumsum(times) + times, times) + np.arange(times.sum())
     item, begin, row = grams.item[entry], np.repeat(at, times) - grams.place[entry], np.repeat(row, times)
     # in order of row, item and place, with gaps that no band reaches across
-    gap = len(text) + 2 * int(grams.band.max(initial=0)) + int(grams.place.max(initial=0)) + 2
+    gap = size + 2 * int(grams.band.max(initial=0)) + int(grams.place.max(initial=0)) + 2
     key = (row * len(grams.least) + item) * gap + begin + int(grams.place.max(initial=0))
     order = np.argsort(key)
     key, item, begin, row = key[order], item[order], begin[order], row[order]

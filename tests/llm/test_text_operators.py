@@ -323,3 +323,46 @@ def test_digests(spark, docs, monkeypatch, tmp_path):
         assert r.kept_sha256 == hashlib.sha256(" ".join(words(texts[r.doc_id])).encode()).hexdigest()
     held = {r.doc_id: r.held_out for r in queries.op2_lm_scoring(spark, str(tmp_path)).where("doc_id IS NOT NULL").collect()}
     assert all(h == (zlib.crc32(str(i).encode()) % 7 == 2) for i, h in held.items())
+
+
+def test_leaks_among_common_phrases():
+    """A phrase every twenty words, in all items and in a long text, brings no candidates; leaks are found as ever, and so are items of one template."""
+    import numpy as np
+    import pyarrow as pa
+    from screenloom.llm import decontam as D
+
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(4000)]
+
+    def text(n):
+        return " ".join(w for i in range(n) for w in (["according", "to", "the"] if i % 20 == 7 else []) + [rng.choice(vocabulary)])
+
+    items = [(i, text(30)) for i in range(300)] + [(1000 + i, f"what is the capital of the country that is named {vocabulary[i]} and how many people live in it now") for i in range(200)]
+    index = D.build(items)
+    words = D.split(pa.array([text(60_000), "a a a a " * 5000]))
+    found = D.candidates(words, D.symbols(words), index)
+    assert len(found) < 2000
+
+    def edited(s, percent):
+        s = list(s)
+        for _ in range(len(s) * percent // 100):
+            i = rng.randrange(len(s))
+            s[i : i + 1] = rng.choice([[rng.choice("abcdefgh")], [], [s[i], rng.choice("abcdefgh")]])
+        return "".join(s)
+
+    for percent in (0, 5, 10):
+        hits = 0
+        for _ in range(40):
+            item, plain = items[rng.randrange(len(items))]
+            words = D.split(pa.array([f"{text(100)} {edited(plain, percent)} {text(100)}"]))
+            hits += item in {m[1] if m[1] < 300 else m[1] + 700 for m in D.matches(words, D.symbols(words), index, D.PERCENT)}
+        assert hits >= 38, percent
+    # blocks of items list the same pairs as all at once
+    words = D.split(pa.array([f"{text(50)} {items[i][1]} {text(50)}" for i in range(5)]))
+    whole = D.near(words, index.grams)
+    before, D.PAIRS = D.PAIRS, 10
+    try:
+        parts = D.near(words, index.grams)
+    finally:
+        D.PAIRS = before
+    assert np.array_equal(np.unique(whole, axis=0), np.unique(parts, axis=0)) and len(whole)
