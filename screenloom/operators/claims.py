@@ -49,6 +49,52 @@ def claim(events: DataFrame, batch: DataFrame, claim: str, tier: str, at: str, h
     return batch.agg(works.alias("works")).select(F.lit(claim).alias("claim"), F.lit(tier).alias("tier"), F.lit("claim").alias("kind"), "works", now.alias("at"), (now + F.make_interval(hours=F.lit(hours))).alias("expires_at"))
 
 
+def conflicts(batch: DataFrame, events: DataFrame, tier: str, at: str) -> DataFrame:
+    """(work, claim) of a batch's works that live claims of the tier hold."""
+    return batch.select("work").distinct().join(live(events, tier, at), "work")
+
+
+def expired(events: DataFrame, at: str) -> DataFrame:
+    """(claim, tier, expires_at, n_works) of claims whose lease ran out while they were active."""
+    out = state(events).where((F.col("state") == "active") & (F.col("expires_at") <= F.lit(at).cast("timestamp")))
+    return out.select("claim", "tier", "expires_at", F.size("works").cast("long").alias("n_works"))
+
+
+def stale(verdicts: DataFrame, questions: DataFrame) -> DataFrame:
+    """verdicts with `reason` of those whose question isn't today's any more.
+
+    verdicts: work_id, question_hash, at and more, a row each; questions: work_id,
+    question_hash, text_at.  A verdict that recorded its question is judged by that; one that
+    didn't by the text: it is stale if the text was fetched after it.  Works without a question
+    today have no stale verdicts.
+    """
+    today = questions.select("work_id", F.col("question_hash").alias("_now"), F.col("text_at").alias("_text_at"))
+    had = F.coalesce(F.col("question_hash"), F.lit("")) != ""
+    reason = F.when(had & (F.col("question_hash") != F.col("_now")), "question moved").when(~had & (F.col("_text_at") > F.col("at")), "text is newer")
+    return verdicts.join(today, "work_id").withColumn("reason", reason).where("reason IS NOT NULL").drop("_now", "_text_at")
+
+
+#: Columns of a verdict that may change once it is written.
+MUTABLE = ("superseded_by", "response_state", "response_hash")
+
+
+def tampered(before: DataFrame, after: DataFrame, key: str = "id", mutable: tuple[str, ...] = MUTABLE) -> DataFrame:
+    """(key, what) of verdicts that were deleted, or changed in a column that is permanent: `deleted`, or the columns in order, by comma."""
+    fixed = [c for c in before.columns if c != key and c not in mutable and c in after.columns]
+    now = after.select(key, F.struct(F.lit(True).alias("there"), *fixed).alias("_now"))
+    both = before.join(now, key, "left")
+    moved = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col("_now")[c]), c) for c in fixed]).cast("array<string>"))
+    return both.select(key, F.when(F.col("_now").isNull(), "deleted").when(F.size(moved) > 0, F.array_join(moved, ",")).alias("what")).where("what IS NOT NULL")
+
+
+def reconcile(verdicts: DataFrame, blobs: DataFrame, key: str = "id") -> DataFrame:
+    """(response_hash, verdicts, first, present) of responses still pending: how many verdicts name each, and is it among the blobs (response_hash)?"""
+    pending = verdicts.where((F.col("response_state") == PENDING) & (F.coalesce(F.col("response_hash"), F.lit("")) != ""))
+    named = pending.groupBy("response_hash").agg(F.count(F.lit(1)).alias("verdicts"), F.min(key).alias("first"))
+    there = blobs.select("response_hash").distinct().withColumn("_there", F.lit(True))
+    return named.join(there, "response_hash", "left").select("response_hash", "verdicts", "first", F.col("_there").isNotNull().alias("present"))
+
+
 def follow(events: DataFrame, claim: str, kind: str, at: str, hours: int = 6) -> DataFrame:
     """The event that renews, releases or finishes an active claim; raises if it is over or, for a renewal, expired."""
     row = state(events.where(F.col("claim") == claim)).first()

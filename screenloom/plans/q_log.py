@@ -12,8 +12,8 @@ from .standins import LOG_SQL, log, rounded, table
 
 query = Registry()
 WITH = f"WITH {LOG_SQL} "
-#: The generation that counts, and the claims that are over.
-CURRENT, CLOSED = 50, 20
+#: The generation that counts.
+CURRENT = 50
 
 
 @query(WITH + "SELECT work, claim, verdict, id FROM (SELECT *, row_number() OVER (PARTITION BY work ORDER BY (claim >= 50) DESC, tm DESC, id DESC) AS n FROM log) WHERE n = 1")
@@ -54,31 +54,53 @@ def ending_precedence(spark, sf_dir):
     return log(spark, sf_dir).groupBy("work").agg(had.alias("had")).select("work", F.coalesce(T.first_reason([("resolved", has("purchase")), ("partial", has("signup")), ("failed", has("error"))]), F.lit("resting")).alias("ending"))
 
 
-@query(WITH + ", q AS (SELECT work, md5((max(claim) // 2)::VARCHAR) AS now_hash, max(tm) - INTERVAL 2 DAY AS text_at FROM log GROUP BY work), s AS (SELECT work, id, tm, md5((claim // 2)::VARCHAR) AS hash FROM (SELECT *, row_number() OVER (PARTITION BY work ORDER BY tm DESC, id DESC) AS n FROM log WHERE verdict = 'purchase') WHERE n = 1) SELECT s.work, s.id, s.hash <> q.now_hash AS question_moved, q.text_at > s.tm AS text_is_newer FROM s JOIN q USING (work) WHERE s.hash <> q.now_hash OR q.text_at > s.tm")
+@query(WITH + """, q AS (SELECT work, md5((max(claim) // 2)::VARCHAR) AS now_hash, max(tm) - INTERVAL 2 DAY AS text_at FROM log GROUP BY work),
+s AS (SELECT work, id, tm, CASE WHEN id % 3 <> 0 THEN md5((claim // 2)::VARCHAR) ELSE '' END AS hash FROM (SELECT *, row_number() OVER (PARTITION BY work ORDER BY tm DESC, id DESC) AS n FROM log WHERE verdict = 'purchase') WHERE n = 1),
+r AS (SELECT work, id, CASE WHEN hash <> '' AND hash <> now_hash THEN 'question moved' WHEN hash = '' AND text_at > tm THEN 'text is newer' END AS reason FROM s JOIN q USING (work))
+SELECT * FROM r WHERE reason IS NOT NULL""")
 def stale_verdicts(spark, sf_dir):
-    rows = log(spark, sf_dir)
+    """The last verdict of each work whose question isn't today's: by the question that it recorded, or else by the time of the text."""
+    rows = log(spark, sf_dir).withColumn("work_id", F.col("work"))
     half = lambda c: F.md5(F.floor(c / 2).cast("string"))
-    now = rows.groupBy("work").agg(half(F.max("claim")).alias("now_hash"), (F.max("at") - F.expr("INTERVAL 2 DAYS")).alias("text_at"))
-    last = folds.latest_by(rows.where("verdict = 'purchase'"), ["work"], ["at", "id"]).withColumn("hash", half(F.col("claim")))
-    moved, newer = F.col("hash") != F.col("now_hash"), F.col("text_at") > F.col("at")
-    return last.join(now, "work").where(moved | newer).select("work", "id", moved.alias("question_moved"), newer.alias("text_is_newer"))
+    now = rows.groupBy("work_id").agg(half(F.max("claim")).alias("question_hash"), (F.max("at") - F.expr("INTERVAL 2 DAYS")).alias("text_at"))
+    last = folds.latest_by(rows.where("verdict = 'purchase'"), ["work_id"], ["at", "id"]).withColumn("question_hash", F.when(F.col("id") % 3 != 0, half(F.col("claim"))))
+    return claims.stale(last, now).select("work", "id", "reason")
 
 
-@query(WITH + "SELECT DISTINCT l.claim, l.work FROM log l WHERE l.claim >= 90 AND l.verdict = 'view' AND EXISTS (SELECT 1 FROM log o WHERE o.work = l.work AND o.verdict = 'view' AND o.claim BETWEEN 20 AND 40)")
+#: Claims of the log as events: each claims the works that were viewed, until six hours after the last.
+EVENTS_SQL = "e AS (SELECT claim, work, max(tm) OVER (PARTITION BY claim) + INTERVAL 6 HOUR AS expires_at, max(CASE WHEN claim % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY claim) AS over FROM log WHERE verdict = 'view')"
+
+
+def claim_events(spark, sf_dir):
+    views = log(spark, sf_dir).where("verdict = 'view'").groupBy("claim").agg(F.array_sort(F.collect_set("work")).alias("works"), F.min("at").cast("timestamp").alias("began"), F.max("at").cast("timestamp").alias("at"))
+    row = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.alias("at"))
+    kinds = F.when(F.col("claim") % 5 == 0, F.array(row("claim", F.col("began")), row("finish", F.col("at") + F.expr("INTERVAL 1 SECOND")))).otherwise(F.array(row("claim", F.col("began")), row("renew", F.col("at"))))
+    out = views.select("claim", "works", "at", F.explode(kinds).alias("k"))
+    return out.select(F.col("claim").cast("string").alias("claim"), F.lit("cheap").alias("tier"), "k.kind", "works", F.col("k.at").alias("at"), (F.col("at") + F.expr("INTERVAL 6 HOURS")).alias("expires_at"))
+
+
+@query(WITH + f", {EVENTS_SQL} SELECT DISTINCT e.work, e.claim::VARCHAR AS claim FROM e WHERE over = 0 AND expires_at > TIMESTAMP '2024-01-30 12:00:00' AND work IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0)")
 def claim_conflicts(spark, sf_dir):
-    items = log(spark, sf_dir).where("verdict = 'view'")
-    live = items.where("claim BETWEEN 20 AND 40").select("work").distinct()
-    return items.where("claim >= 90").select("claim", "work").distinct().join(live, "work", "left_semi").select("claim", "work")
+    """Works of a batch that live claims hold."""
+    batch = table(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("work"))
+    return claims.conflicts(batch, claim_events(spark, sf_dir), "cheap", "2024-01-30 12:00:00")
 
 
-@query(WITH + "SELECT claim, max(tm + INTERVAL 6 HOUR) AS expires_at, count(DISTINCT work)::BIGINT AS works FROM log GROUP BY claim HAVING max(tm + INTERVAL 6 HOUR) <= TIMESTAMP '2024-01-30 12:00:00'")
+@query(WITH + f", {EVENTS_SQL} SELECT claim::VARCHAR AS claim, any_value(expires_at) AS expires_at, count(DISTINCT work)::BIGINT AS works FROM e WHERE over = 0 AND expires_at <= TIMESTAMP '2024-01-30 12:00:00' GROUP BY claim")
 def lease_expiry(spark, sf_dir):
-    return log(spark, sf_dir).groupBy("claim").agg(F.max(F.col("at") + F.expr("INTERVAL 6 HOURS")).cast("timestamp_ntz").alias("expires_at"), F.countDistinct("work").alias("works")).where("expires_at <= TIMESTAMP_NTZ '2024-01-30 12:00:00'")
+    """Claims whose lease ran out while they were active."""
+    out = claims.expired(claim_events(spark, sf_dir), "2024-01-30 12:00:00")
+    return out.select("claim", F.col("expires_at").cast("timestamp_ntz").alias("expires_at"), F.col("n_works").alias("works"))
 
 
-@query(WITH + "SELECT work, verdict, count(*)::BIGINT AS rows, count(DISTINCT claim)::BIGINT AS values FROM log WHERE claim < 20 GROUP BY work, verdict HAVING count(DISTINCT claim) > 1")
+@query(WITH + "SELECT id, CASE WHEN id % 97 = 0 THEN 'deleted' WHEN id % 89 = 0 AND id % 3 = 0 THEN 'verdict,score' WHEN id % 89 = 0 THEN 'verdict' ELSE 'score' END AS what FROM log WHERE id % 97 = 0 OR id % 89 = 0 OR id % 83 = 0 AND id % 3 = 0")
 def permanence_violations(spark, sf_dir):
-    return log(spark, sf_dir).where(f"claim < {CLOSED}").groupBy("work", "verdict").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("claim").alias("values")).where("values > 1")
+    """Verdicts that are gone, or changed in what should stay, between two states of the log."""
+    before = log(spark, sf_dir).select("id", "work", "verdict", "score").withColumn("superseded_by", F.lit(None).cast("long"))
+    i = F.col("id")
+    changed = (i % 89 == 0) | (i % 83 == 0)
+    after = before.where(i % 97 != 0).withColumn("verdict", F.when(i % 89 == 0, "other").otherwise(F.col("verdict"))).withColumn("score", F.when(changed & (i % 3 == 0), F.col("score") + 1).otherwise(F.col("score"))).withColumn("superseded_by", F.when(i % 2 == 0, i + 1))
+    return claims.tampered(before, after)
 
 
 @query("WITH d AS (SELECT c_custkey AS work, CASE WHEN c_nationkey < 5 THEN 'withdrawal' ELSE 'reroute' END AS kind FROM customer WHERE c_acctbal < 2000) SELECT work, kind, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR) AS record_ids, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS validated, count(*) FILTER (o_orderstatus <> 'F')::BIGINT AS unvalidated FROM d JOIN orders ON o_custkey = work GROUP BY work, kind")
@@ -142,11 +164,12 @@ def ordered_label_union(spark, sf_dir):
     return log(spark, sf_dir).where("score > 150").groupBy("work").agg(F.collect_set("verdict").alias("v")).select("work", F.array_join(F.array_intersect(order, "v"), "|").alias("labels"))
 
 
-@query(WITH + "SELECT h AS response_hash, min(id)::BIGINT AS first_id, bool_or(h IN (SELECT md5(c_custkey::VARCHAR) FROM customer WHERE c_acctbal > 2000)) AS present FROM (SELECT md5(claim::VARCHAR) AS h, id FROM log) GROUP BY h")
+@query(WITH + "SELECT h AS response_hash, count(*)::BIGINT AS verdicts, min(id)::BIGINT AS first, bool_or(h IN (SELECT md5(c_custkey::VARCHAR) FROM customer WHERE c_acctbal > 2000)) AS present FROM (SELECT md5(claim::VARCHAR) AS h, id FROM log WHERE verdict <> 'view') GROUP BY h")
 def reconcile_blobs(spark, sf_dir):
-    blobs = table(spark, sf_dir, "customer").where("c_acctbal > 2000").select(F.md5(F.col("c_custkey").cast("string")).alias("response_hash"), F.lit(True).alias("there"))
-    pending = log(spark, sf_dir).groupBy(F.md5(F.col("claim").cast("string")).alias("response_hash")).agg(F.min("id").alias("first_id"))
-    return pending.join(blobs, "response_hash", "left").select("response_hash", "first_id", F.coalesce("there", F.lit(False)).alias("present"))
+    """Responses still pending, how many verdicts name each, and which are stored by now."""
+    blobs = table(spark, sf_dir, "customer").where("c_acctbal > 2000").select(F.md5(F.col("c_custkey").cast("string")).alias("response_hash"))
+    verdicts = log(spark, sf_dir).select("id", F.md5(F.col("claim").cast("string")).alias("response_hash"), F.when(F.col("verdict") != "view", claims.PENDING).otherwise(claims.UPLOADED).alias("response_state"))
+    return claims.reconcile(verdicts, blobs)
 
 
 @query(WITH + "SELECT id, 'm0' AS model, verdict AS classification, claim < 60 AS confident FROM log UNION ALL SELECT id, 'm1', 'none', claim % 2 = 0 FROM log")

@@ -76,3 +76,21 @@ def test_leases_run_out_and_are_renewed(spark, tmp_path):
         query.stop()
     got = {(r.claim, r.state, round((r.at - base).total_seconds() / 60)) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {("a", "active", 0), ("b", "active", 0), ("c", "active", 1), ("d", "active", 1), ("c", "finished", 25), ("d", "released", 26), ("tick", "active", 70), ("a", "expired", 60), ("b", "expired", 120)}
+
+
+def test_stale_and_tampered_verdicts_and_pending_responses(spark):
+    t = lambda d: dt.datetime(2024, 1, d)
+    verdicts = spark.createDataFrame([(1, 10, "h1", t(5)), (2, 11, "old", t(5)), (3, 12, None, t(5)), (4, 13, "", t(5)), (5, 14, "h", t(5)), (6, 15, None, t(5))], "work_id int, id int, question_hash string, at timestamp")
+    questions = spark.createDataFrame([(1, "h1", t(9)), (2, "new", t(1)), (3, "x", t(9)), (4, "x", t(5)), (6, "x", None)], "work_id int, question_hash string, text_at timestamp")
+    assert sorted((r.id, r.reason) for r in claims.stale(verdicts, questions).collect()) == [(11, "question moved"), (12, "text is newer")]
+    before = spark.createDataFrame([(1, "a", None, "p"), (2, "b", 1, "p"), (3, None, 2, "p"), (4, "d", 3, "p")], "id int, verdict string, n int, response_state string")
+    after = spark.createDataFrame([(1, "a", None, "u"), (2, "c", 9, "p"), (3, None, None, "p"), (9, "new", 1, "p")], "id int, verdict string, n int, response_state string")
+    assert sorted(map(tuple, claims.tampered(before, after).collect())) == [(2, "verdict,n"), (3, "n"), (4, "deleted")]
+    pending = spark.createDataFrame([(1, "h", claims.PENDING), (2, "h", claims.PENDING), (3, "g", claims.PENDING), (4, "k", claims.UPLOADED), (5, None, claims.PENDING)], "id int, response_hash string, response_state string")
+    blobs = spark.createDataFrame([("h",), ("h",), ("k",)], "response_hash string")
+    assert sorted(map(tuple, claims.reconcile(pending, blobs).collect())) == [("g", 1, 3, False), ("h", 2, 1, True)]
+    event = lambda c, kind, at, end, works: (c, "t", kind, works, t(at), t(end))
+    events = spark.createDataFrame([event("a", "claim", 1, 3, [1, 2]), event("a", "renew", 2, 6, [1, 2]), event("b", "claim", 1, 3, [3]), event("c", "claim", 1, 3, [4]), event("c", "finish", 2, 3, [4])], claims.SCHEMA)
+    assert [tuple(r) for r in claims.expired(events, "2024-01-04").collect()] == [("b", "t", t(3), 1)]
+    batch = spark.createDataFrame([(1,), (1,), (3,), (4,), (9,)], "work long")
+    assert [tuple(r) for r in claims.conflicts(batch, events, "t", "2024-01-04").collect()] == [(1, "a")] and claims.conflicts(batch, events, "u", "2024-01-04").count() == 0
