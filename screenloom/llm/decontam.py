@@ -295,8 +295,10 @@ def near(words: Words, grams: Grams) -> np.ndarray:
     whole = origin[at + GRAM - 1] < words.offsets[row + 1]
     at, low, row = at[whole], low[whole], row[whole]
     n, found = len(grams.least), [np.empty((0, 3), np.int64)]
-    # entries of a run stand in order of items: a block of items at a time, so that few pairs are listed at once
     blocks = max(1, min(n, -(-int((grams.first[low + 1] - grams.first[low]).sum()) // PAIRS)))
+    if blocks == 1:
+        return _aligned(at, row, grams.first[low], grams.first[low + 1] - grams.first[low], origin, len(text), words, grams)
+    # entries of a run stand in order of items: a block of items at a time, so that few pairs are listed at once
     placed = np.repeat(np.arange(len(grams.keys)), np.diff(grams.first)) * n + grams.item
     for a in range(blocks):
         begin, end = (np.searchsorted(placed, low * n + x * n // blocks) for x in (a, a + 1))
