@@ -15,6 +15,7 @@ a few kilobytes long at any size.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -196,8 +197,16 @@ def count(dealt: DataFrame, ask: Callable[[pa.Table], pa.Table]) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(totals, ANSWERS)
 
 
+def release() -> None:
+    """Gives memory that is free back to the system: workers outlive their tasks, and what one has taken for a chunk is missing for others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
+
+
 def field(table: pa.Table, name: str) -> pa.Array:
     """A field of the struct column `row`."""
+    release()
     rows = table["row"].combine_chunks()
     if isinstance(rows, pa.ChunkedArray):
         rows = pa.concat_arrays(rows.chunks) if rows.num_chunks else pa.array([], table["row"].type)
@@ -208,6 +217,7 @@ def spread(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most so many bytes of text each, or one row."""
     from .words import raw
 
+    release()
     _, at = raw(texts)
     a = 0
     while a < len(at) - 1:
