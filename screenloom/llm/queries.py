@@ -11,6 +11,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 #: Phrases of each language that op13 reports.
 TOP = 2000
+#: The rules that op5's contract lists.
+URL_RULES = [urls.Rule("block", "com", "/en/"), urls.Rule("allow", "example.com", "/en/7"), urls.Rule("allow", "net", "/de/"), urls.Rule("block", "example.net", "/de/8"), urls.Rule("block", "org", "/es/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +47,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    out = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return out.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
