@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import spans
 from ..functions import text as T
+from ..sources.shared import settled
 from . import folds
 
 #: How names, years and what may follow a year in parentheses look.
@@ -184,33 +185,42 @@ def rank_works(citations: DataFrame, works: DataFrame, offered: int = OFFERED, n
     the broad list and never replace it.  Each list is by cited_by, then ref_id.  total counts
     the broad list; covers: does the work carry every name?
 
-    A citation's names are looked up once however many cite so, by the rarest of them; titles
-    are looked up by a word of the topic among works of those names.
+    A citation's names are looked up once however many cite so, by the rarest of them, and a
+    first name once whatever stands behind it; titles are looked up by a word of the topic among
+    works of those names, once for all citations of equal names, year and topic.  Lists are
+    made of such groups, and given to their citations last.
     """
     cited = citations.select("cite_id", "year", F.slice(fold_names(F.col("surnames")), 1, names).alias("names"), fold_names(F.col("surnames")).alias("_all"), "topic").where((F.size("names") > 0) & F.col("year").isNotNull())
+    cited = cited.select("cite_id", "year", "names", F.transform(topic_words(F.col("topic"), F.col("_all")), fold_accents).alias("topic"))
     known = works.select("ref_id", "year", fold_names(F.col("surnames")).alias("theirs"), F.coalesce("cited_by", F.lit(0)).alias("cited_by"), F.array_distinct(F.split(fold_accents(F.coalesce("title", F.lit(""))), r"(?U)[\W_]+")).alias("words"))
     by_name = known.select("ref_id", "year", "theirs", "cited_by", "words", F.explode("theirs").alias("name"))
     counts = by_name.groupBy("year", "name").agg(F.count(F.lit(1)).alias("n"))
     keys = cited.select("year", "names").distinct()
     each = keys.select("year", "names", F.posexplode("names").alias("at", "name")).join(counts, ["year", "name"], "left")
     rarest = each.groupBy("year", "names").agg(F.min_by("name", F.struct(F.coalesce("n", F.lit(0)), "at")).alias("name"))
-    every = rarest.join(by_name, ["year", "name"]).where(F.size(F.array_except("names", "theirs")) == 0).withColumn("covers", F.lit(True)).drop("name")
-    found = every.select("year", "names").distinct()
-    first = keys.join(found, ["year", "names"], "left_anti").where(F.size("names") > 1).withColumn("name", F.element_at("names", 1))
-    alone = first.join(by_name, ["year", "name"]).withColumn("covers", F.lit(False)).drop("name")
-    hits = every.unionByName(alone)
-    totals = hits.groupBy("year", "names").agg(F.count(F.lit(1)).alias("total"))
+    looked = ["year", "look", "ref_id", "cited_by", "words"]
+    every = settled(rarest.join(by_name, ["year", "name"]).where(F.size(F.array_except("names", "theirs")) == 0).select("year", F.col("names").alias("look"), "ref_id", "cited_by", "words"))
+    found = every.select("year", "look").distinct()
+    # what a citation is looked up by: all its names, or its first name alone
+    looks = keys.join(found.select("year", F.col("look").alias("names"), F.lit(True).alias("covers")), ["year", "names"], "left").where(F.col("covers") | (F.size("names") > 1))
+    looks = looks.select("year", "names", F.when(F.col("covers"), F.col("names")).otherwise(F.slice("names", 1, 1)).alias("look"), F.coalesce("covers", F.lit(False)).alias("covers"))
+    first = looks.where("NOT covers").select("year", "look").distinct().join(found, ["year", "look"], "left_anti").withColumn("name", F.element_at("look", 1))
+    hits = every.unionByName(first.join(by_name, ["year", "name"]).select(*looked))
+    totals = hits.groupBy("year", "look").agg(F.count(F.lit(1)).alias("total"))
     best = [F.desc("cited_by"), F.asc("ref_id")]
-    top = hits.withColumn("place", F.row_number().over(Window.partitionBy("year", "names").orderBy(*best))).where(F.col("place") <= offered)
-    broad = cited.select("cite_id", "year", "names").join(top, ["year", "names"]).select("cite_id", "ref_id", "covers", F.lit(len(steps)).alias("step"), "place")
-    asked = cited.join(totals.where(F.col("total") > narrow_above), ["year", "names"]).select("cite_id", "year", "names", F.transform(topic_words(F.col("topic"), F.col("_all")), fold_accents).alias("topic"))
+    top = hits.withColumn("place", F.row_number().over(Window.partitionBy("year", "look").orderBy(*best))).where(F.col("place") <= offered)
+    asks = cited.join(looks.join(totals, ["year", "look"]), ["year", "names"])
+    asks = asks.select("cite_id", "year", "look", "covers", "total", F.when(F.col("total") > narrow_above, F.col("topic")).otherwise(F.array().cast("array<string>")).alias("topic"))
+    group = ["year", "look", "topic"]
+    groups = settled(asks.select(*group).distinct())
+    broad = groups.join(top, ["year", "look"]).select(*group, "ref_id", F.lit(len(steps)).alias("step"), "place")
     tried = F.array(*[F.struct(F.lit(i).alias("step"), F.slice("topic", 1, n).alias("wanted")) for i, n in enumerate(steps)])
-    tried = asked.where(F.size("topic") > 0).select("cite_id", "year", "names", F.explode(tried).alias("t")).select("cite_id", "year", "names", "t.*").withColumn("word", F.element_at("wanted", 1))
-    worded = hits.join(asked.select("year", "names").distinct(), ["year", "names"], "left_semi").select("year", "names", "ref_id", "cited_by", "covers", "words", F.explode("words").alias("word"))
-    close = tried.join(worded, ["year", "names", "word"]).where(F.size(F.array_except("wanted", "words")) == 0)
-    near = close.join(close.groupBy("cite_id").agg(F.min("step").alias("step")), ["cite_id", "step"], "left_semi")
-    near = near.withColumn("place", F.row_number().over(Window.partitionBy("cite_id").orderBy(*best))).where(F.col("place") <= offered).select("cite_id", "ref_id", "covers", "step", "place")
-    once = folds.first_by(near.unionByName(broad), ["cite_id", "ref_id"], ["step", "place"])  # 2 * offered rows of a citation at most
-    out = once.withColumn("rank", F.row_number().over(Window.partitionBy("cite_id").orderBy("step", "place"))).where(F.col("rank") <= offered)
+    tried = groups.where(F.size("topic") > 0).select(*group, F.explode(tried).alias("t")).select(*group, "t.*").withColumn("word", F.element_at("wanted", 1))
+    worded = hits.select(*looked, F.explode("words").alias("word")).join(tried.select("year", "look", "word").distinct(), ["year", "look", "word"], "left_semi")
+    close = tried.join(worded, ["year", "look", "word"]).where(F.size(F.array_except("wanted", "words")) == 0)
+    near = close.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("step", *best))).where(F.col("place") <= offered)
+    near = near.withColumn("_least", F.min("step").over(Window.partitionBy(*group))).where(F.col("step") == F.col("_least")).select(*group, "ref_id", "step", "place")
+    once = folds.first_by(near.unionByName(broad), [*group, "ref_id"], ["step", "place"])  # 2 * offered rows of a group at most
+    lists = once.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy("step", "place"))).where(F.col("rank") <= offered)
     how = F.when(F.col("step") < len(steps), "topic").when(F.col("covers"), "names").otherwise("first name")
-    return out.join(cited.select("cite_id", "year", "names").join(totals, ["year", "names"]).select("cite_id", "total"), "cite_id").select("cite_id", "rank", "ref_id", how.alias("how"), "covers", "total")
+    return asks.join(lists, group).select("cite_id", "rank", "ref_id", how.alias("how"), "covers", "total")
