@@ -33,6 +33,8 @@ from .words import raw
 #: URLs of each label that the trees are fitted on, at most.
 SAMPLE = 5000
 TREES, DEPTH, SEED = 12, 4, 5
+#: Tasks that a round of fitting takes.
+PARTS = 4
 FOLDS = 2
 #: What pages are counted for: the host's last label and the path's first segment.
 COUNTED = ("suffix", "segment")
@@ -144,7 +146,7 @@ def _judged(pages: DataFrame, rules: list[Rule], key: str, url: str, sample: int
         picked = one if picked is None else picked.unionByName(one)
     if picked is None or not any(0 < share(f) < 1 for f in range(FOLDS)):
         return rows.withColumn("p", F.lit(0.0))
-    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).coalesce(4).persist()
+    labelled = add_features(picked).withColumn("label", (F.col("verdict") == "block").cast("double")).coalesce(PARTS).persist()
     try:
         # each URL stands for its rows, and those of a fold's label for all rows of it
         weight = F.lit(1.0)
@@ -154,7 +156,8 @@ def _judged(pages: DataFrame, rules: list[Rule], key: str, url: str, sample: int
         def fit(fold: int):
             if not 0 < share(fold) < 1:
                 return None
-            examples = with_rates(labelled.where(F.col("fold") != fold), fold, share(fold)).select("label", weight.alias("weight"), vector.alias("features"))
+            # few rows: joined to rates they'd be in as many parts as a shuffle has, each a task in every round of every tree
+            examples = with_rates(labelled.where(F.col("fold") != fold), fold, share(fold)).select("label", weight.alias("weight"), vector.alias("features")).repartition(PARTS)
             return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(examples)
 
         with ThreadPoolExecutor(FOLDS) as pool:
