@@ -47,8 +47,8 @@ PIECE = 3
 GRAM, CHARS, FEWEST = 8, 12, 3
 #: Places among all items from which a run is too common to be looked up, unless too few others are left: each item keeps its rarest half at least.
 COMMON = 64
-#: Pairs of equal runs that are listed at once.
-PAIRS = 1 << 22
+#: Pairs of equal runs that are listed at once, and places of runs that are looked up at once.
+PAIRS, RUNS = 1 << 22, 1 << 16
 #: Items, and bytes of their texts, compared in one pass over the documents; more are compared in further passes.
 ITEMS, ITEM_BYTES = 20_000, 4 << 20
 STEP_BYTES = 2 << 20
@@ -87,7 +87,7 @@ class Index:
     ids: list
     texts: list[str]
     n_words: np.ndarray
-    pieces: list[np.ndarray]
+    pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     classes: list[Length]
     grams: Grams
 
@@ -109,9 +109,14 @@ def bits(hashes: np.ndarray, embedding: int, block: int) -> np.ndarray:
     return mix(hashes ^ SEEDS[embedding * 8 + block % 8] ^ np.uint64(block // 8))
 
 
+def reach(window: int) -> int:
+    """Steps that a walk spends in a window, as many as sampled at least."""
+    return max(2 * window - 2, COORDINATES)
+
+
 def samples(window: int, embedding: int) -> list[np.ndarray]:
     """The sampled steps of each table: one in each quarter of the steps that a walk spends in the window."""
-    span = max(2 * window - 2, COORDINATES)
+    span = reach(window)
     rng = np.random.default_rng(1000 * embedding + window)
     edges = np.linspace(0, span, COORDINATES + 1).astype(int)
     return [np.array([rng.integers(a, max(b, a + 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]) for _ in range(TABLES)]
@@ -126,45 +131,90 @@ def extend(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 END = np.uint64(0x5151515151515151)
 
 
-def walk(hashes: np.ndarray, start: np.ndarray, window: int, embedding: int, steps: list[np.ndarray], filters: list[list[np.ndarray]] | None, distinct: int | None = None):
+@dataclass
+class Codes:
+    """Words by the number of what they are: of each word, END's behind the last; and the hash of each number, END's last."""
+
+    of: np.ndarray
+    distinct: np.ndarray
+
+
+def code(hashes: np.ndarray) -> Codes:
+    found = pa.array(hashes, pa.uint64()).dictionary_encode()
+    return Codes(np.append(found.indices.to_numpy().astype(np.int64), len(found.dictionary)), np.append(found.dictionary.to_numpy(), END))
+
+
+def moves(words: Codes, embedding: int, steps: int) -> list[np.ndarray]:
+    """For each step whether the pointer moves on from a word, by the word's number; never from END."""
+    out = []
+    for j in range(steps):
+        if j % 64 == 0:
+            coins = bits(words.distinct, embedding, j // 64)
+            coins[-1] = 0
+        out.append(((coins >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int8))
+    return out
+
+
+def walk(words: Codes, start: np.ndarray, window: int, moving: list[np.ndarray], steps: list[np.ndarray], filters: list[list[np.ndarray]] | None, distinct: int | None = None):
     """Walk from every start through `window` words; per table (which starts, key of all samples).
 
-    With filters, a start leaves a table when no item has its samples so far, and
-    the walk when no table is left.
+    With filters, a start leaves a table when no item has its samples so far.  Two samples
+    of all tables are read on one walk, of starts that a table still has; each table then
+    walks on with the few that it has left.
     """
-    hashes = np.append(hashes, END)
-    keys = [np.zeros(len(start), np.uint64) for _ in steps]
-    alive = [np.ones(len(start), bool) for _ in steps]
-    which, at = np.arange(len(start)), start.astype(np.int64)
-    stop = at + window
-    read, seen = [np.full(len(start), -1) for _ in steps], [np.zeros(len(start), np.int8) for _ in steps]
-    coins, due = None, {int(j) for s in steps for j in s}
-    for j in range(max(due) + 1):
-        if j % 64 == 0:
-            coins = bits(hashes, embedding, j // 64)
+    last, end = len(words.of) - 1, words.of[-1]
+    first_keys = extend(np.zeros(len(words.distinct), np.uint64), words.distinct)
+
+    def reading(at: np.ndarray, which: np.ndarray, j: int) -> np.ndarray:
         # the pointer can't have left the window before as many steps as it has words
-        inside = at < stop if j >= window else None
-        if j in due:
-            word = hashes[at] if inside is None else np.where(inside, hashes[np.minimum(at, len(hashes) - 1)], END)
-            for t, s in enumerate(steps):
-                for k in np.flatnonzero(s == j):
-                    keys[t] = extend(keys[t], word)
-                    seen[t] = seen[t] + (read[t] != at)
-                    read[t] = at.copy()
-                    if filters is not None:
-                        alive[t] &= filters[t][k][(keys[t] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+        return words.of.take(at) if j < window else np.where(at < start[which] + window, words.of[np.minimum(at, last)], end)
+
+    def known(t: int, k: int, keys: np.ndarray) -> np.ndarray:
+        return filters[t][k][(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+
+    which, at, j = np.arange(len(start)), start.astype(np.int64), 0
+    waiting: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    begun: dict[int, tuple] = {}
+    while len(begun) < len(steps):
+        word = reading(at, which, j)
+        for t, s in enumerate(steps):
+            if s[0] == j:
+                waiting[t] = at.copy(), word, np.ones(len(at), bool) if filters is None else known(t, 0, first_keys).take(word)
+            if t in waiting and s[min(1, len(s) - 1)] == j:
+                read, first, there = waiting.pop(t)
+                some = np.flatnonzero(there)
+                keys, seen = first_keys[first[some]], np.ones(len(some), np.int8)
+                if len(s) > 1:
+                    keys, seen = extend(keys, words.distinct[word[some]]), seen + (read[some] != at[some])
+                begun[t] = which[some], at[some], word[some], keys, seen.astype(np.int8)
+        if filters is not None and len(waiting) + len(begun) == len(steps):
+            wanted = np.logical_or.reduce([there for _, _, there in waiting.values()]) if waiting else np.zeros(len(at), bool)
+            if 4 * np.count_nonzero(wanted) < 3 * len(at):
+                stay = np.flatnonzero(wanted)
+                which, at, word = which[stay], at[stay], word[stay]
+                waiting = {t: tuple(x[stay] for x in xs) for t, xs in waiting.items()}
+        at += moving[j].take(word)
+        j += 1
+    out = []
+    for t, s in enumerate(steps):
+        which, at, word, keys, seen = begun[t]
+        for k in range(1, len(s)):
+            if k > 1:
+                read = at.copy()
+                for j in range(int(s[k - 1]), int(s[k])):
+                    at += moving[j].take(word)
+                    word = reading(at, which, j + 1)
+                keys = extend(keys, words.distinct[word])
+                seen += read != at
             if filters is not None:
-                stay = np.flatnonzero(np.logical_or.reduce(alive))
-                which, at, stop = which[stay], at[stay], stop[stay]
-                keys, alive, read, seen = ([x[stay] for x in xs] for xs in (keys, alive, read, seen))
-                inside = at < stop if j >= window else None
-                if not len(which):
-                    break
-        move = ((coins[at if inside is None else np.minimum(at, len(hashes) - 1)] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
-        at += move if inside is None else move * inside
-    # samples of too few different words say little; equal windows have equal walks, so both sides lose them
-    enough = [n >= min(distinct or DISTINCT, window, len(s)) for n, s in zip(seen, steps, strict=True)]
-    return [(which[a & e], k[a & e]) for a, e, k in zip(alive, enough, keys, strict=True)]
+                stay = np.flatnonzero(known(t, k, keys))
+                which, at, word, keys, seen = (x[stay] for x in (which, at, word, keys, seen))
+            if not len(which):
+                break
+        # samples of too few different words say little; equal windows have equal walks, so both sides lose them
+        enough = seen >= min(distinct or DISTINCT, window, len(s))
+        out.append((which[enough], keys[enough]))
+    return out
 
 
 def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
@@ -173,8 +223,9 @@ def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
     items = [(i, t) for (i, _), t in zip(items, texts, strict=True) if t]
     texts = [t for _, t in items]
     words = split(pa.array(texts, pa.string()))
-    hashes, n_words = symbols(words), words.counts
+    codes, n_words = code(symbols(words)), words.counts
     classes = []
+    moving = [moves(codes, e, reach(int(n_words.max(initial=0)))) for e in range(EMBEDDINGS)]
     size = np.floor(2 * np.log2(n_words)).astype(np.int64)
     for c in np.unique(size):
         members = np.flatnonzero(size == c)
@@ -190,7 +241,7 @@ def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
             for t in range(TABLES):
                 filters = []
                 for k in range(COORDINATES):
-                    ((kept, key),) = walk(hashes, start, window, e, [steps[t][: k + 1]], None, 1 if k + 1 < COORDINATES else DISTINCT)
+                    ((kept, key),) = walk(codes, start, window, moving[e], [steps[t][: k + 1]], None, 1 if k + 1 < COORDINATES else DISTINCT)
                     full = np.zeros(1 << FILTER_BITS, bool)
                     full[(key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
                     filters.append(full)
@@ -198,7 +249,7 @@ def build(items: list[tuple[object, str]], percent: int = PERCENT) -> Index:
                 own.append((steps[t], filters, key[order], entry[kept][order]))
             tables.append(own)
         classes.append(Length(window, stride, tables))
-    return Index([i for i, _ in items], texts, n_words, [pieces(t) for t in texts], classes, enter_runs(texts, percent))
+    return Index([i for i, _ in items], texts, n_words, [in_order(t) for t in texts], classes, enter_runs(texts, percent))
 
 
 def pieces(text: str) -> np.ndarray:
@@ -211,6 +262,38 @@ def pieces(text: str) -> np.ndarray:
     return out
 
 
+def in_order(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of a text in order of their numbers, the place of each, and at the first of equal ones how many there are, else 0."""
+    own = pieces(text)
+    place = np.argsort(own, kind="stable")
+    own = own[place]
+    often = np.searchsorted(own, own, "right") - np.searchsorted(own, own)
+    often[1:][own[1:] == own[:-1]] = 0
+    return own, place, often
+
+
+def may_hold(item: tuple[np.ndarray, np.ndarray, np.ndarray], region: str, most: int) -> bool:
+    """Can a part of the region be `most` edits away from the item with these pieces in_order()?  True: it can or not.
+
+    Edits leave all but PIECE pieces each as they are, and an insertion or deletion moves those behind it
+    by one: pieces that are left lie `most` apart at most, measured from their places in the item.
+    """
+    own, place, often = item
+    least = len(own) - PIECE * most
+    if least <= 0:
+        return True
+    there = pieces(region)
+    low = np.searchsorted(own, there)
+    times = np.searchsorted(own, there, "right") - low
+    n, held = int(times.sum()), np.zeros(len(own), bool)
+    held[low[times > 0]] = True
+    if often[held].sum() < least:
+        return False
+    entry = np.repeat(low - np.cumsum(times) + times, times) + np.arange(n)
+    moved = np.sort(np.repeat(np.arange(len(there)), times) - place[entry])
+    return bool((moved[least - 1 :] - moved[: n - least + 1] <= most).any())
+
+
 def runs(text: np.ndarray) -> np.ndarray:
     """The GRAM bytes from each place of a text as a number."""
     n = max(0, len(text) - GRAM + 1)
@@ -259,16 +342,19 @@ def normal(text: str | bytes) -> list:
 def candidates(words: Words, hashes: np.ndarray, index: Index) -> np.ndarray:
     """Rows of (row, item, place), distinct and in order: where, in words of the row, the item may begin."""
     found = [np.empty((0, 3), np.int64)]
-    counts = words.counts
+    counts, codes = words.counts, code(hashes)
+    windows = []
     for c in index.classes:
         # a window every `stride` words of each row that can hold one
         per_row = np.where(counts >= c.window, (counts - c.window) // c.stride + 1, 0)
         row = np.repeat(np.arange(len(counts)), per_row)
-        if not len(row):
-            continue
-        place = (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * c.stride
-        for e, tables in enumerate(c.tables):
-            hits = walk(hashes, words.first[row] + place, c.window, e, [t[0] for t in tables], [t[1] for t in tables])
+        if len(row):
+            windows.append((c, row, (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * c.stride))
+    for e in range(EMBEDDINGS if windows else 0):
+        moving = moves(codes, e, reach(max(c.window for c, _, _ in windows)))
+        for c, row, place in windows:
+            tables = c.tables[e]
+            hits = walk(codes, words.first[row] + place, c.window, moving, [t[0] for t in tables], [t[1] for t in tables])
             for (which, key), (_, _, keys, entry) in zip(hits, tables, strict=True):
                 low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
                 times = high - low
@@ -286,11 +372,9 @@ def near(words: Words, grams: Grams) -> np.ndarray:
     origin = np.flatnonzero(keep)
     text = words.data[origin]
     text[SPACE[text]] = 32
-    keys = runs(text)
-    at = np.flatnonzero(grams.full[cell(keys, grams.full)])
-    low = np.searchsorted(grams.keys, keys[at])
-    same = np.append(grams.keys, np.uint64(0))[low] == keys[at]
-    at, low = at[same & (low < len(grams.keys))], low[same & (low < len(grams.keys))]
+    parts = [_known_runs(text[a : a + RUNS + GRAM - 1], grams) for a in range(0, len(text), RUNS)]
+    at = np.concatenate([np.empty(0, np.int64), *[p[0] + k * RUNS for k, p in enumerate(parts)]])
+    low = np.concatenate([np.empty(0, np.int64), *[p[1] for p in parts]])
     row = np.searchsorted(words.offsets, origin[at], "right") - 1
     whole = origin[at + GRAM - 1] < words.offsets[row + 1]
     at, low, row = at[whole], low[whole], row[whole]
@@ -306,10 +390,25 @@ def near(words: Words, grams: Grams) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _known_runs(text: np.ndarray, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of the items begin in a text, and the number of each."""
+    keys = runs(text)
+    at = np.flatnonzero(grams.full[cell(keys, grams.full)])
+    low = np.searchsorted(grams.keys, keys[at])
+    same = np.append(grams.keys, np.uint64(0))[low] == keys[at]
+    same &= low < len(grams.keys)
+    return at[same], low[same]
+
+
 def _aligned(at: np.ndarray, row: np.ndarray, entry: np.ndarray, times: np.ndarray, origin: np.ndarray, size: int, words: Words, grams: Grams) -> np.ndarray:
     """near() for some of the items: `times` entries from `entry` on for each place in the texts."""
     entry = np.repeat(entry - np.cumsum(times) + times, times) + np.arange(times.sum())
     item, begin, row = grams.item[entry], np.repeat(at, times) - grams.place[entry], np.repeat(row, times)
+    if len(row) and (int(row[-1]) + 1) * len(grams.least) <= PAIRS:
+        # a row with too few runs of an item in all can't have enough side by side
+        pair = row * len(grams.least) + item
+        some = np.flatnonzero((np.bincount(pair) >= np.tile(grams.least, int(row[-1]) + 1)[: int(pair.max()) + 1]).take(pair))
+        item, begin, row = item[some], begin[some], row[some]
     # in order of row, item and place, with gaps that no band reaches across
     gap = size + 2 * int(grams.band.max(initial=0)) + int(grams.place.max(initial=0)) + 2
     key = (row * len(grams.least) + item) * gap + begin + int(grams.place.max(initial=0))
@@ -326,11 +425,83 @@ def matches(words: Words, hashes: np.ndarray, index: Index, percent: int) -> Ite
     """(row, item, distance, place) of the candidates that stand the exact test."""
     found = candidates(words, hashes, index)
     cut = np.flatnonzero((np.diff(found[:, :2], axis=0) != 0).any(1)) + 1
+    asked = []
     for group in np.split(found, cut) if len(found) else []:
         row, item = int(group[0, 0]), int(group[0, 1])
-        best = verify(words, row, index, item, group[:, 2].tolist(), percent)
-        if best:
-            yield row, item, *best
+        asked += [(row, item, place, region) for place, region in regions(words, row, index, item, group[:, 2].tolist(), percent)]
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    most = [percent * len(index.texts[item]) // 100 for _, item, _, _ in asked]
+    for (row, item, place, _), allowed, distance in zip(asked, most, edit_distances([(index.texts[item], region) for _, item, _, region in asked], most), strict=True):
+        if distance <= allowed and distance < best.get((row, item), (allowed + 1, 0))[0]:
+            best[row, item] = distance, place
+    for (row, item), (distance, place) in best.items():
+        yield row, item, distance, place
+
+
+#: Pairs compared at once, and characters of their texts in one step of reading masks.
+LANES, READ = 128, 512
+
+
+def edit_distances(pairs: list[tuple[str, str]], most: list[int]) -> list[int]:
+    """edit_distance of each pair (pattern, text), most + 1 if it is larger.
+
+    Patterns stand side by side in one integer, each with a bit of room for its carry, so
+    that a step takes as many texts on by a character.
+    """
+    out = [m + 1 if m < len(p) else len(p) for (p, _), m in zip(pairs, most, strict=True)]
+    order = sorted((i for i, (p, t) in enumerate(pairs) if p and t), key=lambda i: len(pairs[i][1]))
+    at = 0
+    while at < len(order):
+        # texts of about the same length
+        some = [i for i in order[at : at + LANES] if len(pairs[i][1]) <= 2 * len(pairs[order[at]][1]) + READ]
+        at += len(some)
+        for i, least in zip(some, _side_by_side([pairs[i] for i in some]), strict=True):
+            out[i] = min(out[i], least)
+    return out
+
+
+def _side_by_side(pairs: list[tuple[str, str]]) -> list[int]:
+    """The least edit distance of each pattern to a part of its text that isn't empty."""
+    width = max(len(p) for p, _ in pairs) // 8 + 1  # bytes of a pattern's place, a bit more than it has at least
+    tables, codes, n = [], [], 0
+    for pattern, _ in pairs:
+        own = {ch: k for k, ch in enumerate(dict.fromkeys(pattern), n + 1)}
+        bit = np.zeros((len(own) + 1, 8 * width), bool)
+        bit[[own[ch] - n for ch in pattern], np.arange(len(pattern))] = True
+        tables.append(np.packbits(bit, axis=1, bitorder="little"))
+        codes.append(own)
+        n += len(own) + 1
+    masks = np.concatenate(tables)
+    longest = max(len(t) for _, t in pairs)
+    # the first row of each pattern's table is of characters that it lacks
+    which = np.zeros((longest, len(pairs)), np.int32)
+    for k, ((_, text), own) in enumerate(zip(pairs, codes, strict=True)):
+        which[: len(text), k] = [own.get(ch, 0) for ch in text]
+    size = width * len(pairs)
+    whole = lambda lengths: sum(((1 << m) - 1) << (8 * width * k) for k, m in enumerate(lengths))
+    lengths = [len(p) for p, _ in pairs]
+    full = whole(lengths)
+    byte, shift = np.array([(m - 1) // 8 for m in lengths]), np.array([(m - 1) % 8 for m in lengths], np.uint8)
+    score, ends = np.array(lengths, np.int64), np.array([len(t) for _, t in pairs])
+    best = score.copy()
+    vp, vn = full, 0
+    for a in range(0, longest, READ):
+        read = masks[which[a : a + READ]].reshape(-1, size)
+        more, less = [], []
+        for line in read:
+            eq = int.from_bytes(line.tobytes(), "little")
+            d0 = (((eq & vp) + vp) ^ vp) | eq | vn
+            hp, hn = vn | (full & ~(d0 | vp)), d0 & vp
+            more.append(hp.to_bytes(size, "little"))
+            less.append(hn.to_bytes(size, "little"))
+            hp, hn = hp << 1, hn << 1
+            vp, vn = (hn | (full & ~(d0 | hp))) & full, hp & d0 & full
+        up, down = (((np.frombuffer(b"".join(x), np.uint8).reshape(-1, len(pairs), width)[:, np.arange(len(pairs)), byte] >> shift) & 1).astype(np.int64) for x in (more, less))
+        scores = score + np.cumsum(up - down, axis=0)
+        score = scores[-1]
+        # behind a text's end no score counts
+        best = np.minimum(best, np.where(np.arange(a, a + len(scores))[:, None] < ends, scores, best).min(axis=0))
+    return best.tolist()
 
 
 def edit_distance(pattern: str, text: str, most: int) -> tuple[int, int]:
@@ -433,26 +604,17 @@ def _search(shared, percent: int, key_type, item_type):
     return search
 
 
-def verify(words: Words, row: int, index: Index, item: int, places: list[int], percent: int) -> tuple[int, int] | None:
-    """(distance, place) of the best place within the allowed edits: places near each other are one region of the text.
-
-    Edits leave all but PIECE pieces each of the item in the region, so that a region with fewer can't hold it.
-    """
+def regions(words: Words, row: int, index: Index, item: int, places: list[int], percent: int) -> Iterator[tuple[int, str]]:
+    """(place, text) of the regions that may hold the item: places near each other are one region of the text."""
     first, end = int(words.first[row]), int(words.first[row + 1])
-    text, n, own = index.texts[item], int(index.n_words[item]), index.pieces[item]
-    most, slack = percent * len(text) // 100, n // 2 + 2
-    best, at = None, 0
+    n, own = int(index.n_words[item]), index.pieces[item]
+    most, slack = percent * len(index.texts[item]) // 100, n // 2 + 2
+    at = 0
     while at < len(places):
         begin = last = places[at]
         while at < len(places) and places[at] <= last + slack:
             last, at = places[at], at + 1
         a, b = max(first, first + begin - slack), min(end, first + last + n + slack)
         region = b" ".join(words.data[words.start[a] : words.end[b - 1]].tobytes().split()).decode("utf-8", "replace") if a < b else ""
-        if np.isin(own, pieces(region)).sum() < len(own) - PIECE * most:
-            continue
-        distance, _ = edit_distance(text, region, most)
-        if distance <= most and (best is None or distance < best[0]):
-            best = (distance, max(begin, 0))
-            if distance == 0:
-                break
-    return best
+        if may_hold(own, region, most):
+            yield max(begin, 0), region
