@@ -104,7 +104,6 @@ def outcome_text(c: Column, most: int = MOST) -> Column:
     and with LEAST_BLOCK characters or more, up to the references; both ends of it if it is
     longer than `most`.  `tail`: the last `most` characters before the references.  `none`.
     """
-    text = F.coalesce(c, F.lit(""))
     budget = most - len(GAP)
     head = int(budget * HEAD)
     told = lambda x, origin: F.struct(x.alias("text"), F.lit(origin).alias("origin"))
@@ -118,6 +117,10 @@ def outcome_text(c: Column, most: int = MOST) -> Column:
         tail = T.trim_all(F.when(F.length(body) > most, F.substring(body, -most, most)).otherwise(body))
         return spans.let(F.try_element_at(blocks, F.lit(-1)), lambda b: F.when(b.isNotNull(), told(shortened(b), "discussion")).otherwise(told(tail, "tail")))
 
-    before = F.substring(text, F.lit(1), F.coalesce(F.try_element_at(F.transform(spans.find(text, U + LIST_HEADING), lambda h: h["start"]), F.lit(-1)), F.length(text)))
-    body = spans.let(before, lambda b: F.when(T.is_blank(b), text).otherwise(b))
-    return F.when(T.is_blank(text), told(F.lit(""), "none")).otherwise(spans.let(body, verdict))
+    def window(text: Column) -> Column:
+        before = F.substring(text, F.lit(1), F.coalesce(F.try_element_at(F.transform(spans.find(text, U + LIST_HEADING), lambda h: h["start"]), F.lit(-1)), F.length(text)))
+        body = spans.let(before, lambda b: F.when(T.is_blank(b), text).otherwise(b))
+        return F.when(T.is_blank(text), told(F.lit(""), "none")).otherwise(spans.let(body, verdict))
+
+    # a text may be made of others: named in many places, it would be made in each
+    return spans.let(F.coalesce(c, F.lit("")), window)
