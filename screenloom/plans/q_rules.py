@@ -98,10 +98,7 @@ def release_diff(spark, sf_dir):
 
 @query(WITH + "SELECT e.rule_id, e.work_id FROM ev e JOIN rules s ON s.rule_id = e.rule_id AND s.shadow WHERE NOT EXISTS (SELECT 1 FROM ev l JOIN rules r USING (rule_id) WHERE l.work_id = e.work_id AND NOT r.shadow AND (r.prec > s.prec OR (r.prec = s.prec AND r.rule_id < s.rule_id)))")
 def shadow_would_win(spark, sf_dir):
-    hits = evaluations(spark, sf_dir).join(rule_table(spark).select("rule_id", "precedence", "shadow"), "rule_id")
-    live = hits.where("NOT shadow").select(F.col("work_id").alias("w"), F.col("precedence").alias("p"), F.col("rule_id").alias("r"))
-    better = (F.col("w") == F.col("work_id")) & ((F.col("p") > F.col("precedence")) | ((F.col("p") == F.col("precedence")) & (F.col("r") < F.col("rule_id"))))
-    return hits.where("shadow").join(live, better, "left_anti").select("rule_id", "work_id")
+    return R.unbeaten_shadows(routed(spark, sf_dir).select("work_id", "matched"), BUNDLE)
 
 
 @query(BOTH + "SELECT a.pile AS was, b.pile AS becomes, count(*)::BIGINT AS works, count(*) FILTER (a.rule_id IS DISTINCT FROM b.rule_id)::BIGINT AS other_rule FROM routing a JOIN routing_b b USING (work_id) GROUP BY ALL")

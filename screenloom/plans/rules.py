@@ -288,6 +288,21 @@ def evaluations(routed: DataFrame, work: str = "work_id") -> DataFrame:
     return routed.select(work, F.explode("matched").alias("rule_id"))
 
 
+def unbeaten_shadows(matched: DataFrame, rules: list[Rule], work: str = "work_id") -> DataFrame:
+    """(rule_id, work) of each match of a shadow rule whose work no live rule of higher precedence (ties by id) matches.
+
+    Rows of the same work are one work; without a work's identifier nothing beats a shadow.
+    """
+    places = F.create_map(*[F.lit(x) for i, r in enumerate(sorted(rules, key=lambda r: (-r.precedence, r.id))) for x in (r.id, i)])
+    of = lambda shadow: F.array_intersect("matched", F.array(*[F.lit(r.id) for r in rules if r.shadow == shadow]).cast("array<string>"))
+    own = matched.select(work, F.array_min(F.transform(of(False), lambda r: F.element_at(places, r))).alias("live"), of(True).alias("shadows"))
+    # a work's rows without any shadow may beat those of another row of it
+    joined = own.groupBy(work).agg(F.min("live").alias("live"), F.flatten(F.collect_list(F.when(F.size("shadows") > 0, F.col("shadows")))).alias("shadows"))
+    hits = joined.where(F.size("shadows") > 0).select(work, "live", F.explode("shadows").alias("rule_id"))
+    unbeaten = F.col("live").isNull() | F.col(work).isNull() | (F.element_at(places, F.col("rule_id")) < F.col("live"))
+    return hits.where(unbeaten).select("rule_id", work)
+
+
 def as_table(spark, rules: list[Rule]) -> DataFrame:
     """The rules as rows: a bundle's size."""
     return spark.createDataFrame([(r.id, r.pile, r.precedence, r.shadow, r.vocabulary) for r in rules], "rule_id string, pile string, precedence int, shadow boolean, vocabulary string")
