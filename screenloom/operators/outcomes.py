@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.regex import to_java
 
 UNKNOWN = "cannot_be_determined"
 
@@ -54,7 +55,8 @@ def _place(sentences: Column, holds) -> Column:
 
 
 def _holds(pattern: str):
-    return lambda s: T.matches(s, pattern)
+    # a sentence is short: its lower-case form would cost more than the pattern
+    return lambda s: s.rlike(to_java(pattern))
 
 
 def scan(df: DataFrame, text: str, phrases: Phrases = REPLICATION, name: str = "hit") -> DataFrame:
@@ -70,7 +72,7 @@ def scan(df: DataFrame, text: str, phrases: Phrases = REPLICATION, name: str = "
     df = df.withColumn("_has", F.struct(*flags))
     some = T.either([F.col("_has")[f"f{i}"] for i in range(len(flags))])
     df = df.withColumn("_cut", F.when(some, T.sentences(whole)))
-    failed = _place(F.col("_cut"), lambda s: T.matches(s, phrases.failure) & ~T.matches(s, phrases.explicit_success))
+    failed = _place(F.col("_cut"), lambda s: _holds(phrases.failure)(s) & ~_holds(phrases.explicit_success)(s))
     df = df.withColumn("_failed", F.when(F.col("_has")["f0"], failed).otherwise(0))
     hit = F.when(F.col("_failed") > 0, _hit("failed", "high", F.col("_failed")))
     for i, (outcome, confidence, pattern) in enumerate(phrases.outcomes(), 1):
