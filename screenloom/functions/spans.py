@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Java's classes of letters, digits and white space by Unicode.
 UNICODE = "(?U)"
+#: What marks hits in a text.
+MARK = "\x01"
 HITS = "array<struct<start:int,end:int,hit:string>>"
 INTERVALS = "array<struct<start:int,end:int>>"
 
@@ -25,18 +27,26 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 def find(text: Column, pattern: str) -> Column:
     """HITS of a pattern that never matches nothing, from left to right; null text: null.
 
-    Where hits are follows from the lengths of what lies between them.
+    Where hits are follows from the lengths of what lies between them.  Hits are marked in one
+    pass over the text; splitting by the pattern, which would be compiled for each text, is
+    left to texts that contain the mark.
     """
-    between, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(HITS).alias("out"))
-    steps = F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda b, h: F.struct(F.length(b).alias("gap"), h.alias("hit")))
 
     def step(state: Column, s: Column) -> Column:
         begin = state["at"] + s["gap"]
         end = begin + F.length(s["hit"])
         return F.struct(end.alias("at"), F.array_append(state["out"], F.struct(begin.alias("start"), end.alias("end"), s["hit"].alias("hit"))).alias("out"))
 
-    return F.aggregate(steps, start, step, lambda state: state["out"])
+    def placed(parts: Column) -> Column:
+        hits = F.filter(parts, lambda p, i: i % 2 == 1)
+        steps = F.zip_with(F.filter(parts, lambda p, i: (i % 2 == 0) & (i < F.size(parts) - 1)), hits, lambda b, h: F.struct(F.length(b).alias("gap"), h.alias("hit")))
+        return F.when(F.size(parts) == 1, F.array().cast(HITS)).otherwise(F.aggregate(steps, start, step, lambda state: state["out"]))
+
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    apart = F.flatten(F.zip_with(F.split(text, pattern, -1), hits, lambda b, h: F.when(h.isNull(), F.array(b)).otherwise(F.array(b, h))))
+    marked = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    return let(F.when(F.contains(text, F.lit(MARK)), apart).otherwise(marked), placed)
 
 
 def widened(hits: Column, before: int, after: int, length: Column) -> Column:
