@@ -77,5 +77,5 @@ def windows(text: Column, pattern: str, before: int, after: int, gap: int = 0) -
 
 def apart(candidates: Column) -> Column:
     """Of structs with start and end, in order of preference, those that overlap none that was taken before."""
-    kind = F.slice(candidates, F.lit(1), F.lit(0))
-    return F.aggregate(candidates, kind, lambda taken, c: F.when(F.exists(taken, lambda t: (t["start"] < c["end"]) & (c["start"] < t["end"])), taken).otherwise(F.array_append(taken, c)))
+    taking = lambda taken, c: F.when(F.exists(taken, lambda t: (t["start"] < c["end"]) & (c["start"] < t["end"])), taken).otherwise(F.array_append(taken, c))
+    return let(candidates, lambda every: F.aggregate(every, F.slice(every, F.lit(1), F.lit(0)), taking))
