@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .exchange import CHUNK_BYTES, answers, gathered, measure, pack, unpack, written
+from .exchange import CHUNK_BYTES, Size, answers, gathered, measure, pack, unpack, written
 from .words import LOWER, mix, raw
 
 #: Words of the longest phrase; least count of a phrase; hundredths of a phrase's count from which a longer one stands for it; what scores are parts of.
@@ -36,6 +36,8 @@ WORDS, LEAST, SHARE, SCALE = 4, 30, 80, 2_000_000
 UNKNOWN = "und"
 #: Strips of a language in the first step of ranking.
 STRIPS = 64
+#: Shards that are never too many; text bytes for each of more.
+FEW, SHARD_BYTES = 32, 16 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(10, 14)]] = True
@@ -111,7 +113,8 @@ def first_level(chunk: int, rows: pa.Table, shards: int) -> pa.Table:
     order, which, at = in_order(shard, which, shards)
     full = np.flatnonzero(np.diff(at))
     listed = lambda values: pa.ListArray.from_arrays(pa.array(np.append(at[full], len(keys)), pa.int32()), values.take(pa.array(order)).cast(_S))
-    strips = pa.table({"chunk": pa.array([chunk] * len(full), _L), "shard": pa.array(full, _I), "langs": listed(tongue.dictionary.take(pa.array(keys // size))), "words": listed(spelled), "counts": pa.array([pack(counts[order][at[k] : at[k + 1]]) for k in full], _B)})
+    counts = counts[order]
+    strips = pa.table({"chunk": pa.array([chunk] * len(full), _L), "shard": pa.array(full, _I), "langs": listed(tongue.dictionary.take(pa.array(keys // size))), "words": listed(spelled), "counts": pa.array([pack(counts[at[k] : at[k + 1]]) for k in full], _B)})
     return shaped([state(chunk, starts, which), strips], _STATE)
 
 
@@ -125,9 +128,10 @@ def next_level(chunk: int, starts: np.ndarray, ids: np.ndarray, shards: int, go_
     with np.errstate(over="ignore"):
         shard = (mix(p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + s.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
     order, which, cut = in_order(shard, which, shards)
-    full = np.flatnonzero(np.diff(cut))
-    packed = lambda v, sort=False: pa.array([pack(np.diff(x, prepend=0) if sort else x) for k in full for x in (v[order][cut[k] : cut[k + 1]],)], _B)
-    strips = pa.table({"chunk": pa.array([chunk] * len(full), _L), "shard": pa.array(full, _I), "p": packed(p, True), "s": packed(s), "counts": packed(counts)})
+    p, s, counts, full = p[order], s[order], counts[order], np.flatnonzero(np.diff(cut))
+    parts = lambda v: (v[cut[k] : cut[k + 1]] for k in full)
+    gaps = pa.array([pack(np.diff(x, prepend=0)) for x in parts(p)], _B)
+    strips = pa.table({"chunk": pa.array([chunk] * len(full), _L), "shard": pa.array(full, _I), "p": gaps, "s": pa.array(map(pack, parts(s)), _B), "counts": pa.array(map(pack, parts(counts)), _B)})
     return shaped([state(chunk, starts[at], which), strips] if go_on else [strips], _STATE)
 
 
@@ -171,13 +175,18 @@ def merge_phrases(table: pa.Table, least: int, shards: int, go_on: bool) -> pa.T
     return shaped([told, phrases] if go_on else [phrases], _MERGED)
 
 
+def shards_of(size: Size) -> int:
+    """As many shards as chunks, but above FEW those of SHARD_BYTES of text at least: a chunk sends each shard a block, which costs its time however short."""
+    return min(size.shards, max(FEW, -(-size.text_bytes // max(size.chunk_bytes, SHARD_BYTES))))
+
+
 def levels(docs: DataFrame, words: int = WORDS, least: int = LEAST, chunk_bytes: int = CHUNK_BYTES) -> list[DataFrame]:
     """What the shards put out for each length: frequent phrases, at the first with the words of each language under number 0.
 
     docs: lang, text.  Null texts are empty; a null language is UNKNOWN.
     """
     size = measure(docs, "text", chunk_bytes)
-    shards, chunk = size.shards, size.chunk_bytes
+    shards, chunk = shards_of(size), size.chunk_bytes
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in gathered(batches, "text", chunk):
