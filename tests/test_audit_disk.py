@@ -55,3 +55,13 @@ def test_lines_are_counted_as_lines_and_only_where_asked(spark):
     assert "Window" not in plan(rows.select("pair_id", "title_r")) and "Join" not in plan(rows.select("pair_id"))
     counted = plan(rows.select("n_originals", "abstract_r"))
     assert "Join" not in counted and "We find" not in counted[counted.index("Window") :]
+
+
+def test_concerns_keep_no_whole_rows(spark, kept):
+    rows = standins.extracted(spark, ROWS)
+    found = {r.concern: r.rows for r in audit.concerns(rows).collect()}
+    assert [c for c, _ in kept] == [["_pair", "doi_r", "pair_id"]] and kept[0][1] < rows.count() / 4
+    by = {r["check"]: r["count"] for r in audit.audit(rows, ratios=False).groupBy("check").count().collect()}
+    by |= {f"set aside: {r.bucket}": r["count"] for r in audit.partition(rows).where("bucket IS NOT NULL").groupBy("bucket").count().collect()}
+    gaps = {"empty title_r": "trim(title_r) = ''", "empty title_o": "title_o = ''", "unreadable year_r": "year_r = 'n.d.'"}
+    assert found == by | {g: n for g, w in gaps.items() if (n := rows.where(w).count())}
